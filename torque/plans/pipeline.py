@@ -1,0 +1,135 @@
+"""Source -> silver -> gold -> reports, as one Spark program.
+
+* silver is lazy (views);
+* each gold table is the MERGE of its source into the current table and is
+  materialised before the next step reads it: written as a new snapshot
+  when a ``SnapshotStore`` is given, otherwise a reliable checkpoint. Both
+  cut lineage and survive executor loss;
+* order: calendar, dimensions, then the fact (it resolves dimension keys).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from torque.operators import dims, staging
+from torque.operators.calendar import dim_time
+from torque.operators.fact import fact_source, load_fact
+from torque.operators.joins import materialize
+from torque.sources.bindings import ModelConfig, Sources, bind_config, bind_sources
+
+
+@dataclass
+class Silver:
+    supplier: DataFrame
+    customers: DataFrame
+    cars: DataFrame
+    category: DataFrame
+    parts: DataFrame
+    sales: DataFrame
+    parts_car: DataFrame
+    final_delivery: DataFrame
+    lot_delivery: DataFrame
+
+
+@dataclass
+class Gold:
+    dim_time: DataFrame
+    dim_customer: DataFrame
+    dim_supplier: DataFrame
+    dim_part: DataFrame
+    dim_car: DataFrame
+    fact_sales: DataFrame
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return dict(self.__dict__)
+
+
+def build_silver(src: Sources, now: dt.datetime | None = None) -> Silver:
+    return Silver(
+        supplier=staging.stg_supplier(src.supplier, now),
+        customers=staging.stg_customers(src.customers, now),
+        cars=staging.stg_cars(src.cars, now),
+        category=staging.stg_category(src.category, now),
+        parts=staging.stg_parts(src.parts, src.category, now),
+        sales=staging.stg_sales(src.sales, src.parts_car, src.parts, now),
+        parts_car=staging.stg_parts_car(src.parts_car, now),
+        final_delivery=staging.stg_final_delivery(src.final_delivery, now),
+        lot_delivery=staging.stg_lot_delivery(src.lot_delivery, now),
+    )
+
+
+def _persist(df: DataFrame, name: str, store) -> DataFrame:
+    if store is None:
+        return materialize(df)
+    store.write(name, df)
+    return store.read(name)
+
+
+def load_gold(spark: SparkSession, silver: Silver, cfg: ModelConfig,
+              current: Gold | None = None, now: dt.datetime | None = None,
+              store=None) -> Gold:
+    """MERGE every dimension, then the fact, into ``current`` (None = empty)."""
+    now = now or cfg.now
+    cur = current.as_dict() if current else {}
+
+    def merged(name, source, key, surrogate):
+        return _persist(dims.load_dim(cur.get(name), source, key, surrogate, now), name, store)
+
+    cal = cur.get("dim_time")
+    if cal is None:
+        cal = _persist(dim_time(spark, cfg.calendar_start, cfg.calendar_end), "dim_time", store)
+    d_customer = merged("dim_customer",
+                        dims.dim_customer_source(silver.customers, cfg.region_by_province),
+                        "customer_id", "customer_key")
+    d_supplier = merged("dim_supplier", dims.dim_supplier_source(silver.supplier),
+                        "supplier_id", "supplier_key")
+    d_part = merged("dim_part", dims.dim_part_source(silver.parts), "part_id", "part_key")
+    d_car = merged("dim_car", dims.dim_car_source(silver.cars, silver.parts_car,
+                                                  cfg.segment_by_model),
+                   "car_id", "car_key")
+    src = fact_source(silver.sales, silver.final_delivery, silver.parts_car,
+                      d_car, d_customer, d_supplier)
+    fact = _persist(load_fact(cur.get("fact_sales"), src, now), "fact_sales", store)
+    return Gold(dim_time=cal, dim_customer=d_customer, dim_supplier=d_supplier,
+                dim_part=d_part, dim_car=d_car, fact_sales=fact)
+
+
+# ---- per-session memo of the bound warehouse ---------------------------------
+_MEMO: dict = {}
+
+
+def _memo_key(spark: SparkSession, sf_dir: str):
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+
+
+def bound(spark: SparkSession, sf_dir: str):
+    """(Sources, ModelConfig, Silver) of a test-data folder (lazy, cheap)."""
+    key = ("bound",) + _memo_key(spark, sf_dir)
+    if key not in _MEMO:
+        src = bind_sources(spark, sf_dir)
+        cfg = bind_config(spark, sf_dir)
+        _MEMO[key] = (src, cfg, build_silver(src))
+    return _MEMO[key]
+
+
+def gold_for(spark: SparkSession, sf_dir: str) -> Gold:
+    """The gold layer of a test-data folder, built once per session."""
+    key = ("gold",) + _memo_key(spark, sf_dir)
+    if key not in _MEMO:
+        src, cfg, silver = bound(spark, sf_dir)
+        _MEMO[key] = load_gold(spark, silver, cfg)
+    return _MEMO[key]
+
+
+def forget(spark: SparkSession | None = None) -> None:
+    """Drop memoised plans (all sessions, or one)."""
+    if spark is None:
+        _MEMO.clear()
+        return
+    app = spark.sparkContext.applicationId
+    for k in [k for k in _MEMO if k[1] == app]:
+        del _MEMO[k]
