@@ -199,7 +199,8 @@ def rpt_parts_cost_by_segment(fact: DataFrame, dim_car: DataFrame, dim_part: Dat
     """
     car = broadcast_checked(dim_car.select("car_key", "segment", "total_parts_qty"),
                             checkpoint=False)
-    per_segment = (fact.join(car, "car_key").groupBy("segment")
+    # the car's BOM quantity comes from the dimension (as in the reference)
+    per_segment = (fact.select("car_key").join(car, "car_key").groupBy("segment")
                    .agg(_sales_count().alias("units_sold"),
                         F.sum("total_parts_qty").cast("long").alias("_qty")))
     prices = (segment_parts(dim_car, parts_car, dim_part)

@@ -108,3 +108,272 @@ group by t.year, t.quarter_name, c.brand""")
 def q_rpt_revenue_by_brand(spark, sf_dir):
     g = gold_for(spark, sf_dir)
     return reports.rpt_revenue_by_brand(g.fact_sales, g.dim_car, g.dim_time)
+
+
+@register("rpt_sales_by_region", f"""
+select cu.region, cu.province, t.year, t.month_name,
+       cast(count(distinct f.sale_key) as bigint) as total_sales,
+       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
+       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
+       {_AVG_PRICE} as avg_sale_price
+from fact_sales f join dim_customer cu on f.customer_key = cu.customer_key
+join dim_time t on f.time_id = t.time_id
+group by cu.region, cu.province, t.year, t.month_name, t.month""")
+def q_rpt_sales_by_region(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return reports.rpt_sales_by_region(g.fact_sales, g.dim_customer, g.dim_time)
+
+
+_PROFITABILITY = f"""
+select c.brand, c.model, c.brand_model, c.segment, c.manufacture_year,
+       cast(count(distinct f.sale_key) as bigint) as units_sold,
+       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
+       cast(sum(f.total_parts_cost) as decimal(22,2)) as total_parts_cost,
+       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
+       {_AVG_PCT} as avg_margin_pct,
+       {O.rdiv('sum(f.gross_margin)', 'count(distinct f.sale_key)', 2, 0, 2)} as margin_per_unit
+from fact_sales f join dim_car c on f.car_key = c.car_key
+group by c.brand, c.model, c.brand_model, c.segment, c.manufacture_year"""
+O.cte("model_profitability", _PROFITABILITY)
+
+
+@register("rpt_model_profitability", "select * from model_profitability")
+def q_rpt_model_profitability(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return reports.rpt_model_profitability(g.fact_sales, g.dim_car)
+
+
+@register("rpt_supplier_performance", f"""
+select s.supplier_name, s.city as supplier_city, t.year, t.quarter_name,
+       cast(count(distinct f.sale_key) as bigint) as sales_linked,
+       cast(sum(f.total_parts_cost) as decimal(22,2)) as parts_value_supplied,
+       cast(sum(f.sale_price) as decimal(22,2)) as revenue_enabled,
+       {O.rdiv('sum(f.total_parts_cost)', 'sum(f.sale_price)', 2, 2, 2, 100)} as cost_to_revenue_pct
+from fact_sales f join dim_supplier s on f.supplier_key = s.supplier_key
+join dim_time t on f.time_id = t.time_id
+group by s.supplier_name, s.city, t.year, t.quarter_name""")
+def q_rpt_supplier_performance(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return reports.rpt_supplier_performance(g.fact_sales, g.dim_supplier, g.dim_time)
+
+
+O.cte("monthly_agg", f"""
+select t.year, t.month, t.month_short,
+       cast(count(distinct f.sale_key) as bigint) as total_sales,
+       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
+       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
+       {_AVG_PCT} as avg_margin_pct
+from fact_sales f join dim_time t on f.time_id = t.time_id
+group by t.year, t.month, t.month_short""")
+_GROWTH = f"""
+select year, month, month_short, cast(year as varchar) || '-' || lpad(cast(month as varchar), 2, '0') as year_month,
+       total_sales, total_revenue, total_gross_margin, avg_margin_pct, prev_month_revenue,
+       {O.rdiv('total_revenue - prev_month_revenue', 'prev_month_revenue', 2, 2, 2, 100)} as mom_revenue_growth_pct
+from (select *, lag(total_revenue) over (order by year, month) as prev_month_revenue from {{src}}) g"""
+O.cte("monthly_trend", _GROWTH.format(src="monthly_agg"))
+O.cte("monthly_filled", """
+select m.year, m.month, m.month_short,
+       coalesce(a.total_sales, cast(0 as bigint)) as total_sales,
+       coalesce(a.total_revenue, cast(0 as decimal(22,2))) as total_revenue,
+       coalesce(a.total_gross_margin, cast(0 as decimal(22,2))) as total_gross_margin,
+       a.avg_margin_pct
+from (select distinct year, month, month_short from dim_time) m
+left join monthly_agg a on a.year = m.year and a.month = m.month""")
+O.cte("monthly_trend_filled", _GROWTH.format(src="monthly_filled"))
+
+
+@register("rpt_monthly_trend", "select * from monthly_trend")
+def q_rpt_monthly_trend(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return reports.rpt_monthly_trend(g.fact_sales, g.dim_time)
+
+
+@register("rpt_monthly_trend_filled", "select * from monthly_trend_filled")
+def q_rpt_monthly_trend_filled(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return reports.rpt_monthly_trend_filled(g.fact_sales, g.dim_time)
+
+
+O.cte("segment_parts_naive", """
+select distinct dcar.segment, dpart.part_key
+from dim_part dpart join stg_parts_car pc on dpart.part_id = pc.part_id
+join dim_car dcar on pc.car_id = dcar.car_id""")
+
+
+@register("segment_parts", "select * from segment_parts_naive")
+def q_segment_parts(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    _, _, silver = bound(spark, sf_dir)
+    return reports.segment_parts(g.dim_car, silver.parts_car, g.dim_part)
+
+
+@register("rpt_parts_cost_by_segment", f"""
+select segment, category_name, units_sold, cast(est as decimal(38,2)) as estimated_category_cost,
+       {O.rdiv('est', 'seg_total', 2, 2, 2, 100)} as pct_of_segment_cost
+from (
+  select segment, category_name, units_sold, est, sum(est) over (partition by segment) as seg_total
+  from (
+    select dc.segment, dp.category_name,
+           cast(count(distinct f.sale_key) as bigint) as units_sold,
+           sum(dp.unit_price * dc.total_parts_qty) as est
+    from fact_sales f
+    join dim_car dc on f.car_key = dc.car_key
+    join dim_part dp on dp.part_key in (
+        select distinct dpart.part_key
+        from dim_part dpart
+        join stg_parts_car pc on dpart.part_id = pc.part_id
+        join dim_car dcar on pc.car_id = dcar.car_id
+        where dcar.segment = dc.segment)
+    group by dc.segment, dp.category_name) a) b""")
+def q_rpt_parts_cost_by_segment(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    _, _, silver = bound(spark, sf_dir)
+    return reports.rpt_parts_cost_by_segment(g.fact_sales, g.dim_car, g.dim_part, silver.parts_car)
+
+
+# ---- insights (X1-X4) --------------------------------------------------------------
+from torque.operators import insights  # noqa: E402
+
+O.cte("model_months", f"""
+select c.brand_model, t.year, t.month,
+       cast(t.year as varchar) || '-' || lpad(cast(t.month as varchar), 2, '0') as year_month,
+       {_AVG_PCT} as avg_margin_pct
+from fact_sales f join dim_car c on f.car_key = c.car_key join dim_time t on f.time_id = t.time_id
+group by c.brand_model, t.year, t.month""")
+O.cte("model_margin_trend", """
+select brand_model, year, month, year_month, avg_margin_pct,
+       cast(avg_margin_pct - lag(avg_margin_pct) over (partition by brand_model order by year_month)
+            as decimal(18,2)) as margin_delta_pct
+from model_months""")
+
+
+@register("model_margin_trend",
+          "select brand_model, year_month, avg_margin_pct, margin_delta_pct from model_margin_trend")
+def q_model_margin_trend(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return insights.model_margin_trend(g.fact_sales, g.dim_car, g.dim_time)
+
+
+@register("model_margin_alert", """
+select brand_model, min(year_month) as start_month, max(year_month) as end_month,
+       cast(count(*) as bigint) as months
+from (select *, year * 12 + month - row_number() over (partition by brand_model order by year * 12 + month) as isl
+      from model_margin_trend where margin_delta_pct < 0) x
+group by brand_model, isl
+having count(*) >= 3""")
+def q_model_margin_alert(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return insights.model_margin_alert(g.fact_sales, g.dim_car, g.dim_time)
+
+
+@register("top_models", """
+select brand_model, avg_margin_pct, units_sold, total_gross_margin from model_profitability
+order by avg_margin_pct desc nulls last, brand_model limit 3""")
+def q_top_models(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return insights.top_models(reports.rpt_model_profitability(g.fact_sales, g.dim_car))
+
+
+TREND_YEAR = 1998  # a year of the bound calendar; its January lags into 1997
+
+
+@register("trend_one_year", f"""
+select year_month, total_revenue, mom_revenue_growth_pct from monthly_trend
+where year = {TREND_YEAR}""")
+def q_trend_one_year(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return insights.trend_one_year(reports.rpt_monthly_trend(g.fact_sales, g.dim_time), TREND_YEAR)
+
+
+@register("revenue_by_region", """
+select region, cast(sum(total_revenue) as decimal(22,2)) as revenue from (
+  select cu.region, cu.province, t.year, t.month_name, sum(f.sale_price) as total_revenue
+  from fact_sales f join dim_customer cu on f.customer_key = cu.customer_key
+  join dim_time t on f.time_id = t.time_id
+  group by cu.region, cu.province, t.year, t.month_name, t.month) r
+group by region""")
+def q_revenue_by_region(spark, sf_dir):
+    g = gold_for(spark, sf_dir)
+    return insights.revenue_by_region(
+        reports.rpt_sales_by_region(g.fact_sales, g.dim_customer, g.dim_time))
+
+
+# ---- quality (Q1-Q18) ----------------------------------------------------------------
+from torque.operators import quality  # noqa: E402
+from torque.sources.bindings import AS_OF  # noqa: E402
+
+_QC = {
+    "qc01": """
+select 'QC-01' as check_id, 'NULL PK in SUPPLIER' as description, cast(count(*) as bigint) as failures from src_supplier where supplier_id is null
+union all select 'QC-01', 'NULL PK in CUSTOMERS', count(*) from src_customers where customer_id is null
+union all select 'QC-01', 'NULL PK in CARS', count(*) from src_cars where car_id is null
+union all select 'QC-01', 'NULL PK in PARTS', count(*) from src_parts where part_id is null
+union all select 'QC-01', 'NULL PK in SALES', count(*) from src_sales where sale_id is null""",
+    "qc02": """
+select 'QC-02' as check_id, 'Zero/negative price in PARTS' as description, cast(count(*) as bigint) as failures from src_parts where unit_price <= 0
+union all select 'QC-02', 'Zero/negative price in SALES', count(*) from src_sales where sale_price <= 0""",
+    "qc03": """
+select 'QC-03' as check_id, 'SALES referencing missing Car_ID' as description, cast(count(*) as bigint) as failures
+from src_sales s left join src_cars c on s.car_id = c.car_id where c.car_id is null
+union all select 'QC-03', 'SALES referencing missing Cliente_ID', count(*)
+from src_sales s left join src_customers cu on s.customer_id = cu.customer_id where cu.customer_id is null
+union all select 'QC-03', 'PARTS referencing missing Category_ID', count(*)
+from src_parts p left join src_category ca on p.category_id = ca.category_id where ca.category_id is null""",
+    "qc04": f"""
+select 'QC-04' as check_id, 'Future dates in SALES' as description, cast(count(*) as bigint) as failures
+from src_sales where sale_date > date '{AS_OF.isoformat()}'
+union all select 'QC-04', 'Future dates in FINAL_DELIVERY', count(*)
+from src_final_delivery where delivery_date > date '{AS_OF.isoformat()}'""",
+    "qc05": """
+select 'QC-05' as check_id, 'Duplicate Venta_ID in SALES' as description, cast(count(*) - count(distinct sale_id) as bigint) as failures from src_sales
+union all select 'QC-05', 'Duplicate Car_ID in CARS', count(*) - count(distinct car_id) from src_cars""",
+    "qc06": """
+select 'QC-06' as check_id, 'Sale price below parts cost (potential data error)' as description, cast(count(*) as bigint) as failures
+from (select s.sale_id, s.sale_price, sum(p.unit_price * pc.quantity) as total_parts_cost
+      from src_sales s join src_parts_car pc on s.car_id = pc.car_id join src_parts p on pc.part_id = p.part_id
+      group by s.sale_id, s.sale_price) sub
+where sale_price < total_parts_cost""",
+}
+
+
+def _src_tables(spark, sf_dir):
+    src, _, _ = bound(spark, sf_dir)
+    return src.as_dict()
+
+
+register("qc01_null_pk", _QC["qc01"])(lambda s, d: quality.qc01_null_pk(_src_tables(s, d)))
+register("qc02_nonpositive_price", _QC["qc02"])(
+    lambda s, d: quality.qc02_nonpositive_price(_src_tables(s, d)))
+register("qc03_orphan_fk", _QC["qc03"])(lambda s, d: quality.qc03_orphan_fk(_src_tables(s, d)))
+register("qc04_future_dates", _QC["qc04"])(
+    lambda s, d: quality.qc04_future_dates(_src_tables(s, d), AS_OF))
+register("qc05_duplicate_pk", _QC["qc05"])(
+    lambda s, d: quality.qc05_duplicate_pk(_src_tables(s, d)))
+register("qc06_price_below_cost", _QC["qc06"])(
+    lambda s, d: quality.qc06_price_below_cost(_src_tables(s, d)))
+register("qc_report", "\nunion all\n".join(f"({_QC[k].strip()})" for k in sorted(_QC)))(
+    lambda s, d: quality.qc_report(_src_tables(s, d), AS_OF))
+
+_FK_SQL = "\nunion all\n".join(
+    f"select 'QC-FK' as check_id, '{c}.{fk} -> {p}.{pk}' as description, cast(count(*) as bigint) as failures "
+    f"from src_{c} x where not exists (select 1 from src_{p} y where y.{pk} = x.{fk})"
+    for c, fk, p, pk in quality.FOREIGN_KEYS)
+register("qc_orphans_all", _FK_SQL)(lambda s, d: quality.qc_orphans_all(_src_tables(s, d)))
+
+_PK_SQL = "\nunion all\n".join(
+    f"select 'QC-PK' as check_id, '{t}({', '.join(k)})' as description, "
+    f"cast(coalesce(sum(n - 1), 0) as bigint) as failures "
+    f"from (select count(*) as n from src_{t} group by {', '.join(k)}) g"
+    for t, k in quality.PRIMARY_KEYS.items())
+register("qc_duplicates_all", _PK_SQL)(lambda s, d: quality.qc_duplicates_all(_src_tables(s, d)))
+
+
+@register("qc_duplicates_lineitem", """
+select 'QC-PK' as check_id, 'lineitem(l_orderkey, l_linenumber)' as description,
+       cast(coalesce(sum(n - 1), 0) as bigint) as failures
+from (select count(*) as n from lineitem group by l_orderkey, l_linenumber) g""")
+def q_qc_duplicates_lineitem(spark, sf_dir):
+    from torque.sources.bindings import read_test_table
+    li = read_test_table(spark, sf_dir, "lineitem")
+    return quality.duplicate_key_check(li, ["l_orderkey", "l_linenumber"],
+                                       "lineitem(l_orderkey, l_linenumber)")
