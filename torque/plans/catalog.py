@@ -377,3 +377,97 @@ def q_qc_duplicates_lineitem(spark, sf_dir):
     li = read_test_table(spark, sf_dir, "lineitem")
     return quality.duplicate_key_check(li, ["l_orderkey", "l_linenumber"],
                                        "lineitem(l_orderkey, l_linenumber)")
+
+
+# ---- MERGE scenarios (M1, G1) -------------------------------------------------------
+# Two loads of DIM_CUSTOMER: load 1 = the customers with an even id,
+# load 2 = every customer, names suffixed where id % 3 = 0. Load 2 covers the
+# whole table: it updates every load-1 row and inserts every other one.
+from torque.operators import dims  # noqa: E402
+from torque.operators.joins import materialize  # noqa: E402
+from torque.operators.merge import merge_upsert  # noqa: E402
+
+NAME_SUFFIX = " (v2)"
+
+
+def _customer_loads(spark, sf_dir):
+    _, cfg, silver = bound(spark, sf_dir)
+    full = dims.dim_customer_source(silver.customers, cfg.region_by_province)
+    load1 = full.filter(F.col("customer_id") % 2 == 0)
+    load2 = full.withColumn("customer_name",
+                            F.when(F.col("customer_id") % 3 == 0,
+                                   F.concat("customer_name", F.lit(NAME_SUFFIX)))
+                            .otherwise(F.col("customer_name")))
+    return cfg, load1, load2
+
+
+def _merge(target, source, cfg):
+    return materialize(merge_upsert(target, source, "customer_id", "customer_key", cfg.now))
+
+
+O.cte("cust_src", """
+select customer_id, customer_name, address, city, province, region from dim_customer""")
+O.cte("cust_load1", """
+select cast(row_number() over (order by customer_id) as bigint) as customer_key, *
+from cust_src where customer_id % 2 = 0""")
+O.cte("cust_load2", f"""
+select customer_id,
+       case when customer_id % 3 = 0 then customer_name || '{NAME_SUFFIX}' else customer_name end as customer_name,
+       address, city, province, region
+from cust_src""")
+O.cte("cust_after_load2", """
+select cast(case when l1.customer_key is not null then l1.customer_key
+                 else (select max(customer_key) from cust_load1)
+                      + row_number() over (partition by l1.customer_key is null order by l2.customer_id)
+            end as bigint) as customer_key,
+       l2.customer_id, l2.customer_name, l2.address, l2.city, l2.province, l2.region
+from cust_load2 l2 left join cust_load1 l1 on l1.customer_id = l2.customer_id""")
+
+
+@register("merge_insert", "select * from cust_load1")
+def q_merge_insert(spark, sf_dir):
+    cfg, load1, _ = _customer_loads(spark, sf_dir)
+    return _no_ts(_merge(None, load1, cfg))
+
+
+@register("merge_update", "select * from cust_after_load2")
+def q_merge_update(spark, sf_dir):
+    cfg, load1, load2 = _customer_loads(spark, sf_dir)
+    return _no_ts(_merge(_merge(None, load1, cfg), load2, cfg))
+
+
+@register("merge_idempotent", "select * from cust_after_load2")
+def q_merge_idempotent(spark, sf_dir):
+    cfg, load1, load2 = _customer_loads(spark, sf_dir)
+    once = _merge(_merge(None, load1, cfg), load2, cfg)
+    return _no_ts(_merge(once, load2, cfg))
+
+
+# ---- loads and summaries (S2, S12) ----------------------------------------------------
+from torque.sources import sinks  # noqa: E402
+from torque.schemas import LOAD_ORDER  # noqa: E402
+
+O.cte("load_counts", "\nunion all\n".join(
+    f"select '{t}' as table_name, cast(count(*) as bigint) as row_count from src_{t}"
+    for t in LOAD_ORDER))
+
+
+@register("load_summary", "select * from load_counts")
+def q_load_summary(spark, sf_dir):
+    src, _, _ = bound(spark, sf_dir)
+    return sinks.load_summary(src.as_dict())
+
+
+@register("load_truncate_insert", "select * from src_sales")
+def q_load_truncate_insert(spark, sf_dir):
+    """Round trip: load the sales role into a snapshot table and read it back."""
+    import uuid
+    from torque.session import ensure_checkpoint_dir
+    src, _, _ = bound(spark, sf_dir)
+    # a fresh table under the shared warehouse folder (default: inside the
+    # session's checkpoint folder, never a machine-local temp folder)
+    base = spark.conf.get("torque.warehouse.dir", None) or f"{ensure_checkpoint_dir(spark)}/warehouse"
+    root = f"{base}/{uuid.uuid4().hex}"
+    store = sinks.SnapshotStore(spark, root)
+    sinks.load_truncate_insert(store, "sales", src.sales)
+    return store.read("sales")
