@@ -31,7 +31,7 @@ def map_or_other(df: DataFrame, col: str, mapping, out: str,
         return df.withColumn(out, F.lit(OTHER) if expr is None else expr.otherwise(F.lit(OTHER)))
     k, v = map_key or mapping.columns[0], map_value or mapping.columns[1]
     lookup = (mapping.groupBy(F.col(k).alias("_mk")).agg(F.min(v).alias("_mv")))
-    lookup = broadcast_checked(lookup)
+    lookup = broadcast_checked(lookup, checkpoint=False)
     return (df.join(lookup, df[col] == lookup["_mk"], "left")
             .withColumn(out, F.coalesce(F.col("_mv"), F.lit(OTHER))).drop("_mk", "_mv"))
 

@@ -1,11 +1,13 @@
 """Join helpers: broadcast only behind a size check.
 
-Two kinds of small side exist in this model:
+Three kinds of small side exist in this model:
 
 * **domain-bounded** tables keyed by a DATE (calendar, one winner per
   delivery day, one row per month). A DATE has 3,652,059 possible values
   (0001-01-01 .. 9999-12-31), so such a table can never outgrow a broadcast
   whatever the data volume. They are hinted directly with ``broadcast_bounded``.
+* **file-backed** gold tables: their size is known from file statistics, so
+  the planner's own threshold check decides (``planner_sized``);
 * **data-sized** small sides (cars, BOM costs, suppliers, lookup maps). Their
   size is only known at run time, so ``broadcast_checked`` materialises the
   side once (reliable checkpoint), counts it, and broadcasts only below a row
@@ -52,3 +54,11 @@ def broadcast_checked(df: DataFrame, max_rows: int | None = None,
     side = materialize(df) if checkpoint else df
     n = side.limit(limit + 1).count()
     return F.broadcast(side) if n <= limit else side
+
+
+def planner_sized(df: DataFrame) -> DataFrame:
+    """A materialised (file-backed) side: Spark's planner already checks its
+    size against ``spark.sql.autoBroadcastJoinThreshold`` from file
+    statistics, and AQE re-checks actual shuffle sizes at run time; beyond
+    both it stays a sort-merge join with skew splitting. No hint, no job."""
+    return df

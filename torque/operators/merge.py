@@ -46,18 +46,15 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     """
     ts = F.lit(now).cast("timestamp_ntz")
     cols = [c for c in source.columns if c != key]
-    if target is None:
-        # initial load: G1 materialises the range-partitioned rows once; the
-        # key check then reads that copy instead of recomputing the source
-        keyed = assign_surrogate_keys(source, surrogate, [key], 0, num_partitions)
-        if check:
-            check_source_keys(keyed, key)
-        return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
-    # the source feeds the check, the anti join and the update join:
-    # materialise it once
+    # The source feeds the key check, range sampling, the anti join and the
+    # update join: compute it once (reliable checkpoint) so none of them
+    # recomputes its lineage (for the fact: the as-of link and all joins).
     source = materialize(source)
     if check:
         check_source_keys(source, key)
+    if target is None:
+        keyed = assign_surrogate_keys(source, surrogate, [key], 0, num_partitions)
+        return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
     start = target.agg(F.max(surrogate)).first()[0] or 0
     src = source.withColumn("_matched", F.lit(True))
     t, s = target.alias("t"), src.alias("s")
