@@ -471,3 +471,52 @@ def q_load_truncate_insert(spark, sf_dir):
     store = sinks.SnapshotStore(spark, root)
     sinks.load_truncate_insert(store, "sales", src.sales)
     return store.read("sales")
+
+
+# ---- generators (S4-S9): keyed by the test tables' own ids ---------------------------
+# Hash-drawn values cannot be reproduced in another engine, so these keys get a
+# rows-only check (no oracle); the BOM explode is a round trip and has one.
+from torque.sources import generators as G  # noqa: E402
+from torque.sources.bindings import read_test_table  # noqa: E402
+
+
+@register("gen_suppliers")
+def q_gen_suppliers(spark, sf_dir):
+    ids = read_test_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
+    return G.gen_suppliers(ids)
+
+
+@register("gen_customers")
+def q_gen_customers(spark, sf_dir):
+    ids = read_test_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return G.gen_customers(ids)
+
+
+@register("bom_explode", "select car_id, part_id, quantity from stg_parts_car")
+def q_bom_explode(spark, sf_dir):
+    src, _, _ = bound(spark, sf_dir)
+    bom_map = (src.parts_car.groupBy("car_id")
+               .agg(F.collect_list(F.struct("part_id", "quantity")).alias("parts")))
+    return G.bom_explode(bom_map)
+
+
+@register("gen_deliveries")
+def q_gen_deliveries(spark, sf_dir):
+    src, _, _ = bound(spark, sf_dir)
+    g = gold_for(spark, sf_dir)
+    ids = src.final_delivery.select(F.col("delivery_id").alias("id"))
+    parts = g.dim_part.select(F.col("part_key").alias("part_idx"), "part_id")
+    _, lots = G.gen_deliveries(ids, src.supplier.count(), parts, g.dim_part.count())
+    return lots
+
+
+@register("gen_sales")
+def q_gen_sales(spark, sf_dir):
+    src, _, _ = bound(spark, sf_dir)
+    g = gold_for(spark, sf_dir)
+    ids = src.sales.select(F.col("sale_id").alias("id"))
+    prices = (g.dim_car.select(F.col("car_key").alias("car_idx"), "car_id")
+              .join(staging.bom_cost(src.parts_car, src.parts), "car_id")
+              .select("car_idx", "car_id",
+                      (F.col("total_parts_cost") * F.lit(2)).cast("decimal(12,2)").alias("base_price")))
+    return G.gen_sales(ids, src.customers.count(), prices, g.dim_car.count())
