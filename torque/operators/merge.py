@@ -38,11 +38,12 @@ def check_source_keys(source: DataFrame, key: str) -> None:
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogate: str,
                  now: dt.datetime, check: bool = True,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, start_key: int | None = None) -> DataFrame:
     """Return ``target`` after ``MERGE ... USING source ON key``.
 
     ``target`` columns: surrogate, key, the source's other columns, load_ts.
-    ``target=None`` is an empty table (initial load).
+    ``target=None`` is an empty table (initial load). ``start_key``: the
+    largest key already used, when ``target`` is only a slice of the table.
     """
     ts = F.lit(now).cast("timestamp_ntz")
     cols = [c for c in source.columns if c != key]
@@ -53,9 +54,9 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     if check:
         check_source_keys(source, key)
     if target is None:
-        keyed = assign_surrogate_keys(source, surrogate, [key], 0, num_partitions)
+        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions)
         return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
-    start = target.agg(F.max(surrogate)).first()[0] or 0
+    start = start_key if start_key is not None else (target.agg(F.max(surrogate)).first()[0] or 0)
     src = source.withColumn("_matched", F.lit(True))
     t, s = target.alias("t"), src.alias("s")
     # explicit match marker, not coalesce: a NULL in the source must

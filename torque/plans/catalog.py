@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from torque.functions.money import MONEY_SUM
 from torque.operators import reports, staging
 from torque.operators.calendar import dim_time
+import datetime as dt
+
 from torque.plans import oracles as O
 from torque.plans.pipeline import bound, gold_for
 from torque.sources.bindings import CALENDAR_END, CALENDAR_START
@@ -520,3 +522,52 @@ def q_gen_sales(spark, sf_dir):
               .select("car_idx", "car_id",
                       (F.col("total_parts_cost") * F.lit(2)).cast("decimal(12,2)").alias("base_price")))
     return G.gen_sales(ids, src.customers.count(), prices, g.dim_car.count())
+
+
+# ---- extensions (E1, E2) -----------------------------------------------------------------
+from torque.operators.history import scd2_merge  # noqa: E402
+from torque.streaming.cdc import latest_per_key  # noqa: E402
+
+SCD_LOAD1, SCD_LOAD2 = dt.date(2001, 1, 1), dt.date(2001, 6, 30)
+MOVED = " (moved)"
+TRACKED = ["address", "city", "province", "region"]
+
+
+O.cte("scd_l1", """
+select cast(row_number() over (order by customer_id) as bigint) as customer_key, * from cust_src""")
+
+
+@register("scd2_customer", f"""
+select customer_key, customer_id, customer_name, address, city, province, region,
+       date '{SCD_LOAD1}' as valid_from,
+       case when customer_id % 10 = 0 then date '{SCD_LOAD2 - dt.timedelta(days=1)}' end as valid_to,
+       customer_id % 10 <> 0 as is_current
+from scd_l1
+union all
+select cast((select max(customer_key) from scd_l1) + row_number() over (order by customer_id) as bigint),
+       customer_id, customer_name, address, city, province || '{MOVED}', 'Other',
+       date '{SCD_LOAD2}', cast(null as date), true
+from cust_src where customer_id % 10 = 0""")
+def q_scd2_customer(spark, sf_dir):
+    """Two loads of a type-2 customer history: every customer, then the same
+    customers with the province changed for every tenth id."""
+    _, cfg, silver = bound(spark, sf_dir)
+    load1 = dims.dim_customer_source(silver.customers, cfg.region_by_province)
+    moved = silver.customers.withColumn(
+        "province", F.when(F.col("customer_id") % 10 == 0, F.concat("province", F.lit(MOVED)))
+        .otherwise(F.col("province")))
+    load2 = dims.dim_customer_source(moved, cfg.region_by_province)
+    h1 = materialize(scd2_merge(None, load1, "customer_id", "customer_key", TRACKED, SCD_LOAD1, cfg.now))
+    h2 = scd2_merge(h1, load2, "customer_id", "customer_key", TRACKED, SCD_LOAD2, cfg.now)
+    return _no_ts(h2)
+
+
+@register("cdc_latest", """
+select event_id, ts, user_id, event_type, value, props from (
+  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) x
+where rn = 1""")
+def q_cdc_latest(spark, sf_dir):
+    """Latest change per key of a change feed (the events table: key user_id,
+    version order (ts, event_id))."""
+    events = read_test_table(spark, sf_dir, "events")
+    return latest_per_key(events, "user_id", ["ts", "event_id"])
