@@ -28,9 +28,12 @@ _POS_BITS = 33
 
 def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
                           start: int = 0, num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
+    # Without an explicit count the range exchange uses the shuffle-partition
+    # setting and AQE may coalesce adjacent ranges; ids are read from the
+    # exchange output inside the same materialising job, so either is exact.
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    ranged = (ranged
               .sortWithinPartitions(*order_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = materialize(ranged)
