@@ -8,9 +8,12 @@ Instead:
    (partition id << 33) + position;
 2. materialise that once (reliable checkpoint), so range sampling and ids
    are never recomputed differently by a later job or a retried task;
-3. count rows per partition (one row per partition), turn the counts into
-   running offsets and broadcast them (bounded by the partition count);
-4. key = start + offset(partition) + position + 1.
+3. one pass over the materialised rows (key column only, Arrow batches)
+   summarises each partition: row count, first and last key, adjacent equal
+   keys and NULL keys. Equal keys always land in the same range partition,
+   so this proves uniqueness without the extra shuffle of a GROUP BY;
+4. running offsets of the per-partition counts (one row per partition, a
+   bounded broadcast) give key = start + offset(partition) + position + 1.
 
 Keys are 1-step, start after ``start`` and follow the natural-key order, so
 they equal ``start + row_number() OVER (ORDER BY natural key)``.
@@ -18,7 +21,7 @@ they equal ``start + row_number() OVER (ORDER BY natural key)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from torque.operators.joins import materialize
@@ -26,25 +29,82 @@ from torque.operators.joins import materialize
 _POS_BITS = 33
 
 
+class DuplicateKeyError(ValueError):
+    pass
+
+
+def _summary_schema(key_type: str) -> str:
+    return (f"_pid long, _n long, _first {key_type}, _last {key_type}, "
+            "_dups long, _nulls long")
+
+
+def _summarize(batches):
+    """Per partition: count, first/last key, adjacent duplicates, NULLs."""
+    import pandas as pd
+    pid, n, first, last, dups, nulls = None, 0, None, None, 0, 0
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        if pid is None:
+            pid = int(pdf["_mid"].iloc[0]) >> _POS_BITS
+        n += len(pdf)
+        k = pdf["_k"]
+        nulls += int(k.isna().sum())
+        k = k.dropna()
+        if k.empty:
+            continue
+        if last is not None and k.iloc[0] == last:
+            dups += 1
+        dups += int((k.iloc[1:].to_numpy() == k.iloc[:-1].to_numpy()).sum())
+        if first is None:
+            first = k.iloc[0]
+        last = k.iloc[-1]
+    if pid is not None:
+        yield pd.DataFrame({"_pid": [pid], "_n": [n], "_first": [first], "_last": [last],
+                            "_dups": [dups], "_nulls": [nulls]})
+
+
 def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
-                          start: int = 0, num_partitions: int | None = None) -> DataFrame:
+                          start: int = 0, num_partitions: int | None = None,
+                          check_unique: bool = False) -> DataFrame:
+    """Add ``key_name`` = start + rank of ``order_cols`` (dense, 1-step).
+
+    ``check_unique`` (single order column): raise ``DuplicateKeyError`` when
+    the column is NULL or repeated, found in the same pass that counts rows.
+    """
+    spark = df.sparkSession
     # Without an explicit count the range exchange uses the shuffle-partition
     # setting and AQE may coalesce adjacent ranges; ids are read from the
     # exchange output inside the same materialising job, so either is exact.
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols))
-    ranged = (ranged
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = materialize(ranged)
+    ranged = materialize(ranged.sortWithinPartitions(*order_cols)
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+    key = order_cols[0]
+    key_type = ranged.schema[key].dataType.simpleString()
+    summary = (ranged.select(F.col(key).alias("_k"), "_mid")
+               .mapInPandas(_summarize, _summary_schema(key_type))
+               .orderBy("_pid").collect())           # one row per partition
+    if check_unique:
+        _check_unique(summary, key)
+    offsets, running = [], 0
+    for r in summary:
+        offsets.append((r["_pid"], running))
+        running += r["_n"]
+    off = spark.createDataFrame(offsets or [(0, 0)], "_pid long, _off long")
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    counts = (ranged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_n")).alias("_off"))
     keyed = (ranged.withColumn("_pid", part).withColumn("_pos", pos)
-             .join(F.broadcast(offsets), "_pid")
+             .join(F.broadcast(off), "_pid")
              .withColumn(key_name, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long")))
     return keyed.drop("_mid", "_pid", "_pos", "_off")
+
+
+def _check_unique(summary, key: str) -> None:
+    nulls = sum(r["_nulls"] for r in summary)
+    dups = sum(r["_dups"] for r in summary)
+    # equal keys share a range partition; still verify the ranges do not touch
+    bounds = [(r["_first"], r["_last"]) for r in summary if r["_first"] is not None]
+    touching = sum(1 for (_, a), (b, _) in zip(bounds, bounds[1:]) if not a < b)
+    if nulls or dups or touching:
+        raise DuplicateKeyError(f"{key}: {nulls} NULL keys, {dups + touching} repeated keys")

@@ -21,13 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from torque.operators.joins import materialize
+from torque.operators.keys import DuplicateKeyError as MergeKeyError
 from torque.operators.keys import assign_surrogate_keys
 
 
-class MergeKeyError(ValueError):
-    pass
-
-
 def check_source_keys(source: DataFrame, key: str) -> None:
     """Raise if ``key`` is NULL or repeated in ``source`` (one small job)."""
     bad = (source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -51,11 +48,15 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     # update join: compute it once (reliable checkpoint) so none of them
     # recomputes its lineage (for the fact: the as-of link and all joins).
     source = materialize(source)
-    if check:
-        check_source_keys(source, key)
     if target is None:
-        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions)
+        # G1 range-partitions and sorts by the key anyway: it proves the key
+        # unique and non-NULL in the same pass that counts rows (no GROUP BY
+        # shuffle of every key)
+        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions,
+                                      check_unique=check)
         return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
+    if check:
+        check_source_keys(source, key)
     start = start_key if start_key is not None else (target.agg(F.max(surrogate)).first()[0] or 0)
     src = source.withColumn("_matched", F.lit(True))
     t, s = target.alias("t"), src.alias("s")
