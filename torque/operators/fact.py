@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from torque.functions.dates import date_key
 from torque.functions.money import MARGIN_PCT, MONEY, round_div
-from torque.operators.asof import supplier_as_of
-from torque.operators.joins import broadcast_checked
+from torque.operators.asof import supplier_by_day
+from torque.operators.joins import broadcast_bounded, broadcast_checked
 from torque.operators.merge import merge_upsert
 from torque.operators.staging import bom_counts
 
@@ -37,14 +37,22 @@ def fact_source(stg_sales: DataFrame, stg_final_delivery: DataFrame, stg_parts_c
     Dimension sides are broadcast after a size check; above the limit they
     stay shuffle joins on the dimension key (AQE splits skewed keys).
     """
-    linked = supplier_as_of(stg_sales, stg_final_delivery)
+    # The supplier depends only on the sale day: resolve day -> supplier_key
+    # on the per-day table (one row per distinct date, domain-bounded) so the
+    # sales stream never joins the supplier dimension. The forward fill runs
+    # before the dimension join, so a winner missing from the dimension drops
+    # its sales, as the reference's inner join does.
+    sale_days = stg_sales.filter(F.col("sale_date").isNotNull()).select("sale_date").distinct()
+    per_day = supplier_by_day(stg_final_delivery, sale_days).select("day", "supplier_id")
+    day_key = (broadcast_bounded(per_day)
+               .join(dim_supplier.select("supplier_id", "supplier_key"), "supplier_id")
+               .select(F.col("day").alias("_day"), "supplier_key"))
     # dimensions arrive materialised (gold tables): count them in place
     car = broadcast_checked(dim_car.select("car_id", "car_key"), checkpoint=False)
     cust = broadcast_checked(dim_customer.select("customer_id", "customer_key"), checkpoint=False)
-    supp = broadcast_checked(dim_supplier.select("supplier_id", "supplier_key"), checkpoint=False)
     counts = broadcast_checked(bom_counts(stg_parts_car))
-    joined = (linked.join(car, "car_id").join(cust, "customer_id")
-              .join(supp, "supplier_id").join(counts, "car_id"))
+    joined = (stg_sales.join(broadcast_bounded(day_key), F.col("sale_date") == F.col("_day"))
+              .join(car, "car_id").join(cust, "customer_id").join(counts, "car_id"))
     return joined.select(
         "car_key", "customer_key", "supplier_key",
         date_key(F.col("sale_date")).alias("time_id"), "sale_id",

@@ -38,32 +38,6 @@ def _summary_schema(key_type: str) -> str:
             "_dups long, _nulls long")
 
 
-def _summarize(batches):
-    """Per partition: count, first/last key, adjacent duplicates, NULLs."""
-    import pandas as pd
-    pid, n, first, last, dups, nulls = None, 0, None, None, 0, 0
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        if pid is None:
-            pid = int(pdf["_mid"].iloc[0]) >> _POS_BITS
-        n += len(pdf)
-        k = pdf["_k"]
-        nulls += int(k.isna().sum())
-        k = k.dropna()
-        if k.empty:
-            continue
-        if last is not None and k.iloc[0] == last:
-            dups += 1
-        dups += int((k.iloc[1:].to_numpy() == k.iloc[:-1].to_numpy()).sum())
-        if first is None:
-            first = k.iloc[0]
-        last = k.iloc[-1]
-    if pid is not None:
-        yield pd.DataFrame({"_pid": [pid], "_n": [n], "_first": [first], "_last": [last],
-                            "_dups": [dups], "_nulls": [nulls]})
-
-
 def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
                           start: int = 0, num_partitions: int | None = None,
                           check_unique: bool = False) -> DataFrame:
@@ -73,6 +47,37 @@ def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
     the column is NULL or repeated, found in the same pass that counts rows.
     """
     spark = df.sparkSession
+    bits = _POS_BITS
+
+    def summarize(batches):
+        """Per partition: count, first/last key, adjacent duplicates, NULLs.
+
+        Defined here (a closure) so it is shipped to the workers by value and
+        needs no installed copy of this package on the executors.
+        """
+        import pandas as pd
+        pid, n, first, last, dups, nulls = None, 0, None, None, 0, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if pid is None:
+                pid = int(pdf["_mid"].iloc[0]) >> bits
+            n += len(pdf)
+            k = pdf["_k"]
+            nulls += int(k.isna().sum())
+            k = k.dropna()
+            if k.empty:
+                continue
+            if last is not None and k.iloc[0] == last:
+                dups += 1
+            dups += int((k.iloc[1:].to_numpy() == k.iloc[:-1].to_numpy()).sum())
+            if first is None:
+                first = k.iloc[0]
+            last = k.iloc[-1]
+        if pid is not None:
+            yield pd.DataFrame({"_pid": [pid], "_n": [n], "_first": [first], "_last": [last],
+                                "_dups": [dups], "_nulls": [nulls]})
+
     # Without an explicit count the range exchange uses the shuffle-partition
     # setting and AQE may coalesce adjacent ranges; ids are read from the
     # exchange output inside the same materialising job, so either is exact.
@@ -83,7 +88,7 @@ def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
     key = order_cols[0]
     key_type = ranged.schema[key].dataType.simpleString()
     summary = (ranged.select(F.col(key).alias("_k"), "_mid")
-               .mapInPandas(_summarize, _summary_schema(key_type))
+               .mapInPandas(summarize, _summary_schema(key_type))
                .orderBy("_pid").collect())           # one row per partition
     if check_unique:
         _check_unique(summary, key)
