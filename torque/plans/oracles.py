@@ -141,7 +141,9 @@ select cast(year(d) * 10000 + month(d) * 100 + day(d) as integer) as time_id, ca
        cast(week(d) as integer) as week_of_year, cast(day(d) as integer) as day_of_month,
        cast(dayofweek(d) as integer) as day_of_week, strftime(d, '%A') as day_name,
        dayofweek(d) in (0, 6) as is_weekend
-from (select unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as d) s""")
+from (select unnest(generate_series(make_date(year(min(sale_date)), 1, 1),
+                                    make_date(year(max(sale_date)), 12, 31), interval 1 day)) as d
+      from src_sales) s""")
 cte("region_map", """
 select n_name as province, r_name as region from nation join region on n_regionkey = r_regionkey
 where r_name in ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')""")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from torque.operators import dims, staging
-from torque.operators.calendar import dim_time
+from torque.operators.calendar import dim_time, dim_time_spanning
 from torque.operators.fact import fact_source, load_fact
 from torque.operators.joins import materialize
 from torque.session import ensure_checkpoint_dir
@@ -74,8 +74,13 @@ def _persist(df: DataFrame, name: str, store) -> DataFrame:
 
 def load_gold(spark: SparkSession, silver: Silver, cfg: ModelConfig,
               current: Gold | None = None, now: dt.datetime | None = None,
-              store=None) -> Gold:
-    """MERGE every dimension, then the fact, into ``current`` (None = empty)."""
+              store=None, sales_dates: DataFrame | None = None) -> Gold:
+    """MERGE every dimension, then the fact, into ``current`` (None = empty).
+
+    Without configured calendar bounds the calendar spans the years of
+    ``sales_dates.sale_date`` (default: the staged sales).
+    """
+    sales_dates = sales_dates if sales_dates is not None else silver.sales
     now = now or cfg.now
     cur = current.as_dict() if current else {}
 
@@ -85,7 +90,11 @@ def load_gold(spark: SparkSession, silver: Silver, cfg: ModelConfig,
     def calendar():
         cal = cur.get("dim_time")
         if cal is None:
-            cal = _persist(dim_time(spark, cfg.calendar_start, cfg.calendar_end), "dim_time", store)
+            if cfg.calendar_start is None:
+                spine = dim_time_spanning(sales_dates, "sale_date")
+            else:
+                spine = dim_time(spark, cfg.calendar_start, cfg.calendar_end)
+            cal = _persist(spine, "dim_time", store)
         return cal
 
     # the calendar and the four dimensions are independent: their jobs are
@@ -160,7 +169,7 @@ def gold_for(spark: SparkSession, sf_dir: str) -> Gold:
     if key not in _MEMO:
         src, cfg, silver = bound(spark, sf_dir)
         store = _MEMO[("store",) + _memo_key(spark, sf_dir)]
-        _MEMO[key] = load_gold(spark, silver, cfg, store=store)
+        _MEMO[key] = load_gold(spark, silver, cfg, store=store, sales_dates=src.sales)
     return _MEMO[key]
 
 

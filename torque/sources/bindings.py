@@ -31,8 +31,7 @@ SEGMENT_BY_MODEL = {
 }
 # Region names kept as customer regions; nations of any other region -> 'Other'.
 KEPT_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
-CALENDAR_START = dt.date(1995, 1, 1)
-CALENDAR_END = dt.date(2001, 12, 31)
+# calendar: the whole years spanned by the sales (1995-01-01 .. 2001-12-31 here)
 AS_OF = dt.date(2001, 6, 30)           # QC-04 "current date"
 NOW = dt.datetime(2001, 6, 30, 12, 0)  # load_ts of bound loads
 BOM_PARTS_PER_CAR = 12
@@ -62,8 +61,8 @@ class ModelConfig:
     """Parameters of the model: CASE lists, calendar range, clock values."""
     segment_by_model: dict[str, list[str]] | DataFrame
     region_by_province: dict[str, list[str]] | DataFrame
-    calendar_start: dt.date
-    calendar_end: dt.date
+    calendar_start: dt.date | None       # None: span the years of the sales dates
+    calendar_end: dt.date | None
     as_of: dt.date
     now: dt.datetime
     extra: dict = field(default_factory=dict)
@@ -169,5 +168,5 @@ def bind_config(spark: SparkSession, sf_dir: str) -> ModelConfig:
                   .filter(F.col("r_name").isin(*KEPT_REGIONS))
                   .select(F.col("n_name").alias("province"), F.col("r_name").alias("region")))
     return ModelConfig(segment_by_model=SEGMENT_BY_MODEL, region_by_province=region_map,
-                       calendar_start=CALENDAR_START, calendar_end=CALENDAR_END,
+                       calendar_start=None, calendar_end=None,
                        as_of=AS_OF, now=NOW)
