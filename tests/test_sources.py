@@ -48,3 +48,19 @@ def test_init_tables(spark, store):
     for name, schema in GOLD.items():
         t = store.read(name)
         assert t.count() == 0 and [f.name for f in t.schema] == [f.name for f in schema]
+
+
+def test_run_pipeline_end_to_end(spark, store, clean, cfg):
+    import pytest
+    from torque.operators.quality import QualityGateError
+    from torque.plans.pipeline import run
+    from torque.sources.sinks import read_source
+    with pytest.raises(QualityGateError):          # the fixture has QC failures
+        run(spark, clean, cfg, store)
+    gold, failed = run(spark, clean, cfg, store, warn_only=True)
+    assert failed and gold.fact_sales.count() == 6
+    assert read_source(store, "sales").count() == 10
+    # a second run MERGEs into the first: keys stay, no duplicates
+    gold2, _ = run(spark, clean, cfg, store, current=gold, warn_only=True)
+    assert gold2.fact_sales.count() == 6
+    assert sorted(r.sale_key for r in gold2.fact_sales.collect()) == [1, 2, 3, 4, 5, 6]

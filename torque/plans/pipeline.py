@@ -181,3 +181,17 @@ def forget(spark: SparkSession | None = None) -> None:
     app = spark.sparkContext.applicationId
     for k in [k for k in _MEMO if k[1] == app]:
         del _MEMO[k]
+
+
+def run(spark: SparkSession, sources: Sources, cfg: ModelConfig, store: SnapshotStore,
+        current: Gold | None = None, warn_only: bool = False) -> tuple[Gold, list]:
+    """The whole batch in the reference's order: load the sources (bronze),
+    run the quality gate (raises on failures unless ``warn_only``), then the
+    silver views and the gold MERGEs. Returns the gold tables and the failed
+    checks (at most fifteen rows)."""
+    from torque.operators.quality import run_quality_gate
+    bronze = load_bronze(spark, sources, store)
+    failed = run_quality_gate(bronze.as_dict(), cfg.as_of, warn_only=warn_only)
+    gold = load_gold(spark, build_silver(bronze), cfg, current=current, store=store,
+                     sales_dates=bronze.sales)
+    return gold, failed

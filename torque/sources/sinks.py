@@ -70,6 +70,12 @@ class SnapshotStore:
         return None if self.latest(table) is None else self.read(table)
 
 
+def read_source(store: SnapshotStore, table: str) -> DataFrame:
+    """S1 — typed scan of a loaded source role: declared columns and types
+    (explicit casts, never inference); pruning and pushdown reach Parquet."""
+    return conform(store.read(table), SOURCE[table])
+
+
 def load_truncate_insert(store: SnapshotStore, table: str, df: DataFrame,
                          schema: StructType | None = None) -> int:
     """S2 — replace ``table``'s content with ``df`` mapped by column name.
