@@ -66,5 +66,9 @@ def dim_car_source(stg_cars: DataFrame, stg_parts_car: DataFrame, segment_by_mod
 
 def load_dim(target: DataFrame | None, source: DataFrame, key: str, surrogate: str,
              now: dt.datetime) -> DataFrame:
-    """MERGE a dimension source into its current table (None = empty)."""
-    return merge_upsert(target, source, key, surrogate, now)
+    """MERGE a dimension source into its current table (None = empty).
+
+    Dimension sources are scans of the bronze tables plus column
+    expressions, cheap to re-read, so they are not checkpointed first.
+    """
+    return merge_upsert(target, source, key, surrogate, now, materialize_source=False)

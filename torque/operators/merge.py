@@ -35,7 +35,8 @@ def check_source_keys(source: DataFrame, key: str) -> None:
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogate: str,
                  now: dt.datetime, check: bool = True,
-                 num_partitions: int | None = None, start_key: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, start_key: int | None = None,
+                 materialize_source: bool = True) -> DataFrame:
     """Return ``target`` after ``MERGE ... USING source ON key``.
 
     ``target`` columns: surrogate, key, the source's other columns, load_ts.
@@ -47,7 +48,8 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     # The source feeds the key check, range sampling, the anti join and the
     # update join: compute it once (reliable checkpoint) so none of them
     # recomputes its lineage (for the fact: the as-of link and all joins).
-    source = materialize(source)
+    if materialize_source:
+        source = materialize(source)
     if target is None:
         # G1 range-partitions and sorts by the key anyway: it proves the key
         # unique and non-NULL in the same pass that counts rows (no GROUP BY
