@@ -570,3 +570,28 @@ def q_cdc_latest(spark, sf_dir):
     version order (ts, event_id))."""
     events = read_test_table(spark, sf_dir, "events")
     return latest_per_key(events, "user_id", ["ts", "event_id"])
+
+
+@register("cdc_stream_merge", """
+select cast(row_number() over (order by user_id) as bigint) as user_key, user_id, event_id, ts,
+       event_type, value, props
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+      from events) x
+where rn = 1""")
+def q_cdc_stream_merge(spark, sf_dir):
+    """E2 end to end: the events table read as a change feed with Structured
+    Streaming (availableNow), each micro-batch deduplicated to the latest
+    version per user and MERGEd into a snapshot table with surrogate keys."""
+    import uuid
+    from torque.plans.pipeline import warehouse_root
+    from torque.session import ensure_checkpoint_dir
+    from torque.sources.sinks import SnapshotStore
+    from torque.streaming.cdc import file_stream_path, run_change_feed
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    store = SnapshotStore(spark, warehouse_root(spark))
+    ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    from torque.sources.bindings import NOW
+    run_change_feed(spark, file_stream_path(path), schema, store, "user_latest", "user_id",
+                    ["ts", "event_id"], "user_key", ckpt, now=NOW)
+    return _no_ts(store.read("user_latest"))
