@@ -101,3 +101,25 @@ def test_margin_alert_needs_three_adjacent_falling_months(spark):
     alerts = insights.model_margin_alert(fact, cars, cal).collect()
     assert [(a.brand_model, a.start_month, a.end_month, a.months) for a in alerts] == \
         [("A x", "2023-02", "2023-05", 4)]
+
+
+def test_results_invariant_under_partitioning(spark, gold, clean):
+    def snapshot():
+        f = gold.fact_sales.repartition(5)
+        return (rows_of(reports.rpt_revenue_by_brand(f, gold.dim_car, gold.dim_time),
+                        "year", "quarter_name", "brand", "total_revenue", "avg_margin_pct"),
+                rows_of(reports.rpt_monthly_trend(f, gold.dim_time), "year_month",
+                        "mom_revenue_growth_pct"),
+                rows_of(reports.rpt_parts_cost_by_segment(f, gold.dim_car, gold.dim_part,
+                                                          clean.parts_car),
+                        "segment", "category_name", "pct_of_segment_cost"))
+    before = snapshot()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = snapshot()
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        many = snapshot()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert before == one == many
