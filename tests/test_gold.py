@@ -135,3 +135,31 @@ def test_fact_plan_has_no_nested_loops(gold, clean, cfg):
     plan = plan_of(src)
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_shuffle_join_fallback_gives_same_gold(spark, clean, cfg, gold):
+    """Beyond the broadcast limits every data-sized join becomes a shuffle
+    join; the gold tables must not change."""
+    from torque.plans.pipeline import build_silver, load_gold
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "torque.broadcast.maxRows": "1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        shuffled = load_gold(spark, build_silver(clean), cfg)
+        plan = plan_of(shuffled.fact_sales) + plan_of(
+            fact_source(build_silver(clean).sales, build_silver(clean).final_delivery,
+                        clean.parts_car, shuffled.dim_car, shuffled.dim_customer,
+                        shuffled.dim_supplier))
+        cols = ["sale_key", "sale_id", "car_key", "customer_key", "supplier_key", "time_id",
+                "gross_margin_pct"]
+        assert rows_of(shuffled.fact_sales, *cols) == rows_of(gold.fact_sales, *cols)
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

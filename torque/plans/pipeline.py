@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -126,6 +127,7 @@ def load_gold(spark: SparkSession, silver: Silver, cfg: ModelConfig,
 
 # ---- per-session memo of the bound warehouse ---------------------------------
 _MEMO: dict = {}
+_LOCK = threading.RLock()   # concurrent callers build a binding once
 
 
 def _memo_key(spark: SparkSession, sf_dir: str):
@@ -154,6 +156,11 @@ def bound(spark: SparkSession, sf_dir: str):
     downstream scans those Parquet tables.
     """
     key = ("bound",) + _memo_key(spark, sf_dir)
+    with _LOCK:
+        return _bound_locked(spark, sf_dir, key)
+
+
+def _bound_locked(spark: SparkSession, sf_dir: str, key):
     if key not in _MEMO:
         store = SnapshotStore(spark, warehouse_root(spark))
         src = load_bronze(spark, bind_sources(spark, sf_dir), store)
@@ -166,6 +173,11 @@ def bound(spark: SparkSession, sf_dir: str):
 def gold_for(spark: SparkSession, sf_dir: str) -> Gold:
     """The gold layer of a test-data folder, built once per session."""
     key = ("gold",) + _memo_key(spark, sf_dir)
+    with _LOCK:
+        return _gold_locked(spark, sf_dir, key)
+
+
+def _gold_locked(spark: SparkSession, sf_dir: str, key) -> Gold:
     if key not in _MEMO:
         src, cfg, silver = bound(spark, sf_dir)
         store = _MEMO[("store",) + _memo_key(spark, sf_dir)]
