@@ -29,17 +29,20 @@ from torque.operators.joins import broadcast_bounded
 
 def supplier_by_day(deliveries: DataFrame, sale_days: DataFrame) -> DataFrame:
     """(day, supplier_id, delivery_date, delivery_id) of the latest delivery <= day."""
+    # two fixed-width aggregates (long, long) keep this a partial + final
+    # hash aggregate; a struct-valued max_by would force a sort aggregate
     winners = (deliveries.filter(F.col("delivery_date").isNotNull())
                .groupBy(F.col("delivery_date").alias("day"))
-               .agg(F.max_by(F.struct("supplier_id", "delivery_id"), "delivery_id").alias("w")))
+               .agg(F.max_by("supplier_id", "delivery_id").alias("w_supplier"),
+                    F.max("delivery_id").alias("w_delivery")))
     days = winners.join(sale_days.select(F.col("sale_date").alias("day")), "day", "full_outer")
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = days.select(
         "day",
-        F.last(F.when(F.col("w").isNotNull(),
-                      F.struct(F.col("w.supplier_id").alias("supplier_id"),
+        F.last(F.when(F.col("w_delivery").isNotNull(),
+                      F.struct(F.col("w_supplier").alias("supplier_id"),
                                F.col("day").alias("delivery_date"),
-                               F.col("w.delivery_id").alias("delivery_id"))),
+                               F.col("w_delivery").alias("delivery_id"))),
                ignorenulls=True).over(running).alias("link"))
     return (filled.filter(F.col("link").isNotNull())
             .select("day", "link.supplier_id", "link.delivery_date", "link.delivery_id"))

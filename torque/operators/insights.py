@@ -53,9 +53,19 @@ def model_margin_alert(fact: DataFrame, dim_car: DataFrame, dim_time: DataFrame,
     w = Window.partitionBy("brand_model").orderBy("_m")
     runs = (neg.withColumn("_island", F.col("_m") - F.row_number().over(w))
             .groupBy("brand_model", "_island")
-            .agg(F.min("year_month").alias("start_month"), F.max("year_month").alias("end_month"),
+            .agg(F.min("_m").alias("_start"), F.max("_m").alias("_end"),
                  F.count(F.lit(1)).alias("months")))
-    return runs.filter(F.col("months") >= min_months).drop("_island")
+    return (runs.filter(F.col("months") >= min_months)
+            .select("brand_model", _label(F.col("_start")).alias("start_month"),
+                    _label(F.col("_end")).alias("end_month"), "months"))
+
+
+def _label(m):
+    """'YYYY-MM' of a month index year * 12 + month (integer aggregates stay
+    hash aggregates; strings would force a sort aggregate)."""
+    year = F.floor((m - 1) / 12).cast("int")
+    month = (m - year * 12).cast("int")
+    return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
 
 
 def top_models(profitability: DataFrame, k: int = 3) -> DataFrame:
