@@ -25,9 +25,6 @@ from torque.operators.joins import materialize
 from torque.operators.keys import assign_surrogate_keys
 from torque.operators.merge import check_source_keys, merge_upsert
 
-HISTORY_COLS = ["valid_from", "valid_to", "is_current"]
-
-
 def _same(a: str, b: str, cols: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols],
                   F.lit(True))

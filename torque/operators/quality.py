@@ -46,9 +46,6 @@ QC05_DUPLICATES = [
 QC06_DESCRIPTION = "Sale price below parts cost (potential data error)"
 # -------------------------------------------------------------------------------
 
-RESULT_COLS = ["check_id", "description", "failures"]
-
-
 def _rows(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
     """One aggregate over ``df`` -> one (check_id, description, failures) row per check."""
     agg = df.agg(*[expr.cast("long").alias(f"_c{i}") for i, (_, _, expr) in enumerate(checks)])

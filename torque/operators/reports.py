@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from torque.functions.money import MONEY_SUM, RATIO2, WIDE_MONEY, avg_round, round_div
+from torque.operators.calendar import calendar_months
 from torque.operators.joins import broadcast_bounded, planner_sized as _dim
 
 
@@ -158,7 +159,7 @@ def rpt_monthly_trend_filled(fact: DataFrame, dim_time: DataFrame,
                              ordered: bool = False) -> DataFrame:
     """R5b — R5 over every calendar month: empty months show 0 sales and
     revenue, NULL average, and growth after an empty month is NULL."""
-    months = dim_time.select("year", "month", "month_short").distinct()
+    months = calendar_months(dim_time)
     agg = _monthly(fact, dim_time).drop("month_short")
     filled = (months.join(broadcast_bounded(agg), ["year", "month"], "left")
               .select("year", "month", "month_short",
