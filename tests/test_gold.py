@@ -163,3 +163,21 @@ def test_shuffle_join_fallback_gives_same_gold(spark, clean, cfg, gold):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_range_partitions_follow_row_count(spark):
+    from torque.operators.keys import _range_partitions
+    old = spark.conf.get("torque.keys.rowsPerPartition", None)
+    try:
+        spark.conf.set("torque.keys.rowsPerPartition", "100")
+        df = spark.range(0, 5000).select(F.col("id").alias("nk"))
+        assert _range_partitions(spark, df, None) == 50          # 5000 rows / 100
+        assert _range_partitions(spark, df, 150) is None         # small: session default
+        got = assign_surrogate_keys(df, "k", ["nk"])
+        assert got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first() == (1, 5000, 5000)
+        assert rows_of(got.filter("nk in (0, 4999)"), "nk", "k") == [(0, 1), (4999, 5000)]
+    finally:
+        if old is None:
+            spark.conf.unset("torque.keys.rowsPerPartition")
+        else:
+            spark.conf.set("torque.keys.rowsPerPartition", old)

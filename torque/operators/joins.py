@@ -16,7 +16,7 @@ Three kinds of small side exist in this model:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from torque.session import ensure_checkpoint_dir
@@ -42,6 +42,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize`` plus the row count, observed during the same job."""
+    obs = Observation()
+    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return out, int(obs.get["rows"])
+
+
 def broadcast_checked(df: DataFrame, max_rows: int | None = None,
                       checkpoint: bool = True) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.

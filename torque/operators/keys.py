@@ -40,13 +40,18 @@ def _summary_schema(key_type: str) -> str:
 
 def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
                           start: int = 0, num_partitions: int | None = None,
-                          check_unique: bool = False) -> DataFrame:
+                          check_unique: bool = False, rows: int | None = None) -> DataFrame:
     """Add ``key_name`` = start + rank of ``order_cols`` (dense, 1-step).
 
     ``check_unique`` (single order column): raise ``DuplicateKeyError`` when
     the column is NULL or repeated, found in the same pass that counts rows.
+    ``rows``: the input's row count when already known (else one count job);
+    it sizes the range partitions, since AQE can merge small range
+    partitions but never splits a large one.
     """
     spark = df.sparkSession
+    if num_partitions is None:
+        num_partitions = _range_partitions(spark, df, rows)
     bits = _POS_BITS
 
     def summarize(batches):
@@ -105,6 +110,16 @@ def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
     return keyed.drop("_mid", "_pid", "_pos", "_off")
 
 
+def _range_partitions(spark, df: DataFrame, rows: int | None) -> int | None:
+    """At most ``torque.keys.rowsPerPartition`` rows (default 4M) per range
+    partition; below ``shuffle.partitions`` of those, leave the count to the
+    session (and AQE coalescing)."""
+    per = int(spark.conf.get("torque.keys.rowsPerPartition", None) or 4_000_000)
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.count() if rows is None else rows
+    return -(-rows // per) if rows > per * default else None
+
+
 def _check_unique(summary, key: str) -> None:
     nulls = sum(r["_nulls"] for r in summary)
     dups = sum(r["_dups"] for r in summary)

@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize
+from torque.operators.joins import materialize_counted
 from torque.operators.keys import DuplicateKeyError as MergeKeyError
 from torque.operators.keys import assign_surrogate_keys
 
@@ -48,14 +48,15 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     # The source feeds the key check, range sampling, the anti join and the
     # update join: compute it once (reliable checkpoint) so none of them
     # recomputes its lineage (for the fact: the as-of link and all joins).
+    rows = None
     if materialize_source:
-        source = materialize(source)
+        source, rows = materialize_counted(source)
     if target is None:
         # G1 range-partitions and sorts by the key anyway: it proves the key
         # unique and non-NULL in the same pass that counts rows (no GROUP BY
         # shuffle of every key)
         keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions,
-                                      check_unique=check)
+                                      check_unique=check, rows=rows)
         return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
     if check:
         check_source_keys(source, key)
