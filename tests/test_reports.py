@@ -123,3 +123,24 @@ def test_results_invariant_under_partitioning(spark, gold, clean):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert before == one == many
+
+
+def test_ordered_reports_follow_view_order(gold, clean):
+    f, c, t = gold.fact_sales, gold.dim_car, gold.dim_time
+
+    def keys(df, *cols):
+        return [tuple(r[k] for k in cols) for r in df.collect()]
+
+    r1 = keys(reports.rpt_revenue_by_brand(f, c, t, ordered=True), "year", "quarter_name", "total_revenue")
+    assert r1 == sorted(r1, key=lambda x: (x[0], x[1], -x[2]))
+    r3 = [r.avg_margin_pct for r in reports.rpt_model_profitability(f, c, ordered=True).collect()]
+    assert r3[:-1] == sorted(r3[:-1], reverse=True) and r3[-1] is None      # NULLs last
+    r5 = keys(reports.rpt_monthly_trend(f, t, ordered=True), "year", "month")
+    assert r5 == sorted(r5)
+    r6 = keys(reports.rpt_parts_cost_by_segment(f, c, gold.dim_part, clean.parts_car, ordered=True),
+              "segment", "estimated_category_cost")
+    assert r6 == sorted(r6, key=lambda x: (x[0], -x[1]))
+    # R2 sorts by the month number, which it does not output
+    r2 = [r.month_name for r in reports.rpt_sales_by_region(f, gold.dim_customer, t, ordered=True).collect()]
+    months = ["January", "February", "March", "April", "May", "June"]
+    assert r2 == sorted(r2, key=months.index) and r2 == ["January", "February", "April", "June"]

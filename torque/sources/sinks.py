@@ -91,7 +91,7 @@ def load_truncate_insert(store: SnapshotStore, table: str, df: DataFrame,
 
 
 def load_sources(store: SnapshotStore, frames: dict[str, DataFrame],
-                 parallelism: int = 4) -> dict[str, int]:
+                 parallelism: int = 9) -> dict[str, int]:
     """Load the source roles; returns table -> rows loaded.
 
     Tables are independent snapshots (no enforced FKs), so their load jobs
