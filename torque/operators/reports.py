@@ -105,14 +105,23 @@ def rpt_supplier_performance(fact: DataFrame, dim_supplier: DataFrame, dim_time:
     sharing both merge into one row.
     """
     supp = _dim(dim_supplier.select("supplier_key", "supplier_name",
-                                                 F.col("city").alias("supplier_city")))
-    out = (fact.join(supp, "supplier_key")
+                                    F.col("city").alias("supplier_city")))
+    # Eager aggregation: a fact row's supplier is the winner of its sale day,
+    # so (supplier_key, time_id) has at most one value per day. Counting and
+    # summing per pair first (partial aggregates, exact: sums are
+    # associative) shrinks the fact to that many rows before it meets the
+    # supplier dimension, which is large at scale and would otherwise force a
+    # shuffle of the whole fact.
+    per_day = (fact.groupBy("supplier_key", "time_id")
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum("total_parts_cost").alias("_cost"),
+                    F.sum("sale_price").alias("_price")))
+    out = (per_day.join(supp, "supplier_key")
            .join(_time(dim_time, "year", "quarter_name"), "time_id")
            .groupBy("supplier_name", "supplier_city", "year", "quarter_name")
-           .agg(_sales_count().alias("sales_linked"),
-                _sum_money("total_parts_cost").alias("parts_value_supplied"),
-                _sum_money("sale_price").alias("revenue_enabled"),
-                round_div(F.sum("total_parts_cost"), F.sum("sale_price"), num_scale=2,
+           .agg(F.sum("_n").cast("long").alias("sales_linked"),
+                F.sum("_cost").cast(MONEY_SUM).alias("parts_value_supplied"),
+                F.sum("_price").cast(MONEY_SUM).alias("revenue_enabled"),
+                round_div(F.sum("_cost"), F.sum("_price"), num_scale=2,
                           den_scale=2, out_scale=2, factor=100).alias("cost_to_revenue_pct")))
     if ordered:
         out = out.orderBy("year", "quarter_name", F.desc_nulls_last("parts_value_supplied"))
