@@ -27,7 +27,9 @@ NOTES = {
                    "broadcast sides here (customers would be the one shuffle join beyond the limit)",
     "rpt_revenue_by_brand": "report: pruned fact scan, two broadcast joins, partial aggregate in one codegen stage",
     "rpt_parts_cost_by_segment": "segment report: two small aggregates joined on segment, no sale x part pairs",
-    "qc_report": "quality report: one aggregate per table, anti joins for orphans",
+    "rpt_supplier_performance": "supplier report: fact aggregated per (supplier_key, day) before the "
+                                "supplier dimension join",
+    "qc_report": "quality report: one aggregate per table; orphan checks count per key value, then anti join",
     "model_margin_alert": "falling-margin runs: windows partitioned by model over monthly aggregates",
 }
 
@@ -54,6 +56,7 @@ def main() -> None:
                                    g.dim_car, g.dim_customer, g.dim_supplier),
         "rpt_revenue_by_brand": reports.rpt_revenue_by_brand(g.fact_sales, g.dim_car, g.dim_time),
         "rpt_parts_cost_by_segment": QUERIES["rpt_parts_cost_by_segment"](spark, sf),
+        "rpt_supplier_performance": QUERIES["rpt_supplier_performance"](spark, sf),
         "qc_report": QUERIES["qc_report"](spark, sf),
         "model_margin_alert": QUERIES["model_margin_alert"](spark, sf),
     }
