@@ -48,10 +48,13 @@ def supplier_by_day(deliveries: DataFrame, sale_days: DataFrame) -> DataFrame:
             .select("day", "link.supplier_id", "link.delivery_date", "link.delivery_id"))
 
 
-def supplier_as_of(sales: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """``sales`` + supplier_id of the latest delivery with date <= sale_date."""
+def supplier_as_of(sales: DataFrame, deliveries: DataFrame,
+                   with_delivery: bool = False) -> DataFrame:
+    """``sales`` + supplier_id of the latest delivery with date <= sale_date
+    (+ that delivery's date and id with ``with_delivery``)."""
     sale_days = (sales.filter(F.col("sale_date").isNotNull())
                  .select("sale_date").distinct())
+    extra = ["delivery_date", "delivery_id"] if with_delivery else []
     per_day = broadcast_bounded(supplier_by_day(deliveries, sale_days)
-                                .select(F.col("day").alias("_day"), "supplier_id"))
-    return (sales.join(per_day, sales["sale_date"] == per_day["_day"]).drop("_day"))
+                                .select(F.col("day").alias("_day"), "supplier_id", *extra))
+    return sales.join(per_day, sales["sale_date"] == per_day["_day"]).drop("_day")

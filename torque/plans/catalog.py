@@ -81,11 +81,9 @@ for _key in ["dim_customer", "dim_supplier", "dim_part", "dim_car", "fact_sales"
 
 @register("supplier_as_of", "select * from supplier_per_sale")
 def q_supplier_as_of(spark, sf_dir):
-    from torque.operators.asof import supplier_by_day
+    from torque.operators.asof import supplier_as_of
     _, _, silver = bound(spark, sf_dir)
-    days = silver.sales.filter(F.col("sale_date").isNotNull()).select("sale_date").distinct()
-    per_day = supplier_by_day(silver.final_delivery, days)
-    return (silver.sales.join(F.broadcast(per_day), silver.sales["sale_date"] == per_day["day"])
+    return (supplier_as_of(silver.sales, silver.final_delivery, with_delivery=True)
             .select("sale_id", "supplier_id", "delivery_date"))
 
 
