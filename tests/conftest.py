@@ -41,7 +41,7 @@ def cfg():
 
 @pytest.fixture(scope="session")
 def gold(spark, clean, cfg):
-    from torque.plans.pipeline import build_silver, load_gold
+    from torque.plans.warehouse import build_silver, load_gold
     return load_gold(spark, build_silver(clean), cfg)
 
 

@@ -128,7 +128,7 @@ def test_fact_margin_overflow_raises(spark, clean):
 
 
 def test_fact_plan_has_no_nested_loops(gold, clean, cfg):
-    from torque.plans.pipeline import build_silver
+    from torque.plans.warehouse import build_silver
     silver = build_silver(clean)
     src = fact_source(silver.sales, silver.final_delivery, silver.parts_car, gold.dim_car,
                       gold.dim_customer, gold.dim_supplier)
@@ -140,7 +140,7 @@ def test_fact_plan_has_no_nested_loops(gold, clean, cfg):
 def test_shuffle_join_fallback_gives_same_gold(spark, clean, cfg, gold):
     """Beyond the broadcast limits every data-sized join becomes a shuffle
     join; the gold tables must not change."""
-    from torque.plans.pipeline import build_silver, load_gold
+    from torque.plans.warehouse import build_silver, load_gold
     keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "torque.broadcast.maxRows": "1"}

@@ -50,10 +50,10 @@ def test_init_tables(spark, store):
         assert t.count() == 0 and [f.name for f in t.schema] == [f.name for f in schema]
 
 
-def test_run_pipeline_end_to_end(spark, store, clean, cfg):
+def test_run_end_to_end(spark, store, clean, cfg):
     import pytest
     from torque.operators.quality import QualityGateError
-    from torque.plans.pipeline import run
+    from torque.plans.warehouse import run
     from torque.sources.sinks import read_source
     with pytest.raises(QualityGateError):          # the fixture has QC failures
         run(spark, clean, cfg, store)

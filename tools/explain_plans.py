@@ -18,7 +18,7 @@ sys.path.insert(0, ROOT)
 from torque.operators import reports  # noqa: E402
 from torque.operators.fact import fact_source  # noqa: E402
 from torque.plans.catalog import QUERIES  # noqa: E402
-from torque.plans.pipeline import bound, gold_for  # noqa: E402
+from torque.plans.warehouse import bound, gold_for  # noqa: E402
 from torque.session import get_session  # noqa: E402
 
 NOTES = {

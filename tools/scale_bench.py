@@ -24,7 +24,7 @@ from torque.config import default_config  # noqa: E402
 from torque.functions.hashing import pick, uniform_int  # noqa: E402
 from torque.operators import reports  # noqa: E402
 from torque.operators.asof import supplier_as_of  # noqa: E402
-from torque.plans.pipeline import build_silver, load_bronze, load_gold  # noqa: E402
+from torque.plans.warehouse import build_silver, load_bronze, load_gold  # noqa: E402
 from torque.schemas import SOURCE, conform  # noqa: E402
 from torque.session import get_session  # noqa: E402
 from torque.sources import generators as G  # noqa: E402

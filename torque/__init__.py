@@ -7,7 +7,7 @@ so Catalyst sees whole plans):
 * ``torque.operators`` quality checks, staging, calendar, keys, merge, dims,
                        as-of link, fact, reports, insights, history
 * ``torque.functions`` column-expression helpers (exact decimal rounding, dates)
-* ``torque.plans``     end-to-end pipeline and the query catalogue
+* ``torque.plans``     the warehouse build (bronze -> silver -> gold) and the query catalogue
 * ``torque.streaming`` change-driven loads with Structured Streaming
 """
 

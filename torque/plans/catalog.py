@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from torque.operators import reports, staging
 from torque.plans import oracles as O
-from torque.plans.pipeline import bound, gold_for
+from torque.plans.warehouse import bound, gold_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -579,7 +579,7 @@ def q_cdc_stream_merge(spark, sf_dir):
     Streaming (availableNow), each micro-batch deduplicated to the latest
     version per user and MERGEd into a snapshot table with surrogate keys."""
     import uuid
-    from torque.plans.pipeline import warehouse_root
+    from torque.plans.warehouse import warehouse_root
     from torque.session import ensure_checkpoint_dir
     from torque.sources.sinks import SnapshotStore
     from torque.streaming.cdc import file_stream_path, run_change_feed

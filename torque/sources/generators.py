@@ -41,7 +41,7 @@ PLACES = [("Barcelona", "Barcelona"), ("Girona", "Girona"), ("Madrid", "Madrid")
 # Own vocabularies for person and street names (stand-ins for a fake-data library).
 STREETS = ["Calle Mayor", "Avenida del Puerto", "Calle del Sol", "Paseo de la Ribera",
            "Calle Nueva", "Avenida de la Estacion", "Calle del Mar", "Plaza Central"]
-FIRST_NAMES = ["Ana", "Luis", "Marta", "Jordi", "Lucia", "Pablo", "Elena", "Sergio", "Nuria",
+FIRST_NAMES = ["Ana", "Luis", "Marta", "Jordi", "Lucia", "Pablo", "Elena", "Diego", "Nuria",
                "Javier", "Carmen", "Pau"]
 LAST_NAMES = ["Garcia", "Martinez", "Lopez", "Sanchez", "Puig", "Ferrer", "Romero", "Navarro",
               "Vidal", "Torres"]
