@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from torque.functions.money import MONEY, UNIT_PRICE
+from torque.operators.keys import assign_surrogate_keys
 from torque.schemas import SOURCE, conform
 
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -98,11 +99,12 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
                          F.col("n_name").alias("province")))
 
     part = t["part"]
-    # Category vocabulary: second word of the part name. The distinct set is a
-    # word list, so numbering it in one ordered window is a bounded task.
-    category = (part.select(_word("p_name", 2).alias("category_name")).distinct()
-                .select(F.row_number().over(Window.orderBy("category_name"))
-                        .cast("long").alias("category_id"), "category_name"))
+    # Category vocabulary: second word of the part name, numbered in name
+    # order. Dense numbering uses the distributed key assignment (G1), not a
+    # single-task ORDER BY window, whatever the vocabulary size.
+    category = assign_surrogate_keys(
+        part.select(_word("p_name", 2).alias("category_name")).distinct(),
+        "category_id", ["category_name"]).select("category_id", "category_name")
 
     parts = (part.join(category, _word("p_name", 2) == F.col("category_name"))
              .select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("part_name"),
@@ -112,11 +114,10 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
                      "category_id"))
 
     # Car models: distinct (brand, type) pairs, numbered in (brand, type) order.
-    models = part.select("p_brand", "p_type").distinct()
-    rn = F.row_number().over(Window.orderBy("p_brand", "p_type"))
-    cars = models.select(rn.cast("long").alias("car_id"), F.col("p_brand").alias("brand"),
-                         F.col("p_type").alias("model"),
-                         (F.lit(1995) + rn % 7).cast("int").alias("manufacture_year"))
+    models = assign_surrogate_keys(part.select("p_brand", "p_type").distinct(), "car_id",
+                                   ["p_brand", "p_type"])
+    cars = models.select("car_id", F.col("p_brand").alias("brand"), F.col("p_type").alias("model"),
+                         (F.lit(1995) + F.col("car_id") % 7).cast("int").alias("manufacture_year"))
 
     # BOM: the first 12 parts (by part key) of each model. row_number <= k is
     # planned as a WindowGroupLimit, so only k rows per model reach the shuffle.
