@@ -22,7 +22,7 @@ def _ratio(spark, pairs, **kw):
 
 
 def test_round_div_half_up_away_from_zero(spark):
-    got = _ratio(spark, [(Dec("2.345"[:4]), Dec("1")), (Dec("1"), Dec("8")), (Dec("-1"), Dec("8")),
+    got = _ratio(spark, [(Dec("2.34"), Dec("1")), (Dec("1"), Dec("8")), (Dec("-1"), Dec("8")),
                          (Dec("1"), Dec("0")), (None, Dec("1"))],
                  num_scale=2, den_scale=2, out_scale=2)
     # 2.34 / 1 ; 1/8 = 0.125 -> 0.13 ; -0.125 -> -0.13 ; /0 -> NULL ; NULL -> NULL
@@ -38,7 +38,7 @@ def test_round_div_no_double_rounding_on_wide_operands(spark):
 
 
 def test_margin_pct_rounds_once(spark):
-    # 1.00005 ties at the 5th decimal only in exact arithmetic: 0.0000500 -> 0.0001
+    # 0.01 / 200 = 0.00005 exactly, a tie at the 4th decimal: HALF_UP away from zero
     got = _ratio(spark, [(Dec("0.01"), Dec("200.00")), (Dec("-0.01"), Dec("200.00"))],
                  num_scale=2, den_scale=2, out_scale=4, out_type=DecimalType(6, 4))
     assert got == [Dec("0.0001"), Dec("-0.0001")]
@@ -98,3 +98,20 @@ def test_stg_sales_eager_aggregation_equals_grouped_join(clean):
 def test_bom_counts(clean):
     assert rows_of(staging.bom_counts(clean.parts_car), "car_id", "unique_parts_count",
                    "total_parts_qty") == [(1, 3, 4), (2, 2, 3), (4, 1, 1)]
+
+
+def test_broadcast_checked_respects_row_limit(spark):
+    from tests.fixtures import plan_of
+    from torque.operators.joins import broadcast_checked
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
+        hinted = big.join(broadcast_checked(small, max_rows=10), "k")
+        plain = big.join(broadcast_checked(small, max_rows=9), "k")
+        assert "BroadcastHashJoin" in plan_of(hinted)
+        assert "BroadcastHashJoin" not in plan_of(plain)
+        assert hinted.count() == plain.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
