@@ -92,9 +92,10 @@ def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
                          .withColumn("_mid", F.monotonically_increasing_id()))
     key = order_cols[0]
     key_type = ranged.schema[key].dataType.simpleString()
-    summary = (ranged.select(F.col(key).alias("_k"), "_mid")
-               .mapInPandas(summarize, _summary_schema(key_type))
-               .orderBy("_pid").collect())           # one row per partition
+    # one row per partition reaches the driver; sorted there (no shuffle)
+    summary = sorted(ranged.select(F.col(key).alias("_k"), "_mid")
+                     .mapInPandas(summarize, _summary_schema(key_type)).collect(),
+                     key=lambda r: r["_pid"])
     if check_unique:
         _check_unique(summary, key)
     offsets, running = [], 0
