@@ -181,3 +181,27 @@ def test_range_partitions_follow_row_count(spark):
             spark.conf.unset("torque.keys.rowsPerPartition")
         else:
             spark.conf.set("torque.keys.rowsPerPartition", old)
+
+
+def test_merge_small_source_streams_target_without_shuffle(spark):
+    target = merge_upsert(None, spark.range(0, 2000).select(
+        F.col("id"), (F.col("id") * 2).cast("string").alias("name"),
+        F.lit("c").alias("city")), "id", "k", NOW1)
+    changes = _src(spark, [(5, "five", None), (2500, "new", "n"), (7, "seven", "x")])
+    broadcast_path = merge_upsert(target, changes, "id", "k", NOW2)
+    old = spark.conf.get("torque.broadcast.maxRows", None)
+    try:
+        spark.conf.set("torque.broadcast.maxRows", "0")
+        shuffle_path = merge_upsert(target, changes, "id", "k", NOW2)
+        cols = ["k", "id", "name", "city"]
+        assert rows_of(shuffle_path, *cols) == rows_of(broadcast_path, *cols)
+    finally:
+        if old is None:
+            spark.conf.unset("torque.broadcast.maxRows")
+        else:
+            spark.conf.set("torque.broadcast.maxRows", old)
+    got = dict((r.id, (r.k, r.name, r.city)) for r in broadcast_path.filter("id in (5, 7, 2500)").collect())
+    assert got == {5: (6, "five", None), 7: (8, "seven", "x"), 2500: (2001, "new", "n")}
+    plan = plan_of(broadcast_path)
+    # the target side of the update join is streamed: no exchange on its key
+    assert "BroadcastHashJoin" in plan

@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize_counted
+from torque.operators.joins import materialize_counted, max_broadcast_rows
 from torque.operators.keys import DuplicateKeyError as MergeKeyError
 from torque.operators.keys import assign_surrogate_keys
 
@@ -61,8 +61,13 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     if check:
         check_source_keys(source, key)
     start = start_key if start_key is not None else (target.agg(F.max(surrogate)).first()[0] or 0)
+    rows = source.count() if rows is None else rows
+    # An incremental source (the changes) is usually small next to the
+    # target: below the broadcast limit it is broadcast into one streaming
+    # pass over the target, so the target is never shuffled.
+    small = rows <= max_broadcast_rows(source)
     src = source.withColumn("_matched", F.lit(True))
-    t, s = target.alias("t"), src.alias("s")
+    t, s = target.alias("t"), (F.broadcast(src) if small else src).alias("s")
     # explicit match marker, not coalesce: a NULL in the source must
     # overwrite the target value
     hit = F.col("s._matched").isNotNull()
@@ -71,7 +76,12 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
                     *[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
                       for c in cols],
                     F.when(hit, ts).otherwise(F.col("t.load_ts")).alias("load_ts")))
-    new = source.join(target.select(key), key, "left_anti")
+    if small:
+        # keys already in the target: at most ``rows`` of them
+        matched = target.select(key).join(F.broadcast(source.select(key)), key)
+        new = source.join(F.broadcast(matched), key, "left_anti")
+    else:
+        new = source.join(target.select(key), key, "left_anti")
     inserted = (assign_surrogate_keys(new, surrogate, [key], start, num_partitions)
                 .select(surrogate, key, *cols, ts.alias("load_ts")))
     return kept.unionByName(inserted)
