@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize
+from torque.operators.joins import materialize, materialize_counted, max_broadcast_rows
 from torque.operators.keys import assign_surrogate_keys
 from torque.operators.merge import check_source_keys, merge_upsert
 
@@ -35,8 +35,10 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate
     """Return the history after applying ``source`` as of ``as_of``."""
     attrs = [c for c in source.columns if c != key]
     ts = F.lit(now).cast("timestamp_ntz")
-    source = materialize(source)
+    source, rows = materialize_counted(source)
     check_source_keys(source, key)
+    # a small source (the changes) is broadcast into one pass over the history
+    small = rows <= max_broadcast_rows(source)
 
     def versions(df: DataFrame, start: int) -> DataFrame:
         keyed = assign_surrogate_keys(df, surrogate, [key], start)
@@ -49,7 +51,8 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate
     start = history.agg(F.max(surrogate)).first()[0] or 0
     closed_before = history.filter(~F.col("is_current"))
     cur = history.filter(F.col("is_current")).alias("c")
-    src = source.withColumn("_hit", F.lit(True)).alias("s")
+    src = source.withColumn("_hit", F.lit(True))
+    src = (F.broadcast(src) if small else src).alias("s")
     j = cur.join(src, F.col(f"c.{key}") == F.col(f"s.{key}"), "left")
     hit = F.col("s._hit").isNotNull()
     changed = hit & ~_same("c", "s", tracked)
@@ -65,7 +68,11 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate
         F.when(hit, ts).otherwise(F.col("c.load_ts")).alias("load_ts"))
     # (a closed version keeps its old values; the new version carries the source's)
     changed_keys = j.filter(changed).select(F.col(f"c.{key}").alias(key))
-    new_keys = source.join(history.select(key).distinct(), key, "left_anti").select(key)
+    if small:
+        known = history.select(key).join(F.broadcast(source.select(key)), key).distinct()
+        new_keys = source.join(F.broadcast(known), key, "left_anti").select(key)
+    else:
+        new_keys = source.join(history.select(key).distinct(), key, "left_anti").select(key)
     opened = source.join(changed_keys.unionByName(new_keys), key)
     return closed_before.unionByName(kept).unionByName(versions(opened, start))
 
