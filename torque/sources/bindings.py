@@ -9,6 +9,7 @@ grows with the data and Catalyst prunes columns down to the Parquet scans.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -102,9 +103,16 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
     # Category vocabulary: second word of the part name, numbered in name
     # order. Dense numbering uses the distributed key assignment (G1), not a
     # single-task ORDER BY window, whatever the vocabulary size.
-    category = assign_surrogate_keys(
-        part.select(_word("p_name", 2).alias("category_name")).distinct(),
-        "category_id", ["category_name"]).select("category_id", "category_name")
+    # Car models: distinct (brand, type) pairs, numbered in (brand, type) order.
+    # The two numberings are independent jobs, submitted concurrently.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        cat_job = pool.submit(lambda: assign_surrogate_keys(
+            part.select(_word("p_name", 2).alias("category_name")).distinct(),
+            "category_id", ["category_name"]))
+        car_job = pool.submit(lambda: assign_surrogate_keys(
+            part.select("p_brand", "p_type").distinct(), "car_id", ["p_brand", "p_type"]))
+        category = cat_job.result().select("category_id", "category_name")
+        models = car_job.result()
 
     parts = (part.join(category, _word("p_name", 2) == F.col("category_name"))
              .select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("part_name"),
@@ -113,9 +121,6 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
                      F.col("p_retailprice").cast(UNIT_PRICE).alias("unit_price"),
                      "category_id"))
 
-    # Car models: distinct (brand, type) pairs, numbered in (brand, type) order.
-    models = assign_surrogate_keys(part.select("p_brand", "p_type").distinct(), "car_id",
-                                   ["p_brand", "p_type"])
     cars = models.select("car_id", F.col("p_brand").alias("brand"), F.col("p_type").alias("model"),
                          (F.lit(1995) + F.col("car_id") % 7).cast("int").alias("manufacture_year"))
 
