@@ -58,8 +58,10 @@ def broadcast_checked(df: DataFrame, max_rows: int | None = None,
     (materialised) frame, hinted or not.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    side = materialize(df) if checkpoint else df
-    n = side.limit(limit + 1).count()
+    if checkpoint:
+        side, n = materialize_counted(df)      # counted while it is written
+    else:
+        side, n = df, df.limit(limit + 1).count()
     return F.broadcast(side) if n <= limit else side
 
 
