@@ -26,7 +26,11 @@ from torque.operators.keys import assign_surrogate_keys
 
 
 def check_source_keys(source: DataFrame, key: str) -> None:
-    """Raise if ``key`` is NULL or repeated in ``source`` (one small job)."""
+    """Raise if ``key`` is NULL or repeated in ``source``.
+
+    One aggregation over the source keys (partial per map task); used for
+    MERGEs into an existing table, whose sources are the incoming changes.
+    """
     bad = (source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
            .filter((F.col("_n") > 1) | F.col(key).isNull()).limit(1).collect())
     if bad:
@@ -42,6 +46,8 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     ``target`` columns: surrogate, key, the source's other columns, load_ts.
     ``target=None`` is an empty table (initial load). ``start_key``: the
     largest key already used, when ``target`` is only a slice of the table.
+    ``materialize_source=False`` for sources that are cheap, deterministic
+    scans (dimension sources over bronze tables): they are re-read instead.
     """
     ts = F.lit(now).cast("timestamp_ntz")
     cols = [c for c in source.columns if c != key]
