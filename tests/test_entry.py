@@ -18,3 +18,15 @@ def test_every_oracle_has_a_query():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 46
+
+
+def test_every_query_runs_on_smoke_data(spark):
+    """All registered queries execute over the whole sf0.001 tables."""
+    failures = {}
+    for name, fn in entry.queries().items():
+        try:
+            rows = fn(spark, entry.SMOKE_DIR).collect()
+            assert isinstance(rows, list)
+        except Exception as e:  # noqa: BLE001 - report every failing key at once
+            failures[name] = f"{type(e).__name__}: {str(e)[:200]}"
+    assert not failures, failures
