@@ -205,3 +205,23 @@ def test_merge_small_source_streams_target_without_shuffle(spark):
     plan = plan_of(broadcast_path)
     # the target side of the update join is streamed: no exchange on its key
     assert "BroadcastHashJoin" in plan
+
+
+def test_distributed_key_path_gives_same_gold(spark, clean, cfg, gold):
+    """Force the range-partitioned key assignment everywhere: same gold."""
+    from torque.plans.warehouse import build_silver, load_gold
+    old = spark.conf.get("torque.keys.singleTaskRows", None)
+    try:
+        spark.conf.set("torque.keys.singleTaskRows", "0")
+        dist = load_gold(spark, build_silver(clean), cfg)
+        for name, cols in [("fact_sales", ["sale_key", "sale_id", "car_key", "customer_key"]),
+                           ("dim_customer", ["customer_key", "customer_id"]),
+                           ("dim_car", ["car_key", "car_id"])]:
+            assert rows_of(getattr(dist, name), *cols) == rows_of(getattr(gold, name), *cols)
+        with pytest.raises(MergeKeyError):
+            merge_upsert(None, _src(spark, [(1, "a", None), (1, "b", None)]), "id", "k", NOW1)
+    finally:
+        if old is None:
+            spark.conf.unset("torque.keys.singleTaskRows")
+        else:
+            spark.conf.set("torque.keys.singleTaskRows", old)

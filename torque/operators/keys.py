@@ -16,12 +16,15 @@ Instead:
    bounded broadcast) give key = start + offset(partition) + position + 1.
 
 Keys are 1-step, start after ``start`` and follow the natural-key order, so
-they equal ``start + row_number() OVER (ORDER BY natural key)``.
+they equal ``start + row_number() OVER (ORDER BY natural key)`` — which is
+exactly what is used when the input is counted at or below
+``torque.keys.singleTaskRows`` (default 1M rows): a proven-small input is
+numbered in one ordered window, like a size-checked broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from torque.operators.joins import materialize
@@ -51,6 +54,13 @@ def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
     """
     spark = df.sparkSession
     if num_partitions is None:
+        rows = df.count() if rows is None else rows
+        if rows <= _single_task_rows(spark):
+            # proven small (counted): one ordered window is exact and cheap
+            if check_unique:
+                _check_unique_small(df, order_cols[0])
+            return df.withColumn(key_name, (F.lit(start) + F.row_number().over(
+                Window.orderBy(*order_cols))).cast("long"))
         num_partitions = _range_partitions(spark, df, rows)
     bits = _POS_BITS
 
@@ -111,6 +121,17 @@ def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
     return keyed.drop("_mid", "_pid", "_pos", "_off")
 
 
+def _single_task_rows(spark) -> int:
+    return int(spark.conf.get("torque.keys.singleTaskRows", None) or 1_000_000)
+
+
+def _check_unique_small(df: DataFrame, key: str) -> None:
+    bad = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .filter((F.col("_n") > 1) | F.col(key).isNull()).limit(1).collect())
+    if bad:
+        raise DuplicateKeyError(f"{key}: NULL or repeated key {bad[0][key]!r}")
+
+
 def _range_partitions(spark, df: DataFrame, rows: int | None) -> int | None:
     """At most ``torque.keys.rowsPerPartition`` rows (default 4M) per range
     partition; below ``shuffle.partitions`` of those, leave the count to the
