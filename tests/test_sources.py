@@ -64,3 +64,12 @@ def test_run_end_to_end(spark, store, clean, cfg):
     gold2, _ = run(spark, clean, cfg, store, current=gold, warn_only=True)
     assert gold2.fact_sales.count() == 6
     assert sorted(r.sale_key for r in gold2.fact_sales.collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_snapshot_expire_keeps_newest(spark, store):
+    df = spark.range(2)
+    for _ in range(4):
+        store.write("e", df)
+    assert store.expire("e", keep=2) == [1, 2]
+    assert store.latest("e") == 4 and store.read("e", 3).count() == 2
+    assert store.expire("e", keep=2) == []

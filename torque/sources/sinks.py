@@ -69,6 +69,19 @@ class SnapshotStore:
     def read_or_none(self, table: str) -> DataFrame | None:
         return None if self.latest(table) is None else self.read(table)
 
+    def expire(self, table: str, keep: int = 2) -> list[int]:
+        """Delete all but the ``keep`` newest committed versions (and any
+        uncommitted version older than them); returns the removed versions.
+        Readers of a removed version must have finished with it."""
+        committed = self._versions(table)
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        gone = [v for v in self._versions(table, committed=False) if v < oldest_kept]
+        for v in gone:
+            self._fs.delete(self._Path(self.path(table, v)), True)
+        return gone
+
 
 def read_source(store: SnapshotStore, table: str) -> DataFrame:
     """S1 — typed scan of a loaded source role: declared columns and types
