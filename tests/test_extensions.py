@@ -106,3 +106,23 @@ def test_incremental_fact_load_matches_full_merge(spark, clean, cfg, gold):
     full = load_gold(spark, silver2, cfg, current=gold).fact_sales
     cols = ["sale_key", "sale_id", "time_id", "supplier_key", "gross_margin_pct"]
     assert rows_of(spark.read.parquet(path), *cols) == rows_of(full, *cols)
+
+
+def test_scd2_broadcast_and_shuffle_paths_agree(spark):
+    hist = scd2_merge(None, spark.range(0, 500).select(
+        F.col("id"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"),
+        (F.col("id") % 7).cast("string").alias("city")), "id", "k", ["city"], dt.date(2024, 1, 1), NOW)
+    changes = spark.createDataFrame([(3, "n3", "moved"), (4, "renamed", "4"), (900, "new", "x")],
+                                    "id long, name string, city string")
+    cols = ["k", "id", "name", "city", "valid_from", "valid_to", "is_current"]
+    small = rows_of(scd2_merge(hist, changes, "id", "k", ["city"], dt.date(2024, 6, 1), NOW), *cols)
+    old = spark.conf.get("torque.broadcast.maxRows", None)
+    try:
+        spark.conf.set("torque.broadcast.maxRows", "0")
+        big = rows_of(scd2_merge(hist, changes, "id", "k", ["city"], dt.date(2024, 6, 1), NOW), *cols)
+    finally:
+        if old is None:
+            spark.conf.unset("torque.broadcast.maxRows")
+        else:
+            spark.conf.set("torque.broadcast.maxRows", old)
+    assert small == big and len(small) == 502          # 500 + new version of 3 + new key 900
