@@ -55,3 +55,12 @@ def test_bom_explode(spark):
     m = spark.createDataFrame([(1, [(101, 1), (102, 2)]), (2, [(103, 1)])],
                               "car_id long, parts array<struct<part_id:long, quantity:int>>")
     assert rows_of(G.bom_explode(m), "car_id", "part_id", "quantity") == [(1, 101, 1), (1, 102, 2), (2, 103, 1)]
+
+
+def test_key_range_form(spark):
+    s = G.gen_suppliers(G.key_range(spark, 10))
+    assert [r[0] for r in rows_of(s, "supplier_id")] == list(range(1, 11))
+    final, lots = G.gen_deliveries(G.key_range(spark, 50, 1001), 10,
+                                   spark.range(1, 21).select(F.col("id").alias("part_idx"),
+                                                             (F.col("id") + 100).alias("part_id")), 20)
+    assert final.agg(F.min("delivery_id"), F.max("delivery_id")).first() == (1001, 1050)

@@ -47,6 +47,13 @@ LAST_NAMES = ["Garcia", "Martinez", "Lopez", "Sanchez", "Puig", "Ferrer", "Romer
               "Vidal", "Torres"]
 
 
+def key_range(spark, n: int, start: int = 1) -> DataFrame:
+    """Keys ``start .. start + n - 1`` as the ``id`` column, generated on the
+    executors: ``gen_suppliers(key_range(spark, 10))`` is the reference's
+    ``n=10`` form; deliveries use ``key_range(spark, n, 1001)``."""
+    return spark.range(start, start + n)
+
+
 def _place(seed: int, key, tag: str):
     idx = (F.pmod(F.xxhash64(F.lit(seed), key, F.lit(tag)), F.lit(len(PLACES))) + 1).cast("int")
     arr = F.array(*[F.struct(F.lit(c).alias("city"), F.lit(p).alias("province")) for c, p in PLACES])
