@@ -61,9 +61,11 @@ def test_run_end_to_end(spark, store, clean, cfg):
     assert failed and gold.fact_sales.count() == 6
     assert read_source(store, "sales").count() == 10
     # a second run MERGEs into the first: keys stay, no duplicates
-    gold2, _ = run(spark, clean, cfg, store, current=gold, warn_only=True)
+    gold2, _ = run(spark, clean, cfg, store, current=gold, warn_only=True, keep_versions=2)
     assert gold2.fact_sales.count() == 6
     assert sorted(r.sale_key for r in gold2.fact_sales.collect()) == [1, 2, 3, 4, 5, 6]
+    # three loads of the sales role so far (one failed the gate after loading): two kept
+    assert store._versions("sales") == [2, 3] and store._versions("fact_sales")[-1] == 2
 
 
 def test_snapshot_expire_keeps_newest(spark, store):

@@ -197,16 +197,21 @@ def forget(spark: SparkSession | None = None) -> None:
 
 
 def run(spark: SparkSession, sources: Sources, cfg: ModelConfig, store: SnapshotStore,
-        current: Gold | None = None, warn_only: bool = False) -> tuple[Gold, list]:
+        current: Gold | None = None, warn_only: bool = False,
+        keep_versions: int | None = None) -> tuple[Gold, list]:
     """The whole batch in the reference's order: load the sources (bronze),
     run the quality gate (raises on failures unless ``warn_only``), then the
     silver views and the gold MERGEs. Returns the gold tables and the failed
-    checks (at most fifteen rows)."""
+    checks (at most fifteen rows). ``keep_versions``: after a successful run,
+    expire older snapshot versions of every table (readers must be done)."""
     from torque.operators.quality import run_quality_gate
     bronze = load_bronze(spark, sources, store)
     failed = run_quality_gate(bronze.as_dict(), cfg.as_of, warn_only=warn_only)
     gold = load_gold(spark, build_silver(bronze), cfg, current=current, store=store,
                      sales_dates=bronze.sales)
+    if keep_versions:
+        for table in list(sources.as_dict()) + list(gold.as_dict()):
+            store.expire(table, keep=keep_versions)
     return gold, failed
 
 
