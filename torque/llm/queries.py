@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from torque.llm import license_scan as licenses
+from torque.llm import quality_ledger as ledger
+from torque.llm import substring_dedup as substrings
+from torque.llm.chat_format import format_conversations
+from torque.llm.fingerprints import document_fingerprints
+from torque.llm.ngram_join import ngram_jaccard_join
 from torque.llm.sentencepiece_codec import sentencepiece_round_trip
+from torque.llm.source_mix import mix_sources
 from torque.llm.token_counts import token_counts
 
-TOKENIZER_PARAMS = {"counts": "byte_bpe_50k.json", "pieces": "piece_bpe_32k.model"}
+TOKENIZERS = {"counts": "byte_bpe_50k.json", "pieces": "piece_bpe_32k.model"}
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tokenizer_path(kind: str) -> str:
     import public_tokenizers
-    return public_tokenizers.path(TOKENIZER_PARAMS[kind])
+    return public_tokenizers.path(TOKENIZERS[kind])
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,14 +34,67 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("counts"), limit=1024)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences as whole texts and as single lines (operator 2)."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that quotes control strings, formatted and read
+    back (operator 4)."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoting = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+        turns.schema)
+    return format_conversations(turns.union(quoting)).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
+        "rewrites_history")
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes from every document (operator 5)."""
+    return mix_sources(table(spark, sf_dir, "documents")).report()
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of every document and its edited text (operator 6)."""
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (operator 7)."""
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"), percent=85, words_each=4)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats of 13 words removed from all but the first document (operator 8)."""
+    return substrings.substring_dedup(table(spark, sf_dir, "documents"), window=13)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and exact decoding of every document (operator 9)."""
     return sentencepiece_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("pieces"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule ledger of every document under the current policy (operator 10)."""
+    return ledger.quality_ledger(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_license_scan": op2_license_scan,
+    "op4_chat_format": op4_chat_format,
+    "op5_source_mix": op5_source_mix,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.oracle(),
+    "op8_substring_dedup": substrings.ORACLE,
+    "op10_quality_rules": ledger.ORACLE,
+}
