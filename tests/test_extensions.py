@@ -6,6 +6,7 @@ import datetime as dt
 import tempfile
 from decimal import Decimal as Dec
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
@@ -65,6 +66,28 @@ def test_change_feed_latest_version_and_replay(spark):
                            "user_id", ["ts", "event_id"], "user_key", NOW)
 
 
+def test_late_batch_does_not_overwrite(spark):
+    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="torque-cdc-late-"))
+    for batch_id, row in enumerate([(2, _ts(5), 10, "b", 2.0), (1, _ts(1), 10, "a", 1.0)]):
+        apply_batch(spark, store, "t", spark.createDataFrame([row], SCHEMA), batch_id, "user_id",
+                    ["ts", "event_id"], "k", NOW)
+    assert rows_of(store.read("t"), "user_id", "event_id") == [(10, 2)]
+
+
+def test_scd2_same_day_load_replaces_and_older_load_is_refused(spark):
+    rows = lambda v: spark.createDataFrame(v, "id long, city string")
+    day = dt.date(2024, 6, 1)
+    h = scd2_merge(None, rows([(1, "A"), (2, "B")]), "id", "k", ["city"], dt.date(2024, 1, 1), NOW)
+    h = scd2_merge(h, rows([(1, "C"), (2, "B")]), "id", "k", ["city"], day, NOW)
+    h = scd2_merge(h, rows([(1, "D"), (2, "E")]), "id", "k", ["city"], day, NOW)
+    assert rows_of(h, "k", "id", "city", "valid_from", "valid_to") == [
+        (1, 1, "A", dt.date(2024, 1, 1), dt.date(2024, 5, 31)),
+        (2, 2, "B", dt.date(2024, 1, 1), dt.date(2024, 5, 31)),
+        (3, 1, "D", day, None), (4, 2, "E", day, None)]
+    with pytest.raises(ValueError):
+        scd2_merge(h, rows([(1, "F")]), "id", "k", ["city"], dt.date(2024, 5, 1), NOW)
+
+
 def test_latest_per_key_ties_broken_by_event_id(spark):
     df = spark.createDataFrame([(1, _ts(1), 10, "a", 1.0), (2, _ts(1), 10, "b", 1.0)], SCHEMA)
     assert rows_of(latest_per_key(df, "user_id", ["ts", "event_id"]), "event_id") == [(2,)]

@@ -39,6 +39,14 @@ def test_deliveries_contract(spark):
     assert same_date.count() == 0
 
 
+def test_delivery_parts_are_a_real_sample(spark):
+    """Every pair of 20 parts is drawn together by some of 3,000 deliveries."""
+    parts = spark.range(1, 21).select(F.col("id").alias("part_idx"), F.col("id").alias("part_id"))
+    _, lots = G.gen_deliveries(spark.range(3000), 10, parts, 20)
+    pairs = lots.alias("a").join(lots.alias("b"), "delivery_id").filter("a.part_id < b.part_id")
+    assert pairs.select("a.part_id", "b.part_id").distinct().count() == 190
+
+
 def test_sales_contract(spark):
     prices = spark.createDataFrame([(1, 11, Dec("20000.00")), (2, 12, Dec("30000.00"))],
                                    "car_idx long, car_id long, base_price decimal(12,2)")

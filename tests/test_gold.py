@@ -165,25 +165,17 @@ def test_shuffle_join_fallback_gives_same_gold(spark, clean, cfg, gold):
                 spark.conf.set(k, v)
 
 
-def test_range_partitions_follow_row_count(spark):
-    from torque.operators.keys import _range_partitions
-    old = spark.conf.get("torque.keys.rowsPerPartition", None)
-    try:
-        spark.conf.set("torque.keys.rowsPerPartition", "100")
-        df = spark.range(0, 5000).select(F.col("id").alias("nk"))
-        assert _range_partitions(spark, df, None) == 50          # 5000 rows / 100
-        assert _range_partitions(spark, df, 150) is None         # small: session default
-        got = assign_surrogate_keys(df, "k", ["nk"])
+def test_keys_are_dense_for_any_partition_count(spark):
+    df = spark.range(0, 5000).select(F.col("id").alias("nk"))
+    for n in (None, 1, 50):
+        got = assign_surrogate_keys(df, "k", ["nk"], num_partitions=n)
         assert got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first() == (1, 5000, 5000)
         assert rows_of(got.filter("nk in (0, 4999)"), "nk", "k") == [(0, 1), (4999, 5000)]
-    finally:
-        if old is None:
-            spark.conf.unset("torque.keys.rowsPerPartition")
-        else:
-            spark.conf.set("torque.keys.rowsPerPartition", old)
+    plan = plan_of(assign_surrogate_keys(df, "k", ["nk"]))
+    assert "MapInPandas" not in plan and "SinglePartition" not in plan
 
 
-def test_merge_small_source_streams_target_without_shuffle(spark):
+def test_merge_small_source_is_broadcast(spark):
     target = merge_upsert(None, spark.range(0, 2000).select(
         F.col("id"), (F.col("id") * 2).cast("string").alias("name"),
         F.lit("c").alias("city")), "id", "k", NOW1)
@@ -207,21 +199,26 @@ def test_merge_small_source_streams_target_without_shuffle(spark):
     assert "BroadcastHashJoin" in plan
 
 
-def test_distributed_key_path_gives_same_gold(spark, clean, cfg, gold):
-    """Force the range-partitioned key assignment everywhere: same gold."""
-    from torque.plans.warehouse import build_silver, load_gold
-    old = spark.conf.get("torque.keys.singleTaskRows", None)
+def test_repeated_source_key_is_refused(spark):
+    with pytest.raises(MergeKeyError):
+        merge_upsert(None, _src(spark, [(1, "a", None), (1, "b", None)]), "id", "k", NOW1)
+
+
+def test_merge_keeps_greater_version(spark):
+    rows = lambda v: spark.createDataFrame(v, "id long, v int, name string")
+    target = merge_upsert(None, rows([(1, 5, "new"), (2, 1, "old")]), "id", "k", NOW1)
+    late = rows([(1, 4, "late"), (2, 2, "newer"), (3, 1, "first")])
+    got = merge_upsert(target, late, "id", "k", NOW2, version=["v"])
+    assert rows_of(got, "id", "k", "v", "name") == [(1, 1, 5, "new"), (2, 2, 2, "newer"),
+                                                    (3, 3, 1, "first")]
+
+
+def test_wide_rows_are_not_a_small_side(spark):
+    from torque.operators.joins import small_enough
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 5000).alias("text"))
+    assert small_enough(wide, 10)
+    spark.conf.set("torque.broadcast.maxBytes", "20000")
     try:
-        spark.conf.set("torque.keys.singleTaskRows", "0")
-        dist = load_gold(spark, build_silver(clean), cfg)
-        for name, cols in [("fact_sales", ["sale_key", "sale_id", "car_key", "customer_key"]),
-                           ("dim_customer", ["customer_key", "customer_id"]),
-                           ("dim_car", ["car_key", "car_id"])]:
-            assert rows_of(getattr(dist, name), *cols) == rows_of(getattr(gold, name), *cols)
-        with pytest.raises(MergeKeyError):
-            merge_upsert(None, _src(spark, [(1, "a", None), (1, "b", None)]), "id", "k", NOW1)
+        assert not small_enough(wide, 10)
     finally:
-        if old is None:
-            spark.conf.unset("torque.keys.singleTaskRows")
-        else:
-            spark.conf.set("torque.keys.singleTaskRows", old)
+        spark.conf.unset("torque.broadcast.maxBytes")

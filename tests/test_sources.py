@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from torque.schemas import GOLD
@@ -11,7 +12,7 @@ from torque.sources import sinks
 from torque.sources.bindings import bind_sources
 
 # FIXTURES §2, measured at sf0.001
-EXPECTED_SF0001 = {"supplier": 10, "customers": 150, "category": 8, "parts": 200, "cars": 106,
+EXPECTED_SF0001 = {"supplier": 10, "customers": 150, "category": 8, "parts": 200, "cars": 17,
                    "parts_car": 200, "sales": 1500, "final_delivery": 5334, "lot_delivery": 5996}
 
 
@@ -21,6 +22,15 @@ def test_binding_row_counts(spark):
     assert summary == EXPECTED_SF0001
 
 
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_every_part_is_in_one_bill_of_materials(spark, size):
+    src = bind_sources(spark, f"/root/testdata/sf{size}")
+    n = spark.read.parquet(f"/root/testdata/sf{size}/part.parquet").count()
+    assert src.parts_car.count() == n
+    assert src.parts_car.select("part_id").distinct().count() == n
+    assert src.parts_car.groupBy("car_id").count().agg(F.max("count")).first()[0] <= 12
+
+
 def test_snapshot_versions_ignore_uncommitted(spark, store):
     df = spark.range(3).select(F.col("id").alias("x"))
     assert store.write("t", df) == 1

@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from torque.config import default_config  # noqa: E402
+from torque.config import SEGMENT_BY_MODEL, default_config  # noqa: E402
 from torque.functions.hashing import pick, uniform_int  # noqa: E402
 from torque.operators import reports  # noqa: E402
 from torque.operators.asof import supplier_as_of  # noqa: E402
@@ -32,9 +32,9 @@ from torque.sources.bindings import Sources  # noqa: E402
 from torque.sources.sinks import SnapshotStore  # noqa: E402
 
 N_PARTS, N_CARS, BOM_LINES, N_SUPPLIERS, SEED = 20000, 150, 12, 1000, 7
-MODELS = ["Ibiza", "Leon", "Arona", "Golf", "Polo", "Tiguan", "Q3", "A3", "Born", "Formentor"]
-BRANDS = ["SEAT", "VW", "Audi", "Cupra"]
-CATEGORIES = ["Engine", "Body", "Electrical", "Interior", "Chassis", "Wheels"]
+MODELS = sorted(m for models in SEGMENT_BY_MODEL.values() for m in models)
+BRANDS = ["North", "Meridian", "Alba"]
+CATEGORIES = ["Drive", "Shell", "Wiring", "Cabin", "Frame"]
 
 
 def sources(spark, n_sales: int) -> Sources:
@@ -51,9 +51,9 @@ def sources(spark, n_sales: int) -> Sources:
         uniform_int(SEED, k, "year", 2015, 2024).cast("int").alias("manufacture_year"))
     parts_car = (spark.range(1, N_CARS + 1)
                  .select(k.alias("car_id"), F.explode(F.sequence(F.lit(0), F.lit(BOM_LINES - 1))).alias("j"))
-                 .select("car_id", uniform_int(SEED, F.struct("car_id", "j"), "bom", 1, N_PARTS).alias("part_id"))
+                 .select("car_id", uniform_int(SEED, F.concat_ws("|", "car_id", "j"), "bom", 1, N_PARTS).alias("part_id"))
                  .distinct()
-                 .withColumn("quantity", uniform_int(SEED, F.struct("car_id", "part_id"), "qty", 1, 2).cast("int")))
+                 .withColumn("quantity", uniform_int(SEED, F.concat_ws("|", "car_id", "part_id"), "qty", 1, 2).cast("int")))
     final, lots = G.gen_deliveries(spark.range(1001, 1001 + max(n_sales // 20, 1)), N_SUPPLIERS,
                                    parts.select(F.col("part_id").alias("part_idx"), "part_id"), N_PARTS,
                                    seed=SEED)

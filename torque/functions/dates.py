@@ -11,16 +11,6 @@ def date_key(d: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def year_month(d: Column) -> Column:
-    """``'YYYY-MM'`` label of a date."""
-    return F.date_format(d, "yyyy-MM")
-
-
-def month_index(year: Column, month: Column) -> Column:
-    """Months since year 0: consecutive calendar months differ by 1."""
-    return year.cast("int") * 12 + month.cast("int")
-
-
 def calendar_columns(d: Column) -> list[Column]:
     """The 13 DIM_TIME attributes of a date column (D1).
 

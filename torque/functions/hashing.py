@@ -1,8 +1,8 @@
 """Deterministic pseudo-random column expressions.
 
-Every draw is ``xxhash64(seed, row key, tag)``: a pure function of the row,
-so generated data is identical under any partitioning, task retry or
-executor loss (a global RNG, as in a single-process generator, is not).
+A draw is the first 60 bits of ``md5(seed|key|tag)``: a pure function of the
+row, so generated data is identical under any partitioning, task retry or
+executor loss, and any engine with MD5 can restate it.
 """
 
 from __future__ import annotations
@@ -10,26 +10,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_2_53 = float(2 ** 53)
 
+def draw(seed: int, key: Column, tag: str | Column) -> Column:
+    """Whole number in [0, 2^60), uniform over (seed, key, tag)."""
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    text = F.concat_ws("|", F.lit(str(seed)), key.cast("string"), tag)
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
-def draw(seed: int, key: Column, tag: str) -> Column:
-    """64-bit hash of (seed, key, tag)."""
-    return F.xxhash64(F.lit(seed), key, F.lit(tag))
 
-
-def uniform_int(seed: int, key: Column, tag: str, lo, hi) -> Column:
+def uniform_int(seed: int, key: Column, tag: str | Column, lo, hi) -> Column:
     """Integer uniform on [lo, hi] (``lo``/``hi`` ints or columns)."""
     lo_c, hi_c = F.lit(lo) if isinstance(lo, int) else lo, F.lit(hi) if isinstance(hi, int) else hi
-    return (lo_c + F.pmod(draw(seed, key, tag), (hi_c - lo_c + 1).cast("long"))).cast("long")
-
-
-def uniform_unit(seed: int, key: Column, tag: str) -> Column:
-    """Double uniform on [0, 1)."""
-    return F.pmod(draw(seed, key, tag), F.lit(2 ** 53)).cast("double") / F.lit(_2_53)
+    return (lo_c + draw(seed, key, tag) % (hi_c - lo_c + 1).cast("long")).cast("long")
 
 
 def pick(values: list[str], seed: int, key: Column, tag: str) -> Column:
     """One element of a fixed vocabulary, uniformly."""
     arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.pmod(draw(seed, key, tag), F.lit(len(values))) + 1).cast("int"))
+    return F.element_at(arr, (draw(seed, key, tag) % len(values) + 1).cast("int"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from torque.functions.dates import date_key
 from torque.functions.money import MARGIN_PCT, MONEY, round_div
 from torque.operators.asof import supplier_by_day
-from torque.operators.joins import broadcast_bounded, broadcast_checked, planner_sized
+from torque.operators.joins import broadcast_bounded, broadcast_checked
 from torque.operators.merge import merge_upsert
 from torque.operators.staging import bom_counts
 
@@ -50,8 +50,8 @@ def fact_source(stg_sales: DataFrame, stg_final_delivery: DataFrame, stg_parts_c
     # dimensions arrive as file-backed gold tables: Spark's planner sizes them
     # from file statistics (broadcast below the threshold, else a shuffle
     # join with AQE skew splitting); the derived BOM counts are checked
-    car = planner_sized(dim_car.select("car_id", "car_key"))
-    cust = planner_sized(dim_customer.select("customer_id", "customer_key"))
+    car = dim_car.select("car_id", "car_key")
+    cust = dim_customer.select("customer_id", "customer_key")
     counts = broadcast_checked(bom_counts(stg_parts_car))
     joined = (stg_sales.join(broadcast_bounded(day_key), F.col("sale_date") == F.col("_day"))
               .join(car, "car_id").join(cust, "customer_id").join(counts, "car_id"))

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize, materialize_counted, max_broadcast_rows
+from torque.operators.joins import materialize, materialize_counted, small_enough
 from torque.operators.keys import assign_surrogate_keys
 from torque.operators.merge import check_source_keys, merge_upsert
 
@@ -32,13 +32,17 @@ def _same(a: str, b: str, cols: list[str]) -> Column:
 
 def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate: str,
                tracked: list[str], as_of: dt.date, now: dt.datetime) -> DataFrame:
-    """Return the history after applying ``source`` as of ``as_of``."""
+    """Return the history after applying ``source`` as of ``as_of``.
+
+    A repeated load of the same day replaces the versions that day opened, in
+    place. A load dated before a version that is already there is refused.
+    """
     attrs = [c for c in source.columns if c != key]
     ts = F.lit(now).cast("timestamp_ntz")
     source, rows = materialize_counted(source)
     check_source_keys(source, key)
     # a small source (the changes) is broadcast into one pass over the history
-    small = rows <= max_broadcast_rows(source)
+    small = small_enough(source, rows)
 
     def versions(df: DataFrame, start: int) -> DataFrame:
         keyed = assign_surrogate_keys(df, surrogate, [key], start)
@@ -48,33 +52,37 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate
 
     if history is None:
         return versions(source, 0)
-    start = history.agg(F.max(surrogate)).first()[0] or 0
-    closed_before = history.filter(~F.col("is_current"))
-    cur = history.filter(F.col("is_current")).alias("c")
+    last = history.agg(F.max(surrogate).alias("key"), F.max("valid_from").alias("day")).first()
+    if last["day"] is not None and as_of < last["day"]:
+        raise ValueError(f"load of {as_of} is older than the load of {last['day']}")
     src = source.withColumn("_hit", F.lit(True))
     src = (F.broadcast(src) if small else src).alias("s")
-    j = cur.join(src, F.col(f"c.{key}") == F.col(f"s.{key}"), "left")
-    hit = F.col("s._hit").isNotNull()
-    changed = hit & ~_same("c", "s", tracked)
-    # current versions: kept (untracked columns refreshed) or closed
-    kept = j.select(
+    # every version meets its source row once; what becomes of it is decided here
+    joined = history.alias("c").join(src, F.col(f"c.{key}") == F.col(f"s.{key}"), "left")
+    live = F.col("c.is_current") & F.col("s._hit").isNotNull()
+    changed = live & ~_same("c", "s", tracked)
+    same_day = F.col("c.valid_from") == F.lit(as_of)
+    fate = (F.when(~live, "keep").when(~changed, "refresh").when(same_day, "replace")
+            .otherwise("close"))
+    taken = lambda a: F.col("_fate").isin("replace", *([] if a in tracked else ["refresh"]))
+    kept = materialize(joined.select(
         F.col(f"c.{surrogate}").alias(surrogate), F.col(f"c.{key}").alias(key),
-        *[(F.col(f"c.{a}") if a in tracked else
-           F.when(hit & ~changed, F.col(f"s.{a}")).otherwise(F.col(f"c.{a}"))).alias(a)
-          for a in attrs],
-        F.col("c.valid_from").alias("valid_from"),
-        F.when(changed, F.date_sub(F.lit(as_of), 1)).otherwise(F.col("c.valid_to")).alias("valid_to"),
-        (~changed).alias("is_current"),
-        F.when(hit, ts).otherwise(F.col("c.load_ts")).alias("load_ts"))
-    # (a closed version keeps its old values; the new version carries the source's)
-    changed_keys = j.filter(changed).select(F.col(f"c.{key}").alias(key))
-    if small:
-        known = history.select(key).join(F.broadcast(source.select(key)), key).distinct()
-        new_keys = source.join(F.broadcast(known), key, "left_anti").select(key)
-    else:
-        new_keys = source.join(history.select(key).distinct(), key, "left_anti").select(key)
-    opened = source.join(changed_keys.unionByName(new_keys), key)
-    return closed_before.unionByName(kept).unionByName(versions(opened, start))
+        *[F.col(f"c.{a}").alias(a) for a in attrs], *[F.col(f"s.{a}").alias(f"_{a}") for a in attrs],
+        F.col("c.valid_from").alias("valid_from"), F.col("c.valid_to").alias("valid_to"),
+        F.col("c.is_current").alias("is_current"), F.col("c.load_ts").alias("load_ts"),
+        F.col("s._hit").alias("_hit"), fate.alias("_fate")))
+    closing = F.col("_fate") == "close"
+    rewritten = kept.select(
+        surrogate, key, *[F.when(taken(a), F.col(f"_{a}")).otherwise(F.col(a)).alias(a)
+                          for a in attrs],
+        "valid_from",
+        F.when(closing, F.date_sub(F.lit(as_of), 1)).otherwise(F.col("valid_to")).alias("valid_to"),
+        (F.col("is_current") & ~closing).alias("is_current"),
+        F.when(F.col("_fate") == "keep", F.col("load_ts")).otherwise(ts).alias("load_ts"))
+    # a source row opens a version unless its key has a current version that stays
+    settled = kept.filter("_hit AND is_current AND _fate <> 'close'").select(key)
+    opened = source.join(F.broadcast(settled) if small else settled, key, "left_anti")
+    return rewritten.unionByName(versions(opened, last["key"] or 0))
 
 
 def sale_month(time_id: Column) -> Column:

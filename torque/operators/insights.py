@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from torque.functions.money import MONEY_SUM, RATIO2, avg_round
-from torque.operators.joins import broadcast_bounded, planner_sized as _dim
+from torque.operators.joins import broadcast_bounded
 
 
 def _model_months(fact: DataFrame, dim_car: DataFrame, dim_time: DataFrame) -> DataFrame:
-    car = _dim(dim_car.select("car_key", "brand_model"))
+    car = dim_car.select("car_key", "brand_model")
     cal = broadcast_bounded(dim_time.select("time_id", "year", "month"))
     return (fact.join(car, "car_key").join(cal, "time_id")
             .groupBy("brand_model", "year", "month")

@@ -7,7 +7,7 @@ Three kinds of small side exist in this model:
   (0001-01-01 .. 9999-12-31), so such a table can never outgrow a broadcast
   whatever the data volume. They are hinted directly with ``broadcast_bounded``.
 * **file-backed** gold tables: their size is known from file statistics, so
-  the planner's own threshold check decides (``planner_sized``);
+  the planner's own threshold check decides (no hint, no job);
 * **data-sized** small sides (cars, BOM costs, suppliers, lookup maps). Their
   size is only known at run time, so ``broadcast_checked`` materialises the
   side once (reliable checkpoint), counts it, and broadcasts only below a row
@@ -24,6 +24,8 @@ from torque.session import ensure_checkpoint_dir
 DATE_DOMAIN_ROWS = 3_652_059
 DEFAULT_MAX_ROWS = 2_000_000
 _MAX_ROWS_CONF = "torque.broadcast.maxRows"
+DEFAULT_MAX_BYTES = 512 << 20
+_MAX_BYTES_CONF = "torque.broadcast.maxBytes"
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
@@ -31,6 +33,23 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_MAX_ROWS
 
 
+def small_enough(df: DataFrame, rows: int) -> bool:
+    """Is a side of ``rows`` rows within the broadcast limits of rows and bytes?
+
+    The width of variable-length columns is taken from the rows themselves
+    (their longest value), so a few wide rows are not mistaken for a small side.
+    """
+    if rows > max_broadcast_rows(df):
+        return False
+    limit = int(df.sparkSession.conf.get(_MAX_BYTES_CONF, None) or DEFAULT_MAX_BYTES)
+    fixed = 16 * len(df.columns) + 16
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    if rows * (fixed + 256 * len(texts)) <= limit // 16 or not texts:
+        return rows * fixed <= limit
+    widest = df.agg(*[F.max(F.octet_length(F.col(f"`{c}`"))) for c in texts]).first()
+    return rows * (fixed + sum(w or 0 for w in widest)) <= limit
+
+
 def broadcast_bounded(df: DataFrame) -> DataFrame:
     """Hint a side whose row count is bounded by its key's domain (a DATE)."""
     return F.broadcast(df)
@@ -62,12 +81,4 @@ def broadcast_checked(df: DataFrame, max_rows: int | None = None,
         side, n = materialize_counted(df)      # counted while it is written
     else:
         side, n = df, df.limit(limit + 1).count()
-    return F.broadcast(side) if n <= limit else side
-
-
-def planner_sized(df: DataFrame) -> DataFrame:
-    """A materialised (file-backed) side: Spark's planner already checks its
-    size against ``spark.sql.autoBroadcastJoinThreshold`` from file
-    statistics, and AQE re-checks actual shuffle sizes at run time; beyond
-    both it stays a sort-merge join with skew splitting. No hint, no job."""
-    return df
+    return F.broadcast(side) if n <= limit and small_enough(side, n) else side

@@ -1,30 +1,24 @@
 """G1 — dense, ordered surrogate keys without a single-task window.
 
 ``row_number().over(Window.orderBy(...))`` moves every row into one task.
-Instead:
+Instead, whatever the input's size:
 
 1. range-partition the rows on the natural key and sort inside each
    partition; ``monotonically_increasing_id`` then encodes
    (partition id << 33) + position;
 2. materialise that once (reliable checkpoint), so range sampling and ids
    are never recomputed differently by a later job or a retried task;
-3. one pass over the materialised rows (key column only, Arrow batches)
-   summarises each partition: row count, first and last key, adjacent equal
-   keys and NULL keys. Equal keys always land in the same range partition,
-   so this proves uniqueness without the extra shuffle of a GROUP BY;
-4. running offsets of the per-partition counts (one row per partition, a
-   bounded broadcast) give key = start + offset(partition) + position + 1.
+3. count the rows per partition with one built-in aggregate;
+4. running offsets of those counts (one row per partition, a bounded
+   broadcast) give key = start + offset(partition) + position + 1.
 
 Keys are 1-step, start after ``start`` and follow the natural-key order, so
-they equal ``start + row_number() OVER (ORDER BY natural key)`` — which is
-exactly what is used when the input is counted at or below
-``torque.keys.singleTaskRows`` (default 1M rows): a proven-small input is
-numbered in one ordered window, like a size-checked broadcast.
+they equal ``start + row_number() OVER (ORDER BY natural key)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from torque.operators.joins import materialize
@@ -36,117 +30,36 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def _summary_schema(key_type: str) -> str:
-    return (f"_pid long, _n long, _first {key_type}, _last {key_type}, "
-            "_dups long, _nulls long")
+def check_unique(df: DataFrame, key: str) -> None:
+    """Raise if ``key`` is NULL or repeated: one aggregation over the keys alone."""
+    bad = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .filter((F.col("_n") > 1) | F.col(key).isNull()).limit(1).collect())
+    if bad:
+        raise DuplicateKeyError(f"NULL or repeated {key}: {bad[0][key]!r}")
 
 
 def assign_surrogate_keys(df: DataFrame, key_name: str, order_cols: list[str],
-                          start: int = 0, num_partitions: int | None = None,
-                          check_unique: bool = False, rows: int | None = None) -> DataFrame:
+                          start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``key_name`` = start + rank of ``order_cols`` (dense, 1-step).
 
-    ``check_unique`` (single order column): raise ``DuplicateKeyError`` when
-    the column is NULL or repeated, found in the same pass that counts rows.
-    ``rows``: the input's row count when already known (else one count job);
-    it sizes the range partitions, since AQE can merge small range
-    partitions but never splits a large one.
+    ``num_partitions`` range partitions, by default as many as the session's
+    shuffle partitions (AQE may merge neighbouring small ones; ids are read
+    from the exchange output in the same job, so either is exact).
     """
-    spark = df.sparkSession
-    if num_partitions is None:
-        rows = df.count() if rows is None else rows
-        if rows <= _single_task_rows(spark):
-            # proven small (counted): one ordered window is exact and cheap
-            if check_unique:
-                _check_unique_small(df, order_cols[0])
-            return df.withColumn(key_name, (F.lit(start) + F.row_number().over(
-                Window.orderBy(*order_cols))).cast("long"))
-        num_partitions = _range_partitions(spark, df, rows)
-    bits = _POS_BITS
-
-    def summarize(batches):
-        """Per partition: count, first/last key, adjacent duplicates, NULLs.
-
-        Defined here (a closure) so it is shipped to the workers by value and
-        needs no installed copy of this package on the executors.
-        """
-        import pandas as pd
-        pid, n, first, last, dups, nulls = None, 0, None, None, 0, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pid is None:
-                pid = int(pdf["_mid"].iloc[0]) >> bits
-            n += len(pdf)
-            k = pdf["_k"]
-            nulls += int(k.isna().sum())
-            k = k.dropna()
-            if k.empty:
-                continue
-            if last is not None and k.iloc[0] == last:
-                dups += 1
-            dups += int((k.iloc[1:].to_numpy() == k.iloc[:-1].to_numpy()).sum())
-            if first is None:
-                first = k.iloc[0]
-            last = k.iloc[-1]
-        if pid is not None:
-            yield pd.DataFrame({"_pid": [pid], "_n": [n], "_first": [first], "_last": [last],
-                                "_dups": [dups], "_nulls": [nulls]})
-
-    # Without an explicit count the range exchange uses the shuffle-partition
-    # setting and AQE may coalesce adjacent ranges; ids are read from the
-    # exchange output inside the same materialising job, so either is exact.
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols))
     ranged = materialize(ranged.sortWithinPartitions(*order_cols)
                          .withColumn("_mid", F.monotonically_increasing_id()))
-    key = order_cols[0]
-    key_type = ranged.schema[key].dataType.simpleString()
-    # one row per partition reaches the driver; sorted there (no shuffle)
-    summary = sorted(ranged.select(F.col(key).alias("_k"), "_mid")
-                     .mapInPandas(summarize, _summary_schema(key_type)).collect(),
-                     key=lambda r: r["_pid"])
-    if check_unique:
-        _check_unique(summary, key)
-    offsets, running = [], 0
-    for r in summary:
-        offsets.append((r["_pid"], running))
-        running += r["_n"]
-    off = spark.createDataFrame(offsets or [(0, 0)], "_pid long, _off long")
     part = F.shiftright(F.col("_mid"), _POS_BITS)
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    keyed = (ranged.withColumn("_pid", part).withColumn("_pos", pos)
-             .join(F.broadcast(off), "_pid")
-             .withColumn(key_name, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long")))
-    return keyed.drop("_mid", "_pid", "_pos", "_off")
-
-
-def _single_task_rows(spark) -> int:
-    return int(spark.conf.get("torque.keys.singleTaskRows", None) or 1_000_000)
-
-
-def _check_unique_small(df: DataFrame, key: str) -> None:
-    bad = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .filter((F.col("_n") > 1) | F.col(key).isNull()).limit(1).collect())
-    if bad:
-        raise DuplicateKeyError(f"{key}: NULL or repeated key {bad[0][key]!r}")
-
-
-def _range_partitions(spark, df: DataFrame, rows: int | None) -> int | None:
-    """At most ``torque.keys.rowsPerPartition`` rows (default 4M) per range
-    partition; below ``shuffle.partitions`` of those, leave the count to the
-    session (and AQE coalescing)."""
-    per = int(spark.conf.get("torque.keys.rowsPerPartition", None) or 4_000_000)
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.count() if rows is None else rows
-    return -(-rows // per) if rows > per * default else None
-
-
-def _check_unique(summary, key: str) -> None:
-    nulls = sum(r["_nulls"] for r in summary)
-    dups = sum(r["_dups"] for r in summary)
-    # equal keys share a range partition; still verify the ranges do not touch
-    bounds = [(r["_first"], r["_last"]) for r in summary if r["_first"] is not None]
-    touching = sum(1 for (_, a), (b, _) in zip(bounds, bounds[1:]) if not a < b)
-    if nulls or dups or touching:
-        raise DuplicateKeyError(f"{key}: {nulls} NULL keys, {dups + touching} repeated keys")
+    # one row per partition reaches the driver; sorted there (no shuffle)
+    counts = sorted((r["_pid"], r["_n"]) for r in ranged.groupBy(part.alias("_pid"))
+                    .agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, running = [], start
+    for pid, n in counts:
+        offsets.append((pid, running))
+        running += n
+    off = df.sparkSession.createDataFrame(offsets or [(0, start)], "_pid long, _off long")
+    position = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    return (ranged.withColumn("_pid", part).join(F.broadcast(off), "_pid")
+            .withColumn(key_name, (F.col("_off") + position + 1).cast("long"))
+            .drop("_mid", "_pid", "_off"))

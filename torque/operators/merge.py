@@ -20,27 +20,23 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize_counted, max_broadcast_rows
+from torque.operators.joins import materialize_counted, small_enough
 from torque.operators.keys import DuplicateKeyError as MergeKeyError
-from torque.operators.keys import assign_surrogate_keys
+from torque.operators.keys import assign_surrogate_keys, check_unique
 
+__all__ = ["MergeKeyError", "check_source_keys", "merge_upsert"]
 
-def check_source_keys(source: DataFrame, key: str) -> None:
-    """Raise if ``key`` is NULL or repeated in ``source``.
 
-    One aggregation over the source keys (partial per map task); used for
-    MERGEs into an existing table, whose sources are the incoming changes.
-    """
-    bad = (source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .filter((F.col("_n") > 1) | F.col(key).isNull()).limit(1).collect())
-    if bad:
-        raise MergeKeyError(f"merge source has a NULL or duplicate {key}: {bad[0][key]!r}")
+def check_source_keys(source: DataFrame, key: str) -> None:
+    """Raise if ``key`` is NULL or repeated in ``source`` (one partial aggregate)."""
+    check_unique(source, key)
 
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogate: str,
                  now: dt.datetime, check: bool = True,
                  num_partitions: int | None = None, start_key: int | None = None,
-                 materialize_source: bool = True) -> DataFrame:
+                 materialize_source: bool = True,
+                 version: list[str] | None = None) -> DataFrame:
     """Return ``target`` after ``MERGE ... USING source ON key``.
 
     ``target`` columns: surrogate, key, the source's other columns, load_ts.
@@ -48,35 +44,36 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     largest key already used, when ``target`` is only a slice of the table.
     ``materialize_source=False`` for sources that are cheap, deterministic
     scans (dimension sources over bronze tables): they are re-read instead.
+    ``version``: columns that order the versions of a row; a matched row is
+    only overwritten by a greater version (a late or repeated change is not).
     """
     ts = F.lit(now).cast("timestamp_ntz")
     cols = [c for c in source.columns if c != key]
-    # The source feeds the key check, range sampling, the anti join and the
-    # update join: compute it once (reliable checkpoint) so none of them
-    # recomputes its lineage (for the fact: the as-of link and all joins).
+    # The source feeds the key check, the update join and the anti join:
+    # compute it once so none of them recomputes its lineage (for the fact:
+    # the as-of link and all joins).
     rows = None
     if materialize_source:
         source, rows = materialize_counted(source)
+    if check:
+        check_unique(source, key)
     if target is None:
-        # G1 range-partitions and sorts by the key anyway: it proves the key
-        # unique and non-NULL in the same pass that counts rows (no GROUP BY
-        # shuffle of every key)
-        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions,
-                                      check_unique=check, rows=rows)
+        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions)
         return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
-    if check:
-        check_source_keys(source, key)
     start = start_key if start_key is not None else (target.agg(F.max(surrogate)).first()[0] or 0)
     rows = source.count() if rows is None else rows
     # An incremental source (the changes) is usually small next to the
-    # target: below the broadcast limit it is broadcast into one streaming
-    # pass over the target, so the target is never shuffled.
-    small = rows <= max_broadcast_rows(source)
+    # target: below the broadcast limits (rows and bytes) it is broadcast into
+    # one streaming pass over the target, so the target is never shuffled.
+    small = small_enough(source, rows)
     src = source.withColumn("_matched", F.lit(True))
     t, s = target.alias("t"), (F.broadcast(src) if small else src).alias("s")
     # explicit match marker, not coalesce: a NULL in the source must
     # overwrite the target value
     hit = F.col("s._matched").isNotNull()
+    if version:
+        hit = hit & (F.struct(*[F.col(f"s.{c}") for c in version])
+                     > F.struct(*[F.col(f"t.{c}") for c in version]))
     kept = (t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
             .select(F.col(f"t.{surrogate}").alias(surrogate), F.col(f"t.{key}").alias(key),
                     *[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from torque.functions.money import MONEY_SUM, RATIO2, WIDE_MONEY, avg_round, round_div
 from torque.operators.calendar import calendar_months
-from torque.operators.joins import broadcast_bounded, planner_sized as _dim
+from torque.operators.joins import broadcast_bounded
 
 
 def _sum_money(col: str):
@@ -45,7 +45,7 @@ def _time(dim_time: DataFrame, *cols: str) -> DataFrame:
 def rpt_revenue_by_brand(fact: DataFrame, dim_car: DataFrame, dim_time: DataFrame,
                          ordered: bool = False) -> DataFrame:
     """R1 — year, quarter, brand -> sales, revenue, cost, margin, averages."""
-    car = _dim(dim_car.select("car_key", "brand"))
+    car = dim_car.select("car_key", "brand")
     out = (fact.join(car, "car_key").join(_time(dim_time, "year", "quarter_name"), "time_id")
            .groupBy("year", "quarter_name", "brand")
            .agg(_sales_count().alias("total_sales"),
@@ -65,7 +65,7 @@ def rpt_sales_by_region(fact: DataFrame, dim_customer: DataFrame, dim_time: Data
 
     Groups by the month number too (not output) and sorts by it.
     """
-    cust = _dim(dim_customer.select("customer_key", "region", "province"))
+    cust = dim_customer.select("customer_key", "region", "province")
     out = (fact.join(cust, "customer_key")
            .join(_time(dim_time, "year", "month", "month_name"), "time_id")
            .groupBy("region", "province", "year", "month_name", "month")
@@ -81,8 +81,8 @@ def rpt_sales_by_region(fact: DataFrame, dim_customer: DataFrame, dim_time: Data
 def rpt_model_profitability(fact: DataFrame, dim_car: DataFrame,
                             ordered: bool = False) -> DataFrame:
     """R3 — per car model: units, revenue, cost, margin, avg pct, margin per unit."""
-    car = _dim(dim_car.select("car_key", "brand", "model", "brand_model", "segment",
-                                           "manufacture_year"))
+    car = dim_car.select("car_key", "brand", "model", "brand_model", "segment",
+                                           "manufacture_year")
     out = (fact.join(car, "car_key")
            .groupBy("brand", "model", "brand_model", "segment", "manufacture_year")
            .agg(_sales_count().alias("units_sold"),
@@ -104,8 +104,8 @@ def rpt_supplier_performance(fact: DataFrame, dim_supplier: DataFrame, dim_time:
     Groups by name and city, not by key, as the reference does: suppliers
     sharing both merge into one row.
     """
-    supp = _dim(dim_supplier.select("supplier_key", "supplier_name",
-                                    F.col("city").alias("supplier_city")))
+    supp = dim_supplier.select("supplier_key", "supplier_name",
+                                    F.col("city").alias("supplier_city"))
     # Eager aggregation: a fact row's supplier is the winner of its sale day,
     # so (supplier_key, time_id) has at most one value per day. Counting and
     # summing per pair first (partial aggregates, exact: sums are
@@ -183,7 +183,7 @@ def rpt_monthly_trend_filled(fact: DataFrame, dim_time: DataFrame,
 
 def segment_parts(dim_car: DataFrame, parts_car: DataFrame, dim_part: DataFrame) -> DataFrame:
     """R6a — DISTINCT (segment, part_key): parts used by any car of a segment."""
-    car = _dim(dim_car.select("car_id", "segment"))
+    car = dim_car.select("car_id", "segment")
     part = dim_part.select("part_id", "part_key")
     return (parts_car.select("car_id", "part_id").join(car, "car_id").join(part, "part_id")
             .select("segment", "part_key").distinct())
@@ -205,7 +205,7 @@ def rpt_parts_cost_by_segment(fact: DataFrame, dim_car: DataFrame, dim_part: Dat
     of the segment's sales. The share is a window over the (segment,
     category) rows, partitioned by segment.
     """
-    car = _dim(dim_car.select("car_key", "segment", "total_parts_qty"))
+    car = dim_car.select("car_key", "segment", "total_parts_qty")
     # the car's BOM quantity comes from the dimension (as in the reference)
     per_segment = (fact.select("car_key").join(car, "car_key").groupBy("segment")
                    .agg(_sales_count().alias("units_sold"),

@@ -69,6 +69,20 @@ def q_dim_time(spark, sf_dir):
     return _no_ts(gold_for(spark, sf_dir).dim_time)
 
 
+CALENDAR_DAYS = 1461   # four years
+
+
+@register("dim_time_fixed", f"""
+select * from dim_time where full_date < (select min(full_date) from dim_time) + {CALENDAR_DAYS}""")
+def q_dim_time_fixed(spark, sf_dir):
+    """The fixed-range form: a start day (New Year of the first sale's year) and a length."""
+    from torque.operators.calendar import dim_time
+    src, _, _ = bound(spark, sf_dir)
+    first = src.sales.agg(F.min("sale_date")).first()[0]
+    start = dt.date(first.year, 1, 1)
+    return dim_time(spark, start, start + dt.timedelta(days=CALENDAR_DAYS - 1))
+
+
 def _gold(name):
     def fn(spark, sf_dir):
         return _no_ts(getattr(gold_for(spark, sf_dir), name))
@@ -204,24 +218,22 @@ def q_segment_parts(spark, sf_dir):
     return reports.segment_parts(g.dim_car, silver.parts_car, g.dim_part)
 
 
+# every sale meets every part of its segment, one row each
+O.cte("sold_parts", """
+select sold.sale_key, sold.segment, parts.category_name, parts.unit_price * sold.total_parts_qty as cost
+from (select sale_key, segment, dim_car.total_parts_qty from fact_sales join dim_car using (car_key)) sold
+join segment_parts_naive used on used.segment = sold.segment
+join dim_part parts on parts.part_key = used.part_key""")
+
+
 @register("rpt_parts_cost_by_segment", f"""
+with per_category as (
+  select segment, category_name, cast(count(distinct sale_key) as bigint) as units_sold, sum(cost) as est
+  from sold_parts group by segment, category_name),
+per_segment as (select segment, sum(est) as seg_total from per_category group by segment)
 select segment, category_name, units_sold, cast(est as decimal(38,2)) as estimated_category_cost,
        {O.rdiv('est', 'seg_total', 2, 2, 2, 100)} as pct_of_segment_cost
-from (
-  select segment, category_name, units_sold, est, sum(est) over (partition by segment) as seg_total
-  from (
-    select dc.segment, dp.category_name,
-           cast(count(distinct f.sale_key) as bigint) as units_sold,
-           sum(dp.unit_price * dc.total_parts_qty) as est
-    from fact_sales f
-    join dim_car dc on f.car_key = dc.car_key
-    join dim_part dp on dp.part_key in (
-        select distinct dpart.part_key
-        from dim_part dpart
-        join stg_parts_car pc on dpart.part_id = pc.part_id
-        join dim_car dcar on pc.car_id = dcar.car_id
-        where dcar.segment = dc.segment)
-    group by dc.segment, dp.category_name) a) b""")
+from per_category join per_segment using (segment)""")
 def q_rpt_parts_cost_by_segment(spark, sf_dir):
     g = gold_for(spark, sf_dir)
     _, _, silver = bound(spark, sf_dir)
@@ -299,38 +311,45 @@ def q_revenue_by_region(spark, sf_dir):
 from torque.operators import quality  # noqa: E402
 from torque.sources.bindings import AS_OF  # noqa: E402
 
-_QC = {
-    "qc01": """
-select 'QC-01' as check_id, 'NULL PK in SUPPLIER' as description, cast(count(*) as bigint) as failures from src_supplier where supplier_id is null
-union all select 'QC-01', 'NULL PK in CUSTOMERS', count(*) from src_customers where customer_id is null
-union all select 'QC-01', 'NULL PK in CARS', count(*) from src_cars where car_id is null
-union all select 'QC-01', 'NULL PK in PARTS', count(*) from src_parts where part_id is null
-union all select 'QC-01', 'NULL PK in SALES', count(*) from src_sales where sale_id is null""",
-    "qc02": """
-select 'QC-02' as check_id, 'Zero/negative price in PARTS' as description, cast(count(*) as bigint) as failures from src_parts where unit_price <= 0
-union all select 'QC-02', 'Zero/negative price in SALES', count(*) from src_sales where sale_price <= 0""",
-    "qc03": """
-select 'QC-03' as check_id, 'SALES referencing missing Car_ID' as description, cast(count(*) as bigint) as failures
-from src_sales s left join src_cars c on s.car_id = c.car_id where c.car_id is null
-union all select 'QC-03', 'SALES referencing missing Cliente_ID', count(*)
-from src_sales s left join src_customers cu on s.customer_id = cu.customer_id where cu.customer_id is null
-union all select 'QC-03', 'PARTS referencing missing Category_ID', count(*)
-from src_parts p left join src_category ca on p.category_id = ca.category_id where ca.category_id is null""",
-    "qc04": f"""
-select 'QC-04' as check_id, 'Future dates in SALES' as description, cast(count(*) as bigint) as failures
-from src_sales where sale_date > date '{AS_OF.isoformat()}'
-union all select 'QC-04', 'Future dates in FINAL_DELIVERY', count(*)
-from src_final_delivery where delivery_date > date '{AS_OF.isoformat()}'""",
-    "qc05": """
-select 'QC-05' as check_id, 'Duplicate Venta_ID in SALES' as description, cast(count(*) - count(distinct sale_id) as bigint) as failures from src_sales
-union all select 'QC-05', 'Duplicate Car_ID in CARS', count(*) - count(distinct car_id) from src_cars""",
-    "qc06": """
-select 'QC-06' as check_id, 'Sale price below parts cost (potential data error)' as description, cast(count(*) as bigint) as failures
-from (select s.sale_id, s.sale_price, sum(p.unit_price * pc.quantity) as total_parts_cost
-      from src_sales s join src_parts_car pc on s.car_id = pc.car_id join src_parts p on pc.part_id = p.part_id
-      group by s.sale_id, s.sale_price) sub
-where sale_price < total_parts_cost""",
-}
+def _line(check: str, description: str, count: str, rest: str) -> str:
+    return (f"select '{check}' as check_id, '{description}' as description, "
+            f"cast({count} as bigint) as failures from {rest}")
+
+
+def _qc_sql(role: str = "src_{}") -> dict[str, list[str]]:
+    """Oracle lines of every check over the roles named by ``role``."""
+    t = role.format
+    lacks = lambda c, fk, p, pk: (
+        f"{t(c)} where {fk} is null or {fk} not in (select {pk} from {t(p)} where {pk} is not null)")
+    late = f"> date '{AS_OF.isoformat()}'"
+    below = f"""(select sum(cost) > sale_price as low from {t('sales')}
+        join (select car_id, sum(unit_price * quantity) as cost
+              from {t('parts_car')} join {t('parts')} using (part_id) group by car_id) using (car_id)
+        group by sale_id, sale_price) priced where low"""
+    return {
+        "qc01": [_line("QC-01", d, f"count(*) - count({c})", t(x)) for x, c, d in quality.QC01_NULL_PK],
+        "qc02": [_line("QC-02", d, "count(*)", f"{t(x)} where {c} <= 0") for x, c, d in quality.QC02_PRICE],
+        "qc03": [_line("QC-03", d, "count(*)", lacks(c, fk, p, pk))
+                 for c, fk, p, pk, d in quality.QC03_ORPHANS],
+        "qc04": [_line("QC-04", d, "count(*)", f"{t(x)} where {c} {late}")
+                 for x, c, d in quality.QC04_FUTURE],
+        "qc05": [_line("QC-05", d, f"count(*) - count(distinct {c})", t(x))
+                 for x, c, d in quality.QC05_DUPLICATES],
+        "qc06": [_line("QC-06", quality.QC06_DESCRIPTION, "count(*)", below)],
+        "fk": [_line("QC-FK", f"{c}.{fk} -> {p}.{pk}", "count(*)", lacks(c, fk, p, pk))
+               for c, fk, p, pk in quality.FOREIGN_KEYS],
+        "pk": [_line("QC-PK", f"{x}({', '.join(k)})", "count(*) - "
+                     f"(select count(*) from (select distinct {', '.join(k)} from {t(x)}) d)", t(x))
+               for x, k in quality.PRIMARY_KEYS.items()],
+    }
+
+
+def _all_of(*lines: list[str]) -> str:
+    return "\nunion all\n".join(x for group in lines for x in group)
+
+
+_QC = _qc_sql()
+_REPORT = ["qc01", "qc02", "qc03", "qc04", "qc05", "qc06"]
 
 
 def _src_tables(spark, sf_dir):
@@ -338,31 +357,68 @@ def _src_tables(spark, sf_dir):
     return src.as_dict()
 
 
-register("qc01_null_pk", _QC["qc01"])(lambda s, d: quality.qc01_null_pk(_src_tables(s, d)))
-register("qc02_nonpositive_price", _QC["qc02"])(
-    lambda s, d: quality.qc02_nonpositive_price(_src_tables(s, d)))
-register("qc03_orphan_fk", _QC["qc03"])(lambda s, d: quality.qc03_orphan_fk(_src_tables(s, d)))
-register("qc04_future_dates", _QC["qc04"])(
-    lambda s, d: quality.qc04_future_dates(_src_tables(s, d), AS_OF))
-register("qc05_duplicate_pk", _QC["qc05"])(
-    lambda s, d: quality.qc05_duplicate_pk(_src_tables(s, d)))
-register("qc06_price_below_cost", _QC["qc06"])(
-    lambda s, d: quality.qc06_price_below_cost(_src_tables(s, d)))
-register("qc_report", "\nunion all\n".join(f"({_QC[k].strip()})" for k in sorted(_QC)))(
+for _key, _part, _fn in [
+        ("qc01_null_pk", "qc01", quality.qc01_null_pk),
+        ("qc02_nonpositive_price", "qc02", quality.qc02_nonpositive_price),
+        ("qc03_orphan_fk", "qc03", quality.qc03_orphan_fk),
+        ("qc04_future_dates", "qc04", lambda t: quality.qc04_future_dates(t, AS_OF)),
+        ("qc05_duplicate_pk", "qc05", quality.qc05_duplicate_pk),
+        ("qc06_price_below_cost", "qc06", quality.qc06_price_below_cost),
+        ("qc_orphans_all", "fk", quality.qc_orphans_all),
+        ("qc_duplicates_all", "pk", quality.qc_duplicates_all)]:
+    register(_key, _all_of(_QC[_part]))(lambda s, d, fn=_fn: fn(_src_tables(s, d)))
+register("qc_report", _all_of(*[_QC[k] for k in _REPORT]))(
     lambda s, d: quality.qc_report(_src_tables(s, d), AS_OF))
 
-_FK_SQL = "\nunion all\n".join(
-    f"select 'QC-FK' as check_id, '{c}.{fk} -> {p}.{pk}' as description, cast(count(*) as bigint) as failures "
-    f"from src_{c} x where not exists (select 1 from src_{p} y where y.{pk} = x.{fk})"
-    for c, fk, p, pk in quality.FOREIGN_KEYS)
-register("qc_orphans_all", _FK_SQL)(lambda s, d: quality.qc_orphans_all(_src_tables(s, d)))
-
-_PK_SQL = "\nunion all\n".join(
-    f"select 'QC-PK' as check_id, '{t}({', '.join(k)})' as description, "
-    f"cast(coalesce(sum(n - 1), 0) as bigint) as failures "
-    f"from (select count(*) as n from src_{t} group by {', '.join(k)}) g"
-    for t, k in quality.PRIMARY_KEYS.items())
-register("qc_duplicates_all", _PK_SQL)(lambda s, d: quality.qc_duplicates_all(_src_tables(s, d)))
+# The same checks over spoilt roles, so that every one of them has failures to
+# count: the whole roles with the columns below changed by a rule on their keys,
+# and the rows whose first key column is divisible by REPEATED a second time.
+REPEATED = 31
+SPOILT = {
+    "supplier": {"supplier_id": "case when supplier_id % 7 <> 0 then supplier_id end"},
+    "customers": {"customer_id": "case when customer_id % 11 <> 0 then customer_id end"},
+    "category": {},
+    "cars": {"car_id": "case when car_id % 13 <> 0 then car_id end"},
+    "parts": {"part_id": "case when part_id % 17 <> 0 then part_id end",
+              "unit_price": "case when part_id % 5 = 0 then -unit_price else unit_price end",
+              "category_id": "case when part_id % 9 = 0 then category_id + 1000 else category_id end"},
+    "parts_car": {"car_id": "case when part_id % 47 = 0 then -car_id else car_id end",
+                  "part_id": "case when part_id % 53 = 0 then -part_id else part_id end"},
+    "final_delivery": {"supplier_id": "case when delivery_id % 37 = 0 then -supplier_id else supplier_id end"},
+    "lot_delivery": {"delivery_id": "case when part_id % 41 = 0 then -delivery_id else delivery_id end",
+                     "part_id": "case when part_id % 43 = 0 then null else part_id end"},
+    "sales": {"sale_id": "case when sale_id % 19 <> 0 then sale_id end",
+              "sale_price": "case when sale_id % 23 = 0 then 0 else sale_price end",
+              "customer_id": "case when sale_id % 29 = 0 then -customer_id else customer_id end",
+              "car_id": "case when sale_id % 59 = 0 then -car_id else car_id end"},
+}
+# one category is enough to be repeated: there are only a few
+_AGAIN = {t: f"{k[0]} % {2 if t == 'category' else REPEATED} = 0"
+          for t, k in quality.PRIMARY_KEYS.items()}
+
+
+def spoilt_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    from torque.schemas import SOURCE, conform
+    out = {}
+    for name, df in _src_tables(spark, sf_dir).items():
+        rows = df.unionByName(df.filter(_AGAIN[name]))
+        out[name] = conform(rows.selectExpr(
+            *[f"{SPOILT[name].get(c, c)} as {c}" for c in df.columns]), SOURCE[name])
+    return out
+
+
+for _name, _changes in SPOILT.items():
+    from torque.schemas import SOURCE as _SOURCE
+    _cols = ", ".join(f"{_changes.get(c, c)} as {c}" for c in _SOURCE[_name].names)
+    O.cte(f"bad_{_name}", f"""
+select {_cols} from (select * from src_{_name} union all select * from src_{_name} where {_AGAIN[_name]}) twice""")
+_BAD = _qc_sql("bad_{}")
+register("qc_report_spoilt", _all_of(*[_BAD[k] for k in _REPORT]))(
+    lambda s, d: quality.qc_report(spoilt_tables(s, d), AS_OF))
+register("qc_orphans_spoilt", _all_of(_BAD["fk"]))(
+    lambda s, d: quality.qc_orphans_all(spoilt_tables(s, d)))
+register("qc_duplicates_spoilt", _all_of(_BAD["pk"]))(
+    lambda s, d: quality.qc_duplicates_all(spoilt_tables(s, d)))
 
 
 @register("qc_duplicates_lineitem", """
@@ -421,10 +477,12 @@ select cast(case when l1.customer_key is not null then l1.customer_key
 from cust_load2 l2 left join cust_load1 l1 on l1.customer_id = l2.customer_id""")
 
 
-@register("merge_insert", "select * from cust_load1")
+@register("merge_insert", "select * from dim_customer")
 def q_merge_insert(spark, sf_dir):
-    cfg, load1, _ = _customer_loads(spark, sf_dir)
-    return _no_ts(_merge(None, load1, cfg))
+    """First load: every customer into an empty table."""
+    _, cfg, silver = bound(spark, sf_dir)
+    full = dims.dim_customer_source(silver.customers, cfg.region_by_province)
+    return _no_ts(_merge(None, full, cfg))
 
 
 @register("merge_update", "select * from cust_after_load2")
@@ -440,9 +498,70 @@ def q_merge_idempotent(spark, sf_dir):
     return _no_ts(_merge(once, load2, cfg))
 
 
+# Second loads of the other gold tables: first the rows of even id, then every
+# row, with one column changed where id % 3 = 0.
+SECOND_LOADS = {  # key: (table, natural key, surrogate, changed column, its new value)
+    "merge_supplier": ("dim_supplier", "supplier_id", "supplier_key", "city", "concat(city, '*')"),
+    "merge_part": ("dim_part", "part_id", "part_key", "color", "concat(color, '*')"),
+    "merge_car": ("dim_car", "car_id", "car_key", "segment", "concat(segment, '*')"),
+    "merge_fact": ("fact_sales", "sale_id", "sale_key", "total_parts_qty", "total_parts_qty + 1"),
+}
+
+
+def _second_load_sql(table: str, key: str, surrogate: str, column: str, value: str) -> str:
+    return f"""
+with old as (select {key}, row_number() over (order by {key}) as n from {table} where {key} % 2 = 0),
+numbered as (
+  select {table}.*, old.n, row_number() over (partition by old.n is null order by {table}.{key}) as late
+  from {table} left join old using ({key}))
+select * exclude (n, late) replace (
+  cast(coalesce(n, (select count(*) from old) + late) as bigint) as {surrogate},
+  case when {key} % 3 = 0 then {value} else {column} end as {column})
+from numbered"""
+
+
+def _two_loads(spark, sf_dir, name):
+    """(first load, second load, configuration) of a gold table."""
+    table, key, surrogate, column, value = SECOND_LOADS[name]
+    _, cfg, _ = bound(spark, sf_dir)
+    full = getattr(gold_for(spark, sf_dir), table).drop(surrogate, "load_ts")
+    kind = full.schema[column].dataType
+    changed = full.withColumn(column, F.expr(
+        f"case when {key} % 3 = 0 then {value} else {column} end").cast(kind))
+    return full.filter(f"{key} % 2 = 0"), changed, cfg
+
+
+def _register_second_load(name):
+    table, key, surrogate, column, value = SECOND_LOADS[name]
+
+    def run(spark, sf_dir):
+        first, second, cfg = _two_loads(spark, sf_dir, name)
+        target = materialize(merge_upsert(None, first, key, surrogate, cfg.now))
+        return _no_ts(merge_upsert(target, second, key, surrogate, cfg.now))
+    register(name, _second_load_sql(table, key, surrogate, column, value))(run)
+
+
+for _key in SECOND_LOADS:
+    _register_second_load(_key)
+
+
+@register("fact_incremental_months",
+          f"select *, time_id // 100 as sale_month from ({_second_load_sql(*SECOND_LOADS['merge_fact'])}) f")
+def q_fact_incremental_months(spark, sf_dir):
+    """E3: the second load of the fact through its month partitions."""
+    import uuid
+    from torque.operators.history import merge_fact_months
+    from torque.plans.warehouse import warehouse_root, write_fact_by_month
+    first, second, cfg = _two_loads(spark, sf_dir, "merge_fact")
+    path = f"{warehouse_root(spark)}/fact_{uuid.uuid4().hex}"
+    write_fact_by_month(merge_upsert(None, first, "sale_id", "sale_key", cfg.now), path)
+    merge_fact_months(spark, path, second, cfg.now)
+    return _no_ts(spark.read.parquet(path))
+
+
 # ---- loads and summaries (S2, S12) ----------------------------------------------------
 from torque.sources import sinks  # noqa: E402
-from torque.schemas import LOAD_ORDER  # noqa: E402
+from torque.schemas import GOLD, LOAD_ORDER  # noqa: E402
 
 O.cte("load_counts", "\nunion all\n".join(
     f"select '{t}' as table_name, cast(count(*) as bigint) as row_count from src_{t}"
@@ -455,6 +574,29 @@ def q_load_summary(spark, sf_dir):
     return sinks.load_summary(src.as_dict())
 
 
+@register("init_tables", """
+select 'dim_customer' as table_name, cast(0 as bigint) as rows_before, cast(count(*) as bigint) as rows_after from dim_customer
+union all select 'dim_supplier', 0, count(*) from dim_supplier
+union all select 'dim_part', 0, count(*) from dim_part
+union all select 'dim_car', 0, count(*) from dim_car
+union all select 'fact_sales', 0, count(*) from fact_sales""")
+def q_init_tables(spark, sf_dir):
+    """S10: empty gold tables are created, then loaded; row counts of both states."""
+    from torque.plans.warehouse import warehouse_root
+    store = sinks.SnapshotStore(spark, warehouse_root(spark))
+    sinks.init_tables(store)
+    before = {t: store.read(t) for t in GOLD if t != "dim_time"}
+    out = None
+    for name, empty in before.items():
+        version = store.latest(name)
+        store.write(name, getattr(gold_for(spark, sf_dir), name))
+        row = (empty.agg(F.count(F.lit(1)).alias("rows_before")).join(
+            store.read(name, version + 1).agg(F.count(F.lit(1)).alias("rows_after")))
+            .select(F.lit(name).alias("table_name"), "rows_before", "rows_after"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("load_truncate_insert", "select * from src_sales")
 def q_load_truncate_insert(spark, sf_dir):
     """Round trip: load the sales role into a snapshot table and read it back."""
@@ -471,43 +613,110 @@ def q_load_truncate_insert(spark, sf_dir):
 
 
 # ---- generators (S4-S9): keyed by the test tables' own ids ---------------------------
-# Hash-drawn values cannot be reproduced in another engine, so these keys get a
-# rows-only check (no oracle); the BOM explode is a round trip and has one.
+# Draws are bits of an MD5 digest, which the oracles restate.
+from torque.config import GENERATOR_END, GENERATOR_START  # noqa: E402
 from torque.sources import generators as G  # noqa: E402
 from torque.sources.bindings import read_test_table  # noqa: E402
 
 
-@register("gen_suppliers")
+SEED = 42
+
+
+def _draw(key: str, tag: str) -> str:
+    return f"cast('0x' || substr(md5(concat_ws('|', '{SEED}', {key}, {tag})), 1, 15) as bigint)"
+
+
+def _between(key: str, tag: str, lo, hi) -> str:
+    return f"({lo} + {_draw(key, tag)} % (({hi}) - ({lo}) + 1))"
+
+
+def _one_of(values: list[str], key: str, tag: str) -> str:
+    return f"[{', '.join(repr(v) for v in values)}][{_draw(key, tag)} % {len(values)} + 1]"
+
+
+def _person(role: str, name: str, first, last, highest: int, source: str, key: str) -> str:
+    cities, provinces = zip(*G.PLACES)
+    place = f"'{role}.place'"
+    return f"""
+select {key} as {name}_id,
+       {_one_of(first[0], key, f"'{role}.{first[1]}'")} || ' ' || {_one_of(last[0], key, f"'{role}.{last[1]}'")} as {name}_name,
+       cast({_between(key, f"'{role}.address.no'", 1, highest)} as varchar) || ' '
+         || {_one_of(G.STREETS, key, f"'{role}.address.street'")} as address,
+       {_one_of(list(cities), key, place)} as city, {_one_of(list(provinces), key, place)} as province
+from {source}"""
+
+
+def _date(key: str, tag: str) -> str:
+    days = (GENERATOR_END - GENERATOR_START).days
+    return f"cast(date '{GENERATOR_START}' + cast({_between(key, tag, 0, days)} as integer) as date)"
+
+
+@register("gen_suppliers", _person("supplier", "supplier", (G.TRADES, "trade"), (G.FORMS, "form"),
+                                   200, "supplier", "s_suppkey"))
 def q_gen_suppliers(spark, sf_dir):
     ids = read_test_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
-    return G.gen_suppliers(ids)
+    return G.gen_suppliers(ids, SEED)
 
 
-@register("gen_customers")
+@register("gen_customers", _person("customer", "customer", (G.FIRST_NAMES, "first"),
+                                   (G.LAST_NAMES, "last"), 300, "customer", "c_custkey"))
 def q_gen_customers(spark, sf_dir):
     ids = read_test_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return G.gen_customers(ids)
+    return G.gen_customers(ids, SEED)
 
 
-@register("bom_explode", "select car_id, part_id, quantity from stg_parts_car")
+@register("bom_explode", """
+select p_partkey // 12 + 1 as car_id, p_partkey as part_id, cast(1 + p_size % 2 as int) as quantity
+from part""")
 def q_bom_explode(spark, sf_dir):
-    src, _, _ = bound(spark, sf_dir)
-    bom_map = (src.parts_car.groupBy("car_id")
-               .agg(F.collect_list(F.struct("part_id", "quantity")).alias("parts")))
+    """Nested bills of materials, gathered from the part table (twelve neighbouring
+    keys a car, so each list is short by construction), flattened again."""
+    part = read_test_table(spark, sf_dir, "part")
+    bom_map = (part.groupBy((F.floor(F.col("p_partkey") / 12) + 1).alias("car_id"))
+               .agg(F.collect_list(F.struct(F.col("p_partkey").alias("part_id"),
+                                            (1 + F.col("p_size") % 2).alias("quantity")))
+                    .alias("parts")))
     return G.bom_explode(bom_map)
 
 
-@register("gen_deliveries")
+_steps = ""
+for _i in range(5):
+    _at = _between("delivery_id", f"'delivery.part.{_i}'", 0, f"n - k + {_i}")
+    _steps += f""",
+s{_i + 1} as (select delivery_id, delivery_date, n, k, case when {_i} >= k then taken
+      when list_contains(taken, {_at}) then list_append(taken, n - k + {_i})
+      else list_append(taken, {_at}) end as taken from s{_i})"""
+
+
+@register("gen_deliveries", f"""
+with s0 as (
+  select delivery_id, {_date('delivery_id', "'delivery.date'")} as delivery_date, n,
+         least({_between('delivery_id', "'delivery.k'", 2, 5)}, n) as k, []::bigint[] as taken
+  from src_final_delivery, (select count(*) as n from dim_part) c){_steps},
+lots as (select delivery_id, delivery_date, unnest(taken) + 1 as part_key from s5)
+select delivery_id, part_id, delivery_date,
+       cast({_between("concat_ws('|', delivery_id, part_id)", "'lot.qty'", 20, 200)} as integer) as quantity
+from lots join dim_part using (part_key)""")
 def q_gen_deliveries(spark, sf_dir):
     src, _, _ = bound(spark, sf_dir)
     g = gold_for(spark, sf_dir)
     ids = src.final_delivery.select(F.col("delivery_id").alias("id"))
     parts = g.dim_part.select(F.col("part_key").alias("part_idx"), "part_id")
-    _, lots = G.gen_deliveries(ids, src.supplier.count(), parts, g.dim_part.count())
+    _, lots = G.gen_deliveries(ids, src.supplier.count(), parts, g.dim_part.count(), SEED)
     return lots
 
 
-@register("gen_sales")
+@register("gen_sales", f"""
+with drawn as (
+  select sale_id, {_between('sale_id', "'sale.customer'", 1, '(select count(*) from src_customers)')} as customer_id,
+         {_between('sale_id', "'sale.car'", 1, '(select count(*) from dim_car)')} as car_key,
+         {_date('sale_id', "'sale.date'")} as sale_date,
+         cast(1 + cast({_between('sale_id', "'sale.variation'", -10000, 10000)} as decimal(9,0))
+              * cast(0.00001 as decimal(6,5)) as decimal(9,5)) as factor
+  from src_sales)
+select sale_id, customer_id, car_id, sale_date,
+       cast(round(cast(2 * total_parts_cost as decimal(12,2)) * factor, 2) as decimal(12,2)) as sale_price
+from drawn join dim_car using (car_key) join bom_cost using (car_id)""")
 def q_gen_sales(spark, sf_dir):
     src, _, _ = bound(spark, sf_dir)
     g = gold_for(spark, sf_dir)
@@ -516,7 +725,7 @@ def q_gen_sales(spark, sf_dir):
               .join(staging.bom_cost(src.parts_car, src.parts), "car_id")
               .select("car_idx", "car_id",
                       (F.col("total_parts_cost") * F.lit(2)).cast("decimal(12,2)").alias("base_price")))
-    return G.gen_sales(ids, src.customers.count(), prices, g.dim_car.count())
+    return G.gen_sales(ids, src.customers.count(), prices, g.dim_car.count(), SEED)
 
 
 # ---- extensions (E1, E2) -----------------------------------------------------------------
@@ -557,6 +766,41 @@ def q_scd2_customer(spark, sf_dir):
     return _no_ts(h2)
 
 
+O.cte("scd_after_2", ORACLES["scd2_customer"][ORACLES["scd2_customer"].rindex("\nselect customer_key"):])
+AGAIN = " (again)"
+
+
+@register("scd2_same_day", f"""
+with top as (select max(customer_key) as k from scd_after_2),
+third as (select customer_id from cust_src where customer_id % 15 = 0)
+select h.customer_key, h.customer_id, h.customer_name, h.address, h.city,
+       case when h.is_current and h.valid_from = date '{SCD_LOAD2}' and h.customer_id % 15 = 0
+            then h.province || '{AGAIN}' else h.province end as province,
+       h.region, h.valid_from,
+       case when h.is_current and h.valid_from < date '{SCD_LOAD2}' and h.customer_id % 15 = 0
+            then date '{SCD_LOAD2 - dt.timedelta(days=1)}' else h.valid_to end as valid_to,
+       h.is_current and not (h.valid_from < date '{SCD_LOAD2}' and h.customer_id % 15 = 0) as is_current
+from scd_after_2 h
+union all
+select cast(k + row_number() over (order by h.customer_id) as bigint), h.customer_id, h.customer_name,
+       h.address, h.city, h.province || '{AGAIN}', 'Other', date '{SCD_LOAD2}', cast(null as date), true
+from scd_after_2 h, top
+where h.is_current and h.valid_from < date '{SCD_LOAD2}' and h.customer_id % 15 = 0""")
+def q_scd2_same_day(spark, sf_dir):
+    """A third load dated like the second: every fifteenth id changes again. Ids
+    that the second load changed are replaced in place, others get a version."""
+    _, cfg, silver = bound(spark, sf_dir)
+    moved = F.when(F.col("customer_id") % 10 == 0, F.concat("province", F.lit(MOVED))).otherwise(
+        F.col("province"))
+    again = F.when(F.col("customer_id") % 15 == 0, F.concat(moved, F.lit(AGAIN))).otherwise(moved)
+    h = None
+    for province, day in ((F.col("province"), SCD_LOAD1), (moved, SCD_LOAD2), (again, SCD_LOAD2)):
+        load = dims.dim_customer_source(silver.customers.withColumn("province", province),
+                                        cfg.region_by_province)
+        h = materialize(scd2_merge(h, load, "customer_id", "customer_key", TRACKED, day, cfg.now))
+    return _no_ts(h)
+
+
 @register("cdc_latest", """
 select event_id, ts, user_id, event_type, value, props from (
   select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) x
@@ -568,26 +812,33 @@ def q_cdc_latest(spark, sf_dir):
     return latest_per_key(events, "user_id", ["ts", "event_id"])
 
 
-@register("cdc_stream_merge", """
-select cast(row_number() over (order by user_id) as bigint) as user_key, user_id, event_id, ts,
-       event_type, value, props
-from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+FEED_BATCHES = 3   # events reach the feed in three deliveries, by event_id % 3
+
+
+@register("cdc_stream_merge", f"""
+select cast(row_number() over (order by first_batch, user_id) as bigint) as user_key, user_id,
+       event_id, ts, event_type, value, props
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn,
+             min(event_id % {FEED_BATCHES}) over (partition by user_id) as first_batch
       from events) x
 where rn = 1""")
 def q_cdc_stream_merge(spark, sf_dir):
-    """E2 end to end: the events table read as a change feed with Structured
-    Streaming (availableNow), each micro-batch deduplicated to the latest
-    version per user and MERGEd into a snapshot table with surrogate keys."""
+    """E2 end to end: the events table as a change feed read with Structured
+    Streaming. It arrives in several deliveries, each full of changes that are
+    older than ones already merged; the result is the latest version per user."""
     import uuid
     from torque.plans.warehouse import warehouse_root
     from torque.session import ensure_checkpoint_dir
+    from torque.sources.bindings import NOW
     from torque.sources.sinks import SnapshotStore
-    from torque.streaming.cdc import file_stream_path, run_change_feed
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    store = SnapshotStore(spark, warehouse_root(spark))
+    from torque.streaming.cdc import run_change_feed
+    events = read_test_table(spark, sf_dir, "events")
+    root = warehouse_root(spark)
+    store, feed = SnapshotStore(spark, root), f"{root}/feed"
     ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
-    from torque.sources.bindings import NOW
-    run_change_feed(spark, file_stream_path(path), schema, store, "user_latest", "user_id",
-                    ["ts", "event_id"], "user_key", ckpt, now=NOW)
+    for k in range(FEED_BATCHES):
+        (events.filter(F.col("event_id") % FEED_BATCHES == k)
+         .write.mode("append").parquet(feed))
+        run_change_feed(spark, feed, events.schema, store, "user_latest", "user_id",
+                        ["ts", "event_id"], "user_key", ckpt, now=NOW)
     return _no_ts(store.read("user_latest"))

@@ -1,8 +1,8 @@
 """Independent SQL oracles (DuckDB dialect) for the query catalogue.
 
 Written naively from the reference's semantics — grouped fan-out joins,
-``ROW_NUMBER`` keys, a native ``ASOF JOIN``, the correlated segment-parts
-set — so the Spark rewrites are checked against un-rewritten forms. Each
+``ROW_NUMBER`` keys, a native ``ASOF JOIN``, a sale-by-part expansion of the
+segment report — so the Spark rewrites are checked against un-rewritten forms. Each
 oracle is one statement: the FIXTURES binding and the model layers are
 inlined as a ``WITH`` prefix assembled from the named CTEs below.
 
@@ -47,7 +47,7 @@ def cte(name: str, sql: str) -> None:
     CTES[name] = sql.strip()
 
 
-# FIXTURES §2 binding (runs unchanged in Spark SQL and DuckDB)
+# FIXTURES §2 binding
 cte("src_supplier", """
 select s_suppkey as supplier_id, s_name as supplier_name, cast(null as varchar(10)) as address,
        n_name as city, r_name as province
@@ -65,22 +65,19 @@ select p_partkey as part_id, p_name as part_name,
        cast(p_retailprice as decimal(10,2)) as unit_price, category_id
 from part join src_category on category_name = split_part(p_name, ' ', 2)""")
 cte("src_cars", """
-select cast(row_number() over (order by p_brand, p_type) as bigint) as car_id, p_brand as brand, p_type as model,
-       cast(1995 + (row_number() over (order by p_brand, p_type)) % 7 as int) as manufacture_year
-from (select distinct p_brand, p_type from part) x""")
+select car_id, brand, model, cast(1995 + car_id % 7 as int) as manufacture_year
+from (select p_partkey // 12 + 1 as car_id, arg_min(p_brand, p_partkey) as brand,
+             arg_min(p_type, p_partkey) as model
+      from part group by p_partkey // 12) firsts""")
 cte("src_parts_car", """
-select car_id, part_id, quantity from (
-  select c.car_id, p_partkey as part_id, cast(1 + p_size % 2 as int) as quantity,
-         row_number() over (partition by c.car_id order by p_partkey) as rn
-  from part join src_cars c on p_brand = c.brand and p_type = c.model) x
-where rn <= 12""")
+select p_partkey // 12 + 1 as car_id, p_partkey as part_id, cast(1 + p_size % 2 as int) as quantity
+from part""")
 cte("src_sales", """
-select o_orderkey as sale_id, o_custkey as customer_id, c.car_id, cast(o_orderdate as date) as sale_date,
-       cast(o_totalprice as decimal(12,2)) as sale_price
+select o_orderkey as sale_id, o_custkey as customer_id, lead_part // 12 + 1 as car_id,
+       cast(o_orderdate as date) as sale_date, cast(o_totalprice as decimal(12,2)) as sale_price
 from orders
-left join (select l_orderkey, min(l_partkey) as lead_part from lineitem group by l_orderkey) l on o_orderkey = l_orderkey
-left join part on p_partkey = lead_part
-left join src_cars c on p_brand = c.brand and p_type = c.model""")
+left join (select l_orderkey, min(l_partkey) as lead_part from lineitem group by l_orderkey) l
+       on o_orderkey = l_orderkey""")
 cte("src_final_delivery", """
 select distinct l_suppkey * 100000000 + year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) as delivery_id,
        l_suppkey as supplier_id, cast(l_shipdate as date) as delivery_date
@@ -109,15 +106,17 @@ cte("stg_parts", """
 select p.part_id, trim(p.part_name) as part_name, trim(coalesce(p.color, 'Unknown')) as color,
        cast(p.unit_price as decimal(10,2)) as unit_price, p.category_id, trim(c.category_name) as category_name
 from src_parts p join src_category c on p.category_id = c.category_id""")
+cte("bom_lines", """
+select lines.car_id, lines.part_id, lines.quantity, priced.unit_price * lines.quantity as line_cost
+from src_parts_car lines, src_parts priced where priced.part_id = lines.part_id""")
 cte("stg_sales", """
-select s.sale_id, s.customer_id, s.car_id, cast(s.sale_date as date) as sale_date,
-       cast(s.sale_price as decimal(12,2)) as sale_price,
-       cast(sum(p.unit_price * pc.quantity) as decimal(12,2)) as total_parts_cost,
-       cast(s.sale_price - sum(p.unit_price * pc.quantity) as decimal(12,2)) as gross_margin
-from src_sales s
-join src_parts_car pc on s.car_id = pc.car_id
-join src_parts p on pc.part_id = p.part_id
-group by s.sale_id, s.customer_id, s.car_id, s.sale_date, s.sale_price""")
+with costed as (
+  select src_sales.*, (select sum(line_cost) from bom_lines where bom_lines.car_id = src_sales.car_id) as cost
+  from src_sales)
+select sale_id, customer_id, car_id, sale_date, sale_price,
+       cast(cost as decimal(12,2)) as total_parts_cost,
+       cast(sale_price - cost as decimal(12,2)) as gross_margin
+from costed where cost is not null""")
 cte("stg_parts_car", "select car_id, part_id, quantity from src_parts_car")
 cte("stg_final_delivery", """
 select delivery_id, supplier_id, cast(delivery_date as date) as delivery_date from src_final_delivery""")
@@ -125,8 +124,7 @@ cte("stg_lot_delivery", """
 select delivery_id, part_id, cast(delivery_date as date) as delivery_date, quantity as quantity_delivered
 from src_lot_delivery""")
 cte("bom_cost", """
-select pc.car_id, cast(sum(p.unit_price * pc.quantity) as decimal(12,2)) as total_parts_cost
-from src_parts_car pc join src_parts p on pc.part_id = p.part_id group by pc.car_id""")
+select car_id, cast(sum(line_cost) as decimal(12,2)) as total_parts_cost from bom_lines group by car_id""")
 cte("bom_counts", """
 select car_id, cast(count(distinct part_id) as integer) as unique_parts_count,
        cast(sum(quantity) as integer) as total_parts_qty
@@ -164,18 +162,17 @@ cte("dim_part", """
 select cast(row_number() over (order by part_id) as bigint) as part_key, part_id, part_name, color, unit_price,
        category_id, category_name
 from stg_parts""")
+cte("segment_names", """
+select * from (values ('PROMO', 'Electric'), ('LARGE', 'SUV'), ('ECONOMY', 'Subcompact'),
+                      ('SMALL', 'Compact')) v(model_name, segment_name)""")
 cte("dim_car", """
-select cast(row_number() over (order by c.car_id) as bigint) as car_key, c.car_id, c.brand, c.model,
-       c.manufacture_year, c.brand || ' ' || c.model as brand_model,
-       case when c.model in ('PROMO') then 'Electric'
-            when c.model in ('LARGE') then 'SUV'
-            when c.model in ('ECONOMY') then 'Subcompact'
-            when c.model in ('SMALL') then 'Compact'
-            else 'Other' end as segment,
-       cast(count(distinct pc.part_id) as integer) as unique_parts,
-       cast(sum(pc.quantity) as integer) as total_parts_qty
-from stg_cars c join stg_parts_car pc on c.car_id = pc.car_id
-group by c.car_id, c.brand, c.model, c.manufacture_year""")
+with known as (
+  select stg_cars.*, bom_counts.unique_parts_count, bom_counts.total_parts_qty as qty
+  from bom_counts join stg_cars using (car_id))
+select cast(row_number() over (order by car_id) as bigint) as car_key, car_id, brand, model, manufacture_year,
+       concat(brand, ' ', model) as brand_model, coalesce(segment_name, 'Other') as segment,
+       unique_parts_count as unique_parts, qty as total_parts_qty
+from known left join segment_names on model_name = model""")
 cte("day_winner", """
 select delivery_date, supplier_id from (
   select delivery_date, supplier_id,
@@ -184,18 +181,19 @@ select delivery_date, supplier_id from (
 cte("supplier_per_sale", """
 select s.sale_id, w.supplier_id, w.delivery_date
 from stg_sales s asof join day_winner w on s.sale_date >= w.delivery_date""")
+cte("linked_sales", """
+select stg_sales.*, (select customer_key from dim_customer where dim_customer.customer_id = stg_sales.customer_id) as customer_key,
+       (select car_key from dim_car where dim_car.car_id = stg_sales.car_id) as car_key,
+       (select supplier_key from dim_supplier join supplier_per_sale using (supplier_id)
+        where supplier_per_sale.sale_id = stg_sales.sale_id) as supplier_key
+from stg_sales""")
 cte("fact_src", f"""
-select dc.car_key, dcu.customer_key, ds.supplier_key,
-       cast(year(ss.sale_date) * 10000 + month(ss.sale_date) * 100 + day(ss.sale_date) as integer) as time_id,
-       ss.sale_id, ss.sale_price, ss.total_parts_cost, ss.gross_margin,
-       {rdiv('ss.gross_margin', 'ss.sale_price', 2, 2, 4, out_type='decimal(6,4)')} as gross_margin_pct,
-       bc.unique_parts_count, bc.total_parts_qty
-from stg_sales ss
-join dim_car dc on ss.car_id = dc.car_id
-join dim_customer dcu on ss.customer_id = dcu.customer_id
-join supplier_per_sale sps on ss.sale_id = sps.sale_id
-join dim_supplier ds on sps.supplier_id = ds.supplier_id
-join bom_counts bc on ss.car_id = bc.car_id""")
+select car_key, customer_key, supplier_key, cast(strftime(sale_date, '%Y%m%d') as integer) as time_id,
+       sale_id, sale_price, total_parts_cost, gross_margin,
+       {rdiv('gross_margin', 'sale_price', 2, 2, 4, out_type='decimal(6,4)')} as gross_margin_pct,
+       unique_parts_count, total_parts_qty
+from linked_sales join bom_counts using (car_id)
+where customer_key is not null and car_key is not null and supplier_key is not null""")
 cte("fact_sales", """
 select cast(row_number() over (order by sale_id) as bigint) as sale_key, * from fact_src""")
 
@@ -223,5 +221,7 @@ def with_ctes(final: str) -> str:
             _deps(name, order)
     if not order:
         return final.strip()
+    if final.strip().startswith("with "):
+        final = f"select * from (\n{final.strip()}\n) final"
     parts = ",\n".join(f"{n} as (\n{CTES[n]}\n)" for n in order)
     return f"with {parts}\n{final.strip()}"

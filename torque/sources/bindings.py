@@ -1,18 +1,17 @@
 """Binding of the driver's test tables to the nine source roles (FIXTURES §2).
 
-An order is a sale; a car model is a (brand, type) pair of parts whose bill
-of materials is the pair's first 12 parts; a delivery is one supplier on one
-ship date. Every role is a lazy DataFrame over the test tables, so all work
+An order is a sale; a car is a run of twelve neighbouring part keys, which
+are its bill of materials (so every part belongs to exactly one car, and cars
+grow with the parts); a delivery is one supplier on one ship date. Every role is a lazy DataFrame over the test tables, so all work
 grows with the data and Catalyst prunes columns down to the Parquet scans.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from torque.functions.money import MONEY, UNIT_PRICE
@@ -36,7 +35,7 @@ KEPT_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
 # calendar: the whole years spanned by the sales (1995-01-01 .. 2001-12-31 here)
 AS_OF = dt.date(2001, 6, 30)           # QC-04 "current date"
 NOW = dt.datetime(2001, 6, 30, 12, 0)  # load_ts of bound loads
-BOM_PARTS_PER_CAR = 12
+PART_KEYS_PER_CAR = 12                 # part keys k with equal k div 12 make up one car
 COLOR_WORDS = ["red", "blue"]
 # ----------------------------------------------------------------------------
 
@@ -78,6 +77,10 @@ def _word(col: str, i: int):
     return F.split_part(F.col(col), F.lit(" "), F.lit(i))
 
 
+def _car_of(part_key: str):
+    return (F.floor(F.col(part_key) / PART_KEYS_PER_CAR) + 1).cast("long")
+
+
 def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
     t = {n: read_test_table(spark, sf_dir, n)
          for n in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]}
@@ -101,18 +104,10 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
 
     part = t["part"]
     # Category vocabulary: second word of the part name, numbered in name
-    # order. Dense numbering uses the distributed key assignment (G1), not a
-    # single-task ORDER BY window, whatever the vocabulary size.
-    # Car models: distinct (brand, type) pairs, numbered in (brand, type) order.
-    # The two numberings are independent jobs, submitted concurrently.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        cat_job = pool.submit(lambda: assign_surrogate_keys(
-            part.select(_word("p_name", 2).alias("category_name")).distinct(),
-            "category_id", ["category_name"]))
-        car_job = pool.submit(lambda: assign_surrogate_keys(
-            part.select("p_brand", "p_type").distinct(), "car_id", ["p_brand", "p_type"]))
-        category = cat_job.result().select("category_id", "category_name")
-        models = car_job.result()
+    # order by the distributed key assignment (G1).
+    category = assign_surrogate_keys(
+        part.select(_word("p_name", 2).alias("category_name")).distinct(),
+        "category_id", ["category_name"]).select("category_id", "category_name")
 
     parts = (part.join(category, _word("p_name", 2) == F.col("category_name"))
              .select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("part_name"),
@@ -121,30 +116,22 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> Sources:
                      F.col("p_retailprice").cast(UNIT_PRICE).alias("unit_price"),
                      "category_id"))
 
-    cars = models.select("car_id", F.col("p_brand").alias("brand"), F.col("p_type").alias("model"),
-                         (F.lit(1995) + F.col("car_id") % 7).cast("int").alias("manufacture_year"))
-
-    # BOM: the first 12 parts (by part key) of each model. row_number <= k is
-    # planned as a WindowGroupLimit, so only k rows per model reach the shuffle.
-    by_car = Window.partitionBy("car_id").orderBy("part_id")
-    parts_car = (part.join(cars, (F.col("p_brand") == F.col("brand"))
-                           & (F.col("p_type") == F.col("model")))
-                 .select("car_id", F.col("p_partkey").alias("part_id"),
-                         (F.lit(1) + F.col("p_size") % 2).cast("int").alias("quantity"))
-                 .withColumn("rn", F.row_number().over(by_car))
-                 .filter(F.col("rn") <= BOM_PARTS_PER_CAR).drop("rn"))
+    # A car takes brand and type of its first part.
+    first = F.min(F.struct("p_partkey", "p_brand", "p_type")).alias("first")
+    cars = (part.groupBy(_car_of("p_partkey").alias("car_id")).agg(first)
+            .select("car_id", F.col("first.p_brand").alias("brand"),
+                    F.col("first.p_type").alias("model"),
+                    (F.lit(1995) + F.col("car_id") % 7).cast("int").alias("manufacture_year")))
+    parts_car = part.select(_car_of("p_partkey").alias("car_id"), F.col("p_partkey").alias("part_id"),
+                            (F.lit(1) + F.col("p_size") % 2).cast("int").alias("quantity"))
 
     li = t["lineitem"]
     lead_part = li.groupBy("l_orderkey").agg(F.min("l_partkey").alias("lead_part"))
     sales = (t["orders"]
              .join(lead_part, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-             .join(part.select("p_partkey", "p_brand", "p_type"),
-                   F.col("p_partkey") == F.col("lead_part"), "left")
-             .join(cars.select("car_id", "brand", "model"),
-                   (F.col("p_brand") == F.col("brand")) & (F.col("p_type") == F.col("model")),
-                   "left")
              .select(F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("customer_id"),
-                     "car_id", F.col("o_orderdate").cast("date").alias("sale_date"),
+                     _car_of("lead_part").alias("car_id"),
+                     F.col("o_orderdate").cast("date").alias("sale_date"),
                      F.col("o_totalprice").cast(MONEY).alias("sale_price")))
 
     ship = F.col("l_shipdate")

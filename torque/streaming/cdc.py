@@ -1,13 +1,15 @@
 """E2 — change-driven loads with Structured Streaming.
 
 A change feed (files of row versions) is read with ``readStream``; every
-micro-batch keeps the latest version per key (``max_by`` over a total
-version order — partially aggregated, so a hot key costs one row per task
-before the shuffle) and MERGEs it into the target table, which is written
-as a new snapshot version. The batch id of every applied batch is recorded
-in a commit table next to the target, so a replayed batch (restart after a
-failure between the write and the checkpoint commit) is skipped: the sink is
-idempotent and the load exactly-once.
+micro-batch keeps the latest version per key (partially aggregated, so a hot
+key costs one row per task before the shuffle) and MERGEs it into the target
+table, which is written as a new snapshot version. The target keeps the
+version columns, and a row is only overwritten by a greater version, so late
+and repeated changes do no harm in any order of batches. The batch id of
+every applied batch is recorded in a commit table next to the target, so a
+batch replayed after a failure is usually skipped; if the failure fell
+between the two writes, applying it again changes nothing. Old snapshots are
+expired after each batch.
 """
 
 from __future__ import annotations
@@ -45,10 +47,12 @@ def apply_batch(spark: SparkSession, store: SnapshotStore, table: str, batch: Da
         return False
     latest = latest_per_key(batch, key, order_cols)
     merged = merge_upsert(store.read_or_none(table), latest, key, surrogate,
-                          now or dt.datetime.now())
+                          now or dt.datetime.now(), version=order_cols)
     store.write(table, merged)
     store.write(f"{table}__commits",
                 spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")))
+    for name in (table, f"{table}__commits"):
+        store.expire(name, keep=2)
     return True
 
 
