@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from torque.llm import license_scan as licenses
+from torque.llm import line_crf
 from torque.llm import quality_ledger as ledger
 from torque.llm import substring_dedup as substrings
 from torque.llm.chat_format import format_conversations
@@ -39,6 +41,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a CRF over its lines (operator 3)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    good = F.col("score") >= line_crf.THRESHOLD
+    return line_crf.score(docs, model).select(
+        "doc_id", (line_crf.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        F.when(good, 1).otherwise(0).alias("predicted"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that quotes control strings, formatted and read
     back (operator 4)."""
@@ -84,6 +96,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
+    "op3_line_quality": op3_line_quality,
     "op4_chat_format": op4_chat_format,
     "op5_source_mix": op5_source_mix,
     "op6_fingerprints": op6_fingerprints,

@@ -37,14 +37,14 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     return _POWERS[name][:n]
 
 
-def text_slices(column: pa.Array):
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
     """Yield (first row, rows) parts of a string column, by size."""
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[
         column.offset:column.offset + len(column) + 1]
     at = 0
     while at < len(column):
-        stop = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
         stop = min(max(stop, at + 1), len(column))
         yield at, column.slice(at, stop - at)
         at = stop
