@@ -24,13 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from torque.llm.segments import gather_ranges
 from torque.llm.wordhash import Words, text_slices, window_hashes
 
 ALIGNED = np.uint32(1 << 31)
 PACKED = "bucket int, docs binary, places binary, keys binary, found boolean"
-ANSWER = "doc bigint, keys array<bigint>"
+ANSWER = "doc bigint, key bigint"
+PROBE_BYTES = 12_000_000         # of texts whose windows are sorted at once
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -74,13 +76,10 @@ def _found_row(docs: np.ndarray, places: np.ndarray, keys: np.ndarray, n: int) -
 
 
 def _answers(docs: np.ndarray, keys: np.ndarray) -> pa.Table:
-    """One row per document with its keys."""
+    """Documents and keys, by document."""
     order = np.argsort(docs, kind="stable")
-    docs, keys = docs[order], keys[order]
-    first = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1]))) if len(docs) else \
-        np.zeros(0, np.int64)
-    return pa.table({"doc": pa.array(docs[first], pa.int64()), "keys": pa.ListArray.from_arrays(
-        pa.array(np.append(first, len(docs)), pa.int32()), pa.array(keys, pa.int64()))})
+    return pa.table({"doc": pa.array(docs[order], pa.int64()),
+                     "key": pa.array(keys[order], pa.int64())})
 
 
 def _block_keys(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -236,13 +235,14 @@ def _late_windows(table: pa.Table) -> pa.Table:
 
 def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text",
-                    with_text: bool = False) -> DataFrame:
+                    carry: list[str] | None = None) -> DataFrame:
     """Remove every word under a window of ``window`` words that also starts in a
     document with a smaller id; windows are judged on the input.
 
     Returns doc_id, ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept
-    words joined by one blank) and, if asked for, ``kept_text``. ``block`` is at
-    most (window + 1) / 2, its default.
+    words joined by one blank). ``carry`` names columns to hand through as the
+    struct ``carried``, beside ``kept_text``. ``block`` is at most
+    (window + 1) / 2, its default.
 
     Null, empty and blank texts have no words; texts shorter than a window keep
     all. Rows that share an id do not remove each other's words; a window
@@ -255,14 +255,18 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
         raise ValueError("a window must hold a whole aligned block")
     spark = docs.sparkSession
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the same columns in both joins, so that the texts are dealt out once
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried)
+    extra = ["carried"] if carry else []
 
     def probe(batches):
         for batch in batches:
             known = batch.filter(batch.column(0).is_valid())
-            if known.num_rows:
-                packed = _probes(known.column(1), known.column(0).to_numpy(), window, block, n)
+            for at, part in text_slices(known.column(1), PROBE_BYTES):
+                own = known.column(0).slice(at, len(part)).to_numpy()
+                packed = _probes(part, own, window, block, n)
                 if packed:
                     yield _packed(packed)
 
@@ -276,29 +280,30 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
 
     def by_document(answers: DataFrame, name: str) -> DataFrame:
         return answers.groupBy(F.col("doc").alias(f"{name}_doc")).agg(
-            F.flatten(F.collect_list("keys")).alias(name))
+            F.collect_list("key").alias(name))
 
-    anchors = by_document(rows.mapInArrow(probe, PACKED).groupBy("bucket").applyInArrow(
+    anchors = by_document(rows.select("doc_id", "text").mapInArrow(probe, PACKED).groupBy("bucket").applyInArrow(
         lambda t: _block_hits(t, n), ANSWER), "anchors")
     anchored = rows.join(anchors, rows["doc_id"] == F.col("anchors_doc"), "left").select(
-        "doc_id", "text", "anchors")
+        "doc_id", "text", "anchors", *extra)
     late = by_document(anchored.mapInArrow(extend, PACKED).groupBy("bucket").applyInArrow(
         _late_windows, ANSWER), "late")
 
     def cut(batches):
         for batch in batches:
             for at, part in text_slices(batch.column(1)):
-                yield _cut(batch.column(0).slice(at, len(part)), part,
-                           batch.column(2).slice(at, len(part)), window, with_text)
+                yield _cut(*[c.slice(at, len(part)) for c in batch.columns], window=window)
 
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+    schema = (T.StructType().add("doc_id", "long").add("n_words", "long").add("n_removed", "long")
+              .add("kept_sha256", "string"))
+    if carry:
+        schema = schema.add("kept_text", "string").add("carried", rows.schema["carried"].dataType)
     return (rows.join(late, rows["doc_id"] == F.col("late_doc"), "left")
-            .select("doc_id", "text", "late")
-            .mapInArrow(cut, schema + (", kept_text string" if with_text else "")))
+            .select("doc_id", "text", "late", *extra).mapInArrow(cut, schema))
 
 
-def _cut(ids: pa.Array, texts: pa.Array, late: pa.Array, window: int,
-         with_text: bool) -> pa.RecordBatch:
+def _cut(ids: pa.Array, texts: pa.Array, late: pa.Array, carried: pa.Array | None = None, *,
+         window: int) -> pa.RecordBatch:
     """The kept words of some documents."""
     split = Words(texts)
     own = split.hashes()
@@ -321,9 +326,9 @@ def _cut(ids: pa.Array, texts: pa.Array, late: pa.Array, window: int,
     columns = [ids, pa.array(np.diff(split.bounds), pa.int64()), pa.array(np.diff(total), pa.int64()),
                pa.array([hashlib.sha256(x).hexdigest() for x in out])]
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    if with_text:
-        columns.append(pa.array([x.decode() for x in out], pa.string()))
-        names.append("kept_text")
+    if carried is not None:
+        columns += [pa.array([x.decode() for x in out], pa.string()), carried]
+        names += ["kept_text", "carried"]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
