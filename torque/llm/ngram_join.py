@@ -1,10 +1,13 @@
 """Operator 7: exact n-gram Jaccard join in size-banded tiles.
 
 1. Texts with equal shingle sets fall into one class, by a hash of the set.
-2. Two sets with Jaccard similarity t share one of their n - ceil(t n) + 1 first
-   elements in any common order of elements. Sets that share such an element
-   are tied together; the order puts widely shared elements (boilerplate,
-   quoted passages) last, so ties stay rare between unlike texts.
+2. Linked sets differ in few elements: at most d for two sets of a size band.
+   Elements are dealt by hash into more than d parts, so two linked sets have
+   some equal, non-empty part. Each set sends a hash per part, for its own band
+   and for a higher one that it can still link into; sets with a common hash
+   are tied. Widely shared elements (boilerplate, quoted passages) are left out
+   of the parts, which keeps the guarantee, unless a set would lose it: then it
+   sends its parts with all elements besides.
 3. Tied sets of one group are sorted by size and cut into bands of bounded
    volume. Each pair of bands whose sizes allow a link is a tile.
 4. Inside a tile every set has a bitmap of hashed elements. A bit that only one
@@ -13,12 +16,15 @@
    arrays. Sets already known to be connected are not compared again, and no
    pairs are emitted: a tile returns one root per set.
 
-Everything but the fixed-size list of widely shared elements is distributed;
-links are lost nowhere.
+Part hashes travel packed, one row per batch and hash bucket, and a batch sends
+each distinct one once. Everything but the fixed-size list of widely shared
+elements is distributed; links are lost nowhere.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -26,11 +32,15 @@ from pyspark.sql import functions as F
 
 from torque.llm.columns import stored
 from torque.llm.components import components
-from torque.llm.wordhash import Words, mix, text_slices, window_hashes
+from torque.llm.packing import (bucket_keys, by_bucket, document_row, found_row, from_planes,
+                                packed_rows, planes)
+from torque.llm.wordhash import SLICE_BYTES, STEP, Words, mix, text_slices, window_hashes
 
-COMMON_LOCAL = 3          # sets of one batch that make an element a candidate for the list
-COMMON_LISTED = 65_536    # length of the list of widely shared elements (order only)
+COMMON_LOCAL = 16         # sets of one batch that make an element a candidate for the list
+COMMON_LISTED = 65_536    # length of the list of widely shared elements (no effect on links)
+BAND_GROWTH = 1.5         # of sizes from one band to the next
 BAND_SHINGLES = 500_000   # elements in one band of a tile
+PART_ROWS = "bucket int, docs binary, places binary, keys binary, found boolean"
 
 
 def shingle_sets(column: pa.Array, words_each: int) -> list[np.ndarray]:
@@ -54,16 +64,44 @@ def set_hash(elements: np.ndarray) -> int:
                .view(np.int64)[0])
 
 
-def prefix(elements: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """The elements of which a linked set must share one: the first in the order
-    (rank among common elements, 0 if not listed; hash)."""
+@lru_cache(maxsize=8)
+def size_bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least size, allowed differences and number of parts of each size band."""
+    low = [1]
+    while low[-1] < 1 << 40:
+        low.append(max(low[-1] + 1, int(low[-1] * BAND_GROWTH)))
+    low = np.array(low, np.int64)
+    largest = low[1:] - 1
+    differ = (100 - percent) * 2 * largest // (100 + percent)
+    return low[:-1], differ, differ + 1 + np.maximum(2, largest // 32)
+
+
+def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes of a set's parts; linked sets share at least one."""
     n = len(elements)
-    need = n - (percent * n + 99) // 100 + 1
-    if len(common) and n:
+    lows, differ, parts = size_bands(percent)
+    own = int(np.searchsorted(lows, n, "right")) - 1
+    rare = elements
+    if len(common):
         at = np.minimum(np.searchsorted(common, elements), len(common) - 1)
-        ranks = np.where(common[at] == elements, rank[at], 0)
-        elements = elements[np.lexsort((elements, ranks))]
-    return elements[:need]
+        rare = elements[common[at] != elements]
+    out, band = [], own
+    while band == own or lows[band] * percent <= 100 * n:
+        m = int(parts[band])
+        for level, members in enumerate((rare, elements)):
+            place = (mix(members + np.uint64(band)) % np.uint64(m)).astype(np.int64)
+            sums = np.zeros(m, np.uint64)
+            np.add.at(sums, place, mix(members ^ STEP))
+            filled = np.flatnonzero(np.bincount(place, minlength=m))
+            out.append(mix(sums[filled] + (filled.astype(np.uint64) << np.uint64(20))
+                           + np.uint64(band * 4 + level)))
+            # of two linked sets at least m - differ parts are equal
+            if m - len(filled) < m - differ[band]:
+                break
+        else:                        # even with all elements too many parts are empty
+            out.append(mix(np.array([band * 4 + 2], np.uint64)))
+        band += 1
+    return np.concatenate(out)
 
 
 def linked_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -118,8 +156,8 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     Null, empty and blank texts have an empty set and link with nothing:
     component_id is their own id. Rows that repeat an id all count and each
     get a row, which may name different components if their texts differ.
-    Rows with a null id take part and get a row; a component of null ids only
-    has a null component_id. An empty table gives an empty result; other
+    Rows with a null id get a row but are linked by equal sets only; their
+    component_id is null unless a row with an id has the same set. An empty table gives an empty result; other
     columns are not read. Elements are 64-bit hashes, and a set is known by
     its size and a 64-bit hash.
     """
@@ -147,27 +185,34 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     listed = (rows.select("text").mapInArrow(shared_here, "element bigint, n bigint")
               .groupBy("element").agg(F.sum("n").alias("n"))
               .orderBy(F.desc("n"), "element").limit(COMMON_LISTED).collect())
-    elements = np.array([r["element"] for r in listed], np.int64).view(np.uint64)
-    order = np.argsort(elements)
-    ranks = np.arange(len(listed), 0, -1, dtype=np.int64)      # the most shared come last
-    shared = spark.sparkContext.broadcast((elements[order], ranks[order]))
+    shared = spark.sparkContext.broadcast(
+        np.sort(np.array([r["element"] for r in listed], np.int64).view(np.uint64)))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def profile(batches):
-        common, rank = shared.value
         for batch in batches:
             for at, part in text_slices(batch.column(1)):
                 sets = shingle_sets(part, words_each)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)),
                      pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_hash(s) for s in sets], pa.int64()),
-                     pa.array([prefix(s, common, rank, percent).view(np.int64) for s in sets],
-                              pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_id", "prefix"])
+                     pa.array([set_hash(s) for s in sets], pa.int64())],
+                    names=["doc_id", "n_shingles", "set_id"])
+
+    def send_parts(batches):
+        for batch in batches:
+            known = batch.filter(batch.column(0).is_valid())
+            for at, part in text_slices(known.column(1), 2 * SLICE_BYTES):
+                docs = known.column(0).slice(at, len(part)).to_numpy()
+                packed = _packed_parts(part, docs, words_each, percent, shared.value, buckets)
+                if packed:
+                    yield packed_rows(packed)
 
     profiles = stored(rows.mapInArrow(
-        profile, f"doc_id {kind}, n_shingles bigint, set_id bigint, prefix array<bigint>"))
-    tiles = _tiles(rows, profiles, percent)
+        profile, f"doc_id {kind}, n_shingles bigint, set_id bigint"))
+    ties = (rows.withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(
+        send_parts, PART_ROWS).groupBy("bucket").applyInArrow(_part_ties, "a bigint, b bigint"))
+    tiles = _tiles(rows, profiles, components(ties), percent)
     links = tiles.groupBy("tile").applyInArrow(
         lambda table: _tile_links(table, words_each, percent), "a bigint, b bigint")
     roots = components(links)
@@ -182,24 +227,73 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
         (F.col("root") == F.col("r")) & F.col("own_size").eqNullSafe(F.col("o")))
     sets = sets.select(F.col("set_id").alias("s"), F.col("n_shingles").alias("n"), "component_id")
     found = F.col("n_shingles") > 0
-    return profiles.drop("prefix").join(
+    return profiles.join(
         sets, (F.col("set_id") == F.col("s")) & (F.col("n_shingles") == F.col("n")),
         "left").select("doc_id", "n_shingles", "set_id", F.when(found, F.col("component_id"))
                        .otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _tiles(rows: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """(tile, set_id, text) of every set that a link may join to another set."""
-    sets = (profiles.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id", "n_shingles")
-            .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")))
-    per_element = Window.partitionBy("element")
-    ties = (sets.select("set_id", F.explode("prefix").alias("element"))
-            .withColumn("least", F.min("set_id").over(per_element))
-            .filter("set_id <> least").select(F.col("set_id").alias("a"),
-                                              F.col("least").alias("b")).distinct())
-    groups = components(ties)
-    members = stored(groups.join(sets.drop("prefix"), F.col("node") == F.col("set_id"))
-                     .select("root", "set_id", "n_shingles", "rep")
+def _packed_parts(texts: pa.Array, docs: np.ndarray, words_each: int, percent: int,
+                  common: np.ndarray, n: int) -> list[tuple]:
+    """Packed rows of some documents: each distinct part hash once, and the ties
+    among these documents themselves."""
+    seen, hashes, places = set(), [], []
+    for at, part in text_slices(texts):
+        for i, elements in enumerate(shingle_sets(part, words_each), at):
+            key = (len(elements), set_hash(elements))
+            if len(elements) and key not in seen:
+                seen.add(key)
+                hashes.append(part_hashes(elements, common, percent))
+                places.append(np.full(len(hashes[-1]), i))
+    if not hashes:
+        return []
+    hashes, places = np.concatenate(hashes), np.concatenate(places)
+    order = np.lexsort((docs[places], hashes))
+    hashes, places = hashes[order], places[order]
+    fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+    first = places[fresh][np.cumsum(fresh) - 1]
+    tied = np.unique(np.stack((places[~fresh], first[~fresh])), axis=1)
+    rows = found_row(docs, tied[0], docs[tied[1]], n)
+    bucket, key = bucket_keys(hashes[fresh], n)
+    places = places[fresh]
+    order = np.lexsort((key, bucket))
+    bucket, key, places = bucket[order], key[order], places[order]
+    for b, part in by_bucket(bucket, n):
+        steps = np.diff(key[part], prepend=np.uint32(0))
+        rows.append((b, *document_row(docs, places[part]), planes(steps), False))
+    return rows
+
+
+def _part_ties(table: pa.Table) -> pa.Table:
+    """(a, b): documents with an equal part, and the smallest document that has it."""
+    docs, keys, left, right = [], [], [], []
+    for row in table.to_pylist():
+        names, at = from_planes(row["docs"], np.int64), from_planes(row["places"], np.uint32)
+        if row["found"]:
+            left.append(names[at])
+            right.append(from_planes(row["keys"], np.int64))
+        else:
+            docs.append(names[at])
+            keys.append(np.cumsum(from_planes(row["keys"], np.uint32), dtype=np.uint32))
+    if docs:
+        docs, keys = np.concatenate(docs), np.concatenate(keys)
+        order = np.lexsort((docs, keys))
+        docs, keys = docs[order], keys[order]
+        fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
+        first = docs[fresh][np.cumsum(fresh) - 1]
+        left.append(docs[~fresh])
+        right.append(first[~fresh])
+    pairs = np.unique(np.stack((np.concatenate(left or [np.zeros(0, np.int64)]),
+                                np.concatenate(right or [np.zeros(0, np.int64)]))), axis=1)
+    pairs = pairs[:, pairs[0] != pairs[1]]
+    return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+
+
+def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(tile, set_id, n, text) of every set that a link may join to another set."""
+    sets = (groups.join(profiles.filter("n_shingles > 0"), F.col("node") == F.col("doc_id"))
+            .groupBy("root", "set_id", "n_shingles").agg(F.min("doc_id").alias("rep")))
+    members = stored(sets
                      .withColumn("band", F.floor((F.sum("n_shingles").over(
                          Window.partitionBy("root").orderBy("n_shingles", "set_id"))
                          - F.col("n_shingles")) / F.lit(BAND_SHINGLES))))

@@ -26,55 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from torque.llm.packing import (MARK, bucket_keys, by_bucket, document_row, found_row, from_planes,
+                                packed_rows, planes)
 from torque.llm.segments import gather_ranges
 from torque.llm.wordhash import Words, text_slices, window_hashes
 
-ALIGNED = np.uint32(1 << 31)
 PACKED = "bucket int, docs binary, places binary, keys binary, found boolean"
 ANSWER = "doc bigint, key bigint"
 PROBE_BYTES = 12_000_000         # of texts whose windows are sorted at once
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of an array, place by place: runs of equal high bytes compress well."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
-
-
-def _values(data: bytes, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(
-        np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
-def _row_of(batch_docs: np.ndarray, places: np.ndarray, flags=None) -> tuple[bytes, bytes]:
-    """Documents that occur and, per entry, the place in that list and its flag."""
-    used, at = np.unique(places, return_inverse=True)
-    at = at.astype(np.uint32)
-    if flags is not None:
-        at |= np.where(flags, ALIGNED, np.uint32(0))
-    return _planes(batch_docs[used]), _planes(at)
-
-
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-        names=["bucket", "docs", "places", "keys", "found"])
-
-
-def _buckets(bucket: np.ndarray, n: int):
-    """(bucket, entries) for entries sorted by bucket."""
-    edges = np.searchsorted(bucket, np.arange(n + 1))
-    return [(b, slice(edges[b], edges[b + 1])) for b in range(n) if edges[b] < edges[b + 1]]
-
-
-def _found_row(docs: np.ndarray, places: np.ndarray, keys: np.ndarray, n: int) -> list[tuple]:
-    """Entries that are answered already; any bucket will do, so common ones spread."""
-    if not len(places):
-        return []
-    return [(int(docs[places[0]] % n), *_row_of(docs, places), _planes(keys), True)]
-
-
 def _answers(docs: np.ndarray, keys: np.ndarray) -> pa.Table:
     """Documents and keys, by document."""
     order = np.argsort(docs, kind="stable")
@@ -82,11 +43,6 @@ def _answers(docs: np.ndarray, keys: np.ndarray) -> pa.Table:
                      "key": pa.array(keys[order], pa.int64())})
 
 
-def _block_keys(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 32-bit key of 64-bit hashes."""
-    return (hashes % np.uint64(n)).astype(np.int64), (hashes // np.uint64(n)).astype(np.uint32)
-
-
 def _joined_key(bucket, key: np.ndarray, n: int) -> np.ndarray:
     return key.astype(np.int64) * n + bucket
 
@@ -116,17 +72,17 @@ def _probes(batch_texts: pa.Array, docs: np.ndarray, window: int, block: int, n:
     new_doc = fresh | np.concatenate(([True], places[1:] != places[:-1]))
     several = np.bincount(group, new_doc) > 1
     local = several & has_block                          # a hit within this batch
-    bucket, key = _block_keys(hashes, n)
+    bucket, key = bucket_keys(hashes, n)
     hit = new_doc & local[group]
-    rows = _found_row(docs, places[hit], _joined_key(bucket[hit], key[hit], n), n)
+    rows = found_row(docs, places[hit], _joined_key(bucket[hit], key[hit], n), n)
     # One entry stands for a group that is a hit already; else each document sends one.
     sent = np.where(local[group], fresh, new_doc)
     bucket, key, places, flags = bucket[sent], key[sent], places[sent], has_block[group][sent]
     order = np.lexsort((key, bucket))
     bucket, key, places, flags = bucket[order], key[order], places[order], flags[order]
-    for b, part in _buckets(bucket, n):
+    for b, part in by_bucket(bucket, n):
         steps = np.diff(key[part], prepend=np.uint32(0))
-        rows.append((b, *_row_of(docs, places[part], flags[part]), _planes(steps), False))
+        rows.append((b, *document_row(docs, places[part], flags[part]), planes(steps), False))
     return rows
 
 
@@ -134,14 +90,14 @@ def _block_hits(table: pa.Table, n: int) -> pa.Table:
     """Answer one bucket: entries whose key some other entry has, one of them a block."""
     docs, keys, flags, out_docs, out_keys = [], [], [], [], []
     for row in table.to_pylist():
-        names, at = _values(row["docs"], np.int64), _values(row["places"], np.uint32)
+        names, at = from_planes(row["docs"], np.int64), from_planes(row["places"], np.uint32)
         if row["found"]:
             out_docs.append(names[at])
-            out_keys.append(_values(row["keys"], np.int64))
+            out_keys.append(from_planes(row["keys"], np.int64))
         else:
-            docs.append(names[(at & ~ALIGNED).astype(np.int64)])
-            flags.append((at & ALIGNED) != 0)
-            keys.append(np.cumsum(_values(row["keys"], np.uint32), dtype=np.uint32))
+            docs.append(names[(at & ~MARK).astype(np.int64)])
+            flags.append((at & MARK) != 0)
+            keys.append(np.cumsum(from_planes(row["keys"], np.uint32), dtype=np.uint32))
         bucket = row["bucket"]
     if keys:
         docs, keys, flags = map(np.concatenate, (docs, keys, flags))
@@ -166,7 +122,7 @@ def _covered(marks: np.ndarray, reach: int) -> np.ndarray:
 
 def _windows_at(hashes: np.ndarray, keys: np.ndarray, window: int, block: int, n: int):
     """Starts and hashes of the windows of one document that hold an anchor."""
-    bucket, key = _block_keys(window_hashes(hashes, block), n)
+    bucket, key = bucket_keys(window_hashes(hashes, block), n)
     anchors = np.isin(_joined_key(bucket, key, n), keys)
     near = np.zeros(len(hashes) - window + 1, bool)
     reach = window - block                   # a window starts at most so far before an anchor
@@ -200,13 +156,13 @@ def _candidates(batch: pa.RecordBatch, window: int, block: int, n: int, out_n: i
     fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
     least = docs[places][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
     late = docs[places] > least              # a smaller document of this batch has it
-    rows = _found_row(docs, places[late], hashes[late].view(np.int64), out_n)
+    rows = found_row(docs, places[late], hashes[late].view(np.int64), out_n)
     hashes, places = hashes[fresh], places[fresh]
     bucket = (hashes % np.uint64(out_n)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     hashes, places, bucket = hashes[order], places[order], bucket[order]
-    for b, part in _buckets(bucket, out_n):
-        rows.append((b, *_row_of(docs, places[part]), hashes[part].tobytes(), False))
+    for b, part in by_bucket(bucket, out_n):
+        rows.append((b, *document_row(docs, places[part]), hashes[part].tobytes(), False))
     return rows
 
 
@@ -214,10 +170,10 @@ def _late_windows(table: pa.Table) -> pa.Table:
     """Answer one bucket: windows that a smaller document has, by document."""
     docs, keys, out_docs, out_keys = [], [], [], []
     for row in table.to_pylist():
-        names, at = _values(row["docs"], np.int64), _values(row["places"], np.uint32)
+        names, at = from_planes(row["docs"], np.int64), from_planes(row["places"], np.uint32)
         if row["found"]:
             out_docs.append(names[at])
-            out_keys.append(_values(row["keys"], np.int64))
+            out_keys.append(from_planes(row["keys"], np.int64))
         else:
             docs.append(names[at])
             keys.append(np.frombuffer(row["keys"], np.int64))
@@ -268,7 +224,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
                 own = known.column(0).slice(at, len(part)).to_numpy()
                 packed = _probes(part, own, window, block, n)
                 if packed:
-                    yield _packed(packed)
+                    yield packed_rows(packed)
 
     def extend(batches):
         for batch in batches:
@@ -276,7 +232,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
             if known.num_rows:
                 packed = _candidates(known, window, block, n, n)
                 if packed:
-                    yield _packed(packed)
+                    yield packed_rows(packed)
 
     def by_document(answers: DataFrame, name: str) -> DataFrame:
         return answers.groupBy(F.col("doc").alias(f"{name}_doc")).agg(
