@@ -45,14 +45,17 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A text without repeats stays as it is; otherwise the kept words are joined
     by blanks and n_chars is set anew.
     """
-    cut = substring_dedup(docs, window=REPEAT_WORDS, carry=docs.columns)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("carried.text"))
-    length = F.when(F.col("n_removed") > 0, F.char_length("kept_text")).otherwise(
-        F.col("carried.n_chars"))
-    kinds = dict(docs.dtypes)
-    changed = {"text": text, "n_chars": length.cast(kinds.get("n_chars", "bigint"))}
-    return cut.filter("n_removed = 0 OR n_removed < n_words").select(
-        *[changed.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns])
+    rest = [c for c in docs.columns if c != "text"]
+    cut = substring_dedup(docs.withColumn("__no_text", F.col("text").isNull()),
+                          window=REPEAT_WORDS, carry=[*rest, "__no_text"])
+    changed = F.col("n_removed") > 0
+    columns = {c: F.col("carried").getField(c) for c in rest}
+    columns["text"] = F.when(~F.col("carried.__no_text"), F.col("kept_text"))
+    if "n_chars" in rest:
+        columns["n_chars"] = F.when(changed, F.char_length("kept_text").cast(
+            docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return cut.filter(~changed | (F.col("n_removed") < F.col("n_words"))).select(
+        *[columns[c].alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,3 +130,25 @@ def format_conversations(turns: DataFrame, trained_role: str = "assistant") -> D
     return grouped.mapInArrow(run, f"""conv_id {kind}, formatted string,
         loss_spans array<array<bigint>>, n_turns bigint, turns_sha256 string, loss_chars bigint,
         loss_sha256 string, formatted_chars bigint, rewrites_history boolean""")
+
+
+def oracle(extra: list[tuple[int, int, str, str]]) -> str:
+    """DuckDB SQL for the digests over ``conversations`` and some extra rows."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    pattern = quote("|".join([r"\\", *map(re.escape, CONTROLS)]))
+    rows = ", ".join(f"({c}, {t}, {quote(r)}, {quote(x)})" for c, t, r, x in extra)
+    marks = len(TURN) + len(BODY) + len(STOP) + 1
+    size = lambda c: f"length({c}) + len(regexp_extract_all({c}, {pattern}))"
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {rows}) extra(conv_id, turn, role, text))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+    AS loss_sha256,
+  sum({marks} + {size('role')} + {size('text')})::BIGINT AS formatted_chars,
+  false AS rewrites_history
+FROM t GROUP BY conv_id
+"""

@@ -334,3 +334,23 @@ def _tile_links(table: pa.Table, words_each: int, percent: int) -> pa.Table:
     joined = roots != np.arange(len(roots))
     return pa.table({"a": pa.array(names[joined], pa.int64()),
                      "b": pa.array(names[roots[joined]], pa.int64())})
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4
+          THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b USING (g)
+          JOIN n p ON p.doc_id = a.doc_id JOIN n q ON q.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id, p.n, q.n
+          HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(r.y, doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x) r USING (doc_id)
+"""

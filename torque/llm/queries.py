@@ -7,19 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from torque.llm import chat_format, ngram_join
 from torque.llm import license_scan as licenses
 from torque.llm import line_crf
 from torque.llm import quality_ledger as ledger
 from torque.llm import substring_dedup as substrings
-from torque.llm.chat_format import format_conversations
 from torque.llm.fingerprints import document_fingerprints
-from torque.llm.ngram_join import ngram_jaccard_join
 from torque.llm.sentencepiece_codec import sentencepiece_round_trip
 from torque.llm.source_mix import mix_sources
 from torque.llm.token_counts import token_counts
 
 TOKENIZERS = {"counts": "byte_bpe_50k.json", "pieces": "piece_bpe_32k.model"}
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
+QUOTING_TURNS = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +55,8 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that quotes control strings, formatted and read
     back (operator 4)."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    quoting = spark.createDataFrame(
-        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
-        turns.schema)
-    return format_conversations(turns.union(quoting)).select(
+    quoting = spark.createDataFrame(QUOTING_TURNS, turns.schema)
+    return chat_format.format_conversations(turns.union(quoting)).select(
         "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
         "rewrites_history")
 
@@ -75,7 +73,8 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (operator 7)."""
-    return ngram_jaccard_join(table(spark, sf_dir, "documents"), percent=85, words_each=4)
+    return ngram_join.ngram_jaccard_join(
+        table(spark, sf_dir, "documents"), percent=85, words_each=4).drop("set_id")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.oracle(),
+    "op4_chat_format": chat_format.oracle(QUOTING_TURNS),
+    "op7_ngram_jaccard": ngram_join.ORACLE,
     "op8_substring_dedup": substrings.ORACLE,
     "op10_quality_rules": ledger.ORACLE,
 }

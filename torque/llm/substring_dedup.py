@@ -197,7 +197,8 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
 
     Returns doc_id, ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept
     words joined by one blank). ``carry`` names columns to hand through as the
-    struct ``carried``, beside ``kept_text``. ``block`` is at most
+    struct ``carried``, beside ``kept_text``: the text as it is where nothing was
+    removed, else its kept words joined by one blank. ``block`` is at most
     (window + 1) / 2, its default.
 
     Null, empty and blank texts have no words; texts shorter than a window keep
@@ -283,7 +284,10 @@ def _cut(ids: pa.Array, texts: pa.Array, late: pa.Array, carried: pa.Array | Non
                pa.array([hashlib.sha256(x).hexdigest() for x in out])]
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     if carried is not None:
-        columns += [pa.array([x.decode() for x in out], pa.string()), carried]
+        gone = np.diff(total) > 0
+        whole = texts.to_pylist()
+        columns += [pa.array([x.decode() if g else t for x, g, t in zip(out, gone, whole)],
+                             pa.string()), carried]
         names += ["kept_text", "carried"]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
