@@ -13,10 +13,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from torque.session import get_session
-    s = get_session("local[4]", app="torque-tests", shuffle_partitions=4)
-    # tests are the place to set a checkpoint folder when none is configured
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="torque-test-ckpt-"))
+    s = get_session("local[4]", app="torque-tests", shuffle_partitions=4,
+                    checkpoint_dir=tempfile.mkdtemp(prefix="torque-test-ckpt-"))
     yield s
     s.stop()
 

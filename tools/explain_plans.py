@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -47,7 +48,8 @@ def trimmed(df) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8,
+                        checkpoint_dir=tempfile.mkdtemp(prefix="torque-tool-"))
     _, _, silver = bound(spark, sf)
     g = gold_for(spark, sf)
     frames = {

@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -82,7 +83,8 @@ def noop(df):
 def main() -> None:
     scratch = sys.argv[1]
     sizes = [int(x) for x in sys.argv[2:]] or [1_000_000, 10_000_000]
-    spark = get_session("local[8]", shuffle_partitions=16, extra={"spark.driver.memory": "16g"})
+    spark = get_session("local[8]", shuffle_partitions=16, extra={"spark.driver.memory": "16g"},
+                        checkpoint_dir=tempfile.mkdtemp(prefix="torque-tool-"))
     cfg = default_config()
     for n in sizes:
         t: dict = {}

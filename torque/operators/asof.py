@@ -49,10 +49,11 @@ def supplier_by_day(deliveries: DataFrame, sale_days: DataFrame) -> DataFrame:
 
 
 def supplier_as_of(sales: DataFrame, deliveries: DataFrame,
-                   with_delivery: bool = False) -> DataFrame:
+                   with_delivery: bool = False, dates: DataFrame | None = None) -> DataFrame:
     """``sales`` + supplier_id of the latest delivery with date <= sale_date
-    (+ that delivery's date and id with ``with_delivery``)."""
-    sale_days = (sales.filter(F.col("sale_date").isNotNull())
+    (+ that delivery's date and id with ``with_delivery``). ``dates``: where to
+    take the sale days from, if they are cheaper to read elsewhere."""
+    sale_days = ((sales if dates is None else dates).filter(F.col("sale_date").isNotNull())
                  .select("sale_date").distinct())
     extra = ["delivery_date", "delivery_id"] if with_delivery else []
     per_day = broadcast_bounded(supplier_by_day(deliveries, sale_days)

@@ -26,7 +26,8 @@ def gross_margin_pct(margin: Column, price: Column) -> Column:
 
 
 def fact_source(stg_sales: DataFrame, stg_final_delivery: DataFrame, stg_parts_car: DataFrame,
-                dim_car: DataFrame, dim_customer: DataFrame, dim_supplier: DataFrame) -> DataFrame:
+                dim_car: DataFrame, dim_customer: DataFrame, dim_supplier: DataFrame,
+                sales_dates: DataFrame | None = None) -> DataFrame:
     """Rows to MERGE into FACT_SALES (without sale_key / load_ts).
 
     All joins are inner, as in the reference: a sale without a car, customer
@@ -36,13 +37,16 @@ def fact_source(stg_sales: DataFrame, stg_final_delivery: DataFrame, stg_parts_c
 
     Small sides are broadcast after a size check; above the limit they stay
     shuffle joins on the dimension key (AQE splits skewed keys).
+    ``sales_dates`` (default: the staged sales) gives the days to link; the
+    raw sales are the cheaper source, a scan of one column.
     """
     # The supplier depends only on the sale day: resolve day -> supplier_key
     # on the per-day table (one row per distinct date, domain-bounded) so the
     # sales stream never joins the supplier dimension. The forward fill runs
     # before the dimension join, so a winner missing from the dimension drops
     # its sales, as the reference's inner join does.
-    sale_days = stg_sales.filter(F.col("sale_date").isNotNull()).select("sale_date").distinct()
+    dates = stg_sales if sales_dates is None else sales_dates
+    sale_days = dates.filter(F.col("sale_date").isNotNull()).select("sale_date").distinct()
     per_day = supplier_by_day(stg_final_delivery, sale_days).select("day", "supplier_id")
     day_key = (broadcast_bounded(per_day)
                .join(dim_supplier.select("supplier_id", "supplier_key"), "supplier_id")

@@ -96,8 +96,8 @@ for _key in ["dim_customer", "dim_supplier", "dim_part", "dim_car", "fact_sales"
 @register("supplier_as_of", "select * from supplier_per_sale")
 def q_supplier_as_of(spark, sf_dir):
     from torque.operators.asof import supplier_as_of
-    _, _, silver = bound(spark, sf_dir)
-    return (supplier_as_of(silver.sales, silver.final_delivery, with_delivery=True)
+    src, _, silver = bound(spark, sf_dir)
+    return (supplier_as_of(silver.sales, silver.final_delivery, with_delivery=True, dates=src.sales)
             .select("sale_id", "supplier_id", "delivery_date"))
 
 

@@ -120,7 +120,7 @@ def load_gold(spark: SparkSession, silver: Silver, cfg: ModelConfig,
     cal, d_customer, d_supplier = built["dim_time"], built["dim_customer"], built["dim_supplier"]
     d_part, d_car = built["dim_part"], built["dim_car"]
     src = fact_source(silver.sales, silver.final_delivery, silver.parts_car,
-                      d_car, d_customer, d_supplier)
+                      d_car, d_customer, d_supplier, sales_dates)
     fact = _persist(load_fact(cur.get("fact_sales"), src, now), "fact_sales", store)
     return Gold(dim_time=cal, dim_customer=d_customer, dim_supplier=d_supplier,
                 dim_part=d_part, dim_car=d_car, fact_sales=fact)
@@ -207,7 +207,7 @@ def run(spark: SparkSession, sources: Sources, cfg: ModelConfig, store: Snapshot
     from torque.operators.quality import run_quality_gate
     bronze = load_bronze(spark, sources, store)
     failed = run_quality_gate(bronze.as_dict(), cfg.as_of, warn_only=warn_only)
-    gold = load_gold(spark, build_silver(bronze), cfg, current=current, store=store,
+    gold = load_gold(spark, build_silver(bronze, cfg.now), cfg, current=current, store=store,
                      sales_dates=bronze.sales)
     if keep_versions:
         for table in list(sources.as_dict()) + list(gold.as_dict()):

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every torque session wants; a cluster's own spark-defaults win
@@ -22,11 +19,12 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, app: str = "torque",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with torque's defaults.
 
     ``master`` is only needed for local runs; on a cluster leave it None so
-    the submit-time master is used.
+    the submit-time master is used. ``checkpoint_dir`` is used where the
+    session names none.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -39,30 +37,25 @@ def get_session(master: str | None = None, app: str = "torque",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir:
+        ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only when unset.
+def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
+    """Return the reliable checkpoint folder of the session.
 
-    On a cluster the folder must be shared storage named by
-    ``spark.checkpoint.dir``; torque never invents a machine-local folder
-    there. Only a local-mode session (tests, the bench) gets a fresh
-    scratch folder when nothing is configured.
+    It must be shared storage named by ``spark.checkpoint.dir``. Where that is
+    unset, the caller may name a folder (a local run, tests, the bench);
+    torque itself never invents one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; torque needs a shared folder "
-            "for lineage cuts on a cluster")
-    scratch = tempfile.mkdtemp(prefix="torque-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(scratch)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or default
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir is not set; torque needs a shared folder "
+                           "for lineage cuts")
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
