@@ -32,7 +32,7 @@ RULES = [
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words", base=True),
     Rule("symbols", "10 * n_symbols > n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("capitals", "100 * n_capitals > 40 * word_chars"),
 ]
 BIT = {rule.name: 1 << i for i, rule in enumerate(RULES)}
@@ -176,7 +176,7 @@ f AS (SELECT *, ((CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
         + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
         + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
         + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 8 ELSE 0 END)
-        + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 16 ELSE 0 END)
+        + (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 16 ELSE 0 END)
         + (CASE WHEN 100 * n_capitals > 40 * word_chars THEN 32 ELSE 0 END))::INTEGER AS failed_mask
       FROM m)
 SELECT *, failed_mask & 3 <> 0 AS base_failed, failed_mask = 0 AS kept FROM f
