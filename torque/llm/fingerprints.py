@@ -106,22 +106,27 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     no next document (null near_next) and an edited text that is only cut. An
     empty table gives an empty result; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    own_id = F.col(id_col) if id_col == "doc_id" else F.col(id_col).alias("doc_id")
+    rows = docs.select(own_id, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     links = following(rows.select("doc_id"))
     third = F.floor(F.char_length("text") / F.lit(3)).cast("int")
     # What each document's predecessor takes over from it: at most its whole text.
     need = rows.groupBy("doc_id").agg(F.max(third).alias("need"))
     wanted = (links.join(need, "doc_id")
               .select(F.col("next_id"), F.col("doc_id").alias("by"), "need"))
-    heads = (rows.join(wanted, rows["doc_id"] == F.col("next_id"))
+    # one filter for both joins, so that the texts are dealt out by id only once
+    known = rows.filter(F.col("doc_id").isNotNull())
+    heads = (known.join(wanted, known["doc_id"] == F.col("next_id"))
              .select(F.col("by").alias("head_id"), F.struct(
                  F.expr("substring(text, 1, need)").alias("head"),
                  sketch(F.col("text"), k).alias("sketch")).alias("next"))
              .groupBy("head_id").agg(F.min("next").alias("next")))
     empty = F.array().cast("array<bigint>")
     own = F.coalesce(F.col("sketch"), empty)
-    return (rows.join(heads, rows["doc_id"] == F.col("head_id"), "left")
+    paired = known.join(heads, known["doc_id"] == F.col("head_id"), "left").select(
+        "doc_id", "text", "next").unionByName(rows.filter(F.col("doc_id").isNull()).select(
+            "doc_id", "text", F.lit(None).cast(heads.schema["next"].dataType).alias("next")))
+    return (paired
             .select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
                     sketch(F.col("text"), k).alias("sketch"),
                     F.concat(F.expr("substring(text, 1, char_length(text) - "
