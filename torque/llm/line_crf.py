@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from torque.llm.wordhash import Words, text_slices
+from torque.llm.worker_memory import release
 
 SAMPLE_DOCUMENTS = 6_000      # labelled documents that training reads at most
 SAMPLE_LINES = 2_000          # of a sampled document's lines, evenly spread, at most
@@ -229,6 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
 
     def features(batches):
+        release()
         for batch in batches:
             for at, part in text_slices(batch.column(1)):
                 x, chars, bounds = line_features(part)
@@ -274,6 +276,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         for batch in batches:
             values = [shared.value.scores(*line_features(part))
                       for _, part in text_slices(batch.column(1))]

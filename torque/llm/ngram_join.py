@@ -35,6 +35,7 @@ from torque.llm.components import components
 from torque.llm.packing import (bucket_keys, by_bucket, document_row, found_row, from_planes,
                                 packed_rows, planes)
 from torque.llm.wordhash import SLICE_BYTES, STEP, Words, mix, text_slices, window_hashes
+from torque.llm.worker_memory import release
 
 COMMON_LOCAL = 16         # sets of one batch that make an element a candidate for the list
 COMMON_LISTED = 65_536    # length of the list of widely shared elements (no effect on links)
@@ -167,6 +168,7 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def shared_here(batches):
+        release()
         for batch in batches:
             seen, all_sets = set(), []
             for _, part in text_slices(batch.column(0)):
@@ -190,6 +192,7 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def profile(batches):
+        release()
         for batch in batches:
             for at, part in text_slices(batch.column(1)):
                 sets = shingle_sets(part, words_each)
@@ -200,9 +203,10 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
                     names=["doc_id", "n_shingles", "set_id"])
 
     def send_parts(batches):
+        release()
         for batch in batches:
             known = batch.filter(batch.column(0).is_valid())
-            for at, part in text_slices(known.column(1), 2 * SLICE_BYTES):
+            for at, part in text_slices(known.column(1), 4 * SLICE_BYTES):
                 docs = known.column(0).slice(at, len(part)).to_numpy()
                 packed = _packed_parts(part, docs, words_each, percent, shared.value, buckets)
                 if packed:
@@ -265,7 +269,7 @@ def _packed_parts(texts: pa.Array, docs: np.ndarray, words_each: int, percent: i
 
 
 def _part_ties(table: pa.Table) -> pa.Table:
-    """(a, b): documents with an equal part, and the smallest document that has it."""
+    """(a, b) per part hash: a document that has it and the smallest one that has it."""
     docs, keys, left, right = [], [], [], []
     for row in table.to_pylist():
         names, at = from_planes(row["docs"], np.int64), from_planes(row["places"], np.uint32)
@@ -283,10 +287,9 @@ def _part_ties(table: pa.Table) -> pa.Table:
         first = docs[fresh][np.cumsum(fresh) - 1]
         left.append(docs[~fresh])
         right.append(first[~fresh])
-    pairs = np.unique(np.stack((np.concatenate(left or [np.zeros(0, np.int64)]),
-                                np.concatenate(right or [np.zeros(0, np.int64)]))), axis=1)
-    pairs = pairs[:, pairs[0] != pairs[1]]
-    return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+    a = np.concatenate(left or [np.zeros(0, np.int64)])
+    b = np.concatenate(right or [np.zeros(0, np.int64)])
+    return pa.table({"a": pa.array(a[a != b]), "b": pa.array(b[a != b])})
 
 
 def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int) -> DataFrame:

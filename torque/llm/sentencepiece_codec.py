@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from torque.llm.bpe import Merges
 from torque.llm.segments import distinct_segments, gather_ranges, slices
+from torque.llm.worker_memory import kept
 
 MARK = "▁"                      # stands for a blank inside pieces
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6   # piece types of the model format
@@ -178,16 +179,6 @@ class Codec:
         return "".join(out)
 
 
-_CODECS: dict[int, Codec] = {}
-
-
-def _codec(model: bytes) -> Codec:
-    key = hash(model)
-    if key not in _CODECS:
-        _CODECS[key] = Codec(model)
-    return _CODECS[key]
-
-
 def sentencepiece_round_trip(docs: DataFrame, model: str, id_col: str = "doc_id",
                              text_col: str = "text") -> DataFrame:
     """Encode every whole text to ids and decode the ids again.
@@ -207,7 +198,7 @@ def sentencepiece_round_trip(docs: DataFrame, model: str, id_col: str = "doc_id"
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches):
-        codec = _codec(shared.value)
+        codec = kept(("codec", model), lambda: Codec(shared.value))
         for batch in batches:
             own, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in slices(texts):

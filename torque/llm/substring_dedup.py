@@ -30,10 +30,11 @@ from torque.llm.packing import (MARK, bucket_keys, by_bucket, document_row, foun
                                 packed_rows, planes)
 from torque.llm.segments import gather_ranges
 from torque.llm.wordhash import Words, text_slices, window_hashes
+from torque.llm.worker_memory import release
 
 PACKED = "bucket int, docs binary, places binary, keys binary, found boolean"
 ANSWER = "doc bigint, key bigint"
-PROBE_BYTES = 12_000_000         # of texts whose windows are sorted at once
+PROBE_BYTES = 8_000_000          # of texts whose windows are sorted at once
 
 
 def _answers(docs: np.ndarray, keys: np.ndarray) -> pa.Table:
@@ -219,6 +220,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
     extra = ["carried"] if carry else []
 
     def probe(batches):
+        release()
         for batch in batches:
             known = batch.filter(batch.column(0).is_valid())
             for at, part in text_slices(known.column(1), PROBE_BYTES):
@@ -228,6 +230,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
                     yield packed_rows(packed)
 
     def extend(batches):
+        release()
         for batch in batches:
             known = batch.filter(batch.column(0).is_valid())
             if known.num_rows:
@@ -247,6 +250,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, block: int | None = None,
         _late_windows, ANSWER), "late")
 
     def cut(batches):
+        release()
         for batch in batches:
             for at, part in text_slices(batch.column(1)):
                 yield _cut(*[c.slice(at, len(part)) for c in batch.columns], window=window)

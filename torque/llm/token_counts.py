@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from torque.llm.bpe import Merges
 from torque.llm.segments import distinct_segments, slices, sums_between
+from torque.llm.worker_memory import kept
 
 # ---- fixed values: the word pattern of the tokenizer family -----------------
 # 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -265,16 +266,6 @@ class Counter:
         return sums_between(counts, words_before[first]) + specials
 
 
-_COUNTERS: dict[int, Counter] = {}
-
-
-def _counter(vocabulary_json: bytes) -> Counter:
-    key = hash(vocabulary_json)
-    if key not in _COUNTERS:
-        _COUNTERS[key] = Counter(vocabulary_json)
-    return _COUNTERS[key]
-
-
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Count the tokens of every whole text.
@@ -294,7 +285,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
     id_type = pa.int64() if rows.schema["doc_id"].dataType.simpleString() == "bigint" else None
 
     def count(batches):
-        counter = _counter(shared.value)
+        counter = kept(("counter", vocabulary), lambda: Counter(shared.value))
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in slices(texts):

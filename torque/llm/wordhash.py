@@ -13,7 +13,7 @@ import pyarrow as pa
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
-SLICE_BYTES = 4_000_000          # texts handled at once, unless one alone is longer
+SLICE_BYTES = 2_000_000          # texts handled at once, unless one alone is longer
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, *range(9, 14)]] = True
@@ -30,6 +30,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
+    if n > 4 * SLICE_BYTES:          # one very long text: not worth keeping
+        run = np.full(n, base, np.uint64)
+        run[0] = 1
+        return np.cumprod(run, dtype=np.uint64)
     if len(_POWERS[name]) < n:
         run = np.full(max(n, SLICE_BYTES), base, np.uint64)
         run[0] = 1
