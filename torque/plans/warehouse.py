@@ -24,7 +24,7 @@ from torque.operators.fact import fact_source, load_fact
 from torque.operators.joins import materialize
 from torque.session import ensure_checkpoint_dir
 from torque.sources.bindings import ModelConfig, Sources, bind_config, bind_sources
-from torque.sources.sinks import SnapshotStore, load_sources
+from torque.sources.sinks import SnapshotStore, load_sources, read_source
 
 
 @dataclass
@@ -146,7 +146,7 @@ def warehouse_root(spark: SparkSession) -> str:
 def load_bronze(spark: SparkSession, src: Sources, store: SnapshotStore) -> Sources:
     """S2 for every role (parents first), then read the loaded tables back."""
     load_sources(store, src.as_dict())
-    return Sources(**{t: store.read(t) for t in src.as_dict()})
+    return Sources(**{t: read_source(store, t) for t in src.as_dict()})
 
 
 def bound(spark: SparkSession, sf_dir: str):

@@ -56,15 +56,6 @@ def apply_batch(spark: SparkSession, store: SnapshotStore, table: str, batch: Da
     return True
 
 
-def file_stream_path(path: str) -> str:
-    """The file stream source lists a folder or a glob; a single file is
-    turned into a glob that matches exactly itself."""
-    head, _, name = path.rstrip("/").rpartition("/")
-    if "." not in name or any(c in name for c in "*?[{"):
-        return path
-    return f"{head}/{name[:-1]}[{name[-1]}]"
-
-
 def run_change_feed(spark: SparkSession, source_path: str, schema: StructType,
                     store: SnapshotStore, table: str, key: str, order_cols: list[str],
                     surrogate: str, checkpoint_location: str,
