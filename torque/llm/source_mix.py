@@ -174,6 +174,9 @@ def block_slots(spark, sources: list[Source], shard_slots: int = SHARD_SLOTS,
 class Mix:
     """One mix of (doc_id, text, source) rows; all parts are lazy DataFrames.
 
+    The planner takes the generated slots for a tiny table, so joins with them
+    are hinted to shuffle: they grow with the data and must not be broadcast.
+
     Documents are told apart by id, source, text and, among rows alike in all
     three, by number, so repeated rows and ids stay separate documents. Null
     texts and texts without words have size 0 and are never taken.
@@ -218,7 +221,7 @@ class Mix:
                 Window.partitionBy("__source").orderBy("bucket")) - F.col("n")).alias("base"))
         n = F.lit(self.block_words)
         return (rows.withColumn("offset", F.sum("size").over(inside) - F.col("size"))
-                .join(before, ["__source", "bucket"])
+                .join(before.hint("merge"), ["__source", "bucket"])
                 .withColumn("offset", F.col("offset") + F.col("base"))
                 .select(*self.KEYS, "offset", "size", F.explode(F.sequence(
                     F.floor(F.col("offset") / n),
@@ -231,9 +234,9 @@ class Mix:
     def report(self) -> DataFrame:
         """(doc_id, size, source_size, target, taken) per document."""
         times = self.slots.groupBy("__source", "block").agg(F.count(F.lit(1)).alias("times"))
-        taken = (self.pieces().join(times, ["__source", "block"]).groupBy(*self.KEYS)
+        taken = (self.pieces().join(times.hint("merge"), ["__source", "block"]).groupBy(*self.KEYS)
                  .agg(F.sum(F.col("length") * F.col("times")).alias("taken")))
-        own, other = self.numbered.alias("a"), taken.alias("b")
+        own, other = self.numbered.alias("a"), taken.hint("merge").alias("b")
         same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in self.KEYS]
         on = same[0] & same[1] & same[2] & same[3]
         return own.join(other, on, "left").select(
@@ -244,7 +247,7 @@ class Mix:
         """The taken words as rows with the columns of the input: one row per document
         and pass. A document taken whole keeps its text; otherwise its taken words
         are joined by blanks. ``n_chars``, if there, is set to the new length."""
-        taken = (self.pieces().join(self.slots, ["__source", "block"])
+        taken = (self.pieces().join(self.slots.hint("merge"), ["__source", "block"])
                  .groupBy(*self.KEYS, "size", "pass").agg(
                      F.sort_array(F.collect_list(F.struct("start", "length"))).alias("parts"),
                      F.sum("length").alias("n")))
@@ -253,7 +256,7 @@ class Mix:
         full = (self.docs.join(numbers, F.col("source").eqNullSafe(F.col("__name"))).drop("__name")
                 .withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
                 .withColumn("__copy", F.row_number().over(alike)))
-        a, b = full.alias("a"), taken.alias("b")
+        a, b = full.alias("a"), taken.hint("merge").alias("b")
         on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
         for k in self.KEYS[1:]:
             on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
