@@ -40,7 +40,7 @@ from torque.llm.worker_memory import release
 COMMON_LOCAL = 16         # sets of one batch that make an element a candidate for the list
 COMMON_LISTED = 65_536    # length of the list of widely shared elements (no effect on links)
 BAND_GROWTH = 1.5         # of sizes from one band to the next
-BAND_SHINGLES = 500_000   # elements in one band of a tile
+BAND_SHINGLES = 2_000_000 # elements in one band of a tile
 PART_ROWS = "bucket int, docs binary, places binary, keys binary, found boolean"
 
 
