@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import corpus
 from torque.llm import fingerprints as fp
+from torque.llm import known_licenses
 from torque.llm import license_scan as lic
 from torque.llm import quality_ledger as ql
 
@@ -37,6 +38,35 @@ def test_license_variants_match(spark):
     assert got[6].line_licenses == ["CC-BY-NC-4.0", "MIT"] and got[6].n_license_lines == 3
 
 
+def test_license_common_texts_and_notices(spark):
+    filed = {p.stem: p.read_text() for p in known_licenses.FOLDER.glob("*.txt")}
+    mit = next(t for i, t in lic.KNOWN if i == "MIT").split("\n", 1)[1]
+    gpl2 = filed["GPL-2"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+                                  "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")
+    whole = [("Apache-2.0", filed["Apache-2.0"]),
+             ("Apache-2.0", filed["Apache-2.0"].split("APPENDIX")[0].replace("http:", "https:")),
+             ("GPL-2.0", gpl2), ("GPL-2.0", filed["GPL-2"][filed["GPL-2"].index("Preamble"):]),
+             ("GPL-3.0", filed["GPL-3"]), ("LGPL-2.1", filed["LGPL-2.1"]),
+             ("LGPL-3.0", filed["LGPL-3"].upper()), ("MPL-2.0", filed["MPL-2.0"]),
+             ("MPL-2.0", filed["MPL-2.0"][filed["MPL-2.0"].index("1. Definitions"):]),
+             ("CC0-1.0", filed["CC0-1.0"]), ("Unlicense", filed["Unlicense"]),
+             ("MIT", "Copyright (c) 2020 Somebody\n\n" + mit),
+             ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Somebody\n\n" + mit),
+             ("BSD-3-Clause", filed["BSD"]), (None, filed["GPL-3"].replace("freedom", "feedom"))]
+    lines = [("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0"),
+             ("GPL-3.0-or-later", "SPDX-License-Identifier: GPL-3.0-or-later"),
+             ("LGPL-2.1", "Released under the GNU Lesser General Public License, version 2.1."),
+             ("MPL-2.0", "// SPDX-License-Identifier: MPL-2.0"),
+             ("CC-BY-4.0", "This work is licensed under CC BY 4.0"),
+             ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
+             ("CC-BY-SA-4.0", "This work is licensed under a thing\nLicense: CC BY-SA 4.0")]
+    texts = [t for _, t in whole] + [f"some words\n{t}\nmore words" for _, t in lines]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [r for r in lic.license_scan(df).orderBy("doc_id").collect()]
+    assert [r.license_id for r in got[:len(whole)]] == [i for i, _ in whole]
+    assert [r.line_licenses for r in got[len(whole):]] == [[i] for i, _ in lines]
+
+
 def test_license_odd_rows(spark):
     assert lic.license_scan(corpus.nothing(spark)).count() == 0
     rows = lic.license_scan(corpus.odd_documents(spark)).collect()

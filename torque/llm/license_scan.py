@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from torque.llm.columns import let
+from torque.llm.known_licenses import notices, whole_texts
 
 # ---- fixed values: known licences and notices ---------------------------------
 _NO_WARRANTY = """
@@ -71,6 +72,8 @@ OF THIS SOFTWARE."""),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
     ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 ]
+KNOWN = list(dict.fromkeys(
+    KNOWN + whole_texts([x for x in KNOWN if "\n" in x[1]]) + notices()))
 # Patterns that Spark's and DuckDB's regular expressions read alike.
 COPYRIGHT_LINE = (r"(?m)^[ \t*#/;-]*(copyright[ \t]*(\(c\)|©|:|[0-9<\[{])|\(c\)[ \t]|©"
                   r"|all rights reserved)[^\n]*$")
@@ -117,7 +120,9 @@ def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id",
     ``license_id`` (the licence that the whole text is, or null),
     ``line_licenses`` (sorted distinct licences whose notice is a line of the
     text) and ``n_license_lines``. ``known`` is a list of (licence, text); it
-    is broadcast, so it must stay a small curated list.
+    is broadcast, so it must stay a small curated list. The canonical form drops
+    every mark, so an id with a plus sign (GPL-2.0+) reads as the plain one, and
+    compound SPDX expressions are found only if they are entered.
 
     Null texts count as empty; an empty or punctuation-only text matches
     nothing. Null and repeated ids pass through row by row. An empty table
@@ -125,12 +130,13 @@ def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     table = [(r["digest"], r["license_id"]) for r in known_digests(spark, known).collect()]
-    notices = F.create_map(*[F.lit(x) for row in table for x in row])
+    # Licences as bytes: their names (Python-2.0) then do not read like nodes of the plan.
+    lookup_line = F.create_map(*[F.lit(x) for d, name in table for x in (d, name.encode())])
     # Only lines no longer than the longest notice can be one.
     longest = max(len(text) for _, text in (known or KNOWN)) * 2
     lines = F.filter(F.split("form", "\n"), lambda x: (F.char_length(F.trim(x)) > 0)
                      & (F.char_length(x) <= longest) & x.rlike("licen|spdx"))
-    hits = F.filter(F.transform(lines, lambda x: F.element_at(notices, digest(x))),
+    hits = F.filter(F.transform(lines, lambda x: F.element_at(lookup_line, digest(x)).cast("string")),
                     lambda x: x.isNotNull())
     forms = (docs.select(F.col(id_col).alias("doc_id"),
                          canonical(F.coalesce(F.col(text_col), F.lit(""))).alias("form"))
