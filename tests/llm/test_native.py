@@ -67,6 +67,16 @@ def test_license_common_texts_and_notices(spark):
     assert [r.line_licenses for r in got[len(whole):]] == [[i] for i, _ in lines]
 
 
+def test_license_notices_without_the_word(spark):
+    known = [("PD", "This work is in the public domain"), ("CC0-1.0", "All code is CC0 1.0"),
+             ("BLANK", " -- ")]
+    df = spark.createDataFrame([(1, "a\n * This work is in the PUBLIC domain.\nAll code is CC0"),
+                                (2, "x\n\n--\nall code is CC0-1.0"), (3, "All code is CC0 1.1")],
+                               "doc_id bigint, text string")
+    got = {r.doc_id: r.line_licenses for r in lic.license_scan(df, known).collect()}
+    assert got == {1: ["PD"], 2: ["CC0-1.0"], 3: []}
+
+
 def test_license_odd_rows(spark):
     assert lic.license_scan(corpus.nothing(spark)).count() == 0
     rows = lic.license_scan(corpus.odd_documents(spark)).collect()

@@ -85,6 +85,7 @@ SPELLINGS = [
     ("non commercial", "noncommercial"), ("sub license", "sublicense"),
     ("copyright owner", "copyright holder"), ("https", "http"),
 ]
+START_CHARS = 8
 # -------------------------------------------------------------------------------
 
 
@@ -106,10 +107,15 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark, known=None) -> DataFrame:
-    """(digest, license_id) of known texts; one row per digest."""
+    """(digest, license_id, length, start) of known texts; one row per digest, with the
+    length and the first characters of its canonical form."""
     rows = spark.createDataFrame(list(known or KNOWN), "license_id string, text string")
-    return (rows.select(digest(canonical(F.col("text"))).alias("digest"), "license_id")
-            .groupBy("digest").agg(F.min("license_id").alias("license_id")))
+    form = _one_line(F.col("form"))
+    return (rows.select(canonical(F.col("text")).alias("form"), "license_id")
+            .select(digest(F.col("form")).alias("digest"), "license_id",
+                    F.char_length(form).alias("length"),
+                    F.substring(form, 1, START_CHARS).alias("start"))
+            .groupBy("digest").agg(*[F.min(c).alias(c) for c in ("license_id", "length", "start")]))
 
 
 def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id",
@@ -129,13 +135,15 @@ def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id",
     gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
-    table = [(r["digest"], r["license_id"]) for r in known_digests(spark, known).collect()]
+    found = known_digests(spark, known).filter("length > 0").collect()
+    table = [(r["digest"], r["license_id"]) for r in found]
     # Licences as bytes: their names (Python-2.0) then do not read like nodes of the plan.
     lookup_line = F.create_map(*[F.lit(x) for d, name in table for x in (d, name.encode())])
-    # Only lines no longer than the longest notice can be one.
-    longest = max(len(text) for _, text in (known or KNOWN)) * 2
-    lines = F.filter(F.split("form", "\n"), lambda x: (F.char_length(F.trim(x)) > 0)
-                     & (F.char_length(x) <= longest) & x.rlike("licen|spdx"))
+    # Only lines of a known length that begin like a known text can be one; within a line
+    # the canonical form has single blanks already.
+    lengths, starts = ({r[c] for r in found} for c in ("length", "start"))
+    lines = F.filter(F.transform(F.split("form", "\n"), lambda x: F.trim(x)), lambda x: (
+        F.char_length(x).isin(lengths) & F.substring(x, 1, START_CHARS).isin(starts)))
     hits = F.filter(F.transform(lines, lambda x: F.element_at(lookup_line, digest(x)).cast("string")),
                     lambda x: x.isNotNull())
     forms = (docs.select(F.col(id_col).alias("doc_id"),
