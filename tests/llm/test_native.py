@@ -180,6 +180,14 @@ def test_long_texts_take_the_paired_sort(spark, monkeypatch):
     assert ql.quality_ledger(corpus.documents(spark, values)).orderBy("doc_id").collect() == usual
 
 
+def test_windows_with_equal_upper_bits(spark):
+    a, b = 5 << 40, (5 << 40) + 1                   # differ only where the position rides
+    df = spark.createDataFrame([([a, b, a],), ([b, 7, a, 9, b, a],), ([a, b],), ([7, 7, 8],), ([],)],
+                               "h array<bigint>")
+    got = [r.at for r in df.select(ql._repeated_positions(F.col("h")).alias("at")).collect()]
+    assert got == [[0, 2], [0, 2, 4, 5], [], [0, 1], []]
+
+
 def test_policies_and_ablations(spark):
     values = corpus.texts() + ["## " * 60 + "many words " * 40] * 3
     docs = corpus.documents(spark, values)

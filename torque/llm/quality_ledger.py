@@ -53,7 +53,8 @@ def _repeated_positions(hashes: Column) -> Column:
     """Positions whose hash occurs at least twice, ascending.
 
     Long arrays sort fast only as plain numbers, so the position rides in the
-    low bits; neighbours are then compared by their full hashes.
+    low bits; neighbours are then compared by their full hashes. Where neighbours
+    differ only in those low bits, different hashes may lie mixed, and pairs are sorted.
     """
     low = (1 << POSITION_BITS) - 1
 
@@ -61,9 +62,13 @@ def _repeated_positions(hashes: Column) -> Column:
         rows = F.sort_array(F.transform(h, lambda v, i: v.bitwiseAND(F.lit(~low)).bitwiseOR(
             i.cast("long"))))
         full = lambda v: F.get(h, v.bitwiseAND(F.lit(low)).cast("int"))
-        kept = let(rows, lambda s: F.filter(s, lambda v, i: (full(v) == full(F.get(s, i + 1)))
-                                            | (full(v) == full(F.get(s, i - 1)))))
-        return F.sort_array(F.transform(kept, lambda v: v.bitwiseAND(F.lit(low))))
+        high = lambda v: v.bitwiseAND(F.lit(~low))
+        mixed = lambda s: F.size(F.filter(s, lambda v, i: (
+            high(v) == high(F.get(s, i + 1))) & (full(v) != full(F.get(s, i + 1))))) > 0
+        kept = lambda s: F.filter(s, lambda v, i: (
+            full(v) == full(F.get(s, i + 1))) | (full(v) == full(F.get(s, i - 1))))
+        return let(rows, lambda s: F.when(mixed(s), paired(h)).otherwise(F.sort_array(
+            F.transform(kept(s), lambda v: v.bitwiseAND(F.lit(low))))))
 
     def paired(h: Column) -> Column:
         rows = F.sort_array(F.transform(h, lambda v, i: F.struct(
