@@ -9,7 +9,7 @@ table passes as one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from torque.llm import line_crf
@@ -33,10 +33,23 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each component the document of smallest id stays."""
-    found = ngram_jaccard_join(docs, percent=SIMILAR_PERCENT, words_each=SHINGLE_WORDS)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """N-gram Jaccard join: of each component one row of smallest id stays.
+
+    Rows are told apart by id and text, and rows alike in both by number, so an
+    id with two texts loses only the one that is a near copy. Rows without words
+    or without an id stay.
+    """
+    found = ngram_jaccard_join(docs, percent=SIMILAR_PERCENT, words_each=SHINGLE_WORDS,
+                               by_text=True)
+    gone = found.filter("doc_id IS NOT NULL AND NOT stays").select(
+        "doc_id", F.col("text_hash").alias("__hash")).distinct()
+    keys = ["doc_id", "__hash"]
+    alike = Window.partitionBy(*keys).orderBy(F.xxhash64(*docs.columns))
+    single = (F.col("__copy") == 1) | F.col("doc_id").isNull() | ~F.coalesce(
+        F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return (docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+            .join(gone, keys, "left_anti").withColumn("__copy", F.row_number().over(alike))
+            .filter(single).select(*docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

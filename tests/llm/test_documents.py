@@ -320,3 +320,20 @@ def test_stages_take_odd_rows(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns, name
         assert out.count() > 0, name
+
+
+def test_one_row_of_each_component_stays(spark):
+    odd = corpus.odd_documents(spark)
+    want = [(1, "x"), (1, "y"), (2, "y"), (2, None), (9, "x"), (None, "x"), (None, None)]
+    key = lambda r: [(x is None, x or 0) for x in r[:1]] + [r[1] or ""]
+    got = [(r.doc_id, r.source) for r in corpus_pipeline.keep_one_of_a_kind(spark, odd, "").collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, c + " end"), (4, b), (4, ""),
+            (4, ""), (None, a), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.keep_one_of_a_kind(spark, df, "").collect()
+    near = [r.text for r in kept if r.doc_id == 3]
+    assert len(near) == 1 and near[0] in (c, c + " end")
+    assert sorted((r.doc_id or 0, r.text) for r in kept if r.doc_id != 3) == sorted(
+        [(1, a), (2, b), (4, ""), (4, ""), (0, a), (0, a)])

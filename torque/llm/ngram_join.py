@@ -147,7 +147,8 @@ def linked_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text",
+                       by_text: bool = False) -> DataFrame:
     """Components of documents whose shingle sets have 100 |A & B| >= percent |A | B|.
 
     Words are runs of non-blank characters with A-Z lower-cased. Returns
@@ -161,6 +162,10 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     component_id is null unless a row with an id has the same set. An empty table gives an empty result; other
     columns are not read. Elements are 64-bit hashes, and a set is known by
     its size and a 64-bit hash.
+
+    With ``by_text``, rows also have ``text_hash`` (xxhash64 of the text, null as
+    empty) and ``stays``: true for the rows of one id and text in each component,
+    the smallest, and for rows with an empty set.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"),
@@ -199,8 +204,9 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)),
                      pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_hash(s) for s in sets], pa.int64())],
-                    names=["doc_id", "n_shingles", "set_id"])
+                     pa.array([set_hash(s) for s in sets], pa.int64()),
+                     batch.column(2).slice(at, len(part))],
+                    names=["doc_id", "n_shingles", "set_id", "text_hash"])
 
     def send_parts(batches):
         release()
@@ -212,29 +218,39 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
                 if packed:
                     yield packed_rows(packed)
 
-    profiles = stored(rows.mapInArrow(
-        profile, f"doc_id {kind}, n_shingles bigint, set_id bigint"))
+    profiles = stored(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        profile, f"doc_id {kind}, n_shingles bigint, set_id bigint, text_hash bigint"))
     ties = (rows.withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(
         send_parts, PART_ROWS).groupBy("bucket").applyInArrow(_part_ties, "a bigint, b bigint"))
-    tiles = _tiles(rows, profiles, components(ties), percent)
+    groups = components(ties)
+    # an id with several texts ties them to each other, also if it is tied to no other id
+    several = (profiles.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
+        F.col("doc_id").cast("bigint").alias("node"))
+        .agg(F.min("set_id").alias("x"), F.max("set_id").alias("y"))
+        .filter("x <> y").select("node", F.col("node").alias("root"))
+        .join(groups, "node", "left_anti"))
+    tiles = _tiles(rows, profiles, groups.union(several), percent)
     links = tiles.groupBy("tile").applyInArrow(
         lambda table: _tile_links(table, words_each, percent), "a bigint, b bigint")
     roots = components(links)
     named = (profiles.filter("n_shingles > 0")
              .join(roots, F.col("set_id") == F.col("node"), "left")
-             .select("set_id", "n_shingles", "doc_id",
+             .select("set_id", "n_shingles", "doc_id", "text_hash",
                      F.coalesce("root", "set_id").alias("root"),
                      F.when(F.col("root").isNull(), F.col("n_shingles")).alias("own_size")))
-    least = named.groupBy("root", "own_size").agg(F.min("doc_id").alias("component_id"))
+    least = named.groupBy("root", "own_size").agg(F.min(F.when(
+        F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first"))
     sets = named.select("set_id", "n_shingles", "root", "own_size").distinct().join(
         least.withColumnsRenamed({"root": "r", "own_size": "o"}),
         (F.col("root") == F.col("r")) & F.col("own_size").eqNullSafe(F.col("o")))
-    sets = sets.select(F.col("set_id").alias("s"), F.col("n_shingles").alias("n"), "component_id")
+    sets = sets.select(F.col("set_id").alias("s"), F.col("n_shingles").alias("n"), "first")
     found = F.col("n_shingles") > 0
+    more = [] if not by_text else ["text_hash", (~found | F.struct("doc_id", "text_hash").eqNullSafe(
+        F.col("first"))).alias("stays")]
     return profiles.join(
         sets, (F.col("set_id") == F.col("s")) & (F.col("n_shingles") == F.col("n")),
-        "left").select("doc_id", "n_shingles", "set_id", F.when(found, F.col("component_id"))
-                       .otherwise(F.col("doc_id")).alias("component_id"))
+        "left").select("doc_id", "n_shingles", "set_id", F.when(found, F.col("first.doc_id"))
+                       .otherwise(F.col("doc_id")).alias("component_id"), *more)
 
 
 def _packed_parts(texts: pa.Array, docs: np.ndarray, words_each: int, percent: int,
