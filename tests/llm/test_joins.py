@@ -121,6 +121,22 @@ def test_linked_sets_share_a_part():
                     assert set(part_hashes(a, common, percent)) & set(part_hashes(b, common, percent))
 
 
+def shared_by_all(percent: int, n: int, times: int) -> int:
+    """Sets of n elements that send their own band's hash for too many empty parts or
+    one of the next band."""
+    rng = np.random.default_rng(n)
+    lows = size_bands(percent)[0]
+    own = int(np.searchsorted(lows, n, "right")) - 1
+    hashes = {int(nj.mix(np.array([b * 4 + 2], np.uint64))[0]) for b in (own, own + 1)}
+    return sum(bool(hashes & set(part_hashes(np.unique(rng.integers(
+        0, 2 ** 63, n, dtype=np.uint64)), np.zeros(0, np.uint64), percent).tolist()))
+        for _ in range(times))
+
+
+def test_few_sets_send_the_hash_for_empty_parts():
+    assert sum(shared_by_all(80, n, 100) for n in range(13, 60)) < 47
+
+
 def test_roots_in_a_tile_equal_brute_force():
     rng = np.random.default_rng(9)
     base = [np.unique(rng.integers(0, 2 ** 63, 80, dtype=np.uint64)) for _ in range(4)]

@@ -41,6 +41,7 @@ COMMON_LOCAL = 16         # sets of one batch that make an element a candidate f
 COMMON_LISTED = 65_536    # length of the list of widely shared elements (no effect on links)
 BAND_GROWTH = 1.5         # of sizes from one band to the next
 BAND_SHINGLES = 2_000_000 # elements in one band of a tile
+SIZE_SLICES = 64          # of a group's sets of one size, for running volumes
 PART_ROWS = "bucket int, docs binary, places binary, keys binary, found boolean"
 
 
@@ -87,6 +88,7 @@ def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.nd
         at = np.minimum(np.searchsorted(common, elements), len(common) - 1)
         rare = elements[common[at] != elements]
     out, band = [], own
+    apart = (100 - percent) * n // percent      # no linked set differs in more elements
     while band == own or lows[band] * percent <= 100 * n:
         m = int(parts[band])
         for level, members in enumerate((rare, elements)):
@@ -96,8 +98,8 @@ def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.nd
             filled = np.flatnonzero(np.bincount(place, minlength=m))
             out.append(mix(sums[filled] + (filled.astype(np.uint64) << np.uint64(20))
                            + np.uint64(band * 4 + level)))
-            # of two linked sets at least m - differ parts are equal
-            if m - len(filled) < m - differ[band]:
+            # of two linked sets at least m - differ parts are equal, and m - apart
+            if m - len(filled) < m - min(int(differ[band]), apart):
                 break
         else:                        # even with all elements too many parts are empty
             out.append(mix(np.array([band * 4 + 2], np.uint64)))
@@ -312,10 +314,18 @@ def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int
     """(tile, set_id, n, text) of every set that a link may join to another set."""
     sets = (groups.join(profiles.filter("n_shingles > 0"), F.col("node") == F.col("doc_id"))
             .groupBy("root", "set_id", "n_shingles").agg(F.min("doc_id").alias("rep")))
-    members = stored(sets
-                     .withColumn("band", F.floor((F.sum("n_shingles").over(
-                         Window.partitionBy("root").orderBy("n_shingles", "set_id"))
-                         - F.col("n_shingles")) / F.lit(BAND_SHINGLES))))
+    # running volumes per slice of a group's sets of one size and then over slices, so no
+    # task sorts a whole group
+    sets = stored(sets.withColumn("slice", F.pmod("set_id", F.lit(SIZE_SLICES))))
+    slices = ["root", "n_shingles", "slice"]
+    before = sets.groupBy(*slices).agg(F.sum("n_shingles").alias("sum")).select(
+        *slices, (F.sum("sum").over(Window.partitionBy("root").orderBy("n_shingles", "slice"))
+                  - F.col("sum")).alias("base"))
+    volume = F.sum("n_shingles").over(Window.partitionBy(*slices).orderBy("set_id"))
+    members = stored(sets.withColumn("volume", volume - F.col("n_shingles"))
+                     .join(before, slices).withColumn("band", F.floor(
+                         (F.col("base") + F.col("volume")) / F.lit(BAND_SHINGLES)))
+                     .select("root", "set_id", "n_shingles", "rep", "band"))
     bands = members.groupBy("root", "band").agg(F.min("n_shingles").alias("low"),
                                                 F.max("n_shingles").alias("high"))
     left, right = bands.alias("l"), bands.alias("r")
