@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from torque.llm import chat_format, ngram_join
+from torque.llm import chat_format, collocations, hard_negatives, ngram_join
 from torque.llm import license_scan as licenses
 from torque.llm import line_crf
 from torque.llm import quality_ledger as ledger
 from torque.llm import substring_dedup as substrings
+from torque.llm import topk_search
 from torque.llm.fingerprints import document_fingerprints
 from torque.llm.sentencepiece_codec import sentencepiece_round_trip
 from torque.llm.source_mix import mix_sources
@@ -92,6 +93,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.quality_ledger(table(spark, sf_dir, "documents"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every fiftieth vector (operator 11)."""
+    return topk_search.exact_top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language (operator 12)."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every fiftieth vector and its positives (operator 13)."""
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -103,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
+    "op11_topk_search": op11_topk_search,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -111,4 +131,7 @@ ORACLES: dict[str, str] = {
     "op7_ngram_jaccard": ngram_join.ORACLE,
     "op8_substring_dedup": substrings.ORACLE,
     "op10_quality_rules": ledger.ORACLE,
+    "op11_topk_search": topk_search.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }

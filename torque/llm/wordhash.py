@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
+def powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     if n > 4 * SLICE_BYTES:          # one very long text: not worth keeping
         run = np.full(n, base, np.uint64)
         run[0] = 1
@@ -84,8 +84,8 @@ class Words:
         data = _LOWER[self.data] if self.lower else self.data
         n = len(data)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", BASE, n), out=sums[1:])
-        own = (sums[self.end] - sums[self.start]) * _powers("down", BASE_INVERSE, n + 1)[self.start]
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers("up", BASE, n), out=sums[1:])
+        own = (sums[self.end] - sums[self.start]) * powers("down", BASE_INVERSE, n + 1)[self.start]
         return mix(own ^ (self.end - self.start).astype(np.uint64) * STEP)
 
     def texts(self, row: int, keep: np.ndarray | None = None) -> list[bytes]:
