@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -11,8 +13,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import corpus
-from torque.llm.sentencepiece_codec import Codec, sentencepiece_round_trip
+from torque.llm.sentencepiece_codec import (BLOCK, MARK, PAIR_BYTES, Codec,
+                                            sentencepiece_round_trip)
 from torque.llm.token_counts import FRESH, MOVE, STATES, Counter, compose_scan, token_counts
+from torque.llm.worker_memory import Memo
 
 COUNTS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 ALPHABET = st.sampled_from(list(" \n\t\r 　'''strevmldaBéß1²½٣#!😀漢字xyz▁<|>\0")
@@ -92,8 +96,8 @@ def test_ids_equal_the_library(codec, library, values):
     ids, bounds = codec.encode(values)
     expected = library.encode(values)
     for i, want in enumerate(expected):
-        got = ids[bounds[i]:bounds[i + 1]].tolist()
-        assert got == want
+        got = ids[bounds[i]:bounds[i + 1]]
+        assert got.tolist() == want
         assert codec.decode(got) == library.decode(want)
 
 
@@ -101,22 +105,36 @@ def test_invalid_bytes_decode_like_the_library(codec, library):
     byte = codec.byte_ids
     for raw in (b"\xff", b"\xc3", b"\xe2\x82", b"a\x80b", b"\xf0\x9f\x98\x80"):
         ids = [byte[b] for b in raw]
-        assert codec.decode(ids) == library.decode(ids)
-
-
-def test_stream_commits_before_the_end(codec):
-    """Ids come out while characters still go in, with a window of bounded size."""
-    taken = 0
-
-    def chars():
-        nonlocal taken
-        for c in "thethe" * 500:
-            taken += 1
-            yield c
-
-    stream = codec.stream(chars())
-    next(stream)
-    assert taken < 4 * 16
+        assert codec.decode(np.array(ids)) == library.decode(ids)
+
+
+def test_stream_commits_before_the_end(codec, library):
+    """Ids come out block by block, whatever paths are still open."""
+    for unit in ("thethe", "a", "xyzzy漢", "\x01é"):
+        text = unit * (5 * BLOCK // len(unit))
+        parts = list(codec.stream(MARK + text))
+        assert len(parts) >= 5
+        assert [i for p in parts for i in p] == library.encode(text)
+
+
+def test_long_blank_free_text_needs_a_small_window(codec):
+    draw = random.Random(5)
+    text = "".join(draw.choice("etaoinshrdlu") for _ in range(300_000))
+    tracemalloc.start()
+    n = sum(len(ids) for ids in codec.stream(text))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 100_000 and peak < PAIR_BYTES * 1.3
+
+
+def test_memo_is_bounded_and_keeps_what_is_used():
+    made = []
+    memo = Memo(lambda key: made.append(key) or key * 2, 1000, lambda key, value: 10)
+    for i in range(1, 2000):
+        assert memo[i] == 2 * i
+        assert memo[-1] == -2
+    assert made.count(-1) == 1
+    assert len(memo) + len(memo.old) <= 100
 
 
 def test_round_trip_rows(spark, library):

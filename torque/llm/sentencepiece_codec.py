@@ -4,7 +4,9 @@ The trellis has one node per character boundary. For a merge-ordered (BPE)
 model exactly one piece may end at a boundary (see ``bpe.py``), so a node
 keeps one path back. A new piece can only start at one of the last
 ``longest piece`` nodes: whatever the paths of all of these share is final and
-its ids are committed, so a text of any length needs a window of bounded size.
+its ids are committed, so a text of any length needs a small window. Nothing
+but the ids of recent segments and pairs of pieces is remembered, in memos
+that are bounded in bytes.
 
 No piece has a blank after another character, so every path meets before a
 blank that follows a non-blank. Texts are cut there and the walk is made once
@@ -14,24 +16,25 @@ per distinct segment of a slice.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from torque.llm.bpe import Merges
-from torque.llm.segments import distinct_segments, gather_ranges, slices
-from torque.llm.worker_memory import kept
+from torque.llm.segments import distinct_segments, slices
+from torque.llm.worker_memory import Memo, kept
 
 MARK = "▁"                      # stands for a blank inside pieces
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6   # piece types of the model format
-ENDS, EXTENDS = 1, 2            # a string is a piece; it starts a longer piece
+BLOCK = 4096                    # characters between two attempts to commit
+MEMO_BYTES, PAIR_BYTES = 64_000_000, 48_000_000   # what a worker remembers at most
 
 
 class Codec:
-    MAX_SEGMENTS, MAX_WINDOWS = 300_000, 200_000   # bounds of what a worker remembers
-
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2
         proto = sentencepiece_model_pb2.ModelProto()
@@ -48,89 +51,91 @@ class Codec:
         score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
         if any(MARK in p.lstrip(MARK) for p in score):
             raise ValueError("a piece has a blank after another character")
-        self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
+        self.pieces = [p.piece for p in proto.pieces]
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces)
                          if p.type == BYTE}
         self.merges = Merges(lambda a, b: -score[a + b] if a + b in score else None)
-        self.kind = {p[:i]: EXTENDS for p in score for i in range(1, len(p))}
-        for piece in score:
-            self.kind[piece] = self.kind.get(piece, 0) | ENDS
+        self.found = ahocorasick.Automaton()
+        for i, p in enumerate(proto.pieces):
+            if p.type == NORMAL:
+                self.found.add_word(p.piece, (i, len(p.piece)))
+        self.found.make_automaton()
         self.longest = max(map(len, score))
         self.raw = [b"" if p.type == CONTROL else b" \xe2\x81\x87 " if p.type == UNKNOWN
                     else bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE
                     else p.piece.replace(MARK, " ").encode() for p in proto.pieces]
         self.is_byte = np.array([p.type == BYTE for p in proto.pieces])
-        self._restart()
-
-    def _restart(self) -> None:
-        first = (("", (), ""),)
-        self.windows, self.number = [first], {first: 0}
-        self.step: list[dict[str, tuple[int, tuple[int, ...]]]] = [{}]
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def _advance(self, state: int, char: str) -> tuple[int, tuple[int, ...]]:
-        """One Viterbi step. A window lists, for each node that a piece may still
-        start from, the characters since it, the pieces on its path that are not
-        committed yet, and the last piece before it."""
-        came, window = None, []
-        for since, path, last in self.windows[state]:
-            piece = since + char
-            found = self.kind.get(piece, 0)
-            if found & EXTENDS:
-                window.append((piece, path, last))
-            if came is None and found & ENDS and (not last or self.merges.adjacent(last, piece)):
-                came = (*path, piece), piece
-        if came is None:                       # a character that is no piece
-            path = self.windows[state][-1][1]
-            came = (*path, char), char
-        window.append(("", *came))
-        # pieces that all surviving paths share are final
-        paths, met = [w[1] for w in window], 0
-        shortest = min(map(len, paths))
-        while met < shortest and all(p[met] == paths[0][met] for p in paths):
-            met += 1
-        ids = tuple(i for piece in paths[0][:met] for i in self._ids_of(piece))
-        key = tuple((since, path[met:], last) for since, path, last in window)
-        to = self.number.get(key)
-        if to is None:
-            to = self.number[key] = len(self.windows)
-            self.windows.append(key)
-            self.step.append({})
-        out = self.step[state][char] = to, ids
+        self.pairs = Memo(self._survive, PAIR_BYTES, lambda pair, fits: 110)
+        self.known = Memo(self._encode, MEMO_BYTES,
+                          lambda segment, ids: 180 + len(segment) + len(ids))
+
+    def _survive(self, pair: int) -> bool:
+        """May the piece ``pair & (2**32 - 1)`` follow a path that ends in ``pair >> 32``?"""
+        left, right = self.pieces[pair >> 32], self.pieces[pair & 0xFFFFFFFF]
+        return self.merges.split(left + right) == [left, right]
+
+    def _encode(self, segment: bytes) -> bytes:
+        out = array("i")
+        for ids in self.stream(segment.decode().replace(" ", MARK)):
+            out.extend(ids)
+        return out.tobytes()
+
+    def stream(self, text: str):
+        """Yield the ids of a text, in lists, as soon as they are final.
+
+        ``last`` and ``back`` hold, for each boundary that is not committed, the
+        last piece of its path (None: a character that is no piece) and where
+        it starts. Pieces come in order of their ends, the longest first. After
+        every block the window shrinks to what the paths of the boundaries that
+        a piece may still start from do not share.
+        """
+        n, base, pairs = len(text), 0, self.pairs
+        last: list[int | None] = [None]
+        back = [-1]
+        for at in range(0, n, BLOCK):
+            before, stop = max(0, at - self.longest), min(n, at + BLOCK)
+            last += [None] * (stop - at)
+            back += range(at, stop)
+            for end, (piece, size) in self.found.iter(text[before:stop]):
+                end += before + 1
+                to = end - base
+                if end > at and last[to] is None:
+                    left = last[to - size]
+                    if left is None or pairs[left << 32 | piece]:
+                        last[to], back[to] = piece, end - size
+            at = stop
+            shared = n if at == n else self._meeting(back, base, at)
+            if shared > base:
+                yield self._ids(text, last, back, base, shared)
+                del last[:shared - base], back[:shared - base]
+                base = shared
+
+    def _meeting(self, back: list[int], base: int, at: int) -> int:
+        """The boundary that the paths of all boundaries share from which a piece may
+        start that ends after ``at``."""
+        paths = set(range(max(base, at + 1 - self.longest), at + 1))
+        while len(paths) > 1:
+            latest = max(paths)
+            paths.remove(latest)
+            paths.add(back[latest - base])
+        return paths.pop()
+
+    def _ids(self, text: str, last: list, back: list[int], base: int, end: int) -> list[int]:
+        """Ids on the path from boundary ``base`` to ``end``."""
+        out: list[int] = []
+        while end > base:
+            piece, start = last[end - base], back[end - base]
+            if piece is None:
+                out.extend(self.byte_ids[b] for b in reversed(text[start:end].encode()))
+            else:
+                out.append(piece)
+            end = start
+        out.reverse()
         return out
 
-    def stream(self, chars):
-        """Yield the ids of an iterable of characters as soon as they are final.
-
-        Holds one window, however long the text. Steps are remembered by
-        (window, character), within a memory bound.
-        """
-        if len(self.windows) > self.MAX_WINDOWS:
-            self._restart()
-        state = 0
-        for char in chars:
-            to = self.step[state].get(char)
-            if to is None:
-                to = self._advance(state, char)
-            state, ids = to
-            if ids:
-                yield from ids
-        for piece in self.windows[state][-1][1]:
-            yield from self._ids_of(piece)
-
-    def _ids_of(self, piece: str) -> list[int]:
-        own = self.ids.get(piece)
-        return [own] if own is not None else [self.byte_ids[b] for b in piece.encode()]
-
-    def encode_segment(self, segment: bytes) -> tuple[int, ...]:
-        known = self.known.get(segment)
-        if known is None:
-            if len(self.known) > self.MAX_SEGMENTS:
-                self.known.clear()
-            known = tuple(self.stream(segment.decode().replace(" ", MARK)))
-            if len(segment) <= 64:
-                self.known[segment] = known
-        return known
+    def encode_segment(self, segment: bytes) -> bytes:
+        """Ids of a segment as packed 32-bit integers; short segments are remembered."""
+        return self.known[segment] if len(segment) <= 64 else self._encode(segment)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the bounds of each text in it."""
@@ -146,16 +151,15 @@ class Codec:
         bounds = np.flatnonzero(cut)
         codes, segments = distinct_segments(data, bounds)
         ids = [self.encode_segment(s) for s in segments]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([i for x in ids for i in x], np.int32)
-        starts = np.cumsum(lengths) - lengths
-        out = gather_ranges(flat, starts[codes], lengths[codes])
+        lengths = np.array([len(x) for x in ids], np.int64) // 4
+        out = np.frombuffer(b"".join([ids[c] for c in codes.tolist()]), np.int32)
         ids_at = np.concatenate(([0], np.cumsum(lengths[codes])))
         return out, ids_at[np.searchsorted(bounds, ends)]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of an id sequence; invalid byte runs become U+FFFD per byte."""
-        data = b"".join(map(self.raw.__getitem__, ids))
+        data = b"".join([b"".join(map(self.raw.__getitem__, ids[a:a + BLOCK].tolist()))
+                         for a in range(0, len(ids), BLOCK)])
         try:
             text = data.decode()
         except UnicodeDecodeError:
@@ -204,8 +208,7 @@ def sentencepiece_round_trip(docs: DataFrame, model: str, id_col: str = "doc_id"
             for a, b in slices(texts):
                 part = texts[a:b]
                 ids, bounds = codec.encode(part)
-                listed = ids.tolist()
-                decoded = [codec.decode(listed[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
+                decoded = [codec.decode(ids[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [own.slice(a, b - a),
                      pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),

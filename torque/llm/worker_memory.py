@@ -21,3 +21,31 @@ def kept(key, make):
 
 def release() -> None:
     _KEPT.clear()
+
+
+class Memo(dict):
+    """Values of ``make(key)``, remembered within a bound in bytes.
+
+    Two generations: when the younger one has filled its half it becomes the
+    older one, whose entries move up when they are used again and go with it
+    otherwise. ``size(key, value)`` estimates the bytes of an entry.
+    """
+
+    def __init__(self, make, limit: int, size):
+        super().__init__()
+        self.make, self.size, self.half = make, size, limit // 2
+        self.old: dict = {}
+        self.held = 0
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        size = self.size(key, value)
+        if self.held + size > self.half:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
+        self.held += size
+        self[key] = value
+        return value
