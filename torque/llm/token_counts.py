@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from torque.llm.bpe import Merges
 from torque.llm.segments import distinct_segments, slices, sums_between
-from torque.llm.worker_memory import kept
+from torque.llm.worker_memory import Memo, kept
 
 # ---- fixed values: the word pattern of the tokenizer family -----------------
 # 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -148,7 +148,7 @@ def word_starts(classes: np.ndarray) -> np.ndarray:
 class Counter:
     """The lazily determinised counting transducer of one BPE vocabulary."""
 
-    MAX_STATES, MAX_WORDS = 300_000, 500_000   # bounds of what a worker remembers
+    MAX_STATES, WORD_BYTES = 200_000, 64_000_000   # bounds of what a worker remembers
 
     def __init__(self, vocabulary_json: bytes):
         spec = json.loads(vocabulary_json)
@@ -183,6 +183,7 @@ class Counter:
                 node = self.child[key]
             self.token_at[node] = token
         self._restart()
+        self.known = Memo(self._count, self.WORD_BYTES, lambda word, count: 150 + len(word))
 
     @staticmethod
     def _alphabet() -> dict[str, int]:
@@ -192,11 +193,14 @@ class Counter:
         rest = [b for b in range(256) if b not in set(own)]
         return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
-    def _restart(self) -> None:
+    def _restart(self, state: int = 0) -> int:
+        """Forget all states but the first and ``state``, whose new number is returned."""
         first = ((0, b"", 0),)
-        self.keys, self.number = [first], {first: 0}
+        stay = self.keys[state] if state else first
+        self.keys = [first] if stay == first else [first, stay]
+        self.number = {key: i for i, key in enumerate(self.keys)}
         self.step: dict[int, int] = {}     # state << 8 | byte -> next << 8 | (change + 128)
-        self.known: dict[bytes, int] = {}
+        return len(self.keys) - 1
 
     def _compile(self, state: int, byte: int) -> int:
         """The transition on one byte: which token ends here, and what stays open."""
@@ -220,21 +224,20 @@ class Counter:
         return out
 
     def count(self, word: bytes) -> int:
-        """Number of tokens of one word."""
-        known = self.known.get(word)
-        if known is not None:
-            return known
-        if len(self.keys) > self.MAX_STATES or len(self.known) > self.MAX_WORDS:
-            self._restart()
+        """Number of tokens of one word; those of short words are remembered."""
+        return self.known[word] if len(word) <= 64 else self._count(word)
+
+    def _count(self, word: bytes) -> int:
         state, total, step = 0, 0, self.step
         for byte in word:
             to = step.get(state << 8 | byte)
             if to is None:
+                if len(self.keys) >= self.MAX_STATES:
+                    state = self._restart(state)
+                    step = self.step
                 to = self._compile(state, byte)
             state = to >> 8
             total += (to & 255) - 128
-        if len(word) <= 64:
-            self.known[word] = total
         return total
 
     def count_texts(self, texts: list[str]) -> np.ndarray:
