@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import random
 import tempfile
 from decimal import Decimal as Dec
 
@@ -11,8 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
-from tests.fixtures import rows_of
-from torque.operators.history import merge_fact_months, scd2_merge
+from tests.fixtures import plan_of, rows_of
+from torque.operators import partials, reports
+from torque.operators.history import (merge_fact_months, sales_to_relink, scd2_merge,
+                                      version_as_of)
+from torque.operators.joins import materialize
+from torque.operators.partials import refresh_partials
+from torque.plans.warehouse import (build_silver, load_fact_incremental, load_gold,
+                                    load_late_deliveries, write_fact_by_month)
+from torque.sources.bindings import Sources
+from torque.sources.months import MonthTable
 from torque.sources.sinks import SnapshotStore
 from torque.streaming.cdc import apply_batch, latest_per_key, run_change_feed
 
@@ -93,42 +103,197 @@ def test_latest_per_key_ties_broken_by_event_id(spark):
     assert rows_of(latest_per_key(df, "user_id", ["ts", "event_id"]), "event_id") == [(2,)]
 
 
-def test_incremental_fact_rewrites_only_touched_months(spark, gold):
-    path = tempfile.mkdtemp(prefix="torque-fact-") + "/fact"
+# ---- E3: month table -------------------------------------------------------------------
+def month_table(fact):
+    return write_fact_by_month(fact, tempfile.mkdtemp(prefix="torque-fact-") + "/fact")
+
+
+def files(table, month):
+    version = table.manifest()["months"][month]
+    folder = f"{table.root}/data/v={version}/sale_month={month}"
+    return {f"{folder}/{f}": os.stat(f"{folder}/{f}").st_mtime_ns for f in os.listdir(folder)}
+
+
+def fact_rows(fact):
+    """Source rows of a fact: what a load brings."""
+    return fact.select(*[c for c in fact.columns if c not in ("sale_key", "load_ts")])
+
+
+def two_month_change(gold):
+    """Sale 6 moves from April to July, sale 11 is new in August."""
     fact = gold.fact_sales
-    (fact.withColumn("sale_month", (F.col("time_id") / 100).cast("int"))
-     .write.partitionBy("sale_month").parquet(path))
-    cols = [c for c in fact.columns if c not in ("sale_key", "load_ts")]
-    moved = fact.filter("sale_id = 6").select(*cols).withColumn("time_id", F.lit(20230715))
-    new = (fact.filter("sale_id = 10").select(*cols)
+    moved = fact_rows(fact.filter("sale_id = 6")).withColumn("time_id", F.lit(20230715))
+    new = (fact_rows(fact.filter("sale_id = 10"))
            .withColumn("sale_id", F.lit(11).cast("long")).withColumn("time_id", F.lit(20230801)))
-    months = merge_fact_months(spark, path, moved.unionByName(new), NOW)
+    return moved.unionByName(new)
+
+
+def test_incremental_fact_rewrites_only_touched_months(spark, gold):
+    table = month_table(gold.fact_sales)
+    before = {m: files(table, m) for m in table.manifest()["months"]}
+    months = merge_fact_months(table, two_month_change(gold), NOW)
     assert months == [202304, 202307, 202308]
-    out = spark.read.parquet(path)
+    held = table.manifest()["months"]
+    assert 202304 not in held                              # emptied by the moved sale
+    for month in set(before) - set(months):
+        assert files(table, month) == before[month]
+    out = table.read()
     assert rows_of(out.filter("sale_id in (6, 11)"), "sale_id", "sale_key", "sale_month") == \
         [(6, 4, 202307), (11, 7, 202308)]
-    assert out.count() == fact.count() + 1
+    assert out.count() == gold.fact_sales.count() + 1
     assert out.filter("sale_id = 2").first().sale_price == Dec("500.00")
+    assert table.manifest()["last_key"] == 7
+    # rows that are gone keep their number: the next key follows the greatest ever given
+    table.write(table.read([202307]), [202307, 202308])
+    late = fact_rows(gold.fact_sales.filter("sale_id = 10")).withColumn(
+        "sale_id", F.lit(12).cast("long"))
+    merge_fact_months(table, late, NOW)
+    assert rows_of(table.read().filter("sale_id = 12"), "sale_key") == [(8,)]
+
+
+def test_a_load_that_dies_changes_nothing(spark, gold, monkeypatch):
+    """Between the write of the months and the manifest readers see the old table,
+    and the load can be repeated."""
+    table = month_table(gold.fact_sales)
+    old = rows_of(table.read(), "sale_key", "sale_id", "time_id")
+    with monkeypatch.context() as patch:
+        patch.setattr(MonthTable, "_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge_fact_months(table, two_month_change(gold), NOW)
+    assert rows_of(table.read(), "sale_key", "sale_id", "time_id") == old
+    merge_fact_months(table, two_month_change(gold), NOW)
+    assert table.read().count() == len(old) + 1
+    # what the dead load left goes with the versions that no manifest names
+    stray = set(table._versions()) - set(table.manifest()["months"].values())
+    assert stray and set(table.expire(keep=1)) == stray
+    assert table.read().count() == len(old) + 1
+
+
+def test_two_loads_at_once_are_noticed(spark, gold):
+    table = month_table(gold.fact_sales)
+    state = table.manifest()
+    table._commit(state["number"] + 1, {k: state[k] for k in ("schema", "months", "last_key")})
+    with pytest.raises(RuntimeError):
+        table._commit(state["number"] + 1, {})
+
+
+def test_undated_rows_and_strange_months_are_refused(spark, gold):
+    table = month_table(gold.fact_sales)
+    old = table.manifest()
+    undated = two_month_change(gold).withColumn("time_id", F.lit(None).cast("int"))
+    with pytest.raises(ValueError):
+        merge_fact_months(table, undated, NOW)
+    with pytest.raises(ValueError):
+        table.write(table.read(), [202304])
+    assert table.manifest() == old
+    empty = month_table(gold.fact_sales.limit(0))
+    assert empty.read().count() == 0 and "sale_month" in empty.read().columns
 
 
 def test_incremental_fact_load_matches_full_merge(spark, clean, cfg, gold):
-    """A second load of changed sales through the month-partitioned path gives
-    the same fact as a full MERGE."""
-    from torque.plans.warehouse import (build_silver, load_fact_incremental, load_gold,
-                                        write_fact_by_month)
-    path = tempfile.mkdtemp(prefix="torque-fact-inc-") + "/fact"
-    write_fact_by_month(gold.fact_sales, path)
+    """A second load of changed sales through the month table gives the same fact as
+    a full MERGE."""
+    table = month_table(gold.fact_sales)
     changed = clean.sales.withColumn(
         "sale_date", F.when(F.col("sale_id") == 3, F.lit(dt.date(2023, 9, 9)))
         .otherwise(F.col("sale_date")))
-    from torque.sources.bindings import Sources
-    src2 = Sources(**{**clean.as_dict(), "sales": changed})
-    silver2 = build_silver(src2)
-    months = load_fact_incremental(spark, path, silver2, gold, NOW)
+    silver2 = build_silver(Sources(**{**clean.as_dict(), "sales": changed}))
+    months = load_fact_incremental(table, silver2, gold, NOW)
     assert 202302 in months and 202309 in months
     full = load_gold(spark, silver2, cfg, current=gold).fact_sales
     cols = ["sale_key", "sale_id", "time_id", "supplier_key", "gross_margin_pct"]
-    assert rows_of(spark.read.parquet(path), *cols) == rows_of(full, *cols)
+    assert rows_of(table.read(), *cols) == rows_of(full, *cols)
+
+
+# ---- E3: late deliveries ------------------------------------------------------------------
+@pytest.mark.parametrize("seed", range(4))
+def test_relinked_days_are_those_whose_supplier_changes(spark, seed):
+    rnd = random.Random(seed)
+    day = lambda n: dt.date(2023, 1, 1) + dt.timedelta(days=n)
+    deliveries = [(i, rnd.randint(1, 3), day(rnd.randint(0, 40))) for i in range(12)]
+    early = [d for d in deliveries if rnd.random() < 0.6]
+    sales = [(i, day(rnd.randint(-2, 45))) for i in range(40)] + [(99, None)]
+
+    def link(have, d):
+        have = [x for x in have if x[2] <= d]
+        return max(have, key=lambda x: (x[2], x[0]))[1] if have else None
+
+    frame = lambda rows: spark.createDataFrame(
+        rows, "delivery_id long, supplier_id long, delivery_date date")
+    got = sales_to_relink(spark.createDataFrame(sales, "sale_id long, sale_date date"),
+                          frame(early), frame(deliveries))
+    want = [s for s, d in sales if d and link(early, d) != link(deliveries, d)]
+    assert [r[0] for r in rows_of(got, "sale_id")] == sorted(want)
+
+
+def test_late_deliveries_touch_only_their_months(spark, clean, cfg, gold):
+    """A fact linked without the last delivery, brought up to date when it comes."""
+    silver = build_silver(clean)
+    last = silver.final_delivery.agg(F.max("delivery_date")).first()[0]
+    before = silver.final_delivery.filter(F.col("delivery_date") < F.lit(last))
+    first = load_gold(spark, build_silver(Sources(**{
+        **clean.as_dict(), "final_delivery": clean.final_delivery.filter(
+            F.col("delivery_date") < F.lit(last))})), cfg)
+    table = month_table(first.fact_sales)
+    old = {m: files(table, m) for m in table.manifest()["months"]}
+    months = load_late_deliveries(table, silver, before, gold, NOW)
+    since = last.year * 100 + last.month
+    assert months and all(m >= since for m in months)
+    for month in set(old) - set(months):
+        assert files(table, month) == old[month]
+    cols = ["sale_id", "time_id", "supplier_key", "gross_margin"]
+    assert rows_of(table.read(), *cols) == rows_of(gold.fact_sales, *cols)
+    # nothing comes: nothing is written
+    assert load_late_deliveries(table, silver, silver.final_delivery, gold, NOW) == []
+
+
+# ---- E3: partial aggregates ----------------------------------------------------------------
+def test_partials_follow_the_fact(spark, gold):
+    table = month_table(gold.fact_sales)
+    kept = MonthTable(spark, table.root + "-partials", key=None)
+    assert refresh_partials(kept, table) == sorted(table.manifest()["months"])
+    assert refresh_partials(kept, table) == []
+    old = {m: files(kept, m) for m in kept.manifest()["months"]}
+    months = merge_fact_months(table, two_month_change(gold), NOW)
+    assert refresh_partials(kept, table) == months
+    for month in set(old) - set(months):
+        assert files(kept, month) == old[month]
+    fact, rows = table.read(), kept.read()
+    for got, want in (
+            (partials.revenue_by_brand(rows, gold.dim_car, gold.dim_time),
+             reports.rpt_revenue_by_brand(fact, gold.dim_car, gold.dim_time)),
+            (partials.model_profitability(rows, gold.dim_car),
+             reports.rpt_model_profitability(fact, gold.dim_car)),
+            (partials.supplier_performance(rows, gold.dim_supplier, gold.dim_time),
+             reports.rpt_supplier_performance(fact, gold.dim_supplier, gold.dim_time)),
+            (partials.monthly_trend(rows, gold.dim_time),
+             reports.rpt_monthly_trend(fact, gold.dim_time))):
+        assert got.dtypes == want.dtypes
+        assert rows_of(got, *want.columns) == rows_of(want, *want.columns)
+    with pytest.raises(ValueError):
+        partials.monthly_trend(rows, gold.dim_time.filter("time_id > 20230105"))
+
+
+# ---- E1: version as of a day ---------------------------------------------------------------
+def test_version_as_of_a_day(spark):
+    day = dt.date
+    history = None
+    for rows, at in (([(1, "A"), (2, "B"), (4, None)], day(2023, 3, 1)),
+                     ([(1, "C"), (2, "B"), (4, "D")], day(2023, 6, 1)),
+                     ([(1, "E")], day(2023, 6, 2))):
+        history = materialize(scd2_merge(history, spark.createDataFrame(rows, "id long, city string"),
+                                         "id", "k", ["city"], at, NOW))
+    facts = [(10, 1, day(2023, 1, 1)), (11, 1, day(2023, 3, 1)), (12, 1, day(2023, 5, 31)),
+             (13, 1, day(2023, 6, 1)), (14, 1, day(2023, 6, 2)), (15, 1, day(2030, 1, 1)),
+             (16, 2, day(2023, 6, 1)), (17, 3, day(2023, 6, 1)), (18, None, day(2023, 6, 1)),
+             (19, 1, None), (20, 4, day(2023, 4, 1)), (21, 4, day(2023, 7, 1))]
+    out = version_as_of(spark.createDataFrame(facts, "sale long, id long, on date"), "id", "on",
+                        history, ["k", "city"])
+    assert rows_of(out, "sale", "city", "in_history") == [
+        (10, "A", False), (11, "A", True), (12, "A", True), (13, "C", True), (14, "E", True),
+        (15, "E", True), (16, "B", True), (20, None, True), (21, "D", True)]
+    plan = plan_of(out)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan
 
 
 def test_scd2_broadcast_and_shuffle_paths_agree(spark):

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 
+from tests.fixtures import plan_of
 from torque.operators import quality
 
 
@@ -63,3 +64,11 @@ def test_report_and_gate(clean, dirty):
         quality.run_quality_gate(dirty.as_dict(), dt.date(2024, 1, 1))
     failed = quality.run_quality_gate(clean.as_dict(), dt.date(2024, 1, 1), warn_only=True)
     assert {r.check_id for r in failed} <= {"QC-02", "QC-03", "QC-04", "QC-06"}
+
+
+def test_sales_key_checks_aggregate_before_they_shuffle(clean):
+    """Repeated and NULL sale ids are folded where the rows are read."""
+    plan = plan_of(quality.sales_key_checks(clean.as_dict()))
+    below = plan[plan.index("hashpartitioning(sale_id"):]
+    assert below.index("partial_") < below.index("Scan")
+    assert "REPARTITION" not in plan

@@ -7,10 +7,13 @@ untracked columns are overwritten in place (type 1). Comparison is
 column-by-column and NULL-safe (``<=>``), so no hash collision can hide a
 change.
 
+``version_as_of`` looks a row's version up by date.
+
 E3 ``merge_fact_months``: incremental fact load. Only the months a load
 touches are rewritten — the months of the incoming sales plus the old months
-of sales that move — using dynamic partition overwrite on a fact partitioned
-by ``sale_month`` (YYYYMM).
+of sales that move — in a month table (``sources/months.py``), which switches to
+them at once. ``sales_to_relink`` finds the loaded sales that late deliveries
+link anew.
 """
 
 from __future__ import annotations
@@ -21,9 +24,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize, materialize_counted, small_enough
+from torque.operators.asof import supplier_by_day
+from torque.operators.joins import (broadcast_bounded, materialize, materialize_counted,
+                                    small_enough)
 from torque.operators.keys import assign_surrogate_keys
 from torque.operators.merge import check_source_keys, merge_upsert
+from torque.sources.months import MONTH, MonthTable
+
 
 def _same(a: str, b: str, cols: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols],
@@ -89,41 +96,72 @@ def sale_month(time_id: Column) -> Column:
     return (time_id / 100).cast("int")
 
 
-def merge_fact_months(spark, fact_path: str, source: DataFrame, now: dt.datetime) -> list[int]:
-    """E3 — MERGE ``source`` (fact rows without sale_key/load_ts) into the fact
-    at ``fact_path`` (Parquet, partitioned by sale_month), rewriting only the
-    touched months. Returns the rewritten months.
+def merge_fact_months(table: MonthTable, source: DataFrame, now: dt.datetime) -> list[int]:
+    """E3 — MERGE ``source`` (fact rows without sale_key/load_ts) into a month table,
+    rewriting only the touched months. Returns the rewritten months.
 
-    The touched-month list has one entry per calendar month (bounded), so it
-    is collected; all row work stays on the executors.
+    New rows are numbered after the greatest key of the table's manifest, so the
+    table is scanned for nothing but the old months of the incoming sales. The
+    touched-month list has one entry per calendar month (bounded), so it is
+    collected; all row work stays on the executors. Rows without a time_id are
+    refused before anything is written.
     """
-    source = materialize(source.withColumn("sale_month", sale_month(F.col("time_id"))))
-    target = spark.read.parquet(fact_path)
-    moved = (target.select("sale_id", "sale_month")
-             .join(source.select("sale_id"), "sale_id").select("sale_month"))
-    months = [r[0] for r in source.select("sale_month").union(moved).distinct().collect()]
-    start = target.agg(F.max("sale_key")).first()[0] or 0
+    source, rows = materialize_counted(
+        source.withColumn(MONTH, sale_month(F.col("time_id"))))
+    ids = source.select("sale_id")
+    moved = table.read().select("sale_id", MONTH).join(
+        F.broadcast(ids) if small_enough(ids, rows) else ids, "sale_id").select(MONTH)
+    months = [r[0] for r in source.select(MONTH).union(moved).distinct().collect()]
+    if None in months:
+        raise ValueError("a fact row has no time_id")
     # every matched row's old month is in ``months``, so the touched
     # partitions hold all rows the MERGE can change
-    part = target.filter(F.col("sale_month").isin(months)).drop("sale_month")
-    merged = merge_upsert(part, source.drop("sale_month"), "sale_id", "sale_key", now,
-                          start_key=start)
-    # materialise first: the overwrite must not read the partitions it replaces
-    out = materialize(merged).withColumn("sale_month", sale_month(F.col("time_id")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("sale_month").parquet(fact_path))
-    # dynamic overwrite replaces only partitions that receive rows: a month
-    # emptied by moved sales is dropped explicitly
-    kept = {r[0] for r in out.select("sale_month").distinct().collect()}
-    _drop_partitions(spark, fact_path, [m for m in months if m not in kept])
+    merged = merge_upsert(table.read(months).drop(MONTH), source.drop(MONTH), "sale_id", "sale_key",
+                          now, start_key=table.manifest()["last_key"], materialize_source=False,
+                          source_rows=rows)
+    table.write(merged.withColumn(MONTH, sale_month(F.col("time_id"))), months)
     return sorted(months)
 
 
-def _drop_partitions(spark, path: str, months: list[int]) -> None:
-    if not months:
-        return
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for m in months:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"sale_month={m}"), True)
+def relinked_days(before: DataFrame, after: DataFrame, sale_days: DataFrame) -> DataFrame:
+    """(day) of the sale days whose latest supplier differs between two states of the
+    deliveries. One row per date at most, as in the as-of link itself."""
+    old = supplier_by_day(before, sale_days).select("day", F.col("supplier_id").alias("_before"))
+    new = supplier_by_day(after, sale_days).select("day", "supplier_id")
+    return (new.join(old, "day", "left")
+            .filter(~F.col("supplier_id").eqNullSafe(F.col("_before"))).select("day"))
+
+
+def sales_to_relink(sales: DataFrame, before: DataFrame, after: DataFrame,
+                    dates: DataFrame | None = None) -> DataFrame:
+    """The sales whose as-of supplier a late batch of deliveries changes: a delivery
+    dated d moves the sales from d up to the next delivery day, whatever was loaded
+    since. ``dates``: where to take the sale days from, if they are cheaper there."""
+    days = ((sales if dates is None else dates).filter(F.col("sale_date").isNotNull())
+            .select("sale_date").distinct())
+    changed = relinked_days(before, after, days).withColumnRenamed("day", "_day")
+    return sales.join(broadcast_bounded(changed), F.col("sale_date") == F.col("_day"), "left_semi")
+
+
+def version_as_of(rows: DataFrame, key: str, day: str, history: DataFrame,
+                  columns: list[str]) -> DataFrame:
+    """``rows`` with the ``columns`` of the type-2 version of ``key`` that was valid on
+    ``day``, and ``in_history``: false where the day lies before the key's first version,
+    which then stands in. Rows whose key or day is NULL, or whose key has no
+    history, drop (an inner join, like the other keys of the fact).
+
+    A key's versions (one per load at most) travel as one sorted array, so this
+    is an equi-join with one row per key: there is no range join, and a key with
+    many rows is split by AQE like in any other shuffle join.
+    """
+    versions = (history.groupBy(key).agg(F.sort_array(F.collect_list(
+        F.struct("valid_from", "valid_to", *columns))).alias("_versions")))
+    on = F.col(day)
+    valid = F.filter("_versions", lambda v: (v["valid_from"] <= on)
+                     & (v["valid_to"].isNull() | (v["valid_to"] >= on)))
+    first = F.col("_versions")[0]
+    return (rows.filter(on.isNotNull()).join(versions, key)
+            .withColumn("in_history", F.col("_versions")[0]["valid_from"] <= on)
+            .withColumn("_version", F.when(F.col("in_history"), F.get(valid, F.lit(0)))
+                        .otherwise(first))
+            .select(*rows.columns, "in_history", *[F.col("_version")[c].alias(c) for c in columns]))

@@ -16,7 +16,8 @@ Three kinds of small side exist in this model:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from torque.session import ensure_checkpoint_dir
@@ -26,6 +27,7 @@ DEFAULT_MAX_ROWS = 2_000_000
 _MAX_ROWS_CONF = "torque.broadcast.maxRows"
 DEFAULT_MAX_BYTES = 512 << 20
 _MAX_BYTES_CONF = "torque.broadcast.maxBytes"
+_WIDEST = "_torque_widest"       # set on materialised frames: widest values together
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
@@ -36,18 +38,30 @@ def max_broadcast_rows(df: DataFrame) -> int:
 def small_enough(df: DataFrame, rows: int) -> bool:
     """Is a side of ``rows`` rows within the broadcast limits of rows and bytes?
 
-    The width of variable-length columns is taken from the rows themselves
-    (their longest value), so a few wide rows are not mistaken for a small side.
+    The width of variable-length columns is always taken from the rows themselves
+    (their longest value, observed while they were materialised or read here), so
+    a few wide rows are not mistaken for a small side.
     """
     if rows > max_broadcast_rows(df):
         return False
     limit = int(df.sparkSession.conf.get(_MAX_BYTES_CONF, None) or DEFAULT_MAX_BYTES)
-    fixed = 16 * len(df.columns) + 16
-    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
-    if rows * (fixed + 256 * len(texts)) <= limit // 16 or not texts:
-        return rows * fixed <= limit
-    widest = df.agg(*[F.max(F.octet_length(F.col(f"`{c}`"))) for c in texts]).first()
-    return rows * (fixed + sum(w or 0 for w in widest)) <= limit
+    fixed = rows * (16 * len(df.columns) + 16)
+    if fixed > limit:
+        return False
+    widest = getattr(df, _WIDEST, None)
+    if widest is None:
+        texts = _texts(df)
+        widest = sum(w or 0 for w in df.agg(*texts).first()) if texts else 0
+    return fixed + rows * widest <= limit
+
+
+def _texts(df: DataFrame) -> list[Column]:
+    """The longest value of each variable-length column, in bytes."""
+    return [F.max(F.octet_length(F.col(f"`{f.name}`").cast("string") if f.dataType.simpleString()
+                                 not in ("string", "binary") else F.col(f"`{f.name}`"))).alias(f"w{i}")
+            for i, f in enumerate(df.schema.fields)
+            if f.dataType.simpleString().startswith(("string", "binary", "varchar", "char", "array",
+                                                     "map", "struct"))]
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:
@@ -62,10 +76,27 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``materialize`` plus the row count, observed during the same job."""
+    """``materialize`` plus the row count, observed during the same job, as are the
+    widths that ``small_enough`` asks for."""
     obs = Observation()
-    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return out, int(obs.get["rows"])
+    texts = _texts(df)
+    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows"), *texts))
+    seen = observed(obs)
+    if seen is None:
+        return out, out.count()
+    setattr(out, _WIDEST, sum(seen[f"w{i}"] or 0 for i in range(len(df.columns)) if f"w{i}" in seen))
+    return out, int(seen["rows"])
+
+
+def observed(obs: Observation) -> dict | None:
+    """The metrics of a finished job. None where there are none: a plan that turns out
+    to be empty while it runs loses the node that would have counted."""
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception.getClass()):
+            raise
+        return None
 
 
 def broadcast_checked(df: DataFrame, max_rows: int | None = None,

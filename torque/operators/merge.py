@@ -9,6 +9,10 @@ Semantics preserved from the reference's five MERGE statements:
 * target rows without a source row persist (no delete clause);
 * duplicate or NULL source keys are rejected before anything is written.
 
+The target is scanned twice: two columns of it for the keys that exist and the
+greatest surrogate key, and once for the update join. An initial load writes
+its rows once before the snapshot, in the order that numbers them.
+
 The result is a new DataFrame (the next table snapshot); sinks write it as a
 new version (``torque.sources.sinks``), never over the files being read.
 """
@@ -17,10 +21,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from torque.operators.joins import materialize_counted, small_enough
+from torque.operators.joins import materialize, materialize_counted, observed, small_enough
 from torque.operators.keys import DuplicateKeyError as MergeKeyError
 from torque.operators.keys import assign_surrogate_keys, check_unique
 
@@ -35,7 +39,7 @@ def check_source_keys(source: DataFrame, key: str) -> None:
 def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogate: str,
                  now: dt.datetime, check: bool = True,
                  num_partitions: int | None = None, start_key: int | None = None,
-                 materialize_source: bool = True,
+                 materialize_source: bool = True, source_rows: int | None = None,
                  version: list[str] | None = None) -> DataFrame:
     """Return ``target`` after ``MERGE ... USING source ON key``.
 
@@ -43,24 +47,27 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
     ``target=None`` is an empty table (initial load). ``start_key``: the
     largest key already used, when ``target`` is only a slice of the table.
     ``materialize_source=False`` for sources that are cheap, deterministic
-    scans (dimension sources over bronze tables): they are re-read instead.
+    scans (dimension sources over bronze tables): they are re-read instead;
+    ``source_rows`` is their row count where the caller knows it.
     ``version``: columns that order the versions of a row; a matched row is
     only overwritten by a greater version (a late or repeated change is not).
     """
     ts = F.lit(now).cast("timestamp_ntz")
     cols = [c for c in source.columns if c != key]
+    if target is None:
+        # the numbering cuts the source's lineage; its rows are checked there
+        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions)
+        if check:
+            check_unique(keyed, key)
+        return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
     # The source feeds the key check, the update join and the anti join:
     # compute it once so none of them recomputes its lineage (for the fact:
     # the as-of link and all joins).
-    rows = None
+    rows = source_rows
     if materialize_source:
         source, rows = materialize_counted(source)
     if check:
         check_unique(source, key)
-    if target is None:
-        keyed = assign_surrogate_keys(source, surrogate, [key], start_key or 0, num_partitions)
-        return keyed.select(surrogate, key, *cols, ts.alias("load_ts"))
-    start = start_key if start_key is not None else (target.agg(F.max(surrogate)).first()[0] or 0)
     rows = source.count() if rows is None else rows
     # An incremental source (the changes) is usually small next to the
     # target: below the broadcast limits (rows and bytes) it is broadcast into
@@ -79,12 +86,17 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, key: str, surrogat
                     *[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
                       for c in cols],
                     F.when(hit, ts).otherwise(F.col("t.load_ts")).alias("load_ts")))
+    # one narrow scan of the target finds the keys that are there already and,
+    # on the way, the greatest surrogate key
+    seen = Observation()
+    known = target.select(surrogate, key).observe(
+        seen, F.max(surrogate).alias("last")).select(key)
     if small:
-        # keys already in the target: at most ``rows`` of them
-        matched = target.select(key).join(F.broadcast(source.select(key)), key)
-        new = source.join(F.broadcast(matched), key, "left_anti")
-    else:
-        new = source.join(target.select(key), key, "left_anti")
-    inserted = (assign_surrogate_keys(new, surrogate, [key], start, num_partitions)
+        known = F.broadcast(known.join(F.broadcast(source.select(key)), key))   # <= ``rows``
+    new = materialize(source.join(known, key, "left_anti"))
+    if start_key is None:
+        last = observed(seen) or target.agg(F.max(surrogate).alias("last")).first().asDict()
+        start_key = last["last"] or 0
+    inserted = (assign_surrogate_keys(new, surrogate, [key], start_key, num_partitions)
                 .select(surrogate, key, *cols, ts.alias("load_ts")))
     return kept.unionByName(inserted)

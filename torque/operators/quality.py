@@ -124,11 +124,12 @@ def qc06_price_below_cost(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def sales_key_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """QC-05 on sales and QC-06 together: the sales are dealt out by sale_id once,
-    which serves the grouping by (sale_id, sale_price) and by sale_id."""
+    """QC-05 on sales and QC-06 together. The first grouping, by sale_id and price, is
+    partially aggregated where the rows are read, so a repeated or NULL sale_id
+    leaves a map task once per price; the grouping by sale_id works on its result."""
     cost = broadcast_checked(bom_cost(tables["parts_car"], tables["parts"]))
     dealt = (tables["sales"].select("sale_id", "sale_price", "car_id")
-             .join(cost, "car_id", "left").repartition("sale_id"))
+             .join(cost, "car_id", "left"))
     priced = dealt.groupBy("sale_id", "sale_price").agg(
         F.count(F.lit(1)).alias("_rows"), F.sum("total_parts_cost").alias("_cost"))
     per_sale = priced.groupBy("sale_id").agg(

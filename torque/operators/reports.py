@@ -137,7 +137,7 @@ def _monthly(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
                  _avg_margin_pct().alias("avg_margin_pct")))
 
 
-def _with_growth(monthly: DataFrame) -> DataFrame:
+def with_growth(monthly: DataFrame) -> DataFrame:
     # One row per month: the unpartitioned window is bounded by the calendar.
     w = Window.orderBy("year", "month")
     prev = F.lag("total_revenue").over(w)
@@ -160,7 +160,7 @@ def rpt_monthly_trend(fact: DataFrame, dim_time: DataFrame, ordered: bool = Fals
     As in the reference, months without sales are absent, so LAG refers to
     the previous month *present* (it spans gaps); see the gap-filled R5b.
     """
-    out = _with_growth(_monthly(fact, dim_time))
+    out = with_growth(_monthly(fact, dim_time))
     return out.orderBy("year", "month") if ordered else out
 
 
@@ -177,7 +177,7 @@ def rpt_monthly_trend_filled(fact: DataFrame, dim_time: DataFrame,
                       F.coalesce("total_gross_margin", F.lit(0).cast(MONEY_SUM))
                       .alias("total_gross_margin"),
                       "avg_margin_pct"))
-    out = _with_growth(filled)
+    out = with_growth(filled)
     return out.orderBy("year", "month") if ordered else out
 
 

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from torque.operators import reports, staging
 from torque.plans import oracles as O
-from torque.plans.warehouse import bound, gold_for
+from torque.operators.fact import fact_source, load_fact
+from torque.operators.history import merge_fact_months, version_as_of
+from torque.operators import partials
+from torque.operators.partials import refresh_partials
+from torque.plans.warehouse import (bound, gold_for, load_late_deliveries, remembered,
+                                    warehouse_root, write_fact_by_month)
+from torque.sources.months import MonthTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -549,14 +555,69 @@ for _key in SECOND_LOADS:
           f"select *, time_id // 100 as sale_month from ({_second_load_sql(*SECOND_LOADS['merge_fact'])}) f")
 def q_fact_incremental_months(spark, sf_dir):
     """E3: the second load of the fact through its month partitions."""
-    import uuid
-    from torque.operators.history import merge_fact_months
-    from torque.plans.warehouse import warehouse_root, write_fact_by_month
     first, second, cfg = _two_loads(spark, sf_dir, "merge_fact")
-    path = f"{warehouse_root(spark)}/fact_{uuid.uuid4().hex}"
-    write_fact_by_month(merge_upsert(None, first, "sale_id", "sale_key", cfg.now), path)
-    merge_fact_months(spark, path, second, cfg.now)
-    return _no_ts(spark.read.parquet(path))
+    table = write_fact_by_month(merge_upsert(None, first, "sale_id", "sale_key", cfg.now),
+                                f"{warehouse_root(spark)}/fact")
+    merge_fact_months(table, second, cfg.now)
+    return _no_ts(table.read())
+
+
+def _kept_up(spark, sf_dir):
+    """Gold tables and the partial aggregates of a fact that was loaded twice, refreshed
+    after each load; built once per session."""
+    def build():
+        first, second, cfg = _two_loads(spark, sf_dir, "merge_fact")
+        root = warehouse_root(spark)
+        fact = write_fact_by_month(merge_upsert(None, first, "sale_id", "sale_key", cfg.now),
+                                   f"{root}/fact")
+        kept = MonthTable(spark, f"{root}/partials", key=None)
+        refresh_partials(kept, fact)
+        merge_fact_months(fact, second, cfg.now)
+        refresh_partials(kept, fact)
+        return kept
+    return gold_for(spark, sf_dir), remembered(spark, sf_dir, "partials", build).read()
+
+
+@register("partials_revenue_by_brand", ORACLES["rpt_revenue_by_brand"])
+def q_partials_revenue_by_brand(spark, sf_dir):
+    gold, kept = _kept_up(spark, sf_dir)
+    return partials.revenue_by_brand(kept, gold.dim_car, gold.dim_time)
+
+
+@register("partials_model_profitability", ORACLES["rpt_model_profitability"])
+def q_partials_model_profitability(spark, sf_dir):
+    gold, kept = _kept_up(spark, sf_dir)
+    return partials.model_profitability(kept, gold.dim_car)
+
+
+@register("partials_supplier_performance", ORACLES["rpt_supplier_performance"])
+def q_partials_supplier_performance(spark, sf_dir):
+    gold, kept = _kept_up(spark, sf_dir)
+    return partials.supplier_performance(kept, gold.dim_supplier, gold.dim_time)
+
+
+@register("partials_monthly_trend", ORACLES["rpt_monthly_trend"])
+def q_partials_monthly_trend(spark, sf_dir):
+    gold, kept = _kept_up(spark, sf_dir)
+    return partials.monthly_trend(kept, gold.dim_time)
+
+
+# a batch of deliveries that comes after the sales it concerns were loaded
+LATE = "year(delivery_date) = 1995 and delivery_id % 3 = 0"
+
+
+@register("fact_late_deliveries", "select *, time_id // 100 as sale_month from fact_sales")
+def q_fact_late_deliveries(spark, sf_dir):
+    """E3: a fact loaded without a batch of deliveries, whose sales are linked anew
+    when it comes; the result is the fact with all deliveries."""
+    src, cfg, silver = bound(spark, sf_dir)
+    gold = gold_for(spark, sf_dir)
+    before = silver.final_delivery.filter(f"not ({LATE})")
+    first = fact_source(silver.sales, before, silver.parts_car, gold.dim_car, gold.dim_customer,
+                        gold.dim_supplier, src.sales)
+    table = write_fact_by_month(load_fact(None, first, cfg.now), f"{warehouse_root(spark)}/fact")
+    load_late_deliveries(table, silver, before, gold, cfg.now, src.sales)
+    return _no_ts(table.read())
 
 
 # ---- loads and summaries (S2, S12) ----------------------------------------------------
@@ -766,6 +827,35 @@ def q_scd2_customer(spark, sf_dir):
     return _no_ts(h2)
 
 
+EARLY, LATER = dt.date(1993, 3, 1), dt.date(1996, 1, 1)
+
+
+@register("fact_as_of_customer", f"""
+with versions as (
+  select customer_key, customer_id, province, region, date '{EARLY}' as valid_from from scd_l1
+  union all
+  select cast((select count(*) from scd_l1) + row_number() over (order by customer_id) as bigint),
+         customer_id, province || '{MOVED}', 'Other', date '{LATER}'
+  from cust_src where customer_id % 10 = 0)
+select s.sale_id, s.customer_id, s.sale_date, s.sale_date >= date '{EARLY}' as in_history,
+       v.customer_key, v.province, v.region
+from stg_sales s asof join versions v
+  on s.customer_id = v.customer_id and greatest(s.sale_date, date '{EARLY}') >= v.valid_from""")
+def q_fact_as_of_customer(spark, sf_dir):
+    """E1: every sale with the customer version that was valid on its day."""
+    _, cfg, silver = bound(spark, sf_dir)
+    moved = silver.customers.withColumn(
+        "province", F.when(F.col("customer_id") % 10 == 0, F.concat("province", F.lit(MOVED)))
+        .otherwise(F.col("province")))
+    history = None
+    for customers, day in ((silver.customers, EARLY), (moved, LATER)):
+        load = dims.dim_customer_source(customers, cfg.region_by_province)
+        history = materialize(scd2_merge(history, load, "customer_id", "customer_key", TRACKED, day,
+                                         cfg.now))
+    return version_as_of(silver.sales.select("sale_id", "customer_id", "sale_date"), "customer_id",
+                         "sale_date", history, ["customer_key", "province", "region"])
+
+
 O.cte("scd_after_2", ORACLES["scd2_customer"][ORACLES["scd2_customer"].rindex("\nselect customer_key"):])
 AGAIN = " (again)"
 

@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from torque.operators import dims, staging
 from torque.operators.calendar import dim_time, dim_time_spanning
 from torque.operators.fact import fact_source, load_fact
+from torque.operators.history import merge_fact_months, sale_month, sales_to_relink
 from torque.operators.joins import materialize
 from torque.session import ensure_checkpoint_dir
 from torque.sources.bindings import ModelConfig, Sources, bind_config, bind_sources
+from torque.sources.months import MONTH, MonthTable
 from torque.sources.sinks import SnapshotStore, load_sources, read_source
 
 
@@ -186,6 +188,15 @@ def _gold_locked(spark: SparkSession, sf_dir: str, key) -> Gold:
     return _MEMO[key]
 
 
+def remembered(spark: SparkSession, sf_dir: str, name: str, build):
+    """``build()``, called once per session and test-data folder."""
+    key = (name,) + _memo_key(spark, sf_dir)
+    with _LOCK:
+        if key not in _MEMO:
+            _MEMO[key] = build()
+        return _MEMO[key]
+
+
 def forget(spark: SparkSession | None = None) -> None:
     """Drop memoised plans (all sessions, or one)."""
     if spark is None:
@@ -216,21 +227,28 @@ def run(spark: SparkSession, sources: Sources, cfg: ModelConfig, store: Snapshot
 
 
 # ---- incremental fact loads (E3) ----------------------------------------------
-def write_fact_by_month(fact: DataFrame, path: str) -> None:
-    """Write the fact as Parquet partitioned by ``sale_month`` (YYYYMM), the
-    layout incremental loads rewrite month by month."""
-    from torque.operators.history import sale_month
-    (fact.withColumn("sale_month", sale_month(F.col("time_id")))
-     .write.mode("errorifexists").partitionBy("sale_month").parquet(path))
-
-
-def load_fact_incremental(spark: SparkSession, fact_path: str, silver: Silver, dims: Gold,
-                          now: dt.datetime) -> list[int]:
-    """MERGE the staged sales into the month-partitioned fact at ``fact_path``,
-    rewriting only the months the load touches (instead of reshuffling the
-    whole fact). ``dims`` supplies the current dimension tables. Returns the
+def write_fact_by_month(fact: DataFrame, path: str) -> MonthTable:
+    """Write the fact as a new month table, the layout incremental loads rewrite
+    month by month."""
+    table = MonthTable(fact.sparkSession, path)
+    table.write(fact.withColumn(MONTH, sale_month(F.col("time_id"))))
+    return table
+
+
+def load_fact_incremental(table: MonthTable, silver: Silver, dims: Gold,
+                          now: dt.datetime, sales: DataFrame | None = None) -> list[int]:
+    """MERGE the staged ``sales`` (default: all) into a month table, rewriting only the
+    months they touch. ``dims`` supplies the current dimension tables. Returns the
     rewritten months."""
-    from torque.operators.history import merge_fact_months
-    src = fact_source(silver.sales, silver.final_delivery, silver.parts_car,
-                      dims.dim_car, dims.dim_customer, dims.dim_supplier)
-    return merge_fact_months(spark, fact_path, src, now)
+    src = fact_source(silver.sales if sales is None else sales, silver.final_delivery,
+                      silver.parts_car, dims.dim_car, dims.dim_customer, dims.dim_supplier)
+    return merge_fact_months(table, src, now)
+
+
+def load_late_deliveries(table: MonthTable, silver: Silver, before: DataFrame, dims: Gold,
+                         now: dt.datetime, dates: DataFrame | None = None) -> list[int]:
+    """Link anew the sales whose supplier a late batch of deliveries changes.
+    ``before``: the staged deliveries that the fact was linked with; ``silver`` has
+    all of them. Returns the rewritten months; without affected sales, none."""
+    sales = sales_to_relink(silver.sales, before, silver.final_delivery, dates)
+    return load_fact_incremental(table, silver, dims, now, sales)
