@@ -22,9 +22,10 @@ from torque.operators.partials import refresh_partials
 from torque.plans.warehouse import (build_silver, load_fact_incremental, load_gold,
                                     load_late_deliveries, write_fact_by_month)
 from torque.sources.bindings import Sources
-from torque.sources.months import MonthTable
+from torque.sources.parts import MonthTable, PartTable
 from torque.sources.sinks import SnapshotStore
-from torque.streaming.cdc import apply_batch, latest_per_key, run_change_feed
+from torque.streaming.cdc import (apply_batch, apply_batch_to_buckets, latest_per_key,
+                                  run_change_feed)
 
 NOW = dt.datetime(2024, 1, 1)
 
@@ -76,6 +77,41 @@ def test_change_feed_latest_version_and_replay(spark):
                            "user_id", ["ts", "event_id"], "user_key", NOW)
 
 
+def test_change_feed_into_buckets(spark, monkeypatch):
+    """A batch reads and replaces the buckets of its keys only, once or not at all."""
+    table = PartTable(spark, tempfile.mkdtemp(prefix="torque-cdc-buckets-") + "/t", "bucket", "k")
+    order = ["ts", "event_id"]
+    frame = lambda rows: spark.createDataFrame(rows, SCHEMA)
+    first = frame([(i, _ts(1), i, "a", 1.0) for i in range(100)] + [(200, _ts(0), 5, "old", 0.0)])
+    assert apply_batch_to_buckets(table, first, 0, "user_id", order, 8, NOW) == list(range(8))
+    versions = table.manifest()["parts"]
+    read = []
+    monkeypatch.setattr(table, "read", lambda parts=None, real=table.read: read.append(parts)
+                        or real(parts))
+    change = frame([(300, _ts(2), 5, "b", 2.0), (301, _ts(0), 6, "late", 3.0),
+                    (302, _ts(1), 1000, "new", 4.0)])
+    touched = apply_batch_to_buckets(table, change, 1, "user_id", order, 8, NOW)
+    assert 1 <= len(touched) <= 3 and read == [touched]
+    now = table.manifest()
+    assert {p for p in versions if now["parts"][p] != versions[p]} == set(touched)
+    out = rows_of(table.read().filter("user_id in (5, 6, 1000)"), "user_id", "k", "event_type")
+    assert out == [(5, 6, "b"), (6, 7, "a"), (1000, 101, "new")]
+    assert table.read().count() == 101 and now["note"] == {"batch_id": 1, "buckets": 8}
+    # a batch that was applied is skipped, whatever it holds
+    assert apply_batch_to_buckets(table, first, 1, "user_id", order, 8, NOW) == []
+    # one that dies before its manifest is applied in full when it comes again
+    more = frame([(400, _ts(3), 7, "c", 5.0)])
+    with monkeypatch.context() as patch:
+        patch.setattr(PartTable, "_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            apply_batch_to_buckets(table, more, 2, "user_id", order, 8, NOW)
+    assert table.read().filter("event_type = 'c'").count() == 0
+    assert apply_batch_to_buckets(table, more, 2, "user_id", order, 8, NOW) != []
+    assert rows_of(table.read().filter("user_id = 7"), "event_type") == [("c",)]
+    with pytest.raises(ValueError):
+        apply_batch_to_buckets(table, more, 3, "user_id", order, 9, NOW)
+
+
 def test_late_batch_does_not_overwrite(spark):
     store = SnapshotStore(spark, tempfile.mkdtemp(prefix="torque-cdc-late-"))
     for batch_id, row in enumerate([(2, _ts(5), 10, "b", 2.0), (1, _ts(1), 10, "a", 1.0)]):
@@ -109,7 +145,7 @@ def month_table(fact):
 
 
 def files(table, month):
-    version = table.manifest()["months"][month]
+    version = table.manifest()["parts"][month]
     folder = f"{table.root}/data/v={version}/sale_month={month}"
     return {f"{folder}/{f}": os.stat(f"{folder}/{f}").st_mtime_ns for f in os.listdir(folder)}
 
@@ -130,10 +166,10 @@ def two_month_change(gold):
 
 def test_incremental_fact_rewrites_only_touched_months(spark, gold):
     table = month_table(gold.fact_sales)
-    before = {m: files(table, m) for m in table.manifest()["months"]}
+    before = {m: files(table, m) for m in table.manifest()["parts"]}
     months = merge_fact_months(table, two_month_change(gold), NOW)
     assert months == [202304, 202307, 202308]
-    held = table.manifest()["months"]
+    held = table.manifest()["parts"]
     assert 202304 not in held                              # emptied by the moved sale
     for month in set(before) - set(months):
         assert files(table, month) == before[month]
@@ -164,7 +200,7 @@ def test_a_load_that_dies_changes_nothing(spark, gold, monkeypatch):
     merge_fact_months(table, two_month_change(gold), NOW)
     assert table.read().count() == len(old) + 1
     # what the dead load left goes with the versions that no manifest names
-    stray = set(table._versions()) - set(table.manifest()["months"].values())
+    stray = set(table._versions()) - set(table.manifest()["parts"].values())
     assert stray and set(table.expire(keep=1)) == stray
     assert table.read().count() == len(old) + 1
 
@@ -172,7 +208,7 @@ def test_a_load_that_dies_changes_nothing(spark, gold, monkeypatch):
 def test_two_loads_at_once_are_noticed(spark, gold):
     table = month_table(gold.fact_sales)
     state = table.manifest()
-    table._commit(state["number"] + 1, {k: state[k] for k in ("schema", "months", "last_key")})
+    table._commit(state["number"] + 1, {k: state[k] for k in ("schema", "parts", "last_key")})
     with pytest.raises(RuntimeError):
         table._commit(state["number"] + 1, {})
 
@@ -235,7 +271,7 @@ def test_late_deliveries_touch_only_their_months(spark, clean, cfg, gold):
         **clean.as_dict(), "final_delivery": clean.final_delivery.filter(
             F.col("delivery_date") < F.lit(last))})), cfg)
     table = month_table(first.fact_sales)
-    old = {m: files(table, m) for m in table.manifest()["months"]}
+    old = {m: files(table, m) for m in table.manifest()["parts"]}
     months = load_late_deliveries(table, silver, before, gold, NOW)
     since = last.year * 100 + last.month
     assert months and all(m >= since for m in months)
@@ -251,9 +287,9 @@ def test_late_deliveries_touch_only_their_months(spark, clean, cfg, gold):
 def test_partials_follow_the_fact(spark, gold):
     table = month_table(gold.fact_sales)
     kept = MonthTable(spark, table.root + "-partials", key=None)
-    assert refresh_partials(kept, table) == sorted(table.manifest()["months"])
+    assert refresh_partials(kept, table) == sorted(table.manifest()["parts"])
     assert refresh_partials(kept, table) == []
-    old = {m: files(kept, m) for m in kept.manifest()["months"]}
+    old = {m: files(kept, m) for m in kept.manifest()["parts"]}
     months = merge_fact_months(table, two_month_change(gold), NOW)
     assert refresh_partials(kept, table) == months
     for month in set(old) - set(months):

@@ -11,7 +11,7 @@ change.
 
 E3 ``merge_fact_months``: incremental fact load. Only the months a load
 touches are rewritten — the months of the incoming sales plus the old months
-of sales that move — in a month table (``sources/months.py``), which switches to
+of sales that move — in a month table (``sources/parts.py``), which switches to
 them at once. ``sales_to_relink`` finds the loaded sales that late deliveries
 link anew.
 """
@@ -29,7 +29,7 @@ from torque.operators.joins import (broadcast_bounded, materialize, materialize_
                                     small_enough)
 from torque.operators.keys import assign_surrogate_keys
 from torque.operators.merge import check_source_keys, merge_upsert
-from torque.sources.months import MONTH, MonthTable
+from torque.sources.parts import MONTH, MonthTable
 
 
 def _same(a: str, b: str, cols: list[str]) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from torque.functions.money import MONEY_SUM, round_div
 from torque.operators.joins import broadcast_bounded
 from torque.operators.reports import with_growth
-from torque.sources.months import MONTH, MonthTable
+from torque.sources.parts import MONTH, MonthTable
 
 _SUMS = ("sale_price", "total_parts_cost", "gross_margin", "gross_margin_pct")
 
@@ -30,7 +30,7 @@ def month_partials(fact: DataFrame) -> DataFrame:
 def refresh_partials(partials: MonthTable, fact: MonthTable) -> list[int]:
     """Bring the partials up to the fact's newest manifest; returns the months that
     were worked out anew or ended. Only their files are read and written."""
-    now = fact.manifest()["months"]
+    now = fact.manifest()["parts"]
     state = partials.manifest()
     made_from = {} if state is None else {int(m): v for m, v in state["note"].items()}
     stale = sorted(m for m in now.keys() | made_from.keys() if now.get(m) != made_from.get(m))

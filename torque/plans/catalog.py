@@ -21,7 +21,7 @@ from torque.operators import partials
 from torque.operators.partials import refresh_partials
 from torque.plans.warehouse import (bound, gold_for, load_late_deliveries, remembered,
                                     warehouse_root, write_fact_by_month)
-from torque.sources.months import MonthTable
+from torque.sources.parts import MonthTable, PartTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -791,7 +791,7 @@ def q_gen_sales(spark, sf_dir):
 
 # ---- extensions (E1, E2) -----------------------------------------------------------------
 from torque.operators.history import scd2_merge  # noqa: E402
-from torque.streaming.cdc import latest_per_key  # noqa: E402
+from torque.streaming.cdc import latest_per_key, run_change_feed  # noqa: E402
 
 SCD_LOAD1, SCD_LOAD2 = dt.date(2001, 1, 1), dt.date(2001, 6, 30)
 MOVED = " (moved)"
@@ -921,7 +921,6 @@ def q_cdc_stream_merge(spark, sf_dir):
     from torque.session import ensure_checkpoint_dir
     from torque.sources.bindings import NOW
     from torque.sources.sinks import SnapshotStore
-    from torque.streaming.cdc import run_change_feed
     events = read_test_table(spark, sf_dir, "events")
     root = warehouse_root(spark)
     store, feed = SnapshotStore(spark, root), f"{root}/feed"
@@ -932,3 +931,17 @@ def q_cdc_stream_merge(spark, sf_dir):
         run_change_feed(spark, feed, events.schema, store, "user_latest", "user_id",
                         ["ts", "event_id"], "user_key", ckpt, now=NOW)
     return _no_ts(store.read("user_latest"))
+
+
+@register("cdc_bucket_merge", ORACLES["cdc_stream_merge"])
+def q_cdc_bucket_merge(spark, sf_dir):
+    """E2 into hash buckets: the same feed, each delivery replacing the buckets of its users."""
+    from torque.sources.bindings import NOW
+    events, root = read_test_table(spark, sf_dir, "events"), warehouse_root(spark)
+    table = PartTable(spark, f"{root}/user_latest", "bucket", "user_key")
+    for k in range(FEED_BATCHES):
+        events.filter(F.col("event_id") % FEED_BATCHES == k).write.mode("append").parquet(
+            f"{root}/feed")
+        run_change_feed(spark, f"{root}/feed", events.schema, table, None, "user_id",
+                        ["ts", "event_id"], "user_key", f"{root}/stream", now=NOW, buckets=16)
+    return _no_ts(table.read()).drop("bucket")

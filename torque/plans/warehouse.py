@@ -25,7 +25,7 @@ from torque.operators.history import merge_fact_months, sale_month, sales_to_rel
 from torque.operators.joins import materialize
 from torque.session import ensure_checkpoint_dir
 from torque.sources.bindings import ModelConfig, Sources, bind_config, bind_sources
-from torque.sources.months import MONTH, MonthTable
+from torque.sources.parts import MONTH, MonthTable
 from torque.sources.sinks import SnapshotStore, load_sources, read_source
 
 

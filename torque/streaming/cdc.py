@@ -10,17 +10,23 @@ every applied batch is recorded in a commit table next to the target, so a
 batch replayed after a failure is usually skipped; if the failure fell
 between the two writes, applying it again changes nothing. Old snapshots are
 expired after each batch.
+
+With a ``PartTable`` as target the rows lie in buckets by a hash of the key: a
+batch reads and replaces only the buckets of its keys, and its id is committed
+with them in one manifest, so it is applied once or not at all.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from torque.operators.joins import materialize_counted
 from torque.operators.merge import merge_upsert
+from torque.sources.parts import PartTable
 from torque.sources.sinks import SnapshotStore
 
 
@@ -56,18 +62,53 @@ def apply_batch(spark: SparkSession, store: SnapshotStore, table: str, batch: Da
     return True
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def apply_batch_to_buckets(table: PartTable, batch: DataFrame, batch_id: int, key: str,
+                           order_cols: list[str], buckets: int,
+                           now: dt.datetime | None = None) -> list[int]:
+    """MERGE one micro-batch into the buckets of its keys; returns these buckets (none
+    when the batch was already applied). The number of buckets is fixed when the
+    table is first written; their list is bounded and comes to the driver."""
+    state = table.manifest()
+    if state is not None and batch_id <= state["note"]["batch_id"]:
+        return []
+    if state is not None and buckets != state["note"]["buckets"]:
+        raise ValueError(f"the table has {state['note']['buckets']} buckets")
+    source, rows = materialize_counted(
+        latest_per_key(batch, key, order_cols).withColumn(table.column, bucket_of(key, buckets)))
+    touched = sorted(r[0] for r in source.select(table.column).distinct().collect())
+    target = None if state is None else table.read(touched).drop(table.column)
+    merged = merge_upsert(target, source.drop(table.column), key, table.key,
+                          now or dt.datetime.now(), materialize_source=False, source_rows=rows,
+                          start_key=state["last_key"] if state else 0, version=order_cols)
+    table.write(merged.withColumn(table.column, bucket_of(key, buckets)), touched,
+                note={"batch_id": batch_id, "buckets": buckets})
+    table.expire(keep=2)
+    return touched
+
+
 def run_change_feed(spark: SparkSession, source_path: str, schema: StructType,
-                    store: SnapshotStore, table: str, key: str, order_cols: list[str],
-                    surrogate: str, checkpoint_location: str,
-                    now: dt.datetime | None = None, max_files_per_trigger: int | None = None):
-    """Process every change file available now, then stop (``availableNow``)."""
+                    store: SnapshotStore | PartTable, table: str | None, key: str,
+                    order_cols: list[str], surrogate: str, checkpoint_location: str,
+                    now: dt.datetime | None = None, max_files_per_trigger: int | None = None,
+                    buckets: int = 64):
+    """Process every change file available now, then stop (``availableNow``). The target
+    is ``table`` in a snapshot store, or a ``PartTable`` of ``buckets`` buckets."""
+    def apply(df: DataFrame, batch_id: int) -> None:
+        if isinstance(store, PartTable):
+            apply_batch_to_buckets(store, df, batch_id, key, order_cols, buckets, now)
+        else:
+            apply_batch(spark, store, table, df, batch_id, key, order_cols, surrogate, now)
+
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)
     query = (stream.writeStream
-             .foreachBatch(lambda df, bid: apply_batch(spark, store, table, df, bid, key,
-                                                        order_cols, surrogate, now))
+             .foreachBatch(apply)
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True)
              .start())
