@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from torque.plans.catalog import QUERIES
 
 MODEL_KEYS = set("""
-    bom_cost bom_counts bom_explode cdc_bucket_merge cdc_latest cdc_stream_merge dim_car dim_customer dim_part
+    bom_cost bom_counts bom_explode cdc_bucket_merge cdc_latest cdc_stream_merge co_located_sales_by_region dim_car dim_customer dim_part
     dim_supplier dim_time dim_time_fixed fact_as_of_customer fact_incremental_months
     fact_late_deliveries fact_sales gen_customers gen_deliveries gen_sales gen_suppliers
     init_tables load_summary load_truncate_insert merge_car merge_fact merge_idempotent

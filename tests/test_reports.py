@@ -144,3 +144,32 @@ def test_ordered_reports_follow_view_order(gold, clean):
     r2 = [r.month_name for r in reports.rpt_sales_by_region(f, gold.dim_customer, t, ordered=True).collect()]
     months = ["January", "February", "March", "April", "May", "June"]
     assert r2 == sorted(r2, key=months.index) and r2 == ["January", "February", "April", "June"]
+
+
+def test_sales_by_region_over_buckets_moves_no_fact_row(spark, gold):
+    """Customers that are too many to broadcast meet the fact bucket by bucket, also in
+    a table that an earlier session wrote."""
+    import tempfile
+    from torque.sources.bucketed import open_bucketed, write_bucketed
+    root = tempfile.mkdtemp(prefix="torque-buckets-")
+    for name, df in (("fact", gold.fact_sales), ("customers", gold.dim_customer)):
+        write_bucketed(df, f"bucketed_{name}", f"{root}/{name}", "customer_key", 4)
+        spark.sql(f"DROP TABLE bucketed_{name}")                      # its files stay
+    fact, customers = (open_bucketed(spark, f"again_{name}", f"{root}/{name}", df, "customer_key", 4)
+                       for name, df in (("fact", gold.fact_sales), ("customers", gold.dim_customer)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = reports.rpt_sales_by_region(fact, customers, gold.dim_time)
+        plan = plan_of(out)
+        want = reports.rpt_sales_by_region(gold.fact_sales, gold.dim_customer, gold.dim_time)
+        assert rows_of(out, *out.columns) == rows_of(want, *want.columns)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    # the only exchange of rows is that of the aggregated groups; the calendar is broadcast
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(region" in plan and "partial_sum" in plan.split(
+        "Exchange hashpartitioning(region")[1]
+    spark.sql("DROP TABLE again_fact")
+    spark.sql("DROP TABLE again_customers")

@@ -21,6 +21,7 @@ from torque.operators import partials
 from torque.operators.partials import refresh_partials
 from torque.plans.warehouse import (bound, gold_for, load_late_deliveries, remembered,
                                     warehouse_root, write_fact_by_month)
+from torque.sources.bucketed import write_bucketed
 from torque.sources.parts import MonthTable, PartTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -945,3 +946,24 @@ def q_cdc_bucket_merge(spark, sf_dir):
         run_change_feed(spark, f"{root}/feed", events.schema, table, None, "user_id",
                         ["ts", "event_id"], "user_key", f"{root}/stream", now=NOW, buckets=16)
     return _no_ts(table.read()).drop("bucket")
+
+
+CUSTOMER_BUCKETS = 16
+
+
+def _co_located(spark, sf_dir):
+    """(fact, customers) in buckets of the customer key; written once per session."""
+    def build():
+        import uuid
+        gold, root, tag = gold_for(spark, sf_dir), warehouse_root(spark), uuid.uuid4().hex
+        return [write_bucketed(df, f"{name}_{tag}", f"{root}/{name}_bucketed", "customer_key",
+                               CUSTOMER_BUCKETS)
+                for name, df in (("fact_sales", gold.fact_sales), ("dim_customer", gold.dim_customer))]
+    return remembered(spark, sf_dir, "co_located", build)
+
+
+@register("co_located_sales_by_region", ORACLES["rpt_sales_by_region"])
+def q_co_located_sales_by_region(spark, sf_dir):
+    """R2 over tables bucketed by customer: no fact row moves to meet its customer."""
+    fact, customers = _co_located(spark, sf_dir)
+    return reports.rpt_sales_by_region(fact, customers, gold_for(spark, sf_dir).dim_time)
