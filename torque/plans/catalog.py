@@ -100,7 +100,7 @@ for _key in ["dim_customer", "dim_supplier", "dim_part", "dim_car", "fact_sales"
     register(_key, f"select * from {_key}")(_gold(_key))
 
 
-@register("supplier_as_of", "select * from supplier_per_sale")
+@register("supplier_as_of", "select * from linked_supplier")
 def q_supplier_as_of(spark, sf_dir):
     from torque.operators.asof import supplier_as_of
     src, _, silver = bound(spark, sf_dir)
@@ -109,50 +109,64 @@ def q_supplier_as_of(spark, sf_dir):
 
 
 # ---- reports (R1-R6a) ---------------------------------------------------------------
-_AVG_PCT = O.ravg("f.gross_margin_pct", 4, 100)
-_AVG_PRICE = O.ravg("f.sale_price", 2)
-
-
-@register("rpt_revenue_by_brand", f"""
-select t.year, t.quarter_name, c.brand,
-       cast(count(distinct f.sale_key) as bigint) as total_sales,
-       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
-       cast(sum(f.total_parts_cost) as decimal(22,2)) as total_parts_cost,
-       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
-       {_AVG_PCT} as avg_margin_pct,
-       {_AVG_PRICE} as avg_sale_price
-from fact_sales f join dim_car c on f.car_key = c.car_key join dim_time t on f.time_id = t.time_id
-group by t.year, t.quarter_name, c.brand""")
+# Every sale once, with what it refers to as structs: the report statements are
+# generated from this one relation by naming their groups and measures.
+O.cte("sold", """
+select sale, car, client, vendor, day
+from fact_sales sale
+left join dim_car car using (car_key) left join dim_customer client using (customer_key)
+left join dim_supplier vendor using (supplier_key) left join dim_time day using (time_id)""")
+
+
+def _sum(measure: str) -> str:
+    return f"cast(sum(sale.{measure}) as decimal(22,2))"
+
+
+SALES = "cast(count(distinct sale.sale_key) as bigint)"
+PERCENT = O.ravg("sale.gross_margin_pct", 4, 100)
+PRICE = O.ravg("sale.sale_price", 2)
+REVENUE = {"total_revenue": _sum("sale_price")}
+COST = {"total_parts_cost": _sum("total_parts_cost")}
+MARGIN = {"total_gross_margin": _sum("gross_margin")}
+
+
+def _sold_by(groups: str, measures: dict[str, str], apart: str = "") -> str:
+    """Measures of the sales by ``groups`` (struct.field, blank-separated, name after a
+    colon where it differs) and, without showing it, by ``apart``. A sale needs every
+    row that a group is taken from."""
+    named = [(g.split(":")[0], g.split(":")[-1].split(".")[-1]) for g in groups.split()]
+    needed = sorted({path.split(".")[0] for path, _ in named})
+    present = {"car": "car.car_key", "client": "client.customer_key",
+               "vendor": "vendor.supplier_key", "day": "day.time_id"}
+    shown = [f"{path} as {name}" for path, name in named]
+    shown += [f"{formula} as {name}" for name, formula in measures.items()]
+    by = [path for path, _ in named] + apart.split()
+    return (f"select {', '.join(shown)}\nfrom sold where "
+            + " and ".join(f"{present[n]} is not null" for n in needed)
+            + f"\ngroup by {', '.join(by)}")
+
+
+@register("rpt_revenue_by_brand", _sold_by(
+    "day.year day.quarter_name car.brand",
+    {"total_sales": SALES, **REVENUE, **COST, **MARGIN, "avg_margin_pct": PERCENT,
+     "avg_sale_price": PRICE}))
 def q_rpt_revenue_by_brand(spark, sf_dir):
     g = gold_for(spark, sf_dir)
     return reports.rpt_revenue_by_brand(g.fact_sales, g.dim_car, g.dim_time)
 
 
-@register("rpt_sales_by_region", f"""
-select cu.region, cu.province, t.year, t.month_name,
-       cast(count(distinct f.sale_key) as bigint) as total_sales,
-       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
-       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
-       {_AVG_PRICE} as avg_sale_price
-from fact_sales f join dim_customer cu on f.customer_key = cu.customer_key
-join dim_time t on f.time_id = t.time_id
-group by cu.region, cu.province, t.year, t.month_name, t.month""")
+@register("rpt_sales_by_region", _sold_by(
+    "client.region client.province day.year day.month_name",
+    {"total_sales": SALES, **REVENUE, **MARGIN, "avg_sale_price": PRICE}, apart="day.month"))
 def q_rpt_sales_by_region(spark, sf_dir):
     g = gold_for(spark, sf_dir)
     return reports.rpt_sales_by_region(g.fact_sales, g.dim_customer, g.dim_time)
 
 
-_PROFITABILITY = f"""
-select c.brand, c.model, c.brand_model, c.segment, c.manufacture_year,
-       cast(count(distinct f.sale_key) as bigint) as units_sold,
-       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
-       cast(sum(f.total_parts_cost) as decimal(22,2)) as total_parts_cost,
-       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
-       {_AVG_PCT} as avg_margin_pct,
-       {O.rdiv('sum(f.gross_margin)', 'count(distinct f.sale_key)', 2, 0, 2)} as margin_per_unit
-from fact_sales f join dim_car c on f.car_key = c.car_key
-group by c.brand, c.model, c.brand_model, c.segment, c.manufacture_year"""
-O.cte("model_profitability", _PROFITABILITY)
+O.cte("model_profitability", _sold_by(
+    "car.brand car.model car.brand_model car.segment car.manufacture_year",
+    {"units_sold": SALES, **REVENUE, **COST, **MARGIN, "avg_margin_pct": PERCENT,
+     "margin_per_unit": O.rdiv("sum(sale.gross_margin)", "count(distinct sale.sale_key)", 2, 0, 2)}))
 
 
 @register("rpt_model_profitability", "select * from model_profitability")
@@ -161,28 +175,20 @@ def q_rpt_model_profitability(spark, sf_dir):
     return reports.rpt_model_profitability(g.fact_sales, g.dim_car)
 
 
-@register("rpt_supplier_performance", f"""
-select s.supplier_name, s.city as supplier_city, t.year, t.quarter_name,
-       cast(count(distinct f.sale_key) as bigint) as sales_linked,
-       cast(sum(f.total_parts_cost) as decimal(22,2)) as parts_value_supplied,
-       cast(sum(f.sale_price) as decimal(22,2)) as revenue_enabled,
-       {O.rdiv('sum(f.total_parts_cost)', 'sum(f.sale_price)', 2, 2, 2, 100)} as cost_to_revenue_pct
-from fact_sales f join dim_supplier s on f.supplier_key = s.supplier_key
-join dim_time t on f.time_id = t.time_id
-group by s.supplier_name, s.city, t.year, t.quarter_name""")
+@register("rpt_supplier_performance", _sold_by(
+    "vendor.supplier_name vendor.city:supplier_city day.year day.quarter_name",
+    {"sales_linked": SALES, "parts_value_supplied": _sum("total_parts_cost"),
+     "revenue_enabled": _sum("sale_price"),
+     "cost_to_revenue_pct": O.rdiv("sum(sale.total_parts_cost)", "sum(sale.sale_price)", 2, 2, 2,
+                                   100)}))
 def q_rpt_supplier_performance(spark, sf_dir):
     g = gold_for(spark, sf_dir)
     return reports.rpt_supplier_performance(g.fact_sales, g.dim_supplier, g.dim_time)
 
 
-O.cte("monthly_agg", f"""
-select t.year, t.month, t.month_short,
-       cast(count(distinct f.sale_key) as bigint) as total_sales,
-       cast(sum(f.sale_price) as decimal(22,2)) as total_revenue,
-       cast(sum(f.gross_margin) as decimal(22,2)) as total_gross_margin,
-       {_AVG_PCT} as avg_margin_pct
-from fact_sales f join dim_time t on f.time_id = t.time_id
-group by t.year, t.month, t.month_short""")
+O.cte("monthly_agg", _sold_by(
+    "day.year day.month day.month_short",
+    {"total_sales": SALES, **REVENUE, **MARGIN, "avg_margin_pct": PERCENT}))
 _GROWTH = f"""
 select year, month, month_short, cast(year as varchar) || '-' || lpad(cast(month as varchar), 2, '0') as year_month,
        total_sales, total_revenue, total_gross_margin, avg_margin_pct, prev_month_revenue,
@@ -212,13 +218,13 @@ def q_rpt_monthly_trend_filled(spark, sf_dir):
     return reports.rpt_monthly_trend_filled(g.fact_sales, g.dim_time)
 
 
-O.cte("segment_parts_naive", """
-select distinct dcar.segment, dpart.part_key
-from dim_part dpart join stg_parts_car pc on dpart.part_id = pc.part_id
-join dim_car dcar on pc.car_id = dcar.car_id""")
+O.cte("parts_in_segment", """
+select segment, part_key
+from (select distinct segment, part_id from bom_lines join dim_car using (car_id)) lines
+join dim_part using (part_id)""")
 
 
-@register("segment_parts", "select * from segment_parts_naive")
+@register("segment_parts", "select * from parts_in_segment")
 def q_segment_parts(spark, sf_dir):
     g = gold_for(spark, sf_dir)
     _, _, silver = bound(spark, sf_dir)
@@ -229,7 +235,7 @@ def q_segment_parts(spark, sf_dir):
 O.cte("sold_parts", """
 select sold.sale_key, sold.segment, parts.category_name, parts.unit_price * sold.total_parts_qty as cost
 from (select sale_key, segment, dim_car.total_parts_qty from fact_sales join dim_car using (car_key)) sold
-join segment_parts_naive used on used.segment = sold.segment
+join parts_in_segment used on used.segment = sold.segment
 join dim_part parts on parts.part_key = used.part_key""")
 
 
@@ -250,12 +256,8 @@ def q_rpt_parts_cost_by_segment(spark, sf_dir):
 # ---- insights (X1-X4) --------------------------------------------------------------
 from torque.operators import insights  # noqa: E402
 
-O.cte("model_months", f"""
-select c.brand_model, t.year, t.month,
-       cast(t.year as varchar) || '-' || lpad(cast(t.month as varchar), 2, '0') as year_month,
-       {_AVG_PCT} as avg_margin_pct
-from fact_sales f join dim_car c on f.car_key = c.car_key join dim_time t on f.time_id = t.time_id
-group by c.brand_model, t.year, t.month""")
+O.cte("model_months", "select *, year || '-' || lpad(month::varchar, 2, '0') as year_month from ("
+      + _sold_by("car.brand_model day.year day.month", {"avg_margin_pct": PERCENT}) + ") m")
 O.cte("model_margin_trend", """
 select brand_model, year, month, year_month, avg_margin_pct,
        cast(avg_margin_pct - lag(avg_margin_pct) over (partition by brand_model order by year_month)

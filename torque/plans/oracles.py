@@ -178,14 +178,14 @@ select delivery_date, supplier_id from (
   select delivery_date, supplier_id,
          row_number() over (partition by delivery_date order by delivery_id desc) as rn
   from stg_final_delivery) x where rn = 1""")
-cte("supplier_per_sale", """
+cte("linked_supplier", """
 select s.sale_id, w.supplier_id, w.delivery_date
 from stg_sales s asof join day_winner w on s.sale_date >= w.delivery_date""")
 cte("linked_sales", """
 select stg_sales.*, (select customer_key from dim_customer where dim_customer.customer_id = stg_sales.customer_id) as customer_key,
        (select car_key from dim_car where dim_car.car_id = stg_sales.car_id) as car_key,
-       (select supplier_key from dim_supplier join supplier_per_sale using (supplier_id)
-        where supplier_per_sale.sale_id = stg_sales.sale_id) as supplier_key
+       (select supplier_key from dim_supplier join linked_supplier using (supplier_id)
+        where linked_supplier.sale_id = stg_sales.sale_id) as supplier_key
 from stg_sales""")
 cte("fact_src", f"""
 select car_key, customer_key, supplier_key, cast(strftime(sale_date, '%Y%m%d') as integer) as time_id,
