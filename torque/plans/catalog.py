@@ -654,9 +654,12 @@ def q_init_tables(spark, sf_dir):
     for name, empty in before.items():
         version = store.latest(name)
         store.write(name, getattr(gold_for(spark, sf_dir), name))
-        row = (empty.agg(F.count(F.lit(1)).alias("rows_before")).join(
-            store.read(name, version + 1).agg(F.count(F.lit(1)).alias("rows_after")))
-            .select(F.lit(name).alias("table_name"), "rows_before", "rows_after"))
+        loaded = store.read(name, version + 1)
+        row = (empty.select(F.lit(False).alias("loaded"))
+               .unionByName(loaded.select(F.lit(True).alias("loaded")))
+               .agg(F.count_if(~F.col("loaded")).alias("rows_before"),
+                    F.count_if("loaded").alias("rows_after"))
+               .select(F.lit(name).alias("table_name"), "rows_before", "rows_after"))
         out = row if out is None else out.unionByName(row)
     return out
 
