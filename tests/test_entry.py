@@ -8,13 +8,13 @@ from torque.plans.catalog import QUERIES
 MODEL_KEYS = set("""
     bom_cost bom_counts bom_explode cdc_bucket_merge cdc_latest cdc_stream_merge co_located_sales_by_region dim_car dim_customer dim_part
     dim_supplier dim_time dim_time_fixed fact_as_of_customer fact_incremental_months
-    fact_late_deliveries fact_sales gen_customers gen_deliveries gen_sales gen_suppliers
+    fact_late_deliveries fact_month_sketches fact_sales gen_customers gen_deliveries gen_sales gen_suppliers
     init_tables load_summary load_truncate_insert merge_car merge_fact merge_idempotent
     merge_insert merge_part merge_supplier merge_update model_margin_alert model_margin_trend
     partials_model_profitability partials_monthly_trend partials_revenue_by_brand
     partials_supplier_performance qc01_null_pk qc02_nonpositive_price qc03_orphan_fk
     qc04_future_dates qc05_duplicate_pk qc06_price_below_cost qc_duplicates_all
-    qc_duplicates_lineitem qc_duplicates_spoilt qc_orphans_all qc_orphans_spoilt qc_report
+    qc_duplicates_lineitem qc_duplicates_sketched qc_duplicates_spoilt qc_orphans_all qc_orphans_spoilt qc_report
     qc_report_spoilt revenue_by_region rpt_model_profitability rpt_monthly_trend
     rpt_monthly_trend_filled rpt_parts_cost_by_segment rpt_revenue_by_brand rpt_sales_by_region
     rpt_supplier_performance scd2_customer scd2_same_day segment_parts stg_cars stg_category

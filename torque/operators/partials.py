@@ -9,6 +9,8 @@ are additive, averages and ratios are worked out from them at the end.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,18 +29,24 @@ def month_partials(fact: DataFrame) -> DataFrame:
         F.count("sale_price").alias("n_price"), F.count("gross_margin_pct").alias("n_pct"))
 
 
-def refresh_partials(partials: MonthTable, fact: MonthTable) -> list[int]:
-    """Bring the partials up to the fact's newest manifest; returns the months that
-    were worked out anew or ended. Only their files are read and written."""
+def refresh_months(kept: MonthTable, fact: MonthTable,
+                   make: Callable[[DataFrame], DataFrame]) -> list[int]:
+    """Bring a table made month by month from ``fact`` up to its newest manifest; returns
+    the months that were worked out anew or ended. Only their files are read and written."""
     now = fact.manifest()["parts"]
-    state = partials.manifest()
+    state = kept.manifest()
     made_from = {} if state is None else {int(m): v for m, v in state["note"].items()}
     stale = sorted(m for m in now.keys() | made_from.keys() if now.get(m) != made_from.get(m))
     if stale or state is None:
-        partials.write(month_partials(fact.read(stale)), stale, note=now)
+        kept.write(make(fact.read(stale)), stale, note=now)
     return stale
 
 
+def refresh_partials(partials: MonthTable, fact: MonthTable) -> list[int]:
+    """``refresh_months`` of the partials."""
+    return refresh_months(partials, fact, month_partials)
+
+
 def _added(column: str):
     return F.sum(f"sum_{column}")
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from torque.operators.joins import broadcast_checked
+from torque.operators.key_bitmaps import orphan_counts, orphans_per_value
 from torque.operators.staging import bom_cost
 from torque.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
@@ -74,25 +75,12 @@ def qc02_nonpositive_price(tables: dict[str, DataFrame]) -> DataFrame:
                    for t, c, d in QC02_PRICE])
 
 
-def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Per orphan ``fk`` value (NULL included): ``_n`` child rows without a parent.
-
-    Child rows are counted per key value first — a partial aggregate that
-    folds a hot or low-cardinality key (billions of sales, thousands of cars)
-    to one row per map task — and only those counts meet the parent keys in
-    the anti join.
-    """
-    keys = parent.select(F.col(pk).alias("_pk"))
-    per_value = child.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
-    return per_value.join(keys, F.col("_fk") == F.col("_pk"), "left_anti")
-
-
 def _orphans() -> Column:
     return F.coalesce(F.sum("_n"), F.lit(0))
 
 
 def qc03_orphan_fk(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([_rows(orphan_count(tables[c], fk, tables[p], pk), [("QC-03", d, _orphans())])
+    return _union([_rows(orphans_per_value(tables[c], fk, tables[p], pk), [("QC-03", d, _orphans())])
                    for c, fk, p, pk, d in QC03_ORPHANS])
 
 
@@ -143,10 +131,10 @@ def sales_key_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def qc_orphans_all(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q16 — every declared foreign key of the source schema."""
-    return _union([_rows(orphan_count(tables[c], fk, tables[p], pk),
-                         [("QC-FK", f"{c}.{fk} -> {p}.{pk}", _orphans())])
-                   for c, fk, p, pk in FOREIGN_KEYS])
+    """Q16 — every declared foreign key of the source schema, by key bitmaps."""
+    return _union([_rows(counts, [("QC-FK", f"{c}.{fk} -> {p}.{pk}", _orphans())])
+                   for counts, (c, fk, p, pk)
+                   in zip(orphan_counts(tables, FOREIGN_KEYS), FOREIGN_KEYS)])
 
 
 def duplicate_key_check(df: DataFrame, keys: list[str], description: str) -> DataFrame:

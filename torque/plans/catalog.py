@@ -17,12 +17,12 @@ from torque.operators import reports, staging
 from torque.plans import oracles as O
 from torque.operators.fact import fact_source, load_fact
 from torque.operators.history import merge_fact_months, version_as_of
-from torque.operators import partials
+from torque.operators import key_sketches, partials
 from torque.operators.partials import refresh_partials
 from torque.plans.warehouse import (bound, gold_for, load_late_deliveries, remembered,
                                     warehouse_root, write_fact_by_month)
 from torque.sources.bucketed import write_bucketed
-from torque.sources.parts import MonthTable, PartTable
+from torque.sources.parts import MONTH, MonthTable, PartTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -430,6 +430,18 @@ register("qc_duplicates_spoilt", _all_of(_BAD["pk"]))(
     lambda s, d: quality.qc_duplicates_all(spoilt_tables(s, d)))
 
 
+@register("qc_duplicates_sketched", f"""
+select description, failures, true as in_range from ({_all_of(_BAD["pk"])})""")
+def q_qc_duplicates_sketched(spark, sf_dir):
+    """Q17 by sketches over the spoilt roles, held against the exact counts."""
+    tables = spoilt_tables(spark, sf_dir)
+    ranges = key_sketches.duplicates_sketched(tables, quality.PRIMARY_KEYS)
+    return (quality.qc_duplicates_all(tables).join(ranges, "description")
+            .select("description", "failures",
+                    F.col("failures").between(F.col("failures_low"), F.col("failures_high"))
+                    .alias("in_range")))
+
+
 @register("qc_duplicates_lineitem", """
 select 'QC-PK' as check_id, 'lineitem(l_orderkey, l_linenumber)' as description,
        cast(coalesce(sum(n - 1), 0) as bigint) as failures
@@ -605,6 +617,32 @@ def q_partials_monthly_trend(spark, sf_dir):
     return partials.monthly_trend(kept, gold.dim_time)
 
 
+@register("fact_month_sketches", """
+select time_id // 100 as sale_month, count(*) as n_rows, true as in_range
+from fact_sales group by time_id // 100""")
+def q_fact_month_sketches(spark, sf_dir):
+    """Q13 kept up by month: sketches of sale_id beside the fact, brought up to date after
+    a second load; no sale is in the fact twice."""
+    src, cfg, silver = bound(spark, sf_dir)
+    gold = gold_for(spark, sf_dir)
+
+    def build():
+        source = fact_source(silver.sales, silver.final_delivery, silver.parts_car,
+                             gold.dim_car, gold.dim_customer, gold.dim_supplier, src.sales)
+        root = warehouse_root(spark)
+        fact = write_fact_by_month(
+            load_fact(None, source.filter("sale_id % 2 = 0"), cfg.now), f"{root}/fact")
+        kept = MonthTable(spark, f"{root}/sketches", key=None)
+        key_sketches.refresh_sketches(kept, fact, ["sale_id"])
+        merge_fact_months(fact, source, cfg.now)
+        key_sketches.refresh_sketches(kept, fact, ["sale_id"])
+        return kept
+    ranges = key_sketches.duplicate_range(remembered(spark, sf_dir, "sketches", build).read(),
+                                          MONTH)
+    return ranges.select(MONTH, "n_rows",
+                         (F.col("failures_low") == 0).alias("in_range"))
+
+
 # a batch of deliveries that comes after the sales it concerns were loaded
 LATE = "year(delivery_date) = 1995 and delivery_id % 3 = 0"
 
