@@ -11,7 +11,7 @@ import pytest
 from tests.llm import corpus
 from torque.llm import ngram_join as nj
 from torque.llm.components import components
-from torque.llm.ngram_join import linked_roots, ngram_jaccard_join, part_hashes, size_bands
+from torque.llm.ngram_join import Bitmaps, linked_roots, ngram_jaccard_join, part_hashes, size_bands
 from torque.llm.substring_dedup import substring_dedup
 from torque.llm.wordhash import Words
 
@@ -156,6 +156,33 @@ def test_roots_in_a_tile_equal_brute_force():
     assert linked_roots(sets, 85).tolist() == roots
 
 
+def test_roots_among_sets_of_all_sizes():
+    """Bitmaps of unlike width: folded ones lose no link, a wide one costs the others nothing."""
+    rng = random.Random(8)
+    sets = [np.unique(np.array([rng.getrandbits(63) for _ in range(n)], np.uint64))
+            for n in [1, 2, 3, 100, 127, 128, 129, 140, 255, 256, 257, 300, 513, 20_000]]
+    for s in list(sets):                      # a near copy of each that is a little larger
+        more = np.array([rng.getrandbits(63) for _ in range(len(s) // 8)], np.uint64)
+        sets.append(np.unique(np.concatenate((s, more))))
+    half = len(sets) // 2
+    assert linked_roots(sets, 85).tolist() == list(range(half)) * 2
+    for n, other in ((half - 1, 0), (4, half + 4)):       # bits never exceed what they bound
+        mine, theirs = Bitmaps(sets).only(n, np.array([other]))
+        a, b = set(sets[n].tolist()), set(sets[other].tolist())
+        assert mine[0] <= len(a - b) and theirs[0] <= len(b - a)
+
+
+def test_hot_sets_beside_many_others(spark):
+    """Hot sets meet their rows by broadcast, the others by a shuffle; no row is lost."""
+    rows = [(i, " ".join(f"h{k}" for k in range(12))) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"u{i}x{k}" for k in range(6))) for i in range(3000)]
+    rows += [(9000, None), (9001, "  ")]
+    got = {r.doc_id: r for r in ngram_jaccard_join(spark.createDataFrame(
+        rows, "doc_id bigint, text string")).collect()}
+    assert len(got) == len(rows)
+    assert all(r.component_id == (0 if i < 300 else i) for i, r in got.items())
+
+
 def test_join_odd_rows(spark):
     assert ngram_jaccard_join(corpus.nothing(spark)).count() == 0
     rows = ngram_jaccard_join(corpus.odd_documents(spark)).collect()

@@ -42,6 +42,8 @@ COMMON_LISTED = 65_536    # length of the list of widely shared elements (no eff
 BAND_GROWTH = 1.5         # of sizes from one band to the next
 BAND_SHINGLES = 2_000_000 # elements in one band of a tile
 SIZE_SLICES = 64          # of a group's sets of one size, for running volumes
+COMPARED_WORDS = 1 << 20   # 64-bit words of bitmaps compared at once
+HOT_SHARE = 2_048         # a set that holds over one in so many rows is hot; fewer than that are
 PART_ROWS = "bucket int, docs binary, places binary, keys binary, found boolean"
 
 
@@ -107,15 +109,55 @@ def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.nd
     return np.concatenate(out)
 
 
+class Bitmaps:
+    """Hashed bitmaps of sets, each as wide as its own size asks for.
+
+    A bitmap is folded to half its width by joining its halves, so two sets are
+    compared at the width of the narrower one; linked sets are of like size.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.level = np.array([max(8, (2 * len(s) - 1).bit_length()) if len(s) else 8
+                               for s in sets], np.int64)
+        self.row = np.zeros(len(sets), np.int64)
+        self.marks = {}
+        for level in np.unique(self.level).tolist():
+            members = np.flatnonzero(self.level == level)
+            self.row[members] = np.arange(len(members))
+            marks = self.marks[level] = np.zeros((len(members), 1 << (level - 6)), np.uint64)
+            for row, i in zip(marks, members):
+                place = mix(sets[i]) & np.uint64((1 << level) - 1)
+                np.bitwise_or.at(row, (place >> np.uint64(6)).astype(np.int64),
+                                 np.uint64(1) << (place & np.uint64(63)))
+
+    def _at(self, level: int, members: np.ndarray, width: int) -> np.ndarray:
+        marks = self.marks[level][self.row[members]]
+        for _ in range(level - width):
+            half = marks.shape[1] // 2
+            marks = marks[:, :half] | marks[:, half:]
+        return marks
+
+    def only(self, p: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits that p alone has, and that each other alone has: never more than the
+        elements that are in one of the two only."""
+        mine, theirs = np.zeros(len(others), np.int64), np.zeros(len(others), np.int64)
+        own, levels = int(self.level[p]), self.level[others]
+        for level in np.unique(levels).tolist():
+            width = min(level, own)
+            a = self._at(own, np.array([p]), width)[0]
+            where = np.flatnonzero(levels == level)
+            step = max(1, COMPARED_WORDS >> (level - 6))
+            for part in (where[i:i + step] for i in range(0, len(where), step)):
+                b = self._at(level, others[part], width)
+                mine[part] = np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
+                theirs[part] = np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64)
+        return mine, theirs
+
+
 def linked_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Root (smallest place) per set under links of at least ``percent`` similarity."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    bits = 1 << max(8, int(sizes.max(initial=1) * 2 - 1).bit_length())
-    marks = np.zeros((len(sets), bits // 64), np.uint64)
-    for i, s in enumerate(sets):
-        place = mix(s) & np.uint64(bits - 1)
-        np.bitwise_or.at(marks[i], (place >> np.uint64(6)).astype(np.int64),
-                         np.uint64(1) << (place & np.uint64(63)))
+    bitmaps = Bitmaps(sets)
     roots = np.arange(len(sets))
     rest = np.argsort(sizes, kind="stable")
     while len(rest):
@@ -126,8 +168,7 @@ def linked_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
             low = np.searchsorted(sizes[rest], -(-percent * sizes[p] // 100))
             high = np.searchsorted(sizes[rest], 100 * sizes[p] // percent, "right")
             near = rest[low:high]
-            only_p = np.bitwise_count(marks[p] & ~marks[near]).sum(axis=1, dtype=np.int64)
-            only_q = np.bitwise_count(marks[near] & ~marks[p]).sum(axis=1, dtype=np.int64)
+            only_p, only_q = bitmaps.only(p, near)
             most = np.minimum(sizes[p] - only_p, sizes[near] - only_q)
             total = sizes[p] + sizes[near]
             found = np.zeros(len(near), bool)
@@ -137,11 +178,12 @@ def linked_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
                 shared = int(np.count_nonzero(sets[p][at] == q))
                 found[k] = (100 + percent) * shared >= percent * total[k]
             hit = near[found]
-            roots[hit] = root
-            frontier.extend(hit.tolist())
-            keep = np.ones(len(rest), bool)
-            keep[low:high] = ~found
-            rest = rest[keep]
+            if len(hit):
+                roots[hit] = root
+                frontier.extend(hit.tolist())
+                keep = np.ones(len(rest), bool)
+                keep[low:high] = ~found
+                rest = rest[keep]
     # name each component by its smallest place
     least = np.full(len(sets), len(sets))
     np.minimum.at(least, roots, np.arange(len(sets)))
@@ -235,24 +277,33 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     links = tiles.groupBy("tile").applyInArrow(
         lambda table: _tile_links(table, words_each, percent), "a bigint, b bigint")
     roots = components(links)
-    named = (profiles.filter("n_shingles > 0")
-             .join(roots, F.col("set_id") == F.col("node"), "left")
-             .select("set_id", "n_shingles", "doc_id", "text_hash",
-                     F.coalesce("root", "set_id").alias("root"),
-                     F.when(F.col("root").isNull(), F.col("n_shingles")).alias("own_size")))
-    least = named.groupBy("root", "own_size").agg(F.min(F.when(
-        F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first"))
-    sets = named.select("set_id", "n_shingles", "root", "own_size").distinct().join(
-        least.withColumnsRenamed({"root": "r", "own_size": "o"}),
-        (F.col("root") == F.col("r")) & F.col("own_size").eqNullSafe(F.col("o")))
-    sets = sets.select(F.col("set_id").alias("s"), F.col("n_shingles").alias("n"), "first")
+    # one row per distinct set before anything meets by set, so that a text with
+    # many copies weighs no more than another
+    alike = profiles.filter("n_shingles > 0").groupBy("set_id", "n_shingles").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.when(
+            F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first"))
+    named = alike.join(roots, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", "n_shingles", "copies", "first", F.coalesce("root", "set_id").alias("root"),
+        F.when(F.col("root").isNull(), F.col("n_shingles")).alias("own_size"))
+    named = stored(named)
+    least = named.groupBy("root", "own_size").agg(F.min("first").alias("least"))
+    own, other = named.alias("a"), least.alias("b")
+    sets = stored(own.join(other, (F.col("a.root") == F.col("b.root")) & F.col(
+        "a.own_size").eqNullSafe(F.col("b.own_size"))).select(
+            F.col("a.set_id").alias("s"), F.col("a.n_shingles").alias("n"), "copies",
+            F.col("least").alias("first")))
+    # the rows of hot sets, of which there are fewer than HOT_SHARE, meet them by broadcast
+    total = sets.agg(F.sum("copies")).first()[0] or 0
+    hot = F.col("copies") * HOT_SHARE > total
+    same = (F.col("set_id") == F.col("s")) & (F.col("n_shingles") == F.col("n"))
+    few = F.broadcast(sets.filter(hot))
+    met = profiles.join(few, same).unionByName(
+        profiles.join(few, same, "left_anti").join(sets.filter(~hot), same, "left"))
     found = F.col("n_shingles") > 0
     more = [] if not by_text else ["text_hash", (~found | F.struct("doc_id", "text_hash").eqNullSafe(
         F.col("first"))).alias("stays")]
-    return profiles.join(
-        sets, (F.col("set_id") == F.col("s")) & (F.col("n_shingles") == F.col("n")),
-        "left").select("doc_id", "n_shingles", "set_id", F.when(found, F.col("first.doc_id"))
-                       .otherwise(F.col("doc_id")).alias("component_id"), *more)
+    return met.select("doc_id", "n_shingles", "set_id", F.when(found, F.col("first.doc_id"))
+                      .otherwise(F.col("doc_id")).alias("component_id"), *more)
 
 
 def _packed_parts(texts: pa.Array, docs: np.ndarray, words_each: int, percent: int,
