@@ -183,6 +183,69 @@ def test_hot_sets_beside_many_others(spark):
     assert all(r.component_id == (0 if i < 300 else i) for i, r in got.items())
 
 
+def brute_links(values: list[tuple], size: int, percent: int) -> list[int]:
+    """Per row, the other rows with an id whose sets are equal to its own or link with it."""
+    sets = [corpus.shingles(t, size) for _, t, *_ in values]
+    out = []
+    for i, a in enumerate(sets):
+        near = 0
+        for j, b in enumerate(sets):
+            if i != j and a and values[j][0] is not None and (a == b or values[i][0] is not None):
+                near += 100 * len(a & b) >= percent * len(a | b)
+        out.append(near)
+    return out
+
+
+@pytest.mark.parametrize("band", [nj.BAND_SHINGLES, 300])
+def test_link_counts_equal_brute_force(spark, monkeypatch, band):
+    """Drifting chains, copies and all odd texts, in one band and in many."""
+    monkeypatch.setattr(nj, "BAND_SHINGLES", band)
+    chain = near_copies(40, 90, 1)
+    values = corpus.rows(chain + near_copies(25, 30, 2) + chain[5:9] * 3 + corpus.texts(n=30))
+    want = {v[0]: n for v, n in zip(values, brute_links(values, 4, 85))}
+    rows = ngram_jaccard_join(spark.createDataFrame(values, corpus.SCHEMA), count_links=True).collect()
+    assert {r.doc_id: r.n_links for r in rows} == want
+    assert {r.doc_id: r.component_id for r in rows} == brute_components(values, 4, 85)
+    # within a chain, documents are in one component without all being linked
+    sizes = {r.component_id: sum(s.component_id == r.component_id for s in rows) for r in rows}
+    assert any(0 < r.n_links < sizes[r.component_id] - 1 for r in rows)
+
+
+def test_link_counts_of_odd_rows(spark):
+    assert ngram_jaccard_join(corpus.nothing(spark), count_links=True).count() == 0
+    text = "alpha beta gamma delta epsilon zeta"
+    values = [(1, text), (1, text), (1, None), (2, ""), (3, text), (None, text), (None, "alone"),
+              (4, "alone"), (4, "other words"), (5, "other words")]
+    df = spark.createDataFrame(values, "doc_id bigint, text string")
+    key = lambda r: (r[0] or 0, r[1])
+    want = sorted(zip((v[0] for v in values), brute_links(values, 4, 85)), key=key)
+    rows = ngram_jaccard_join(df, count_links=True).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in rows), key=key) == want
+    odd = corpus.odd_documents(spark)
+    assert len(ngram_jaccard_join(odd, count_links=True).collect()) == 8
+
+
+def test_many_links_in_a_tile():
+    """Counts and roots of a tile, of which a band is at home elsewhere."""
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2 ** 63, 60, dtype=np.uint64))
+    sets = [base[rng.random(len(base)) > 0.08] for _ in range(80)]
+    sets += [np.unique(rng.integers(0, 2 ** 63, 50, dtype=np.uint64)) for _ in range(20)]
+    copies, bands = rng.integers(1, 5, 100), rng.integers(0, 2, 100)
+    home = bands == 1
+    roots, links = nj.link_counts(sets, copies, bands, home, 85)
+    want, same = np.zeros(100, np.int64), list(range(100))
+    for i in range(100):
+        for j in range(100):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if i != j and (home[i] or bands[i] != bands[j]) and (
+                    100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both)):
+                want[i] += copies[j]
+                x, y = sorted((same[i], same[j]))
+                same = [x if r == y else r for r in same]
+    assert links.tolist() == want.tolist() and roots.tolist() == same
+
+
 def test_join_odd_rows(spark):
     assert ngram_jaccard_join(corpus.nothing(spark)).count() == 0
     rows = ngram_jaccard_join(corpus.odd_documents(spark)).collect()

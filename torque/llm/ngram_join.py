@@ -13,8 +13,10 @@
 4. Inside a tile every set has a bitmap of hashed elements. A bit that only one
    of two sets has is an element that only it has, so bit counts bound the
    overlap from above; pairs that pass are intersected exactly, as sorted
-   arrays. Sets already known to be connected are not compared again, and no
-   pairs are emitted: a tile returns one root per set.
+   arrays. No pairs are emitted: a tile returns one root per set and, if links
+   are to be counted, how many copies of other sets each set links with; every
+   pair of sets is counted in one tile. Where they are not counted, sets already
+   known to be connected are not compared again.
 
 Part hashes travel packed, one row per batch and hash bucket, and a batch sends
 each distinct one once. Everything but the fixed-size list of widely shared
@@ -34,6 +36,7 @@ from torque.llm.columns import stored
 from torque.llm.components import components
 from torque.llm.packing import (bucket_keys, by_bucket, document_row, found_row, from_planes,
                                 packed_rows, planes)
+from torque.llm.segments import gather_ranges
 from torque.llm.wordhash import SLICE_BYTES, STEP, Words, mix, text_slices, window_hashes
 from torque.llm.worker_memory import release
 
@@ -190,9 +193,48 @@ def linked_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return least[roots]
 
 
+def link_counts(sets: list[np.ndarray], copies: np.ndarray, bands: np.ndarray, home: np.ndarray,
+                percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Root (smallest place) per set, and the copies of all sets that it links with.
+
+    Two sets of one band are compared only where the tile is their band's home.
+    Intersections are exact: the elements of all sets get codes, those of one set
+    are marked, and the marks are summed over each set that its bitmap lets pass.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    bitmaps = Bitmaps(sets)
+    starts = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate(sets or [np.zeros(0, np.uint64)]), return_inverse=True)[1]
+    marked = np.zeros(len(codes), bool)
+    roots, links = np.arange(len(sets)), np.zeros(len(sets), np.int64)
+    order = np.argsort(sizes, kind="stable")
+    ends = np.searchsorted(sizes[order], 100 * sizes[order] // percent, "right")
+    for i, p in enumerate(order.tolist()):
+        near = order[i + 1:ends[i]]
+        if not home[p]:
+            near = near[bands[near] != bands[p]]
+        only_p, only_q = bitmaps.only(p, near)
+        most = np.minimum(sizes[p] - only_p, sizes[near] - only_q)
+        near = near[(100 + percent) * most >= percent * (sizes[p] + sizes[near])]
+        if not len(near):
+            continue
+        own = codes[starts[p]:starts[p] + sizes[p]]
+        marked[own] = True
+        shared = np.add.reduceat(marked[gather_ranges(codes, starts[near], sizes[near])],
+                                 np.cumsum(sizes[near]) - sizes[near], dtype=np.int64)
+        marked[own] = False
+        near = near[(100 + percent) * shared >= percent * (sizes[p] + sizes[near])]
+        links[p] += copies[near].sum()
+        links[near] += copies[p]
+        joined = np.unique(roots[np.append(near, p)])
+        if len(joined) > 1:
+            roots[np.isin(roots, joined)] = joined[0]
+    return roots, links
+
+
 def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
                        id_col: str = "doc_id", text_col: str = "text",
-                       by_text: bool = False) -> DataFrame:
+                       by_text: bool = False, count_links: bool = False) -> DataFrame:
     """Components of documents whose shingle sets have 100 |A & B| >= percent |A | B|.
 
     Words are runs of non-blank characters with A-Z lower-cased. Returns
@@ -210,6 +252,10 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     With ``by_text``, rows also have ``text_hash`` (xxhash64 of the text, null as
     empty) and ``stays``: true for the rows of one id and text in each component,
     the smallest, and for rows with an empty set.
+
+    With ``count_links``, rows also have ``n_links``: the other rows with an id
+    whose sets are equal to this row's set or link with it (0 for an empty set).
+    A row that repeats an id counts like any other.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"),
@@ -273,24 +319,37 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
         .agg(F.min("set_id").alias("x"), F.max("set_id").alias("y"))
         .filter("x <> y").select("node", F.col("node").alias("root"))
         .join(groups, "node", "left_anti"))
-    tiles = _tiles(rows, profiles, groups.union(several), percent)
-    links = tiles.groupBy("tile").applyInArrow(
-        lambda table: _tile_links(table, words_each, percent), "a bigint, b bigint")
-    roots = components(links)
     # one row per distinct set before anything meets by set, so that a text with
     # many copies weighs no more than another
     alike = profiles.filter("n_shingles > 0").groupBy("set_id", "n_shingles").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.when(
+        F.count(F.lit(1)).alias("copies"), F.count("doc_id").alias("near"), F.min(F.when(
             F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first"))
+    alike = stored(alike) if count_links else alike.drop("near")
+    tiles = _tiles(rows, profiles, groups.union(several), percent,
+                   alike if count_links else None).groupBy("tile")
+    if count_links:
+        compared = stored(tiles.applyInArrow(
+            lambda table: _tile_counts(table, words_each, percent),
+            "a bigint, b bigint, links bigint"))
+        links = compared.select("a", "b")
+        counts = compared.groupBy(F.col("a").alias("set_id")).agg(F.sum("links").alias("links"))
+    else:
+        links = tiles.applyInArrow(
+            lambda table: _tile_links(table, words_each, percent), "a bigint, b bigint")
+    roots = components(links)
+    near = ["near"] if count_links else []
+    if count_links:
+        alike = alike.join(counts, "set_id", "left").withColumn(
+            "near", F.col("near") + F.coalesce("links", F.lit(0)))
     named = alike.join(roots, F.col("set_id") == F.col("node"), "left").select(
-        "set_id", "n_shingles", "copies", "first", F.coalesce("root", "set_id").alias("root"),
+        "set_id", "n_shingles", "copies", "first", *near, F.coalesce("root", "set_id").alias("root"),
         F.when(F.col("root").isNull(), F.col("n_shingles")).alias("own_size"))
     named = stored(named)
     least = named.groupBy("root", "own_size").agg(F.min("first").alias("least"))
     own, other = named.alias("a"), least.alias("b")
     sets = stored(own.join(other, (F.col("a.root") == F.col("b.root")) & F.col(
         "a.own_size").eqNullSafe(F.col("b.own_size"))).select(
-            F.col("a.set_id").alias("s"), F.col("a.n_shingles").alias("n"), "copies",
+            F.col("a.set_id").alias("s"), F.col("a.n_shingles").alias("n"), "copies", *near,
             F.col("least").alias("first")))
     # the rows of hot sets, of which there are fewer than HOT_SHARE, meet them by broadcast
     total = sets.agg(F.sum("copies")).first()[0] or 0
@@ -302,6 +361,9 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
     found = F.col("n_shingles") > 0
     more = [] if not by_text else ["text_hash", (~found | F.struct("doc_id", "text_hash").eqNullSafe(
         F.col("first"))).alias("stays")]
+    if count_links:
+        others = F.col("near") - F.col("doc_id").isNotNull().cast("bigint")
+        more.append(F.when(found, others).otherwise(F.lit(0)).alias("n_links"))
     return met.select("doc_id", "n_shingles", "set_id", F.when(found, F.col("first.doc_id"))
                       .otherwise(F.col("doc_id")).alias("component_id"), *more)
 
@@ -361,10 +423,18 @@ def _part_ties(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a[a != b]), "b": pa.array(b[a != b])})
 
 
-def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(tile, set_id, n, text) of every set that a link may join to another set."""
+def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int,
+           alike: DataFrame | None) -> DataFrame:
+    """(tile, set_id, n, text) of every set that a link may join to another set; with the
+    table ``alike`` of distinct sets, also its copies, its band and whether the tile is
+    the band's home."""
     sets = (groups.join(profiles.filter("n_shingles > 0"), F.col("node") == F.col("doc_id"))
             .groupBy("root", "set_id", "n_shingles").agg(F.min("doc_id").alias("rep")))
+    copies = []
+    if alike is not None:
+        copies = ["copies"]
+        sets = sets.join(alike.select("set_id", "n_shingles", F.col("near").alias("copies")),
+                         ["set_id", "n_shingles"])
     # running volumes per slice of a group's sets of one size and then over slices, so no
     # task sorts a whole group
     sets = stored(sets.withColumn("slice", F.pmod("set_id", F.lit(SIZE_SLICES))))
@@ -376,7 +446,7 @@ def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int
     members = stored(sets.withColumn("volume", volume - F.col("n_shingles"))
                      .join(before, slices).withColumn("band", F.floor(
                          (F.col("base") + F.col("volume")) / F.lit(BAND_SHINGLES)))
-                     .select("root", "set_id", "n_shingles", "rep", "band"))
+                     .select("root", "set_id", "n_shingles", "rep", *copies, "band"))
     bands = members.groupBy("root", "band").agg(F.min("n_shingles").alias("low"),
                                                 F.max("n_shingles").alias("high"))
     left, right = bands.alias("l"), bands.alias("r")
@@ -392,16 +462,20 @@ def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int
     tiled = met.union(alone).select(
         "root", F.concat_ws("/", "root", "x", "y").alias("tile"),
         F.explode(F.array_distinct(F.array("x", "y"))).alias("band"))
+    of_set = [*copies, "band", "home"] if copies else []
+    if copies:
+        tiled = tiled.withColumn("home", F.col("tile") == F.min("tile").over(
+            Window.partitionBy("root", "band")))
     placed = members.join(tiled, ["root", "band"]).select(
-        "tile", "set_id", F.col("n_shingles").alias("n"), "rep")
+        "tile", "set_id", F.col("n_shingles").alias("n"), "rep", *of_set)
     # the representative's text; rows that share its id but not its set are told
     # apart again in the tile
     return (placed.join(rows, F.col("rep") == F.col("doc_id"))
-            .select("tile", "set_id", "n", "text"))
+            .select("tile", "set_id", "n", "text", *of_set))
 
 
-def _tile_links(table: pa.Table, words_each: int, percent: int) -> pa.Table:
-    """(a, b): each set of the tile and the root of its component there."""
+def _tile_sets(table: pa.Table, words_each: int) -> dict[int, np.ndarray]:
+    """The sets of a tile by their id."""
     sets: dict[int, np.ndarray] = {}
     column = table.column("text").combine_chunks()
     wanted = table.column("set_id").to_numpy()
@@ -409,6 +483,27 @@ def _tile_links(table: pa.Table, words_each: int, percent: int) -> pa.Table:
         for i, elements in enumerate(shingle_sets(part, words_each)):
             if set_hash(elements) == wanted[at + i]:
                 sets[int(wanted[at + i])] = elements
+    return sets
+
+
+def _tile_counts(table: pa.Table, words_each: int, percent: int) -> pa.Table:
+    """(a, b, links): each linked set of the tile, the root of its component there
+    and the copies of the sets that it links with."""
+    sets = _tile_sets(table, words_each)
+    names = np.array(list(sets), np.int64)
+    known, at = np.unique(table.column("set_id").to_numpy(), return_index=True)
+    at = at[np.searchsorted(known, names)]
+    copies, bands, home = (table.column(c).to_numpy()[at] for c in ("copies", "band", "home"))
+    roots, links = link_counts(list(sets.values()), copies, bands, home, percent)
+    some = links > 0
+    return pa.table({"a": pa.array(names[some], pa.int64()),
+                     "b": pa.array(names[roots[some]], pa.int64()),
+                     "links": pa.array(links[some], pa.int64())})
+
+
+def _tile_links(table: pa.Table, words_each: int, percent: int) -> pa.Table:
+    """(a, b): each set of the tile and the root of its component there."""
+    sets = _tile_sets(table, words_each)
     names = np.array(list(sets), np.int64)
     roots = linked_roots(list(sets.values()), percent)
     joined = roots != np.arange(len(roots))
@@ -430,7 +525,9 @@ links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b USING (g)
           GROUP BY a.doc_id, b.doc_id, p.n, q.n
           HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
 reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
-SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(r.y, doc_id)) AS component_id
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(r.y, doc_id)) AS component_id,
+       coalesce(l.n, 0)::BIGINT AS n_links
 FROM documents LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n FROM links WHERE x <> y GROUP BY x) l USING (doc_id)
 LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x) r USING (doc_id)
 """

@@ -73,9 +73,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate components of all documents (operator 7)."""
+    """Near-duplicate components and links of all documents (operator 7)."""
     return ngram_join.ngram_jaccard_join(
-        table(spark, sf_dir, "documents"), percent=85, words_each=4).drop("set_id")
+        table(spark, sf_dir, "documents"), percent=85, words_each=4,
+        count_links=True).drop("set_id")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
