@@ -15,7 +15,7 @@ MODEL_KEYS = set("""
     partials_supplier_performance qc01_null_pk qc02_nonpositive_price qc03_orphan_fk
     qc04_future_dates qc05_duplicate_pk qc06_price_below_cost qc_duplicates_all
     qc_duplicates_lineitem qc_duplicates_sketched qc_duplicates_spoilt qc_orphans_all qc_orphans_spoilt qc_report
-    qc_report_spoilt revenue_by_region rpt_model_profitability rpt_monthly_trend
+    qc_report_spoilt revenue_by_region rpt_model_profitability rpt_monthly_trend scd2_buckets
     rpt_monthly_trend_filled rpt_parts_cost_by_segment rpt_revenue_by_brand rpt_sales_by_region
     rpt_supplier_performance scd2_customer scd2_same_day segment_parts stg_cars stg_category
     stg_customers stg_final_delivery stg_lot_delivery stg_parts stg_parts_car stg_sales

@@ -15,8 +15,8 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 
 from tests.fixtures import plan_of, rows_of
 from torque.operators import partials, reports
-from torque.operators.history import (merge_fact_months, sales_to_relink, scd2_merge,
-                                      version_as_of)
+from torque.operators.history import (load_scd2_buckets, merge_fact_months, sales_to_relink,
+                                      scd2_merge, version_as_of)
 from torque.operators.joins import materialize
 from torque.operators.partials import refresh_partials
 from torque.plans.warehouse import (build_silver, load_fact_incremental, load_gold,
@@ -134,6 +134,70 @@ def test_scd2_same_day_load_replaces_and_older_load_is_refused(spark):
         scd2_merge(h, rows([(1, "F")]), "id", "k", ["city"], dt.date(2024, 5, 1), NOW)
 
 
+def bucket_files(table):
+    """Names and times of the files of every bucket."""
+    out = {}
+    for part, version in table.manifest()["parts"].items():
+        folder = f"{table.root}/data/v={version}/{table.column}={part}"
+        out[part] = {f: os.stat(f"{folder}/{f}").st_mtime_ns for f in os.listdir(folder)}
+    return out
+
+
+def history_table(spark):
+    return PartTable(spark, tempfile.mkdtemp(prefix="torque-scd2-") + "/t", "bucket", "k")
+
+
+HISTORY = ["k", "id", "city", "name", "valid_from", "valid_to", "is_current", "load_ts"]
+
+
+def test_scd2_in_buckets_equals_the_whole_history(spark):
+    """Loads of many, few, repeated and no rows; buckets of other keys keep their files."""
+    frame = lambda rows: spark.createDataFrame(rows, "id long, city string, name string")
+    day = lambda m: dt.date(2024, m, 1)
+    loads = [(frame([(i, f"c{i % 5}", f"n{i}") for i in range(60)]), day(1)),
+             (frame([(7, "moved", "n7"), (8, "c3", "renamed"), (900, None, "new")]), day(3)),
+             (frame([(7, "moved", "n7"), (8, "c3", "renamed"), (900, None, "new")]), day(3)),
+             (frame([(7, "again", "n7"), (9, "moved", None)]), day(3)),
+             (frame([]), day(4)),
+             (frame([(900, "known", "new")]), day(5))]
+    table, whole = history_table(spark), None
+    for source, at in loads:
+        before = bucket_files(table) if table.manifest() else {}
+        touched = load_scd2_buckets(table, source, "id", ["city"], at, NOW, buckets=8)
+        whole = materialize(scd2_merge(whole, source, "id", "k", ["city"], at, NOW))
+        assert rows_of(table.read(), *HISTORY) == rows_of(whole, *HISTORY)
+        assert all(bucket_files(table)[b] == f for b, f in before.items() if b not in touched)
+        assert touched == sorted({r[0] for r in source.select(
+            F.pmod(F.xxhash64("id"), F.lit(8))).collect()})
+    with pytest.raises(ValueError):
+        load_scd2_buckets(table, frame([(1, "x", "y")]), "id", ["city"], day(4), NOW, buckets=8)
+    with pytest.raises(ValueError):
+        load_scd2_buckets(table, frame([(1, "x", "y")]), "id", ["city"], day(6), NOW, buckets=4)
+
+
+def test_scd2_load_into_buckets_reads_only_them_and_survives_a_crash(spark, monkeypatch):
+    frame = lambda rows: spark.createDataFrame(rows, "id long, city string")
+    table, cols = history_table(spark), [c for c in HISTORY if c != "name"]
+    load_scd2_buckets(table, frame([(i, "a") for i in range(40)]), "id", ["city"],
+                      dt.date(2024, 1, 1), NOW, buckets=8)
+    old, read = rows_of(table.read(), *cols), []
+    change, day = frame([(3, "b"), (77, "c")]), dt.date(2024, 2, 1)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(table, "_commit", dies)
+        m.setattr(table, "read", lambda parts=None, real=table.read: read.append(parts) or real(parts))
+        with pytest.raises(RuntimeError):
+            load_scd2_buckets(table, change, "id", ["city"], day, NOW, buckets=8)
+    assert rows_of(table.read(), *cols) == old
+    touched = load_scd2_buckets(table, change, "id", ["city"], day, NOW, buckets=8)
+    assert read == [touched] and len(touched) <= 2
+    assert rows_of(table.read().filter("id in (3, 77)"), "k", "id", "city", "is_current") == [
+        (4, 3, "a", False), (41, 3, "b", True), (42, 77, "c", True)]
+
+
 def test_latest_per_key_ties_broken_by_event_id(spark):
     df = spark.createDataFrame([(1, _ts(1), 10, "a", 1.0), (2, _ts(1), 10, "b", 1.0)], SCHEMA)
     assert rows_of(latest_per_key(df, "user_id", ["ts", "event_id"]), "event_id") == [(2,)]

@@ -5,7 +5,8 @@ column closes the current version (``valid_to`` = day before ``as_of``,
 ``is_current`` false) and opens a new version with a new surrogate key;
 untracked columns are overwritten in place (type 1). Comparison is
 column-by-column and NULL-safe (``<=>``), so no hash collision can hide a
-change.
+change. ``load_scd2_buckets`` keeps the history in hash buckets of the key: a
+load reads and replaces only the buckets of its keys.
 
 ``version_as_of`` looks a row's version up by date.
 
@@ -29,7 +30,7 @@ from torque.operators.joins import (broadcast_bounded, materialize, materialize_
                                     small_enough)
 from torque.operators.keys import assign_surrogate_keys
 from torque.operators.merge import check_source_keys, merge_upsert
-from torque.sources.parts import MONTH, MonthTable
+from torque.sources.parts import MONTH, MonthTable, PartTable, bucket_of
 
 
 def _same(a: str, b: str, cols: list[str]) -> Column:
@@ -38,15 +39,22 @@ def _same(a: str, b: str, cols: list[str]) -> Column:
 
 
 def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate: str,
-               tracked: list[str], as_of: dt.date, now: dt.datetime) -> DataFrame:
+               tracked: list[str], as_of: dt.date, now: dt.datetime,
+               last: tuple[int, dt.date] | None = None,
+               source_rows: int | None = None) -> DataFrame:
     """Return the history after applying ``source`` as of ``as_of``.
 
     A repeated load of the same day replaces the versions that day opened, in
     place. A load dated before a version that is already there is refused.
+    ``last``: the greatest surrogate key and the day of the last load, if known
+    (then the history is not read for them). ``source_rows``: the rows of a
+    source that is materialised already.
     """
     attrs = [c for c in source.columns if c != key]
     ts = F.lit(now).cast("timestamp_ntz")
-    source, rows = materialize_counted(source)
+    rows = source_rows
+    if rows is None:
+        source, rows = materialize_counted(source)
     check_source_keys(source, key)
     # a small source (the changes) is broadcast into one pass over the history
     small = small_enough(source, rows)
@@ -59,9 +67,9 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate
 
     if history is None:
         return versions(source, 0)
-    last = history.agg(F.max(surrogate).alias("key"), F.max("valid_from").alias("day")).first()
-    if last["day"] is not None and as_of < last["day"]:
-        raise ValueError(f"load of {as_of} is older than the load of {last['day']}")
+    last_key, last_day = last or history.agg(F.max(surrogate), F.max("valid_from")).first()
+    if last_day is not None and as_of < last_day:
+        raise ValueError(f"load of {as_of} is older than the load of {last_day}")
     src = source.withColumn("_hit", F.lit(True))
     src = (F.broadcast(src) if small else src).alias("s")
     # every version meets its source row once; what becomes of it is decided here
@@ -89,7 +97,37 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, surrogate
     # a source row opens a version unless its key has a current version that stays
     settled = kept.filter("_hit AND is_current AND _fate <> 'close'").select(key)
     opened = source.join(F.broadcast(settled) if small else settled, key, "left_anti")
-    return rewritten.unionByName(versions(opened, last["key"] or 0))
+    return rewritten.unionByName(versions(opened, last_key or 0))
+
+
+def load_scd2_buckets(table: PartTable, source: DataFrame, key: str, tracked: list[str],
+                      as_of: dt.date, now: dt.datetime, buckets: int = 64) -> list[int]:
+    """E1 into hash buckets: apply ``source`` as of ``as_of`` to the history in ``table``,
+    whose ``key`` names the surrogate key. Returns the replaced buckets.
+
+    All versions of a key lie in its bucket, so a load reads and replaces the buckets of
+    the keys it brings; the greatest surrogate key and the day of the last load are in
+    the manifest and committed with the rows. A load without rows changes nothing. The
+    number of buckets is fixed when the table is first written.
+    """
+    state = table.manifest()
+    if state is not None and buckets != state["note"]["buckets"]:
+        raise ValueError(f"the table has {state['note']['buckets']} buckets")
+    source, rows = materialize_counted(source.withColumn(table.column, bucket_of(key, buckets)))
+    touched = sorted(r[0] for r in source.select(table.column).distinct().collect())
+    source = source.drop(table.column)
+    history, last = None, None
+    if state is not None:
+        last = state["last_key"], dt.date.fromisoformat(state["note"]["as_of"])
+        if not touched:
+            return []
+        history = table.read(touched).drop(table.column)
+    merged = scd2_merge(history, source, key, table.key, tracked, as_of, now, last=last,
+                        source_rows=rows)
+    table.write(merged.withColumn(table.column, bucket_of(key, buckets)),
+                None if state is None else touched,
+                note={"as_of": as_of.isoformat(), "buckets": buckets})
+    return touched
 
 
 def sale_month(time_id: Column) -> Column:

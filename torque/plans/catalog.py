@@ -834,7 +834,7 @@ def q_gen_sales(spark, sf_dir):
 
 
 # ---- extensions (E1, E2) -----------------------------------------------------------------
-from torque.operators.history import scd2_merge  # noqa: E402
+from torque.operators.history import load_scd2_buckets, scd2_merge  # noqa: E402
 from torque.streaming.cdc import latest_per_key, run_change_feed  # noqa: E402
 
 SCD_LOAD1, SCD_LOAD2 = dt.date(2001, 1, 1), dt.date(2001, 6, 30)
@@ -860,15 +860,30 @@ from cust_src where customer_id % 10 = 0""")
 def q_scd2_customer(spark, sf_dir):
     """Two loads of a type-2 customer history: every customer, then the same
     customers with the province changed for every tenth id."""
+    load1, load2, cfg = _customer_loads(spark, sf_dir)
+    h1 = materialize(scd2_merge(None, load1, "customer_id", "customer_key", TRACKED, SCD_LOAD1, cfg.now))
+    h2 = scd2_merge(h1, load2, "customer_id", "customer_key", TRACKED, SCD_LOAD2, cfg.now)
+    return _no_ts(h2)
+
+
+def _customer_loads(spark, sf_dir):
+    """All customers as they are and with every tenth id moved, and the configuration."""
     _, cfg, silver = bound(spark, sf_dir)
-    load1 = dims.dim_customer_source(silver.customers, cfg.region_by_province)
     moved = silver.customers.withColumn(
         "province", F.when(F.col("customer_id") % 10 == 0, F.concat("province", F.lit(MOVED)))
         .otherwise(F.col("province")))
-    load2 = dims.dim_customer_source(moved, cfg.region_by_province)
-    h1 = materialize(scd2_merge(None, load1, "customer_id", "customer_key", TRACKED, SCD_LOAD1, cfg.now))
-    h2 = scd2_merge(h1, load2, "customer_id", "customer_key", TRACKED, SCD_LOAD2, cfg.now)
-    return _no_ts(h2)
+    return (*[dims.dim_customer_source(c, cfg.region_by_province) for c in (silver.customers, moved)],
+            cfg)
+
+
+@register("scd2_buckets", ORACLES["scd2_customer"])
+def q_scd2_buckets(spark, sf_dir):
+    """The loads of ``scd2_customer`` into a history in hash buckets of the customer."""
+    load1, load2, cfg = _customer_loads(spark, sf_dir)
+    table = PartTable(spark, f"{warehouse_root(spark)}/customer_history", "bucket", "customer_key")
+    for load, day in ((load1, SCD_LOAD1), (load2, SCD_LOAD2)):
+        load_scd2_buckets(table, load, "customer_id", TRACKED, day, cfg.now, buckets=16)
+    return _no_ts(table.read()).drop("bucket")
 
 
 EARLY, LATER = dt.date(1993, 3, 1), dt.date(1996, 1, 1)

@@ -1,4 +1,4 @@
-"""E2/E3 — tables kept in parts (months, hash buckets) that loads replace atomically.
+"""E1/E2/E3 — tables kept in parts (months, hash buckets) that loads replace atomically.
 
 A load writes the parts it touches into a folder of its own,
 ``data/v=<n>/<column>=<part>``, and then one manifest, which lists for every
@@ -15,12 +15,17 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from torque.operators.joins import observed
 
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 class PartTable:
     """Parquet table under ``root`` (any Hadoop-compatible path) in parts by ``column``, an
     integer. ``key``: the surrogate key whose greatest value is remembered, if any."""

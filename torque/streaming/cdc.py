@@ -20,13 +20,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from torque.operators.joins import materialize_counted
 from torque.operators.merge import merge_upsert
-from torque.sources.parts import PartTable
+from torque.sources.parts import PartTable, bucket_of
 from torque.sources.sinks import SnapshotStore
 
 
@@ -62,10 +62,6 @@ def apply_batch(spark: SparkSession, store: SnapshotStore, table: str, batch: Da
     return True
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
 def apply_batch_to_buckets(table: PartTable, batch: DataFrame, batch_id: int, key: str,
                            order_cols: list[str], buckets: int,
                            now: dt.datetime | None = None) -> list[int]:
