@@ -5,10 +5,13 @@ from __future__ import annotations
 import ast
 import datetime as dt
 import inspect
+import threading
 
 import duckdb
 import pytest
 
+from tests.fixtures import rows_of
+from torque.operators.merge import merge_upsert
 from torque.plans import catalog
 from torque.plans.catalog import ORACLES, QUERIES
 from torque.plans.warehouse import forget
@@ -69,3 +72,20 @@ def test_no_function_of_the_catalogue_replaces_another():
 @pytest.mark.parametrize("name", ["merge_update", "merge_idempotent", "scd2_customer"])
 def test_customer_loads(spark, tiny, name):
     check_against_sql(spark, tiny, name)
+
+
+def test_merge_of_a_batch_from_another_session(spark):
+    """A stream's batch belongs to a session of its own, where metrics that were asked
+    for in the target's session never arrive."""
+    now = dt.datetime(2024, 1, 1)
+    target = merge_upsert(None, spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"),
+                          "id", "k", now)
+    batch = spark.newSession().createDataFrame([(2, "c"), (3, "d")], "id long, v string")
+    found = []
+
+    def merge():
+        found.extend(rows_of(merge_upsert(target, batch, "id", "k", now), "k", "id", "v"))
+    worker = threading.Thread(target=merge, daemon=True)
+    worker.start()
+    worker.join(60)
+    assert found == [(1, 1, "a"), (2, 2, "c"), (3, 3, "d")]
