@@ -9,12 +9,14 @@ import threading
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from tests.fixtures import rows_of
+from tests.fixtures import plan_of, rows_of
 from torque.operators.merge import merge_upsert
 from torque.plans import catalog
 from torque.plans.catalog import ORACLES, QUERIES
 from torque.plans.warehouse import forget
+from torque.sources import generators as G
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -89,3 +91,20 @@ def test_merge_of_a_batch_from_another_session(spark):
     worker.start()
     worker.join(60)
     assert found == [(1, 1, "a"), (2, 2, "c"), (3, 3, "d")]
+
+
+@pytest.mark.parametrize("name", ["gen_deliveries", "stg_final_delivery", "stg_lot_delivery"])
+def test_deliveries(spark, tiny, name):
+    check_against_sql(spark, tiny, name)
+
+
+def test_parts_of_a_delivery_are_drawn_in_plain_columns(spark):
+    """A lambda is interpreted, and an exploded expression is worked out twice."""
+    parts = spark.range(1, 4).select(F.col("id").alias("part_idx"), F.col("id").alias("part_id"))
+    _, lots = G.gen_deliveries(spark.range(50), 6, parts, 3)
+    assert "lambda" not in plan_of(lots)
+    seen = rows_of(lots.groupBy("delivery_id").agg(F.count("part_id").alias("n"),
+                                                   F.countDistinct("part_id").alias("d")),
+                   "delivery_id", "n", "d")
+    assert len(seen) == 50 and {n for _, n, _ in seen} == {2, 3}
+    assert all(n == d for _, n, d in seen)

@@ -16,6 +16,7 @@ no row is built on the driver. The *distribution contract* is the reference gene
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ LAST_NAMES = ["Garcia", "Martinez", "Lopez", "Sanchez", "Puig", "Ferrer", "Romer
               "Vidal", "Torres"]
 
 
+MOST_PARTS = 5    # of a delivery
+
+
 def key_range(spark, n: int, start: int = 1) -> DataFrame:
     """Keys ``start .. start + n - 1`` as the ``id`` column, generated on the
     executors: ``gen_suppliers(key_range(spark, 10))`` is the reference's
@@ -107,17 +111,21 @@ def gen_deliveries(ids: DataFrame, n_suppliers: int, parts: DataFrame, n_parts:
                        uniform_int(seed, k, "delivery.supplier", 1, n_suppliers).alias("supplier_id"),
                        _day(seed, k, "delivery.date", start, end).alias("delivery_date"))
     d = F.col("delivery_id")
-    n_pick = F.least(uniform_int(seed, d, "delivery.k", 2, 5), F.lit(n_parts).cast("long"))
-    none = F.array().cast("array<bigint>")
-
-    def step(taken, i):
-        j = F.lit(n_parts) - n_pick + i
-        at = uniform_int(seed, d, F.concat(F.lit("delivery.part."), i.cast("string")), 0, j)
-        return F.concat(taken, F.array(F.when(F.array_contains(taken, at), j).otherwise(at)))
-
-    picked = F.aggregate(F.sequence(F.lit(0).cast("long"), n_pick - 1), none, step)
-    lots = (final.withColumn("_at", F.explode(picked))
-            .withColumn("part_idx", F.col("_at") + 1))
+    n_pick = F.least(uniform_int(seed, d, "delivery.k", 2, MOST_PARTS), F.lit(n_parts).cast("long"))
+    # written out step by step, as plain columns: a lambda over an array is interpreted,
+    # and an exploded expression is worked out again for its inferred filter
+    lots = final.withColumn("_picks", n_pick)
+    taken: list[str] = []
+    for i in range(MOST_PARTS):
+        j = F.lit(n_parts) - F.col("_picks") + i
+        lots = lots.withColumn("_at", uniform_int(seed, d, f"delivery.part.{i}", 0, j))
+        known = reduce(lambda x, y: x | y, [F.col("_at") == F.col(p) for p in taken], F.lit(False))
+        lots = lots.withColumn(f"_p{i}", F.when(F.col("_picks") > i,
+                                                F.when(known, j).otherwise(F.col("_at"))))
+        taken.append(f"_p{i}")
+    lots = (lots.select("delivery_id", "delivery_date", F.explode(F.array(*taken)).alias("_at"))
+            .filter(F.col("_at").isNotNull())
+            .select("delivery_id", "delivery_date", (F.col("_at") + 1).alias("part_idx")))
     catalogue = broadcast_checked(parts.select(F.col("part_idx").cast("long").alias("part_idx"),
                                                "part_id"))
     lots = (lots.join(catalogue, "part_idx")
