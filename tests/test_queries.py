@@ -17,6 +17,7 @@ from torque.plans import catalog
 from torque.plans.catalog import ORACLES, QUERIES
 from torque.plans.warehouse import forget
 from torque.sources import generators as G
+from torque.sources.bindings import bind_sources
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -108,3 +109,10 @@ def test_parts_of_a_delivery_are_drawn_in_plain_columns(spark):
                    "delivery_id", "n", "d")
     assert len(seen) == 50 and {n for _, n, _ in seen} == {2, 3}
     assert all(n == d for _, n, d in seen)
+
+
+def test_deliveries_are_told_apart_by_supplier_and_day(spark, tiny):
+    """Their id follows from these two and need not be shuffled."""
+    plan = plan_of(bind_sources(spark, tiny).final_delivery)
+    moved = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert moved and not any("delivery_id" in line for line in moved)
