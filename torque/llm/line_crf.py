@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -271,18 +272,22 @@ def score(docs: DataFrame, model: Model, text_col: str = "text",
     table gives an empty result. One task holds one text with its lines.
     """
     kept = [c for c in docs.columns if c != name]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # a text travels once, within its row, and rows go back by slices: batches of whole
+    # texts stay allocated in the executor's pools
+    sent = [*kept, *([] if text_col in kept else [text_col])]
+    place = sent.index(text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in sent]).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         release()
         for batch in batches:
-            values = [shared.value.scores(*line_features(part))
-                      for _, part in text_slices(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(values or [np.zeros(0)]))],
-                names=["row", "score"])
+            texts = pc.fill_null(batch.column(0).field(place), "")
+            for at, part in text_slices(texts):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(part)),
+                     pa.array(shared.value.scores(*line_features(part)))],
+                    names=["row", "score"])
 
     schema = T.StructType().add("row", rows.schema["row"].dataType).add("score", "double")
     out = rows.mapInArrow(run, schema)

@@ -8,6 +8,8 @@ need none let go of it first.
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 _KEPT: dict = {}
 
 
@@ -20,7 +22,9 @@ def kept(key, make):
 
 
 def release() -> None:
+    """Let go of the compiled object, and of what earlier tasks' batches left allocated."""
     _KEPT.clear()
+    pa.default_memory_pool().release_unused()
 
 
 class Memo(dict):
