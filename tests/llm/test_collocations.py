@@ -89,6 +89,26 @@ def test_odd_tables(spark):
     assert sorted(map(tuple, co.collocations(odd, least=2, filter_bits=15).collect())) == want
 
 
+@pytest.mark.parametrize("words,size,slice_bytes", [
+    (400_000, 32_000_000, 2_000_000), (30, 32_000_000, 64), (400_000, 500, 64)])
+def test_words_are_counted_before_they_reach_spark(spark, monkeypatch, words, size, slice_bytes):
+    """Tasks hand on counted words, within a bound, however the texts are sliced; no
+    text is exploded into rows of words."""
+    monkeypatch.setattr(co, "HELD_WORDS", words)
+    monkeypatch.setattr(co, "HELD_BYTES", size)
+    monkeypatch.setattr(co, "WORD_ROWS", 7)
+    slices = co.text_slices
+    monkeypatch.setattr(co, "text_slices", lambda column: slices(column, slice_bytes))
+    rows = [(lang or "und", text or "") for lang, text in texts(80)] + [("É", "ÀB aB AB\u2028x Ab")]
+    want = Counter((lang, w) for lang, text in rows
+                   for w in re.split(r"[\x20\x09.,;:!?\x0A-\x0D]+", text.translate(corpus.LOWER)) if w)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = co.word_counts(docs)
+    assert {(r.lang, r.word): r.a for r in got.collect()} == want
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    assert co.word_counts(docs.limit(0)).count() == 0
+
+
 def test_a_salt_that_mixes_words_up_is_left(spark, monkeypatch):
     """Codes that collide are found out on all words, and another salt is taken."""
     monkeypatch.setattr(co, "coded", collide(co.coded))

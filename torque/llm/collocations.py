@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from torque.llm.columns import lower_ascii, stored
+from torque.llm.columns import stored
 from torque.llm.packing import from_planes, planes
 from torque.llm.wordhash import BASE, BASE_INVERSE, STEP, mix, powers, text_slices
 from torque.llm.worker_memory import release
@@ -33,6 +33,9 @@ FILTER_BITS = 26                 # bits of a bitmap of frequent keys: 8 MB, what
 SHARD_ENTRIES = 1_000_000        # counted occurrences a shard gets at most on average
 HELD_ENTRIES = 1_500_000         # entries after which a task hands its filters on
 WAITING = 300_000                # rows that wait to be sorted into a small filter
+HELD_WORDS = 400_000             # distinct words after which a task hands its counts on
+HELD_BYTES = 32_000_000          # bytes of words, likewise
+WORD_ROWS = 20_000               # rows of words that travel at once
 SALTS = 16
 BREAKS = ".,;:!?\n\x0b\x0c\r"    # end a piece; blanks and tabs end a word
 
@@ -51,27 +54,34 @@ def lang_codes(langs: list[str], salt: int) -> np.ndarray:
     return np.array([digest[x] for x in langs], np.uint64)
 
 
+def split_bytes(column: pa.Array):
+    """Bytes of a column of texts, their classes, where its rows begin, and where every
+    word starts and ends."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[
+        column.offset:column.offset + len(column) + 1]
+    values = column.buffers()[2]
+    raw = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
+    data = raw[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    kind = _CLASS[data]
+    black = np.zeros(len(data) + 1, bool)
+    black[:-1] = kind == 0
+    fresh = np.zeros(len(data) + 1, bool)
+    fresh[offsets] = True
+    before = np.concatenate(([False], black[:-1]))
+    return (data, kind, offsets, np.flatnonzero(black & (~before | fresh)),
+            np.flatnonzero(before & (~black | fresh)))
+
+
 class Pieces:
     """Words of a column of texts: code and number of the piece they stand in."""
 
     def __init__(self, column: pa.Array, langs: list[str], salt: int):
-        column = column.cast(pa.large_string())
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[
-            column.offset:column.offset + len(column) + 1]
-        values = column.buffers()[2]
-        raw = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
-        data = raw[offsets[0]:offsets[-1]]
-        offsets = offsets - offsets[0]
+        data, kind, offsets, start, end = split_bytes(column)
         n = len(data)
-        kind = _CLASS[data]
-        black = np.zeros(n + 1, bool)
-        black[:n] = kind == 0
-        fresh = np.zeros(n + 1, bool)
-        fresh[offsets] = True
-        before = np.concatenate(([False], black[:-1]))
-        start = np.flatnonzero(black & (~before | fresh))
-        end = np.flatnonzero(before & (~black | fresh))
-        ends_piece = fresh
+        ends_piece = np.zeros(n + 1, bool)
+        ends_piece[offsets] = True
         ends_piece[:n] |= kind == 2
         self.piece = np.cumsum(ends_piece)[start]
         sums = np.zeros(n + 1, np.uint64)
@@ -83,6 +93,20 @@ class Pieces:
                         + lang_codes(langs, salt)[row])
 
 
+def spelled(column: pa.Array, langs: pa.Array) -> pa.Table:
+    """(lang, word, a) of a column of texts: its distinct words, compared letter by letter."""
+    data, kind, offsets, start, end = split_bytes(column)
+    ends = np.concatenate(([0], np.cumsum(end - start, dtype=np.int64)))
+    letters = _LOWER.astype(np.uint8)[data[kind == 0]]
+    words = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(letters))
+    own = langs.dictionary_encode()
+    at = own.indices.to_numpy()[np.searchsorted(offsets, start, "right") - 1]
+    found = (pa.table({"at": at, "word": words})
+             .group_by(["at", "word"], use_threads=False).aggregate([([], "count_all")]))
+    return pa.table({"lang": own.dictionary.take(found["at"]), "word": found["word"],
+                     "a": found["count_all"]})
+
+
 def pair_marks(codes: np.ndarray) -> np.ndarray:
     """64-bit marks of neighbouring pairs, for the bitmap of frequent pairs."""
     return mix(codes[:-1] * STEP + codes[1:])
@@ -202,11 +226,32 @@ def unpack(data: bytes, width: int, quotient: int) -> tuple[np.ndarray, np.ndarr
 
 # ---- Spark stages --------------------------------------------------------------------
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, a) of all distinct words."""
-    ends = BREAKS + "\t"
-    blank = F.translate(lower_ascii(F.col("text")), ends, " " * len(ends))
-    return (docs.select("lang", F.explode(F.split(blank, " ")).alias("word"))
-            .filter("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("a")))
+    """(lang, word, a) of all distinct words. Each task counts its own first, so that
+    rows of words, not every word of every text, pass through Spark."""
+    def count(batches):
+        release()
+        held, fresh = None, []
+
+        def merged():
+            own = pa.concat_tables(([held] if held else []) + fresh)
+            own = own.group_by(["lang", "word"], use_threads=False).aggregate([("a", "sum")])
+            return own.rename_columns({"a_sum": "a"})
+
+        for batch in batches:
+            langs = batch.column(0).cast(pa.large_string())
+            for at, column in text_slices(batch.column(1)):
+                fresh.append(spelled(column, langs.slice(at, len(column))))
+                if sum(map(len, fresh)) > HELD_WORDS or sum(x.nbytes for x in fresh) > HELD_BYTES:
+                    held, fresh = merged(), []
+                    if len(held) > HELD_WORDS or held.nbytes > HELD_BYTES:
+                        yield from held.cast(schema).to_batches(WORD_ROWS)
+                        held = None
+        if held or fresh:
+            yield from merged().cast(schema).to_batches(WORD_ROWS)
+
+    schema = pa.schema({"lang": pa.string(), "word": pa.string(), "a": pa.int64()})
+    return (docs.select("lang", "text").mapInArrow(count, "lang string, word string, a bigint")
+            .groupBy("lang", "word").agg(F.sum("a").alias("a")))
 
 
 def coded(words: DataFrame, salt: int) -> DataFrame:
