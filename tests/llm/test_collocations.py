@@ -160,6 +160,26 @@ def test_filters_count_pack_and_merge(width, quotient):
     assert sorted(odd.counts.tolist()) == ([4, 6] if width > 1 else [4, 6])
 
 
+@pytest.mark.parametrize("quotient", [2, 4])
+def test_pairs_travel_as_short_marks(spark, monkeypatch, quotient):
+    """The first pass hands on a few bytes of a pair, not its words' codes."""
+    spare = 8 - co.MARK_BYTES
+    rng = np.random.default_rng(2)
+    marks = rng.integers(0, 1 << 63, (70_000, 1)).astype(np.uint64)
+    marks = np.unique(marks >> np.uint64(8 * spare) << np.uint64(8 * spare), axis=0)
+    counts = rng.integers(1, 9, len(marks))
+    data = co.pack(marks, counts, quotient, spare)
+    got, n = co.unpack(data, 1, quotient, spare)
+    assert np.array_equal(got, marks) and np.array_equal(n, counts)
+    pairs = co.pack(np.hstack([marks, marks]), counts, quotient)
+    assert len(pairs) - len(data) == (8 + spare) * len(marks)
+    # marks that most pairs share let pairs through, but lose none
+    monkeypatch.setattr(co, "MARK_BYTES", 2)
+    rows = texts(60)
+    got = co.collocations(frame(spark, rows), least=4, filter_bits=15, shard_entries=50)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 2000)
+
+
 def test_words_and_pieces_like_the_patterns():
     values = [t or "" for _, t in texts()]
     langs = ["en" if i % 2 else "de" for i in range(len(values))]

@@ -9,9 +9,10 @@ key is lost, so counts are exact and the permutation gives the words back.
 
 Each task counts into filters of its own (partial counts, whatever is frequent),
 which are cut by ranges of quotients and merged shard by shard. Only n-grams
-whose words (and, from three words on, whose word pairs) are frequent can be
-frequent themselves; tasks look these up in bitmaps of a fixed size, which
-may let others through but lose none.
+whose words and word pairs are frequent can be frequent themselves; tasks look
+these up in bitmaps of a fixed size, which may let others through but lose none.
+Most pairs of frequent words are rare, so a first pass counts them by the leading
+bytes of their marks: a mark that is shared counts too much, never too little.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from torque.llm.worker_memory import release
 
 LONGEST = 5
 FILTER_BITS = 26                 # bits of a bitmap of frequent keys: 8 MB, whatever the data
+MARK_BYTES = 5                   # leading bytes of a pair's mark that the first pass counts by
 SHARD_ENTRIES = 1_000_000        # counted occurrences a shard gets at most on average
 HELD_ENTRIES = 1_500_000         # entries after which a task hands its filters on
 WAITING = 300_000                # rows that wait to be sorted into a small filter
@@ -183,23 +185,24 @@ class CountingFilter:
         self.rows = rows[fresh]
         self.counts = np.add.reduceat(counts[order], np.flatnonzero(fresh))
 
-    def shards(self, quotient: int, shard_bits: int):
+    def shards(self, quotient: int, shard_bits: int, spare: int = 0):
         """(shard, packed filter) of every range of quotients that holds entries."""
         self.merge()
         shard = (self.rows[:, 0] >> np.uint64(64 - shard_bits) if shard_bits
                  else np.zeros(len(self.rows), np.uint64)).astype(np.int64)
         edges = np.flatnonzero(np.diff(shard, prepend=-1))
         for a, b in zip(edges, np.append(edges[1:], len(shard))):
-            yield int(shard[a]), pack(self.rows[a:b], self.counts[a:b], quotient)
+            yield int(shard[a]), pack(self.rows[a:b], self.counts[a:b], quotient, spare)
 
 
-def pack(rows: np.ndarray, counts: np.ndarray, quotient: int) -> bytes:
+def pack(rows: np.ndarray, counts: np.ndarray, quotient: int, spare: int = 0) -> bytes:
     """Filter entries: run lengths by quotient, then remainders and counters as byte
-    planes. The ``quotient`` leading bytes of a row are kept once per run."""
+    planes. The ``quotient`` leading bytes of a row are kept once per run, the ``spare``
+    last bytes of its first word, which must be zero, not at all."""
     top = rows[:, 0] >> np.uint64(64 - 8 * quotient)
     starts = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1])))
     runs = np.diff(np.append(starts, len(rows)))
-    first = planes(np.ascontiguousarray(rows[:, 0]))[:len(rows) * (8 - quotient)]
+    first = planes(np.ascontiguousarray(rows[:, 0]))[len(rows) * spare:len(rows) * (8 - quotient)]
     rest = b"".join(planes(np.ascontiguousarray(rows[:, j])) for j in range(1, rows.shape[1]))
     size = 1 if counts.max() < 256 else 4 if counts.max() < 1 << 32 else 8
     head = np.array([len(rows), len(starts), size], np.int64).tobytes()
@@ -207,17 +210,18 @@ def pack(rows: np.ndarray, counts: np.ndarray, quotient: int) -> bytes:
                      first, rest, planes(counts.astype(f"u{size}"))))
 
 
-def unpack(data: bytes, width: int, quotient: int) -> tuple[np.ndarray, np.ndarray]:
+def unpack(data: bytes, width: int, quotient: int, spare: int = 0) -> tuple[np.ndarray, np.ndarray]:
     n, m, size = np.frombuffer(data[:24], np.int64).tolist()
     at = 24
     top = from_planes(data[at:at + 4 * m], np.uint32).astype(np.uint64)
     runs = from_planes(data[at + 4 * m:at + 8 * m], np.uint32).astype(np.int64)
     at += 8 * m
     rows = np.empty((n, width), np.uint64)
-    low = data[at:at + n * (8 - quotient)] + bytes(n * quotient)
+    stop = at + n * (8 - quotient - spare)
+    low = bytes(n * spare) + data[at:stop] + bytes(n * quotient)
     rows[:, 0] = from_planes(low, np.uint64) | (
         np.repeat(top, runs) << np.uint64(64 - 8 * quotient))
-    at += n * (8 - quotient)
+    at = stop
     for j in range(1, width):
         rows[:, j] = from_planes(data[at:at + 8 * n], np.uint64)
         at += 8 * n
@@ -295,35 +299,77 @@ def has(filter_bits: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
     return (filter_bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def frequent_grams(docs: DataFrame, sizes: range, salt: int, words_map, pairs_map, bits: int,
-                   least: int, quotient: int, shard_bits: int) -> DataFrame:
-    """(k, gram, mark, a) of all n-grams of the given sizes that occur ``least`` times."""
+def handed_on(held: dict, quotient: int, shard_bits: int, spare: int = 0):
+    """Batches of packed filters; ``held`` begins anew."""
+    rows = [(k, shard, data) for k in held
+            for shard, data in held[k].shards(quotient, shard_bits, spare)]
+    held.update({k: CountingFilter(held[k].width) for k in held})
+    for at in range(0, len(rows), 512):
+        part = rows[at:at + 512]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in part], pa.int32()),
+             pa.array([r[1] for r in part], pa.int32()),
+             pa.array([r[2] for r in part], pa.binary())], names=["k", "shard", "data"])
+
+
+def neighbours(split: Pieces, in_words: np.ndarray, bits: int) -> np.ndarray:
+    """Do words i and i + 1 stand in one piece and are both frequent?"""
+    known = has(in_words, split.code, bits)
+    return known[:-1] & known[1:] & (split.piece[:-1] == split.piece[1:])
+
+
+def frequent_marks(docs: DataFrame, salt: int, words_map, bits: int, least: int,
+                   quotient: int, shard_bits: int) -> DataFrame:
+    """(mark) of word pairs, the leading ``MARK_BYTES`` of it, that occur ``least`` times:
+    those of all frequent pairs, and of others that share theirs."""
+    spare = 8 - MARK_BYTES
+    cut = np.uint64(8 * spare)
+
     def count(batches):
         release()
         in_words = np.frombuffer(words_map.value, np.uint8)
-        in_pairs = np.frombuffer(pairs_map.value, np.uint8) if pairs_map else None
-        held = {k: CountingFilter(k) for k in sizes}
+        held = {2: CountingFilter(1)}
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            for at, column in text_slices(batch.column(1)):
+                split = Pieces(column, langs[at:at + len(column)], salt)
+                marks = pair_marks(split.code)[neighbours(split, in_words, bits)]
+                if len(marks):
+                    held[2].add((marks >> cut << cut)[:, None])
+                if len(held[2]) > HELD_ENTRIES:
+                    yield from handed_on(held, quotient, shard_bits, spare)
+        yield from handed_on(held, quotient, shard_bits, spare)
+
+    def merge(key, table):
+        total = CountingFilter(1)
+        for data in table.column("data"):
+            total.add(*unpack(data.as_py(), 1, quotient, spare))
+        total.merge()
+        mark = total.rows[total.counts >= least, 0] >> cut
+        return pa.table({"mark": pa.array(mark.view(np.int64))})
+
+    parts = docs.mapInArrow(count, "k int, shard int, data binary")
+    return parts.groupBy("k", "shard").applyInArrow(merge, "mark bigint")
 
-        def handed_on():
-            rows = [(k, shard, data) for k in sizes
-                    for shard, data in held[k].shards(quotient, shard_bits)]
-            held.update({k: CountingFilter(k) for k in sizes})
-            for at in range(0, len(rows), 512):
-                part = rows[at:at + 512]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in part], pa.int32()),
-                     pa.array([r[1] for r in part], pa.int32()),
-                     pa.array([r[2] for r in part], pa.binary())], names=["k", "shard", "data"])
 
+def frequent_grams(docs: DataFrame, salt: int, words_map, pairs_map, bits: int,
+                   least: int, quotient: int, shard_bits: int) -> DataFrame:
+    """(k, gram, a) of all n-grams of two or more words that occur ``least`` times."""
+    sizes = range(2, LONGEST + 1)
+    cut = np.uint64(8 * (8 - MARK_BYTES))
+
+    def count(batches):
+        release()
+        in_words = np.frombuffer(words_map.value, np.uint8)
+        in_pairs = np.frombuffer(pairs_map.value, np.uint8)
+        held = {k: CountingFilter(k) for k in sizes}
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for at, column in text_slices(batch.column(1)):
                 split = Pieces(column, langs[at:at + len(column)], salt)
-                known = has(in_words, split.code, bits)
                 # linked[i]: words i and i + 1 may stand in one frequent phrase
-                linked = known[:-1] & known[1:] & (split.piece[:-1] == split.piece[1:])
-                if in_pairs is not None:
-                    linked &= has(in_pairs, pair_marks(split.code), bits)
+                linked = neighbours(split, in_words, bits)
+                linked &= has(in_pairs, pair_marks(split.code) >> cut, bits)
                 for k in sizes:
                     n = max(0, len(split.code) - k + 1)
                     whole = np.ones(n, bool)
@@ -334,8 +380,8 @@ def frequent_grams(docs: DataFrame, sizes: range, salt: int, words_map, pairs_ma
                         rows = split.code[starts[:, None] + np.arange(k)]
                         held[k].add(permute(rows))
                 if sum(map(len, held.values())) > HELD_ENTRIES:
-                    yield from handed_on()
-        yield from handed_on()
+                    yield from handed_on(held, quotient, shard_bits)
+        yield from handed_on(held, quotient, shard_bits)
 
     def merge(key, table):
         k = key[0].as_py()
@@ -345,13 +391,12 @@ def frequent_grams(docs: DataFrame, sizes: range, salt: int, words_map, pairs_ma
         total.merge()
         often = total.counts >= least
         codes = restore(total.rows[often])
-        mark = (pair_marks(codes.ravel())[::2] if k == 2 else codes[:, 0]).view(np.int64)
         return pa.Table.from_arrays(
             [pa.array(np.full(len(codes), k, np.int32)), pa.chunked_array([grams_of(codes)]),
-             pa.array(mark), pa.array(total.counts[often])], names=["k", "gram", "mark", "a"])
+             pa.array(total.counts[often])], names=["k", "gram", "a"])
 
     parts = docs.mapInArrow(count, "k int, shard int, data binary")
-    return parts.groupBy("k", "shard").applyInArrow(merge, "k int, gram binary, mark bigint, a bigint")
+    return parts.groupBy("k", "shard").applyInArrow(merge, "k int, gram binary, a bigint")
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_percent: int = 100,
@@ -392,12 +437,11 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_perc
 
     send = spark.sparkContext.broadcast
     words_map = send(bitmap(common, filter_bits))
-    pairs = stored(frequent_grams(docs, range(2, 3), salt, words_map, None, filter_bits, least,
-                                  quotient, shard_bits))
-    pairs_map = send(bitmap(pairs, filter_bits))
-    longer = stored(frequent_grams(docs, range(3, LONGEST + 1), salt, words_map, pairs_map,
-                                   filter_bits, least, quotient, shard_bits))
-    return ranked(common, pairs.union(longer), sizes, top, inside_percent)
+    marks = stored(frequent_marks(docs, salt, words_map, filter_bits, least, quotient, shard_bits))
+    pairs_map = send(bitmap(marks, filter_bits))
+    phrases = stored(frequent_grams(docs, salt, words_map, pairs_map, filter_bits, least,
+                                    quotient, shard_bits))
+    return ranked(common, phrases, sizes, top, inside_percent)
 
 
 def ranked(words: DataFrame, phrases: DataFrame, sizes: DataFrame, top: int,
