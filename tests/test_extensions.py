@@ -348,6 +348,20 @@ def test_late_deliveries_touch_only_their_months(spark, clean, cfg, gold):
 
 
 # ---- E3: partial aggregates ----------------------------------------------------------------
+def test_partials_are_shuffled_once(spark, gold, monkeypatch):
+    """The aggregation's shuffle is the only one: its rows are written as they lie."""
+    table = month_table(gold.fact_sales)
+    kept = MonthTable(spark, table.root + "-once", key=None)
+    hints = []
+    kind = type(gold.fact_sales)
+    real = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda df, name, *a: hints.append(name) or real(df, name, *a))
+    assert refresh_partials(kept, table)
+    assert "rebalance" not in hints
+    want = partials.month_partials(table.read())
+    assert rows_of(kept.read(), *want.columns) == rows_of(want, *want.columns)
+
+
 def test_partials_follow_the_fact(spark, gold):
     table = month_table(gold.fact_sales)
     kept = MonthTable(spark, table.root + "-partials", key=None)

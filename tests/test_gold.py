@@ -199,6 +199,37 @@ def test_merge_small_source_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan
 
 
+def test_merge_large_source_shuffles_rows_once(spark, monkeypatch):
+    """Above the broadcast limits new keys are numbered apart from their rows: whole
+    rows meet the target in one join, whatever becomes of them."""
+    from torque.operators import merge
+    numbered = []
+    real = merge.assign_surrogate_keys
+    monkeypatch.setattr(merge, "assign_surrogate_keys",
+                        lambda df, *a: numbered.append(df.columns) or real(df, *a))
+    rows = lambda v: spark.createDataFrame(v, "id long, v int, name string")
+    target = merge_upsert(None, rows([(1, 5, "new"), (2, 1, "old"), (9, 1, "stays")]), "id", "k", NOW1)
+    late = rows([(1, 4, "late"), (2, 2, None), (7, None, "seventh"), (3, 1, None)])
+    spark.conf.set("torque.broadcast.maxRows", "0")
+    try:
+        cols = ["id", "k", "v", "name", "load_ts"]
+        got = merge_upsert(target, late, "id", "k", NOW2)
+        assert got.columns == ["k", "id", "v", "name", "load_ts"]
+        assert rows_of(got, *cols) == [(1, 1, 4, "late", NOW2), (2, 2, 2, None, NOW2),
+                                       (3, 4, 1, None, NOW2), (7, 5, None, "seventh", NOW2),
+                                       (9, 3, 1, "stays", NOW1)]
+        assert "Union" not in plan_of(got)
+        got = merge_upsert(target, late, "id", "k", NOW2, version=["v"], start_key=50)
+        assert rows_of(got, *cols) == [(1, 1, 5, "new", NOW1), (2, 2, 2, None, NOW2),
+                                       (3, 51, 1, None, NOW2), (7, 52, None, "seventh", NOW2),
+                                       (9, 3, 1, "stays", NOW1)]
+        with pytest.raises(MergeKeyError):
+            merge_upsert(target, late.union(late), "id", "k", NOW2)
+    finally:
+        spark.conf.unset("torque.broadcast.maxRows")
+    assert numbered[1:] == [["id"], ["id"]]
+
+
 def test_repeated_source_key_is_refused(spark):
     with pytest.raises(MergeKeyError):
         merge_upsert(None, _src(spark, [(1, "a", None), (1, "b", None)]), "id", "k", NOW1)

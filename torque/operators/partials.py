@@ -30,7 +30,7 @@ def month_partials(fact: DataFrame) -> DataFrame:
 
 
 def refresh_months(kept: MonthTable, fact: MonthTable,
-                   make: Callable[[DataFrame], DataFrame]) -> list[int]:
+                   make: Callable[[DataFrame], DataFrame], rebalance: bool = True) -> list[int]:
     """Bring a table made month by month from ``fact`` up to its newest manifest; returns
     the months that were worked out anew or ended. Only their files are read and written."""
     now = fact.manifest()["parts"]
@@ -38,13 +38,13 @@ def refresh_months(kept: MonthTable, fact: MonthTable,
     made_from = {} if state is None else {int(m): v for m, v in state["note"].items()}
     stale = sorted(m for m in now.keys() | made_from.keys() if now.get(m) != made_from.get(m))
     if stale or state is None:
-        kept.write(make(fact.read(stale)), stale, note=now)
+        kept.write(make(fact.read(stale)), stale, note=now, rebalance=rebalance)
     return stale
 
 
 def refresh_partials(partials: MonthTable, fact: MonthTable) -> list[int]:
-    """``refresh_months`` of the partials."""
-    return refresh_months(partials, fact, month_partials)
+    """``refresh_months`` of the partials, which are written as the aggregation deals them."""
+    return refresh_months(partials, fact, month_partials, rebalance=False)
 
 
 def _added(column: str):

@@ -78,10 +78,11 @@ class PartTable:
                 .parquet(*paths).drop("v"))
 
     def write(self, rows: DataFrame, replaced: list[int] | None = None,
-              note: dict | None = None) -> dict:
+              note: dict | None = None, rebalance: bool = True) -> dict:
         """Replace the parts ``replaced`` (None: the whole table) by ``rows``, which have
         the table's column. A replaced part without rows ends. ``note`` is kept in
-        the manifest for the caller.
+        the manifest for the caller. ``rebalance=False`` spares rows that an aggregation
+        has just shuffled a second shuffle; a part then has a file per task of it.
 
         ``rows`` may read this table: nothing that it reads is overwritten. Raises
         if another load has written a manifest meanwhile.
@@ -91,7 +92,8 @@ class PartTable:
         seen = Observation()
         last = F.max(F.col(self.key) if self.key else F.lit(0))
         # a part goes to one task, large parts to several, small ones share one
-        (rows.observe(seen, last.alias("last")).hint("rebalance", self.column)
+        rows = rows.observe(seen, last.alias("last"))
+        ((rows.hint("rebalance", self.column) if rebalance else rows)
          .write.mode("errorifexists").partitionBy(self.column).parquet(f"{self.root}/data/v={version}"))
         written = [n.split("=")[1] for n in self._names(f"data/v={version}")
                    if n.startswith(f"{self.column}=")]
