@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -195,3 +196,36 @@ def test_words_and_pieces_like_the_patterns():
     pieces = [x[1:3] for x in want]
     same = [a == b for a, b in zip(pieces, pieces[1:])]
     assert same == (split.piece[1:] == split.piece[:-1]).tolist()
+
+
+def test_only_what_is_frequent_is_stored_and_in_few_files(spark, monkeypatch):
+    """No file per task, no rare words, and nothing is left cached."""
+    written = []
+    monkeypatch.setattr(co, "stored", lambda df, real=co.stored: written.append(real(df)) or written[-1])
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rows = texts(60) + [("en", f"rare{i} words{i}") for i in range(200)]
+    docs = frame(spark, rows).repartition(7)
+    got = co.collocations(docs, least=4, filter_bits=15, shard_entries=50)
+    words = sum(n for n in Counter((lang, w) for lang, text in rows for w in re.split(
+        r"[\x20\x09.,;:!?\x0A-\x0D]+", (text or "").translate(corpus.LOWER)) if w).values())
+    assert all(df.filter("a < 4").isEmpty() for df in written)
+    assert all(len(df.inputFiles()) <= 1 + words // (50 * co.FILE_SHARDS) for df in written)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 2000)
+
+
+def test_a_merge_holds_no_spare_copies():
+    """Sorting a filter's entries takes a bounded multiple of their own size."""
+    rng = np.random.default_rng(3)
+    tracemalloc.start()
+    try:
+        own = co.CountingFilter(5)
+        for _ in range(2):
+            own.add(rng.integers(0, 1 << 63, (250_000, 5)).astype(np.uint64))
+            tracemalloc.reset_peak()
+            own.merge()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(own) == 500_000
+    assert peak < 2.5 * 500_000 * 6 * 8

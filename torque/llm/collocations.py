@@ -13,6 +13,10 @@ whose words and word pairs are frequent can be frequent themselves; tasks look
 these up in bitmaps of a fixed size, which may let others through but lose none.
 Most pairs of frequent words are rare, so a first pass counts them by the leading
 bytes of their marks: a mark that is shared counts too much, never too little.
+
+All distinct words are kept on the executors' disks only while they are coded and
+checked; what later stages read (frequent words, phrases) is stored in few files.
+On a local file system each file costs the JVM several processes (``chmod``).
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +43,7 @@ WAITING = 300_000                # rows that wait to be sorted into a small filt
 HELD_WORDS = 400_000             # distinct words after which a task hands its counts on
 HELD_BYTES = 32_000_000          # bytes of words, likewise
 WORD_ROWS = 20_000               # rows of words that travel at once
+FILE_SHARDS = 16                 # shards whose words or phrases a stored file has on average
 SALTS = 16
 BREAKS = ".,;:!?\n\x0b\x0c\r"    # end a piece; blanks and tabs end a word
 
@@ -88,7 +94,9 @@ class Pieces:
         self.piece = np.cumsum(ends_piece)[start]
         sums = np.zeros(n + 1, np.uint64)
         table = mix(_LOWER + np.uint64(1) + _STEPS[salt])
-        np.cumsum(table[data] * powers("up", BASE, n), out=sums[1:])
+        np.take(table, data, out=sums[1:], mode="clip")
+        sums[1:] *= powers("up", BASE, n)
+        np.cumsum(sums[1:], out=sums[1:])
         own = (sums[end] - sums[start]) * powers("down", BASE_INVERSE, n + 1)[start]
         row = np.searchsorted(offsets, start, "right") - 1
         self.code = mix(mix(own ^ (end - start).astype(np.uint64) * STEP)
@@ -171,7 +179,8 @@ class CountingFilter:
     def merge(self) -> None:
         rows = np.concatenate([self.rows, *(w[0] for w in self.waiting)])
         counts = np.concatenate([self.counts, *(w[1] for w in self.waiting)])
-        self.waiting, self.added = [], 0
+        # the entries are in ``rows`` now: no second copy stays while they are sorted
+        self.rows, self.counts, self.waiting, self.added = rows[:0], counts[:0], [], 0
         if not len(rows):
             return
         order = np.argsort(rows[:, 0])
@@ -180,10 +189,13 @@ class CountingFilter:
             same = first[1:] == first[:-1]
             if np.any(rows[order[1:][same], 1:] != rows[order[:-1][same], 1:]):
                 order = np.lexsort(rows.T[::-1])
-        rows = rows[order]
+        rows = self.rows = rows[order]
+        counts = self.counts = counts[order]
+        del order, first
         fresh = np.concatenate(([True], np.any(rows[1:] != rows[:-1], axis=1)))
-        self.rows = rows[fresh]
-        self.counts = np.add.reduceat(counts[order], np.flatnonzero(fresh))
+        if not fresh.all():
+            self.rows = rows[fresh]
+            self.counts = np.add.reduceat(counts, np.flatnonzero(fresh))
 
     def shards(self, quotient: int, shard_bits: int, spare: int = 0):
         """(shard, packed filter) of every range of quotients that holds entries."""
@@ -399,6 +411,34 @@ def frequent_grams(docs: DataFrame, salt: int, words_map, pairs_map, bits: int,
     return parts.groupBy("k", "shard").applyInArrow(merge, "k int, gram binary, a bigint")
 
 
+def frequent_words(docs: DataFrame, least: int, file_words: int):
+    """A salt that gives no frequent word the code of another word, the number of all
+    words, the files for so many, and (lang, word, a, mark, gram, n) of the frequent
+    words, n being the words of the language.
+
+    All distinct words are cached while they are checked. Nothing of them is held after
+    that, so Spark can clean up their blocks and shuffles while texts are read again.
+    """
+    counted, held = word_counts(docs), []
+    try:
+        for salt in range(SALTS):
+            held.append(words := coded(counted, salt).persist(StorageLevel.DISK_ONLY))
+            shared = words.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("a"))
+            if shared.filter((F.col("n") > 1) & (F.col("a") >= least)).isEmpty():
+                break
+            counted = words.select("lang", "word", "a")
+        else:
+            raise RuntimeError("no salt keeps the words' codes apart")
+        sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        files = 1 + total // file_words
+        common = words.filter(F.col("a") >= least).join(sizes, "lang").repartition(files)
+        return salt, total, files, stored(common)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_percent: int = 100,
                  filter_bits: int = FILTER_BITS, shard_entries: int = SHARD_ENTRIES,
                  id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -420,33 +460,22 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_perc
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counted = word_counts(docs)
-    for salt in range(SALTS):
-        words = stored(coded(counted, salt))
-        shared = words.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("a"))
-        if shared.filter((F.col("n") > 1) & (F.col("a") >= least)).isEmpty():
-            break
-        counted = words.select("lang", "word", "a")
-    else:
-        raise RuntimeError("no salt keeps the words' codes apart")
-    sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
+    salt, total, files, common = frequent_words(docs, least, FILE_SHARDS * shard_entries)
     shard_bits = max(0, (total // shard_entries).bit_length())
     quotient = 2 if shard_bits <= 16 else 4
-    common = words.filter(F.col("a") >= least)
 
     send = spark.sparkContext.broadcast
     words_map = send(bitmap(common, filter_bits))
-    marks = stored(frequent_marks(docs, salt, words_map, filter_bits, least, quotient, shard_bits))
-    pairs_map = send(bitmap(marks, filter_bits))
+    pairs_map = send(bitmap(frequent_marks(docs, salt, words_map, filter_bits, least, quotient,
+                                           shard_bits), filter_bits))
     phrases = stored(frequent_grams(docs, salt, words_map, pairs_map, filter_bits, least,
-                                    quotient, shard_bits))
-    return ranked(common, phrases, sizes, top, inside_percent)
+                                    quotient, shard_bits).repartition(files))
+    return ranked(common, phrases, top, inside_percent)
 
 
-def ranked(words: DataFrame, phrases: DataFrame, sizes: DataFrame, top: int,
-           inside_percent: int) -> DataFrame:
-    """Score the candidates by their best-explained cut and rank them by language."""
+def ranked(words: DataFrame, phrases: DataFrame, top: int, inside_percent: int) -> DataFrame:
+    """Score the candidates by their best-explained cut and rank them by language.
+    ``words`` are the frequent ones, each with the size ``n`` of its language."""
     phrases = phrases.select("gram", "k", "a")
     counts = words.select("gram", "a").union(phrases.select("gram", "a"))
     runs = F.flatten(F.transform(
@@ -460,8 +489,8 @@ def ranked(words: DataFrame, phrases: DataFrame, sizes: DataFrame, top: int,
             .filter(F.col("longer").isNull()
                     | (100 * F.col("longer") < inside_percent * F.col("a")))
             .withColumn("lead", F.substring("gram", 1, 8))
-            .join(words.select(F.col("gram").alias("lead"), "lang"), "lead")
-            .join(sizes, "lang").select("gram", "k", "a", "lang", "n"))
+            .join(words.select(F.col("gram").alias("lead"), "lang", "n"), "lead")
+            .select("gram", "k", "a", "lang", "n"))
     cuts = (kept.select("*", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
             .withColumn("left", F.expr("substring(gram, 1, 8 * cut)"))
             .withColumn("right", F.expr("substring(gram, 8 * cut + 1)"))
