@@ -201,17 +201,18 @@ def test_words_and_pieces_like_the_patterns():
 def test_only_what_is_frequent_is_stored_and_in_few_files(spark, monkeypatch):
     """No file per task, no rare words, and nothing is left cached."""
     written = []
+    monkeypatch.setattr(co, "FILES", 3)
     monkeypatch.setattr(co, "stored", lambda df, real=co.stored: written.append(real(df)) or written[-1])
     cached = spark.sparkContext._jsc.getPersistentRDDs().size()
     rows = texts(60) + [("en", f"rare{i} words{i}") for i in range(200)]
     docs = frame(spark, rows).repartition(7)
     got = co.collocations(docs, least=4, filter_bits=15, shard_entries=50)
-    words = sum(n for n in Counter((lang, w) for lang, text in rows for w in re.split(
-        r"[\x20\x09.,;:!?\x0A-\x0D]+", (text or "").translate(corpus.LOWER)) if w).values())
     assert all(df.filter("a < 4").isEmpty() for df in written)
-    assert all(len(df.inputFiles()) <= 1 + words // (50 * co.FILE_SHARDS) for df in written)
+    assert len(written) == 2 and all(len(df.inputFiles()) <= 3 for df in written)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached
     assert sorted(map(tuple, got.collect())) == brute(rows, 4, 2000)
+    assert co.frequent_words(docs.selectExpr("'x' AS lang", "coalesce(text, '') AS text"), 0, 4).filter(
+        "kind = 'size'").count() == 1
 
 
 def test_a_merge_holds_no_spare_copies():

@@ -14,9 +14,8 @@ these up in bitmaps of a fixed size, which may let others through but lose none.
 Most pairs of frequent words are rare, so a first pass counts them by the leading
 bytes of their marks: a mark that is shared counts too much, never too little.
 
-All distinct words are kept on the executors' disks only while they are coded and
-checked; what later stages read (frequent words, phrases) is stored in few files.
-On a local file system each file costs the JVM several processes (``chmod``).
+Only what later stages read (frequent words, phrases) is stored, and in few files: on
+a local file system each file costs the JVM several processes (``chmod``).
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +41,7 @@ WAITING = 300_000                # rows that wait to be sorted into a small filt
 HELD_WORDS = 400_000             # distinct words after which a task hands its counts on
 HELD_BYTES = 32_000_000          # bytes of words, likewise
 WORD_ROWS = 20_000               # rows of words that travel at once
-FILE_SHARDS = 16                 # shards whose words or phrases a stored file has on average
+FILES = 16                       # files that frequent words or phrases are stored in
 SALTS = 16
 BREAKS = ".,;:!?\n\x0b\x0c\r"    # end a piece; blanks and tabs end a word
 
@@ -411,32 +409,19 @@ def frequent_grams(docs: DataFrame, salt: int, words_map, pairs_map, bits: int,
     return parts.groupBy("k", "shard").applyInArrow(merge, "k int, gram binary, a bigint")
 
 
-def frequent_words(docs: DataFrame, least: int, file_words: int):
-    """A salt that gives no frequent word the code of another word, the number of all
-    words, the files for so many, and (lang, word, a, mark, gram, n) of the frequent
-    words, n being the words of the language.
-
-    All distinct words are cached while they are checked. Nothing of them is held after
-    that, so Spark can clean up their blocks and shuffles while texts are read again.
-    """
-    counted, held = word_counts(docs), []
-    try:
-        for salt in range(SALTS):
-            held.append(words := coded(counted, salt).persist(StorageLevel.DISK_ONLY))
-            shared = words.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("a"))
-            if shared.filter((F.col("n") > 1) & (F.col("a") >= least)).isEmpty():
-                break
-            counted = words.select("lang", "word", "a")
-        else:
-            raise RuntimeError("no salt keeps the words' codes apart")
-        sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
-        total = sizes.agg(F.sum("n")).first()[0] or 0
-        files = 1 + total // file_words
-        common = words.filter(F.col("a") >= least).join(sizes, "lang").repartition(files)
-        return salt, total, files, stored(common)
-    finally:
-        for df in held:
-            df.unpersist()
+def frequent_words(docs: DataFrame, salt: int, least: int) -> DataFrame:
+    """(kind, lang, word, a, mark, gram) in few files: the frequent words (``word``), the
+    words of every language (``size``), and marks of frequent words that another word
+    shares (``clash``). All three come from one shuffle of the words."""
+    counted = word_counts(docs)
+    clash = (coded(counted, salt).groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("a"))
+             .filter((F.col("n") > 1) & (F.col("a") >= least)))
+    words = coded(counted.filter(F.col("a") >= least), salt)
+    sizes = counted.groupBy("lang").agg(F.sum("a").alias("a"))
+    found = words.withColumn("kind", F.lit("word"))
+    for kind, rows in (("size", sizes), ("clash", clash.select("mark", "a"))):
+        found = found.unionByName(rows.withColumn("kind", F.lit(kind)), allowMissingColumns=True)
+    return stored(found.repartition(FILES))
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_percent: int = 100,
@@ -460,7 +445,15 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_perc
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    salt, total, files, common = frequent_words(docs, least, FILE_SHARDS * shard_entries)
+    for salt in range(SALTS):
+        found = frequent_words(docs, salt, least)
+        if found.filter("kind = 'clash'").isEmpty():
+            break
+    else:
+        raise RuntimeError("no salt keeps the words' codes apart")
+    common = found.filter("kind = 'word'")
+    sizes = found.filter("kind = 'size'").select("lang", F.col("a").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
     shard_bits = max(0, (total // shard_entries).bit_length())
     quotient = 2 if shard_bits <= 16 else 4
 
@@ -469,13 +462,13 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, inside_perc
     pairs_map = send(bitmap(frequent_marks(docs, salt, words_map, filter_bits, least, quotient,
                                            shard_bits), filter_bits))
     phrases = stored(frequent_grams(docs, salt, words_map, pairs_map, filter_bits, least,
-                                    quotient, shard_bits).repartition(files))
-    return ranked(common, phrases, top, inside_percent)
+                                    quotient, shard_bits).repartition(FILES))
+    return ranked(common, phrases, sizes, top, inside_percent)
 
 
-def ranked(words: DataFrame, phrases: DataFrame, top: int, inside_percent: int) -> DataFrame:
-    """Score the candidates by their best-explained cut and rank them by language.
-    ``words`` are the frequent ones, each with the size ``n`` of its language."""
+def ranked(words: DataFrame, phrases: DataFrame, sizes: DataFrame, top: int,
+           inside_percent: int) -> DataFrame:
+    """Score the candidates by their best-explained cut and rank them by language."""
     phrases = phrases.select("gram", "k", "a")
     counts = words.select("gram", "a").union(phrases.select("gram", "a"))
     runs = F.flatten(F.transform(
@@ -489,8 +482,8 @@ def ranked(words: DataFrame, phrases: DataFrame, top: int, inside_percent: int)
             .filter(F.col("longer").isNull()
                     | (100 * F.col("longer") < inside_percent * F.col("a")))
             .withColumn("lead", F.substring("gram", 1, 8))
-            .join(words.select(F.col("gram").alias("lead"), "lang", "n"), "lead")
-            .select("gram", "k", "a", "lang", "n"))
+            .join(words.select(F.col("gram").alias("lead"), "lang"), "lead")
+            .join(sizes, "lang").select("gram", "k", "a", "lang", "n"))
     cuts = (kept.select("*", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
             .withColumn("left", F.expr("substring(gram, 1, 8 * cut)"))
             .withColumn("right", F.expr("substring(gram, 8 * cut + 1)"))
