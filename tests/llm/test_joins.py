@@ -133,6 +133,24 @@ def shared_by_all(percent: int, n: int, times: int) -> int:
         for _ in range(times))
 
 
+def tied_by_chance(percent: int, n: int) -> int:
+    """Of 300 unlike sets that each hold ten elements of a pool of 300, those that share
+    a part hash with another one."""
+    rng = np.random.default_rng(n)
+    pool = rng.integers(0, 2 ** 63, 300, dtype=np.uint64)
+    owners: dict[int, set[int]] = {}
+    for i in range(300):
+        own = np.concatenate((pool[rng.permutation(300)[:10]],
+                              rng.integers(0, 2 ** 63, n - 10, dtype=np.uint64)))
+        for h in part_hashes(np.unique(own), np.zeros(0, np.uint64), percent).tolist():
+            owners.setdefault(h, set()).add(i)
+    return len(set().union(*(x for x in owners.values() if len(x) > 1)))
+
+
+def test_few_unlike_sets_are_tied_by_a_shared_element():
+    assert all(tied_by_chance(80, n) < 30 for n in (100, 400, 1000))
+
+
 def test_few_sets_send_the_hash_for_empty_parts():
     assert sum(shared_by_all(80, n, 100) for n in range(13, 60)) < 47
 

@@ -7,7 +7,9 @@
    and for a higher one that it can still link into; sets with a common hash
    are tied. Widely shared elements (boilerplate, quoted passages) are left out
    of the parts, which keeps the guarantee, unless a set would lose it: then it
-   sends its parts with all elements besides.
+   sends its parts with all elements besides. Of its parts a set keeps back the
+   smallest, as many as the guarantee can spare: parts of one or two elements
+   are what unlike texts share by chance, more of them the larger the table.
 3. Tied sets of one group are sorted by size and cut into bands of bounded
    volume. Each pair of bands whose sizes allow a link is a tile.
 4. Inside a tile every set has a bitmap of hashed elements. A bit that only one
@@ -80,11 +82,16 @@ def size_bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = np.array(low, np.int64)
     largest = low[1:] - 1
     differ = (100 - percent) * 2 * largest // (100 + percent)
-    return low[:-1], differ, differ + 1 + np.maximum(2, largest // 32)
+    return low[:-1], differ, differ + 1 + np.maximum(3, largest // 24)
 
 
 def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of a set's parts; linked sets share at least one."""
+    """Hashes of a set's parts; linked sets share at least one.
+
+    At least g parts of two linked sets are equal, so each may keep back all parts
+    with fewer elements than its g-th smallest one: the largest of the equal parts
+    is not among them, in either set.
+    """
     n = len(elements)
     lows, differ, parts = size_bands(percent)
     own = int(np.searchsorted(lows, n, "right")) - 1
@@ -100,11 +107,14 @@ def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.nd
             place = (mix(members + np.uint64(band)) % np.uint64(m)).astype(np.int64)
             sums = np.zeros(m, np.uint64)
             np.add.at(sums, place, mix(members ^ STEP))
-            filled = np.flatnonzero(np.bincount(place, minlength=m))
-            out.append(mix(sums[filled] + (filled.astype(np.uint64) << np.uint64(20))
-                           + np.uint64(band * 4 + level)))
+            held = np.bincount(place, minlength=m)
             # of two linked sets at least m - differ parts are equal, and m - apart
-            if m - len(filled) < m - min(int(differ[band]), apart):
+            spare = m - min(int(differ[band]), apart) - 1
+            least = int(np.partition(held, spare)[spare])
+            sent = np.flatnonzero(held >= max(least, 1))
+            out.append(mix(sums[sent] + (sent.astype(np.uint64) << np.uint64(20))
+                           + np.uint64(band * 4 + level)))
+            if least:
                 break
         else:                        # even with all elements too many parts are empty
             out.append(mix(np.array([band * 4 + 2], np.uint64)))
