@@ -151,6 +151,83 @@ def test_few_unlike_sets_are_tied_by_a_shared_element():
     assert all(tied_by_chance(80, n) < 30 for n in (100, 400, 1000))
 
 
+def test_marks_let_all_linked_sets_pass():
+    rng = np.random.default_rng(11)
+    sets, pairs = [], []
+    for n in (1, 2, 63, 64, 65, 128, 400, 3000):
+        a = np.unique(rng.integers(0, 2 ** 63, n, dtype=np.uint64))
+        more = rng.integers(0, 2 ** 63, n // 7, dtype=np.uint64)
+        sets += [a, a[n // 9:], np.unique(np.concatenate((a, more))),
+                 np.unique(rng.integers(0, 2 ** 63, n, dtype=np.uint64))]
+    marks = np.empty(len(sets), object)
+    marks[:] = [nj.parity_marks(s) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    x, y = (v.ravel() for v in np.meshgrid(range(len(sets)), range(len(sets))))
+    got = nj.may_link([sizes[x], sizes[y]], [marks[x], marks[y]], 85)
+    for i, j, passed in zip(x, y, got):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        linked = 100 * both >= 85 * (sizes[i] + sizes[j] - both)
+        assert passed or not linked
+        assert not passed or both or sizes[i] < 63
+    none = np.zeros(0, np.int64)
+    assert len(nj.may_link([none, none], [marks[none], marks[none]], 85)) == 0
+
+
+def test_ties_by_pairs_and_by_the_smallest():
+    """Few documents with a hash are tied pair by pair; if there are many, in a batch or in
+    all, each is tied surely to the smallest."""
+    rnd = random.Random(8)
+    for sizes in ([(2, 1)], [(3, 4), (1, 2)], [(5, 5)], [(30, 2)], [(2, 1), (9, 1), (8, 0)]):
+        packed, of_hash = [], []
+        texts = [f"alike {k}" for k in range(len(sizes))]
+        ids = iter(rnd.sample(range(1000), 100))
+        for batch in (0, 1):
+            rows = [(next(ids), k) for k, s in enumerate(sizes) for _ in range(s[batch])]
+            of_hash += rows
+            # texts of a batch differ, as equal sets send once; the hash stands for a part
+            known = {f"{texts[k]} {i}": k for i, k in rows}
+            docs, column = np.array([i for i, _ in rows], np.int64), pa.array(list(known))
+            hashes = [np.array([1000 + k], np.uint64) for k in known.values()]
+            real, nj.part_hashes = nj.part_hashes, lambda *_: hashes.pop(0)
+            try:
+                packed += nj._packed_parts(column, docs, 4, 85, np.zeros(0, np.uint64), 1)
+            finally:
+                nj.part_hashes = real
+        names = ["bucket", "docs", "places", "keys", "found"]
+        got = nj._part_ties(pa.Table.from_pylist([dict(zip(names, r)) for r in packed])).to_pylist()
+        for k in range(len(sizes)):
+            members = sorted(i for i, of in of_hash if of == k)
+            own = {(r["a"], r["b"]): r["sure"] for r in got if r["a"] in members}
+            if len(members) <= nj.PAIRED:
+                assert own == {(a, b): False for a in members for b in members if a > b}
+            else:
+                assert all(own.values()) and all(b in members and b < a for a, b in own)
+                assert {members[0]} | {a for a, _ in own} == set(members)
+
+
+def test_unlike_texts_with_a_common_passage_reach_no_tile(spark, monkeypatch):
+    tied = []
+    tiles = nj._tiles
+
+    def kept(rows, profiles, groups, *more):
+        tied.extend(r.node for r in groups.collect())
+        return tiles(rows, profiles, groups, *more)
+
+    monkeypatch.setattr(nj, "_tiles", kept)
+    rnd = random.Random(6)
+    values = []
+    for i in range(12):
+        passage = [f"p{i}x{rnd.randrange(10 ** 6)}" for _ in range(150)]
+        for _ in range(2):
+            values.append(" ".join(passage + [f"w{rnd.randrange(10 ** 6)}" for _ in range(90)]))
+    values += near_copies(3, 100, 5)
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(values)]
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_join(
+        spark.createDataFrame(rows, corpus.SCHEMA), percent=80, words_each=5).collect()}
+    assert got == brute_components(rows, 5, 80)
+    assert sorted(tied) == [24, 25, 26]
+
+
 def test_few_sets_send_the_hash_for_empty_parts():
     assert sum(shared_by_all(80, n, 100) for n in range(13, 60)) < 47
 

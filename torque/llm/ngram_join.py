@@ -10,6 +10,10 @@
    sends its parts with all elements besides. Of its parts a set keeps back the
    smallest, as many as the guarantee can spare: parts of one or two elements
    are what unlike texts share by chance, more of them the larger the table.
+   Two sets with a common hash are tied only if their marks allow a link: a mark
+   is the parity of a set's elements that hash to one place, and every place in
+   which two sets differ is an element that only one of them has. Of a hash that
+   many sets share, all are tied to one.
 3. Tied sets of one group are sorted by size and cut into bands of bounded
    volume. Each pair of bands whose sizes allow a link is a tile.
 4. Inside a tile every set has a bitmap of hashed elements. A bit that only one
@@ -20,8 +24,8 @@
    pair of sets is counted in one tile. Where they are not counted, sets already
    known to be connected are not compared again.
 
-Part hashes travel packed, one row per batch and hash bucket, and a batch sends
-each distinct one once. Everything but the fixed-size list of widely shared
+Part hashes travel packed, one row per batch and hash bucket. A hash that many
+sets of a batch share is sent once, and their ties with it. Everything but the fixed-size list of widely shared
 elements is distributed; links are lost nowhere.
 """
 
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from torque.llm.columns import stored
 from torque.llm.components import components
-from torque.llm.packing import (bucket_keys, by_bucket, document_row, found_row, from_planes,
+from torque.llm.packing import (MARK, bucket_keys, by_bucket, document_row, found_row, from_planes,
                                 packed_rows, planes)
 from torque.llm.segments import gather_ranges
 from torque.llm.wordhash import SLICE_BYTES, STEP, Words, mix, text_slices, window_hashes
@@ -44,6 +48,8 @@ from torque.llm.worker_memory import release
 
 COMMON_LOCAL = 16         # sets of one batch that make an element a candidate for the list
 COMMON_LISTED = 65_536    # length of the list of widely shared elements (no effect on links)
+PAIRED = 8                # documents with one part hash that are tied pair by pair
+MARK_BITS = 1 << 15       # most marks of a set (no effect on links)
 BAND_GROWTH = 1.5         # of sizes from one band to the next
 BAND_SHINGLES = 2_000_000 # elements in one band of a tile
 SIZE_SLICES = 64          # of a group's sets of one size, for running volumes
@@ -122,6 +128,35 @@ def part_hashes(elements: np.ndarray, common: np.ndarray, percent: int) -> np.nd
     return np.concatenate(out)
 
 
+def parity_marks(elements: np.ndarray) -> bytes:
+    """Parities of the elements that hash to each place, of places as many as elements
+    or up to twice as many."""
+    bits = min(MARK_BITS, 1 << max(6, (len(elements) - 1).bit_length()))
+    place = (mix(elements) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def may_link(sizes: list[np.ndarray], marks: list[np.ndarray], percent: int) -> np.ndarray:
+    """For pairs, given as sizes and marks of the left and of the right sets: whether
+    they may be linked. Marks are folded to the width of the shorter ones."""
+    total = sizes[0] + sizes[1]
+    out = np.zeros(len(total), bool)
+    widths = [np.array([len(m) for m in side], np.int64) for side in marks]
+    for pair in set(zip(*(w.tolist() for w in widths))):
+        at = np.flatnonzero((widths[0] == pair[0]) & (widths[1] == pair[1]))
+        folded = []
+        for side, width in zip(marks, pair):
+            rows = np.frombuffer(b"".join(side[at]), np.uint64).reshape(len(at), -1)
+            while width > min(pair):
+                width //= 2
+                rows = rows[:, :width // 8] ^ rows[:, width // 8:]
+            folded.append(rows)
+        apart = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+        apart = np.maximum(apart, np.abs(sizes[0][at] - sizes[1][at]))
+        out[at] = (100 + percent) * apart <= (100 - percent) * total[at]
+    return out
+
+
 class Bitmaps:
     """Hashed bitmaps of sets, each as wide as its own size asks for.
 
@@ -305,8 +340,9 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
                     [batch.column(0).slice(at, len(part)),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_hash(s) for s in sets], pa.int64()),
-                     batch.column(2).slice(at, len(part))],
-                    names=["doc_id", "n_shingles", "set_id", "text_hash"])
+                     batch.column(2).slice(at, len(part)),
+                     pa.array([parity_marks(s) if len(s) else None for s in sets], pa.binary())],
+                    names=["doc_id", "n_shingles", "set_id", "text_hash", "marks"])
 
     def send_parts(batches):
         release()
@@ -319,10 +355,11 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
                     yield packed_rows(packed)
 
     profiles = stored(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        profile, f"doc_id {kind}, n_shingles bigint, set_id bigint, text_hash bigint"))
+        profile, f"doc_id {kind}, n_shingles bigint, set_id bigint, text_hash bigint, marks binary"))
     ties = (rows.withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(
-        send_parts, PART_ROWS).groupBy("bucket").applyInArrow(_part_ties, "a bigint, b bigint"))
-    groups = components(ties)
+        send_parts, PART_ROWS).groupBy("bucket").applyInArrow(
+            _part_ties, "a bigint, b bigint, sure boolean"))
+    groups = components(_possible(ties, profiles, percent))
     # an id with several texts ties them to each other, also if it is tied to no other id
     several = (profiles.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
         F.col("doc_id").cast("bigint").alias("node"))
@@ -380,8 +417,8 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 85, words_each: int = 4,
 
 def _packed_parts(texts: pa.Array, docs: np.ndarray, words_each: int, percent: int,
                   common: np.ndarray, n: int) -> list[tuple]:
-    """Packed rows of some documents: each distinct part hash once, and the ties
-    among these documents themselves."""
+    """Packed rows of some documents: their part hashes, but one that over PAIRED of them
+    share once, flagged, and the ties of the others with that one."""
     seen, hashes, places = set(), [], []
     for at, part in text_slices(texts):
         for i, elements in enumerate(shingle_sets(part, words_each), at):
@@ -396,41 +433,87 @@ def _packed_parts(texts: pa.Array, docs: np.ndarray, words_each: int, percent: i
     order = np.lexsort((docs[places], hashes))
     hashes, places = hashes[order], places[order]
     fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
-    first = places[fresh][np.cumsum(fresh) - 1]
-    tied = np.unique(np.stack((places[~fresh], first[~fresh])), axis=1)
+    run = np.cumsum(fresh) - 1
+    first, many = places[fresh][run], (np.bincount(run) > PAIRED)[run]
+    tied = np.unique(np.stack((places[many & ~fresh], first[many & ~fresh])), axis=1)
     rows = found_row(docs, tied[0], docs[tied[1]], n)
-    bucket, key = bucket_keys(hashes[fresh], n)
-    places = places[fresh]
+    sent = fresh | ~many
+    bucket, key = bucket_keys(hashes[sent], n)
+    places, many = places[sent], many[sent]
     order = np.lexsort((key, bucket))
-    bucket, key, places = bucket[order], key[order], places[order]
+    bucket, key, places, many = bucket[order], key[order], places[order], many[order]
     for b, part in by_bucket(bucket, n):
         steps = np.diff(key[part], prepend=np.uint32(0))
-        rows.append((b, *document_row(docs, places[part]), planes(steps), False))
+        rows.append((b, *document_row(docs, places[part], many[part]), planes(steps), False))
     return rows
 
 
 def _part_ties(table: pa.Table) -> pa.Table:
-    """(a, b) per part hash: a document that has it and the smallest one that has it."""
-    docs, keys, left, right = [], [], [], []
+    """(a, b, sure) per part hash: each pair of the documents that have it or, of more than
+    PAIRED documents, each one and the smallest. These ties are sure, as others hang on them."""
+    docs, keys, flags = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], [np.zeros(0, bool)]
+    left, right, sure = [], [], []
     for row in table.to_pylist():
         names, at = from_planes(row["docs"], np.int64), from_planes(row["places"], np.uint32)
         if row["found"]:
             left.append(names[at])
             right.append(from_planes(row["keys"], np.int64))
+            sure.append(np.ones(len(at), bool))
         else:
-            docs.append(names[at])
+            docs.append(names[at & ~MARK])
+            flags.append((at & MARK) > 0)
             keys.append(np.cumsum(from_planes(row["keys"], np.uint32), dtype=np.uint32))
-    if docs:
-        docs, keys = np.concatenate(docs), np.concatenate(keys)
-        order = np.lexsort((docs, keys))
-        docs, keys = docs[order], keys[order]
-        fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
-        first = docs[fresh][np.cumsum(fresh) - 1]
-        left.append(docs[~fresh])
-        right.append(first[~fresh])
-    a = np.concatenate(left or [np.zeros(0, np.int64)])
-    b = np.concatenate(right or [np.zeros(0, np.int64)])
-    return pa.table({"a": pa.array(a[a != b]), "b": pa.array(b[a != b])})
+    docs, keys, flags = np.concatenate(docs), np.concatenate(keys), np.concatenate(flags)
+    order = np.lexsort((docs, keys))
+    docs, keys, flags = docs[order], keys[order], flags[order]
+    fresh = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
+    run = np.cumsum(fresh) - 1
+    first = docs[fresh][run]
+    many = (np.bincount(run) > PAIRED) | (np.bincount(run, flags) > 0)
+    star = many[run] & ~fresh
+    left.append(docs[star])
+    right.append(first[star])
+    sure.append(np.ones(len(left[-1]), bool))
+    few = np.flatnonzero(~many[run])
+    docs, run = docs[few], run[few]
+    for step in range(1, PAIRED):
+        same = run[step:] == run[:-step]
+        left.append(docs[step:][same])
+        right.append(docs[:-step][same])
+        sure.append(np.zeros(len(left[-1]), bool))
+    a, b, sure = np.concatenate(left), np.concatenate(right), np.concatenate(sure)
+    return pa.table({"a": a[a != b], "b": b[a != b], "sure": sure[a != b]})
+
+
+def _possible(ties: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the ties that are sure or whose sets may be linked by their marks. An id
+    with several sets has no marks of its own; its ties stay."""
+    ties = stored(ties.groupBy("a", "b").agg(F.max("sure").alias("sure")))
+    marks = (profiles.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+             .groupBy(F.col("doc_id").cast("bigint").alias("id"))
+             .agg(F.min("n_shingles").alias("n"), F.max("n_shingles").alias("n_most"),
+                  F.min("set_id").alias("x"), F.max("set_id").alias("y"),
+                  F.min("marks").alias("marks"))
+             .select("id", "n", F.when((F.col("x") == F.col("y")) & (
+                 F.col("n") == F.col("n_most")), F.col("marks")).alias("marks")))
+    left, right = (marks.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"),
+                                F.col("marks").alias(f"marks_{c}")) for c in "ab")
+
+    def pass_on(batches):
+        release()
+        for batch in batches:
+            known = batch.column("marks_a").is_valid().to_numpy(False) & batch.column(
+                "marks_b").is_valid().to_numpy(False)
+            kept = ~known
+            part = batch.filter(pa.array(known))
+            kept[known] = may_link(
+                [part.column(f"n_{c}").to_numpy() for c in "ab"],
+                [part.column(f"marks_{c}").to_numpy(zero_copy_only=False) for c in "ab"], percent)
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    paired = ties.filter(~F.col("sure")).select("a", "b").join(left, "a").join(right, "b")
+    return ties.filter("sure").select("a", "b").union(paired.mapInArrow(
+        pass_on, "a bigint, b bigint"))
 
 
 def _tiles(rows: DataFrame, profiles: DataFrame, groups: DataFrame, percent: int,
